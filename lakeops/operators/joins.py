@@ -8,6 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lakeops.functions.columns import cents
 from lakeops.operators.numbering import number_rows, surrogate_key
 from lakeops.operators.windows import latest_per_key
 
@@ -107,15 +108,13 @@ def same_day_join(orders: DataFrame, logs: DataFrame, user: str, order_date: str
         F.coalesce("_n", F.lit(0)).alias("n_logs"))
 
 
-def ratio_within_group(df: DataFrame, group: str, item: str, measure: Column,
+def ratio_within_group(df: DataFrame, group: str, item: str, amount: str,
                        total_name: str = "total_sales") -> DataFrame:
-    """Total per group and item, with its percentage of the group's total."""
-    per_item = df.groupBy(group, item).agg(measure.alias(total_name))
-    totals = per_item.groupBy(group).agg(F.sum(total_name).alias("_total"))
-    return (
-        per_item.join(totals, group)
-        .withColumn("sales_ratio", F.col(total_name) * 100 / F.col("_total")).drop("_total")
-    )
+    """Money total per group and item, with its percentage of the group's total."""
+    per_item = df.groupBy(group, item).agg(F.sum(cents(amount)).alias("_cents"))
+    totals = per_item.groupBy(group).agg(F.sum("_cents").alias("_total"))
+    out = per_item.join(totals, group).withColumn(total_name, F.col("_cents") / 100.0)
+    return out.withColumn("sales_ratio", F.col(total_name) * 100 / (F.col("_total") / 100.0)).drop("_cents", "_total")
 
 
 def zip_join(left: DataFrame, right: DataFrame, left_order: Sequence[Column | str],

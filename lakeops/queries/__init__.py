@@ -1,2 +1,2 @@
-from lakeops.queries import aggregations, windowing, unions
+from lakeops.queries import quality_checks, sources, sinks, streams
 from lakeops.queries.registry import ORACLES, QUERIES
