@@ -1,2 +1,2 @@
-from lakeops.queries import quality_checks, sources, sinks, streams
+from lakeops.queries import table_functions, customer_marts
 from lakeops.queries.registry import ORACLES, QUERIES

@@ -84,10 +84,10 @@ def src8(t):
 
 
 @query("src9_sql_with_bound_frames", """
-    SELECT lang, count(*) AS n, sum(quality) AS good FROM documents JOIN labels USING (doc_id) GROUP BY lang""")
+    SELECT lang, count(*) AS n, CAST(sum(quality) AS BIGINT) AS good FROM documents JOIN labels USING (doc_id) GROUP BY lang""")
 def src9(t):
     return R.sql(t.spark, "SELECT lang, count(*) AS n, sum(quality) AS good FROM {d} JOIN {l} USING (doc_id) GROUP BY lang",
-                 d=t.documents, l=t.labels).withColumn("good", F.col("good").cast("decimal(38,0)"))
+                 d=t.documents, l=t.labels)
 
 
 @query("src10_literal_rows", """
