@@ -117,6 +117,11 @@ def missing_to_dash(c: Column | str, marker: str = " -") -> Column:
     return F.when(text.contains(marker), F.lit("-")).otherwise(text)
 
 
+def base64_text(c: Column | str) -> Column:
+    """Base64 on one line; Spark breaks long output into lines of 76 characters."""
+    return F.translate(F.base64(as_col(c)), "\r\n", "")
+
+
 # --- masking ---------------------------------------------------------------
 
 
@@ -135,8 +140,8 @@ def mask_encrypt(c: Column | str, key: str, protect: bool, mode: str = "GCM") ->
     if not protect:
         return value
     padding = "PKCS" if mode == "ECB" else "DEFAULT"
-    return F.base64(F.aes_encrypt(value.cast("binary"), F.lit(key).cast("binary"),
-                                  F.lit(mode), F.lit(padding)))
+    return base64_text(F.aes_encrypt(value.cast("binary"), F.lit(key).cast("binary"),
+                                     F.lit(mode), F.lit(padding)))
 
 
 # --- repeatable sampling ---------------------------------------------------

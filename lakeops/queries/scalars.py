@@ -180,7 +180,7 @@ def sf17(t):
     key = F.lit("0123456789abcdef").cast("binary")
     secret = F.aes_encrypt(F.col("c_name").cast("binary"), key)
     return t.customer.select("c_custkey", F.sha2(F.col("c_custkey").cast("string"), 256).alias("id_sha256"),
-                             F.base64(F.col("c_name").cast("binary")).alias("name_b64"),
+                             C.base64_text(F.col("c_name").cast("binary")).alias("name_b64"),
                              F.aes_decrypt(secret, key).cast("string").alias("name_back"))
 
 

@@ -117,7 +117,7 @@ def tf9(t):
 
 @query("ud1_base64_text", "SELECT item_id, base64(encode(text)) AS b64 FROM benchmark")
 def ud1(t):
-    return t.benchmark.select("item_id", F.base64(F.encode("text", "UTF-8")).alias("b64"))
+    return t.benchmark.select("item_id", C.base64_text(F.encode("text", "UTF-8")).alias("b64"))
 
 
 @query("ud2_date_text_function", "SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS iso FROM orders")
@@ -146,7 +146,7 @@ def star_scorer():
 
 
 @query("ud4_batch_sentiment", """
-    SELECT doc_id, CAST(1 + (len(text) - len(replace(text, ',', ''))) % 5 AS FLOAT) * 0.5::FLOAT AS positive_score
+    SELECT doc_id, CAST(1 + (len(text) - len(replace(text, ',', ''))) % 5 AS DOUBLE) * 0.5 AS positive_score
     FROM documents""")
 def ud4(t):
     return X.sentiment(t.documents.select("doc_id", "text"), "text", star_scorer).drop("text")
@@ -177,20 +177,20 @@ def ud7(t):
     return model.transform(rows).select("c_custkey", "label", "prediction")
 
 
-def upper_scorer():
+def mirror_scorer():
     """Rule scorer that fails on French text."""
     def score(texts):
         for s in texts:
             if "é" in s:
                 raise ValueError("cannot read")
-        return [s.upper() for s in texts]
+        return [s[::-1] for s in texts]
     return score
 
 
 @query("ud8_text_model_with_errors", """
     SELECT doc_id, CASE WHEN contains(text, 'é') THEN NULL ELSE CAST(len(text) AS BIGINT) END AS n FROM documents""")
 def ud8(t):
-    done = X.map_text(t.documents.select("doc_id", "text"), "text", upper_scorer, "result", retries=0)
+    done = X.map_text(t.documents.select("doc_id", "text"), "text", mirror_scorer, "result", retries=0)
     return done.select("doc_id", F.length("result").cast("bigint").alias("n"))
 
 

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakeops.functions.columns import base64_text
+
 
 def read_csv(spark: SparkSession, path: str, infer: bool = True, **options) -> DataFrame:
     """CSV with a header line; types inferred unless ``infer`` is off."""
@@ -58,7 +60,7 @@ def read_binary_b64(spark: SparkSession, paths: str | Sequence[str], strip: str
     return (
         spark.read.format("binaryFile").load(paths)
         .select(F.regexp_replace("path", strip, "").alias("path"),
-                F.base64("content").alias("content_b64"))
+                base64_text("content").alias("content_b64"))
     )
 
 
