@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def cond_agg(df: DataFrame, keys: Sequence[str], specs: Mapping[str, Column]) -> DataFrame:
@@ -60,33 +61,42 @@ def accuracy_alert(df: DataFrame, pred: str, label: str, threshold: float = 0.8)
     )
 
 
+def _bytes_of(value: Column, dtype: T.DataType) -> Column:
+    """Rough size of a value: 16 bytes per field, plus the length of its text."""
+    if isinstance(dtype, T.StructType):
+        total = F.lit(0)
+        for f in dtype.fields:
+            total = total + _bytes_of(value[f.name], f.dataType)
+        return total
+    if isinstance(dtype, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(value), F.lit(0)) + 16
+    if isinstance(dtype, (T.ArrayType, T.MapType)):
+        return F.octet_length(F.to_json(F.struct(value))) + 16
+    return F.lit(16)
+
+
 def collect_parts(df: DataFrame, keys: Sequence[str], value: Column, row_id: Sequence[str],
                   max_bytes: int = 32 << 20, name: str = "items") -> DataFrame:
     """Group members as sorted lists, in parts no larger than about ``max_bytes``.
 
-    A group below the limit is one list with ``part`` 0. A larger group (the
-    limit is checked on the data) is spread by row id over as many parts as its
-    size asks for, so no task and no cell has to hold a whole hot group, and no
-    member is left out.
+    The size of the largest group is measured first. If it is within the limit,
+    every group is one list with ``part`` 0. Otherwise the large groups are
+    spread by row id over as many parts as their size asks for: no task and no
+    cell has to hold a whole hot group, and no member is left out.
     """
-    members = df.select(*keys, value.alias("_value"),
-                        F.xxhash64(*[F.col(c) for c in row_id]).alias("_h"))
-    # 16 bytes stand for the fixed cost of a member that is not text.
-    size = F.octet_length(F.col("_value").cast("string")) + 16
-    sizes = members.groupBy(*keys).agg(
-        F.ceil(F.sum(size) / F.lit(float(max_bytes))).cast("bigint").alias("_parts"))
-    sizes = sizes.withColumn("_parts", F.greatest(F.coalesce("_parts", F.lit(1)), F.lit(1)))
-    on = None
-    s = sizes.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "_parts")
+    members = df.select(*keys, value.alias("_value"), *[F.col(c).alias(f"_id{i}") for i, c in enumerate(row_id)])
+    size = _bytes_of(F.col("_value"), members.schema["_value"].dataType)
+    sizes = members.groupBy(*keys).agg(F.sum(size).alias("_bytes"))
+    listed = F.sort_array(F.collect_list("_value")).alias(name)
+    if (sizes.agg(F.max("_bytes")).first()[0] or 0) <= max_bytes:
+        return members.groupBy(*keys).agg(F.lit(0).cast("bigint").alias("part"), listed)
+    s = sizes.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
+                     F.greatest(F.ceil(F.col("_bytes") / F.lit(float(max_bytes))), F.lit(1)).cast("bigint").alias("_parts"))
+    on = F.lit(True)
     for i, k in enumerate(keys):
-        test = members[k].eqNullSafe(s[f"_k{i}"])
-        on = test if on is None else on & test
-    return (
-        members.join(s, on)
-        .withColumn("part", F.pmod("_h", "_parts"))
-        .groupBy(*keys, "part")
-        .agg(F.sort_array(F.collect_list("_value")).alias(name))
-    )
+        on = on & members[k].eqNullSafe(s[f"_k{i}"])
+    spread = F.pmod(F.xxhash64(*[f"_id{i}" for i in range(len(row_id))]), F.col("_parts"))
+    return members.join(s, on).withColumn("part", spread).groupBy(*keys, "part").agg(listed)
 
 
 def concat_group(df: DataFrame, keys: Sequence[str], text: str, row_id: Sequence[str],

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeops.functions.columns import cents
-from lakeops.operators.numbering import number_rows, surrogate_key
+from lakeops.operators.numbering import MAX_GROUP_ROWS, largest_group, number_rows, surrogate_key
 from lakeops.operators.windows import latest_per_key
 
 
@@ -49,31 +49,38 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str],
 
 
 def asof_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_date: str,
-              right_date: str, values: Sequence[str], tiebreak: Sequence[str] = ()) -> DataFrame:
+              right_date: str, values: Sequence[str], tiebreak: Sequence[str] = (),
+              max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
     """Attach the newest right row on or before the left row's date.
 
-    Both sides are first reduced to one row per key and date, so the window
-    holds at most the dates of a key. Left rows then find their date's answer
-    by an equi-join, which AQE can split if a key is hot.
+    Both sides are stacked and the last right row is carried forward, in one
+    shuffle and without a join. Where a key has more rows than one task should
+    sort, only one row per key and date goes through the window, and left rows
+    find their date's answer by an equi-join, which AQE can split.
     """
-    order = F.struct(*[F.col(c) for c in [right_date, *tiebreak]])
-    payload = F.struct(*[F.col(c) for c in [right_date, *values]])
-    by_date = (
-        right.filter(F.col(right_date).isNotNull())
-        .groupBy(*keys, F.col(right_date).alias("_date")).agg(F.max_by(payload, order).alias("_right"))
-    )
-    asked = left.select(*keys, F.col(left_date).alias("_date")).distinct()
-    w = Window.partitionBy(*keys).orderBy("_date").rowsBetween(Window.unboundedPreceding, 0)
-    dates = by_date.unionByName(asked.withColumn("_right", F.lit(None).cast(by_date.schema["_right"].dataType)))
-    # A date present on both sides has one filled and one empty row; merge them first.
-    dates = dates.groupBy(*keys, "_date").agg(F.max("_right").alias("_right"))
-    known = dates.withColumn("_right", F.last("_right", ignorenulls=True).over(w))
-    k = known.select(*[F.col(c).alias(f"_k_{c}") for c in keys], F.col("_date").alias("_k_date"), "_right")
+    carried = F.struct(*dict.fromkeys([right_date, *tiebreak, *values]))
+    facts = right.filter(F.col(right_date).isNotNull()).select(*keys, F.col(right_date).alias("_date"),
+                                                               carried.alias("_right"))
+    dtype = facts.schema["_right"].dataType
+    names = [(c, c if c not in left.columns else f"asof_{c}") for c in dict.fromkeys([right_date, *values])]
+    taken = [F.col(f"_known.{c}").alias(alias) for c, alias in names]
+    asked = left.select(*keys, F.col(left_date).alias("_date"), F.lit(None).cast(dtype).alias("_right"))
+    by_key = Window.partitionBy(*keys)
+    if largest_group(facts.select(*keys).unionAll(asked.select(*keys)), keys) <= max_group_rows:
+        stacked = facts.withColumn("_left", F.lit(None).cast(left.select(F.struct("*")).schema[0].dataType)).unionByName(
+            left.select(*keys, F.col(left_date).alias("_date"), F.lit(None).cast(dtype).alias("_right"),
+                        F.struct("*").alias("_left")))
+        # Right rows of a date come before the left rows of that date.
+        w = by_key.orderBy("_date", F.col("_left").isNotNull(), "_right").rowsBetween(Window.unboundedPreceding, 0)
+        known = stacked.withColumn("_known", F.last("_right", ignorenulls=True).over(w))
+        return known.filter(F.col("_left").isNotNull()).select("_left.*", *taken)
+    dates = facts.unionByName(asked).groupBy(*keys, "_date").agg(F.max("_right").alias("_right"))
+    w = by_key.orderBy("_date").rowsBetween(Window.unboundedPreceding, 0)
+    known = dates.withColumn("_known", F.last("_right", ignorenulls=True).over(w))
+    k = known.select(*[F.col(c).alias(f"_k_{c}") for c in keys], F.col("_date").alias("_k_date"), "_known")
     on = left[left_date] == k["_k_date"]
     for c in keys:
         on = on & left[c].eqNullSafe(k[f"_k_{c}"])
-    taken = [F.col(f"_right.{c}").alias(c if c not in left.columns else f"asof_{c}")
-             for c in [right_date, *values]]
     return left.join(k, on, "left").select(*left.columns, *taken)
 
 

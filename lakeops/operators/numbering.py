@@ -1,11 +1,12 @@
-"""Row numbers and neighbours that do not put a whole group into one task.
+"""Row numbers and neighbours, for groups of any size.
 
 ``row_number()`` and ``lead()`` over a window send every row of a group to one
-task. A group may hold a third of all rows, so these functions range-partition
-by group and order: a big group is then spread over many slices, each small,
-and what crosses a slice border is settled on one summary row per slice. The
-slices are kept by a reliable checkpoint, so a lost executor, or a second
-branch of the plan, sees the same borders.
+task, and a group may hold a third of all rows. The functions here therefore
+measure the largest group first (one narrow aggregate). Up to a limit they use
+the window; above it they range-partition by group and order: a big group is
+then spread over many slices, and what crosses a slice border is settled on one
+summary row per slice. The slices are kept by a reliable checkpoint, so that a
+lost executor, or a second branch of the plan, sees the same borders.
 
 The order must be total (end it with a unique column).
 """
@@ -19,9 +20,16 @@ from pyspark.sql import functions as F
 
 from lakeops.session import checkpointed
 
+MAX_GROUP_ROWS = 2_000_000  # rows of one group that one task may sort
 _SLICE_BITS = 33  # monotonically_increasing_id(): slice number above, position below
 
 
+def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
+    """Rows of the largest group; one number comes to the driver."""
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    return sizes.agg(F.max("n")).first()[0] or 0
+
+
 def sliced(df: DataFrame, group: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
     """Rows sorted by group and order, with ``_pos`` and ``_slice``."""
     keys = [*group, *order]
@@ -33,11 +41,12 @@ def sliced(df: DataFrame, group: Sequence[str], order: Sequence[Column | str]) -
 
 
 def number_rows(df: DataFrame, group: Sequence[str], order: Sequence[Column | str],
-                name: str = "rn") -> DataFrame:
-    """``row_number()`` within the group, for groups of any size.
-
-    With an empty group the whole frame is numbered 1…n without gaps.
-    """
+                name: str = "rn", max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+    """``row_number()`` within the group. With an empty group the whole frame is
+    numbered 1…n without gaps, always by slices."""
+    if group and largest_group(df, group) <= max_group_rows:
+        w = Window.partitionBy(*group).orderBy(*order)
+        return df.withColumn(name, F.row_number().over(w).cast("bigint"))
     rows = sliced(df, group, order)
     pieces = rows.groupBy("_slice", *group).agg(
         F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_n"))
@@ -57,11 +66,16 @@ def number_rows(df: DataFrame, group: Sequence[str], order: Sequence[Column | st
     )
 
 
-def following_pairs(df: DataFrame, group: Sequence[str], order: Sequence[Column | str],
-                    value: str) -> DataFrame:
+def following_pairs(df: DataFrame, group: Sequence[str], order: Sequence[str], value: str,
+                    max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
     """Counts of (value, next value) over neighbouring rows of a group."""
-    rows = sliced(df.select(*dict.fromkeys([*group, *[o for o in order if isinstance(o, str)], value])),
-                  group, order)
+    narrow = df.select(*dict.fromkeys([*group, *order, value]))
+    if largest_group(narrow, group) <= max_group_rows:
+        following = F.lead(F.struct(value)).over(Window.partitionBy(*group).orderBy(*order))
+        pairs = narrow.select(F.col(value).alias("source"), following.alias("_next")).filter("_next IS NOT NULL")
+        return pairs.groupBy("source", F.col(f"_next.{value}").alias("target")).agg(
+            F.count(F.lit(1)).alias("weight"))
+    rows = sliced(narrow, group, order)
     here = F.struct(*[F.col(g) for g in group], F.col(value).alias("_v")).alias("_here")
     rows = rows.select("_slice", "_pos", here)
     in_slice = Window.partitionBy("_slice").orderBy("_pos")

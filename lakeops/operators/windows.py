@@ -12,6 +12,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lakeops.operators.numbering import MAX_GROUP_ROWS, largest_group
+
 
 def _cols(order: Sequence[Column | str]) -> list[Column]:
     return [F.col(o) if isinstance(o, str) else o for o in order]
@@ -68,21 +70,23 @@ def cumulative_share(dist: DataFrame, order: str, share: str, name: str = "cumul
     return dist.withColumn(name, F.sum(share).over(w))
 
 
-def repeat_purchase(df: DataFrame, keys: Sequence[str], date: str, tiebreak: Sequence[str]) -> DataFrame:
+def repeat_purchase(df: DataFrame, keys: Sequence[str], date: str, tiebreak: Sequence[str],
+                    max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
     """Repeat flag and days since the previous purchase of the same item.
 
-    ``LAG`` by date needs only the dates: one summary row per key and date
-    carries the date before it, and the first line of the date. Later lines of
-    a date have that date itself as their predecessor.
+    Where a user and item may have more rows than one task should sort, only
+    the dates go through the window: a summary row per key and date carries the
+    date before it and the first line of the date. Later lines of a date have
+    that date itself as their predecessor.
     """
-    line = F.struct(*[F.col(c) for c in tiebreak])
-    by_day = df.groupBy(*keys, date).agg(F.min(line).alias("_first_line"))
-    by_day = by_day.withColumn("_prev_date", F.lag(date).over(Window.partitionBy(*keys).orderBy(date)))
-    prev = F.when(line == F.col("_first_line"), F.col("_prev_date")).otherwise(F.col(date))
-    return (
-        df.join(by_day, [*keys, date])
-        .withColumn("_prev", prev)
-        .withColumn("is_repeat_purchase", F.col("_prev").isNotNull())
-        .withColumn("days_since_last_purchase", F.datediff(F.col(date), F.col("_prev")))
-        .select(*df.columns, "is_repeat_purchase", "days_since_last_purchase")
-    )
+    if largest_group(df, keys) <= max_group_rows:
+        prev = F.lag(date).over(Window.partitionBy(*keys).orderBy(date, *tiebreak))
+        out = df.withColumn("_prev", prev)
+    else:
+        line = F.struct(*[F.col(c) for c in tiebreak])
+        by_day = df.groupBy(*keys, date).agg(F.min(line).alias("_first_line"))
+        by_day = by_day.withColumn("_before", F.lag(date).over(Window.partitionBy(*keys).orderBy(date)))
+        prev = F.when(line == F.col("_first_line"), F.col("_before")).otherwise(F.col(date))
+        out = df.join(by_day, [*keys, date]).withColumn("_prev", prev)
+    return out.select(*df.columns, F.col("_prev").isNotNull().alias("is_repeat_purchase"),
+                      F.datediff(F.col(date), F.col("_prev")).alias("days_since_last_purchase"))

@@ -56,27 +56,22 @@ def ltv(orders: DataFrame, as_of: str) -> DataFrame:
     return orders.groupBy("user_id").agg(*_ltv_aggs(as_of))
 
 
-def rfm_measures(orders: DataFrame, as_of: str, unique_orders: bool = False) -> DataFrame:
-    """Recency, frequency and average order value, overall and per channel.
-
-    ``unique_orders`` states that an order id occurs once, which saves the
-    distinct count its shuffle.
-    """
-    if unique_orders:
-        per_order = orders.select("user_id", "channel", "order_id", cents("total_amount").alias("_cents"),
-                                  F.col("order_date").alias("_last"), F.col("order_date").alias("_first"))
-    else:
-        per_order = _one_order(orders)
+def _rfm_aggs(first: str = "order_date", last: str = "order_date", amount: Column | None = None) -> list[Column]:
+    """Aggregates over one row per order."""
+    amount = cents("total_amount") if amount is None else amount
     aggs = []
     for name, channel in SCOPES.items():
         hit = _in(channel)
         aggs += [
-            F.max(F.when(hit, F.col("_last"))).alias(f"last_purchase_date_{name}"),
-            F.min(F.when(hit, F.col("_first"))).alias(f"first_purchase_date_{name}"),
+            F.max(F.when(hit, F.col(last))).alias(f"last_purchase_date_{name}"),
+            F.min(F.when(hit, F.col(first))).alias(f"first_purchase_date_{name}"),
             F.count(F.when(hit & F.col("order_id").isNotNull(), 1)).alias(f"f_purchase_count_{name}"),
-            F.sum(F.when(hit, F.col("_cents")).otherwise(0)).alias(f"_m_{name}"),
+            F.sum(F.when(hit, amount).otherwise(0)).alias(f"_m_{name}"),
         ]
-    per_user = per_order.groupBy("user_id").agg(*aggs)
+    return aggs
+
+
+def _with_rfm(per_user: DataFrame, as_of: str) -> DataFrame:
     derived = {}
     for name in SCOPES:
         derived[f"r_days_since_last_purchase_{name}"] = F.datediff(day(as_of), f"last_purchase_date_{name}")
@@ -85,6 +80,18 @@ def rfm_measures(orders: DataFrame, as_of: str, unique_orders: bool = False) ->
     return per_user.withColumns(derived).drop(*[f"_m_{n}" for n in SCOPES])
 
 
+def rfm_measures(orders: DataFrame, as_of: str, unique_orders: bool = False) -> DataFrame:
+    """Recency, frequency and average order value, overall and per channel.
+
+    ``unique_orders`` states that an order id occurs once, which saves the
+    distinct count its shuffle.
+    """
+    if unique_orders:
+        return _with_rfm(orders.groupBy("user_id").agg(*_rfm_aggs()), as_of)
+    per_order = _one_order(orders)
+    return _with_rfm(per_order.groupBy("user_id").agg(*_rfm_aggs("_first", "_last", F.col("_cents"))), as_of)
+
+
 def first_last_store(orders: DataFrame, by: str = "id") -> DataFrame:
     """First and last store of a user's POS orders.
 
@@ -103,17 +110,23 @@ def first_last_store(orders: DataFrame, by: str = "id") -> DataFrame:
 
 def customer_profile(users: DataFrame, line_members: DataFrame, orders: DataFrame,
                      loyalty: DataFrame, as_of: str, unique_orders: bool = False) -> DataFrame:
-    """Users with lifetime value, RFM, the newest messenger row and the newest
-    loyalty row."""
+    """Users with lifetime value, RFM, first and last store, the newest messenger
+    row and the newest loyalty row. With unique order ids all order figures come
+    from one aggregation."""
     line = latest_per_key(line_members, ["line_member_id"], ["updated_date"], ["line_system_id"]).select(
         "line_member_id", "notification_allowed_flg", "is_blocked_flg", "is_friend_flg")
     points = latest_per_key(loyalty, ["user_id"], ["updated_date"], ["point_id"]).select(
         "user_id", "member_rank", "point_balance")
+    if unique_orders:
+        pos_store = F.when(_in("POS"), F.col("store_id"))
+        figures = _with_rfm(orders.groupBy("user_id").agg(
+            *_ltv_aggs(as_of), *_rfm_aggs(), F.min(pos_store).alias("first_purchase_store_pos"),
+            F.max(pos_store).alias("last_purchase_store_pos")), as_of)
+    else:
+        figures = ltv(orders, as_of).join(rfm_measures(orders, as_of), "user_id").join(
+            first_last_store(orders), "user_id", "left")
     return (
-        users.join(ltv(orders, as_of), "user_id", "left")
-        .join(rfm_measures(orders, as_of, unique_orders), "user_id", "left")
-        .join(first_last_store(orders), "user_id", "left")
-        .join(line, "line_member_id", "left")
+        users.join(figures, "user_id", "left").join(line, "line_member_id", "left")
         .join(points, "user_id", "left")
     )
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,33 +61,34 @@ def _design(days: np.ndarray, origin: float, span: float, weekly: bool, yearly:
     return np.column_stack(cols)
 
 
-def fit_series(ds: pd.Series, y: pd.Series, horizon: int, level: float) -> pd.DataFrame:
+def fit_series(days: np.ndarray, y: np.ndarray, horizon: int, level: float) -> dict[str, np.ndarray]:
     """Fit one series and predict its history and the days ahead.
 
-    log(1 + y) is regressed on trend and seasonality with a small ridge
-    penalty, which makes the seasonality multiplicative. The band comes from
-    the residual spread. Seasonal terms need at least two full periods.
+    ``days`` are day numbers in ascending order. log(1 + y) is regressed on
+    trend and seasonality with a small ridge penalty, which makes the
+    seasonality multiplicative. The band comes from the residual spread.
+    Seasonal terms need at least two full periods.
     """
-    when = pd.to_datetime(ds)
-    days = when.to_numpy().astype("datetime64[D]").astype(float)
-    known = y.notna().to_numpy()
-    origin, last = days[known].min(), days[known].max()
+    known = ~np.isnan(y)
+    origin, last = days[known][0], days[known][-1]
     span = max(last - origin, 1.0)
     weekly, yearly = span >= 14, span >= 730
-    target = np.log1p(np.clip(y[known].to_numpy(dtype=float), 0, None))
-    x = _design(days[known], origin, span, weekly, yearly)
-    penalty = np.eye(x.shape[1]) * 0.1
-    penalty[0, 0] = 0.0
-    beta = np.linalg.lstsq(x.T @ x + penalty, x.T @ target, rcond=None)[0]
+    ahead = np.concatenate([days, last + 1 + np.arange(horizon)])
+    design = _design(ahead, origin, span, weekly, yearly)
+    x = design[: len(days)][known]
+    target = np.log1p(np.clip(y[known], 0, None))
+    penalty = np.full(x.shape[1], 0.1)
+    penalty[0] = 0.0
+    beta = np.linalg.solve(x.T @ x + np.diag(penalty), x.T @ target)
     free = max(len(target) - x.shape[1], 1)
     spread = _Z.get(level, 1.96) * np.sqrt(np.sum((target - x @ beta) ** 2) / free)
-    ahead = np.concatenate([days, last + 1 + np.arange(horizon)])
-    fitted = _design(ahead, origin, span, weekly, yearly) @ beta
-    out = pd.DataFrame({"ds": pd.to_datetime(ahead.astype("int64"), unit="D").date})
-    out["y"] = np.concatenate([y.to_numpy(dtype=float), np.full(horizon, np.nan)])
-    for name, value in (("yhat", fitted), ("yhat_lower", fitted - spread), ("yhat_upper", fitted + spread)):
-        out[name] = np.clip(np.expm1(np.clip(value, -50, 50)), 0, None)
-    return out
+    fitted = design @ beta
+
+    def back(v: np.ndarray) -> np.ndarray:
+        return np.clip(np.expm1(np.clip(v, -50, 50)), 0, None)
+
+    return {"days": ahead, "y": np.concatenate([y, np.full(horizon, np.nan)]), "yhat": back(fitted),
+            "yhat_lower": back(fitted - spread), "yhat_upper": back(fitted + spread)}
 
 
 def forecast(series: DataFrame, keys: Sequence[str], ds: str = "ds", y: str = "y", horizon: int = 90,
@@ -95,25 +96,35 @@ def forecast(series: DataFrame, keys: Sequence[str], ds: str = "ds", y: str = "y
     """One model per series: trend, weekly and yearly seasonality, interval.
 
     Input is summed to one row per series and day first (by Spark, before the
-    shuffle), so a group handed to pandas is as long as its history in days.
+    shuffle), so a group handed to Python is as long as its history in days.
     """
     keys = list(keys)
-    daily = series.dropna(subset=[ds]).groupBy(*keys, ds).agg(F.sum(y).cast("double").alias(y))
+    daily = series.dropna(subset=[ds]).groupBy(*keys, F.unix_date(ds).cast("double").alias("days")).agg(
+        F.sum(y).cast("double").alias("y"))
     key_ddl = ", ".join(f"{k} {daily.schema[k].dataType.simpleString()}" for k in keys)
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        if pdf[y].notna().sum() == 0:
-            return pd.DataFrame(columns=[*keys, "ds", "y", "yhat", "yhat_lower", "yhat_upper"])
-        pdf = pdf.sort_values(ds)
-        out = fit_series(pdf[ds], pdf[y], horizon, level)
-        for k in keys:
-            out[k] = pdf[k].iloc[0]
-        return out[[*keys, "ds", "y", "yhat", "yhat_lower", "yhat_upper"]]
-
-    return daily.groupBy(*keys).applyInPandas(
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by("days")
+        actual = table["y"].to_numpy(zero_copy_only=False)
+        if np.isnan(actual).all():
+            return pa.table({**{k: table[k].slice(0, 0) for k in keys}, **{n: pa.array([], t) for n, t in _OUT}})
+        fit = fit_series(table["days"].to_numpy(), actual, horizon, level)
+        n = len(fit["days"])
+        out = {k: pa.repeat(table[k][0], n) for k in keys}
+        out["ds"] = pa.array(fit["days"].astype("int32")).cast(pa.date32())
+        out["y"] = pa.array(fit["y"], mask=np.isnan(fit["y"]))
+        for name in ("yhat", "yhat_lower", "yhat_upper"):
+            out[name] = pa.array(fit[name])
+        return pa.table(out)
+
+    return daily.groupBy(*keys).applyInArrow(
         run, f"{key_ddl}, ds date, y double, yhat double, yhat_lower double, yhat_upper double")
 
 
+_OUT = [("ds", pa.date32()), ("y", pa.float64()), ("yhat", pa.float64()), ("yhat_lower", pa.float64()),
+        ("yhat_upper", pa.float64())]
+
+
 def forecast_metrics(df: DataFrame, keys: Sequence[str], y: str, yhat: str) -> DataFrame:
     """MAE, MSE, RMSE, MAPE and MdAPE (percent) per series.
 

@@ -55,10 +55,13 @@ def gold_order_items(pos_items: DataFrame, ec_items: DataFrame, loyalty: DataFra
     """
     lines = union_all([pos_items.withColumn("purchase_channel", F.lit("POS")),
                        ec_items.withColumn("purchase_channel", F.lit("EC"))])
+    # Needs only the lines themselves, and measures them, so it comes first.
+    lines = repeat_purchase(lines, ["user_id", "item_id"], "order_date", ["order_item_id", "subtotal"])
     points = latest_per_key(loyalty, ["user_id"], ["updated_date"], ["point_id"]).select(
         "user_id", F.col("point_balance").alias("points_earned"), "member_rank")
     lines = lines.join(points, "user_id", "left")
-    stock_args = (["item_id", "store_id"], "order_date", "inventory_date", ["stock_quantity"], ["inventory_id"])
+    stock_args = (["item_id", "store_id"], "order_date", "inventory_date", ["stock_quantity"],
+                  ["stock_quantity"])
     if true_asof:
         lines = asof_join(lines, inventory, *stock_args).drop("inventory_date")
     else:
@@ -66,7 +69,6 @@ def gold_order_items(pos_items: DataFrame, ec_items: DataFrame, loyalty: DataFra
     lines = same_day_join(lines, logs, "user_id", "order_date", "log_user", "event_date",
                           ["event_ts", "log_id"], ["event_type", "session_id"],
                           F.col("purchase_channel") == "EC")
-    lines = repeat_purchase(lines, ["user_id", "item_id"], "order_date", ["order_item_id"])
     answer = latest_per_key(survey, ["user_id"], ["response_date"], ["response_id"]).select(
         "user_id", F.col("survey_category").alias("last_survey_category"))
     return lines.join(answer, "user_id", "left").join(users, "user_id", "left")
@@ -75,7 +77,7 @@ def gold_order_items(pos_items: DataFrame, ec_items: DataFrame, loyalty: DataFra
 def order_details(items: DataFrame, max_bytes: int = 32 << 20) -> DataFrame:
     """Lines of each order as an array of structs (in parts for a giant order)."""
     detail = F.struct("category_name", "item_id", "quantity", "unit_price", "order_item_id")
-    return collect_parts(items, ["order_id"], detail, ["order_item_id"], max_bytes, "order_details")
+    return collect_parts(items, ["order_id"], detail, ["order_item_id", "subtotal"], max_bytes, "order_details")
 
 
 def gold_orders(items: DataFrame, header_cols: Sequence[str]) -> DataFrame:

@@ -48,7 +48,7 @@ def store_item_stock(inventory: DataFrame, items: DataFrame, stores: DataFrame,
         keyed = keyed.join(store_dim.select("store_id"), "store_id", "left_semi")
     if item is not None:
         keyed = keyed.join(item_dim.select("item_id"), "item_id", "left_semi")
-    newest = latest_per_key(keyed, ["store_id", "item_id"], ["inventory_date"], ["inventory_id"])
+    newest = latest_per_key(keyed, ["store_id", "item_id"], ["inventory_date"], ["stock_quantity"])
     named = newest.join(item_dim, "item_id", "left").join(store_dim, "store_id", "left")
     return ranked_totals(named, [F.col("store_name"), F.col("item_name"), F.col("item_id")], limit).drop("row_num")
 

@@ -79,7 +79,7 @@ def ag7(t):
 @query("ag8_collect_lists", """
     SELECT order_id, CAST(0 AS BIGINT) AS part, list_sort(list(item_id)) AS item_ids FROM {lines} GROUP BY order_id""")
 def ag8(t):
-    return A.collect_parts(t.lines, ["order_id"], F.col("item_id"), ["order_item_id"], name="item_ids")
+    return A.collect_parts(t.lines, ["order_id"], F.col("item_id"), ["order_item_id", "subtotal"], name="item_ids")
 
 
 @query("ag9_group_text", """

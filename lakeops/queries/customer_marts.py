@@ -165,7 +165,7 @@ def c5(t):
     FROM ({_CARTS}) c JOIN ({_CART_ITEMS}) i ON c.cart_id = i.cart_id WHERE status = 0 GROUP BY user_id""")
 def c5_lists(t):
     lists = CU.abandoned_cart_lists(_carts(t), _cart_items(t))
-    back = F.from_json("abandoned_cart_item_list", "array<struct<item_id:string,quantity:double,price:double>>")
+    back = F.from_json("abandoned_cart_item_list", "array<struct<item_id:bigint,quantity:double,price:double>>")
     return lists.select("user_id", "part", back.alias("l")).select(
         "user_id", "part", F.size("l").cast("bigint").alias("n_items"),
         F.aggregate("l.quantity", F.lit(0.0), lambda a, x: a + x).alias("quantity"))
@@ -259,7 +259,7 @@ _GOLD_LINES = f"""
                          CASE WHEN channel = 'POS' THEN store_id END AS store_id, channel AS purchase_channel
                   FROM ({_CATEGORY_LINES}) WHERE NOT cancel_flg),
     stock AS (SELECT * FROM {{inventory}}
-              QUALIFY row_number() OVER (PARTITION BY store_id, item_id ORDER BY inventory_date DESC, inventory_id DESC) = 1),
+              QUALIFY row_number() OVER (PARTITION BY store_id, item_id ORDER BY inventory_date DESC, stock_quantity DESC) = 1),
     logs AS (SELECT user_id AS log_user, date_add(DATE '1998-01-01', CAST(date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) AS INTEGER))::DATE AS event_date,
                     arg_max(event_type, (ts, event_id)) AS event_type,
                     arg_max(CAST(event_id AS VARCHAR), (ts, event_id)) AS session_id, count(*) AS n FROM events GROUP BY ALL)
@@ -272,7 +272,7 @@ _GOLD_LINES = f"""
     LEFT JOIN stock ON base.item_id = stock.item_id AND base.store_id = stock.store_id
     LEFT JOIN logs ON base.user_id = log_user AND order_date = event_date AND purchase_channel = 'EC'
     LEFT JOIN ({_SURVEY}) sv ON base.user_id = sv.user_id LEFT JOIN {{users}} u ON base.user_id = u.user_id
-    WINDOW w AS (PARTITION BY base.user_id, base.item_id ORDER BY order_date, order_item_id)"""
+    WINDOW w AS (PARTITION BY base.user_id, base.item_id ORDER BY order_date, order_item_id, subtotal)"""
 
 
 def _gold_lines(t, true_asof=False):

@@ -71,12 +71,12 @@ def jn6(t):
     SELECT l.order_item_id, l.store_id, l.item_id, l.order_date, r.inventory_date, r.stock_quantity
     FROM {lines} l ASOF LEFT JOIN (
       SELECT * FROM {inventory}
-      QUALIFY row_number() OVER (PARTITION BY store_id, item_id, inventory_date ORDER BY inventory_id DESC) = 1) r
+      QUALIFY row_number() OVER (PARTITION BY store_id, item_id, inventory_date ORDER BY stock_quantity DESC) = 1) r
     ON l.store_id = r.store_id AND l.item_id = r.item_id AND l.order_date >= r.inventory_date""")
 def jn7(t):
     left = t.lines.select("order_item_id", "store_id", "item_id", "order_date")
     return J.asof_join(left, t.inventory, ["store_id", "item_id"], "order_date", "inventory_date",
-                       ["stock_quantity"], ["inventory_id"])
+                       ["stock_quantity"], ["stock_quantity"])
 
 
 _EVENT_ORDERS = """SELECT event_id AS order_id, user_id, CAST(ts AS DATE) AS order_date,

@@ -83,8 +83,9 @@ V = {
              "CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'EC' ELSE 'POS' END AS channel, "
              "o_totalprice AS total_amount, CAST(o_orderdate AS DATE) AS order_date, o_orderstatus, "
              "o_orderpriority FROM orders",
-    # lines with their order, item and channel; cancelled when returned
-    "lines": "SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS order_item_id, "
+    # lines with their order, item and channel; cancelled when returned. The line id
+    # repeats now and then in the test data; with the subtotal it is unique.
+    "lines": "SELECT l_orderkey * 8 + l_linenumber AS order_item_id, "
              "l_orderkey AS order_id, o_custkey AS user_id, l_suppkey AS store_id, l_partkey AS item_id, "
              "l_quantity AS quantity, l_extendedprice AS subtotal, l_returnflag = 'R' AS cancel_flg, "
              "CAST(o_orderdate AS DATE) AS order_date, CAST(l_shipdate AS DATE) AS ship_date, "
@@ -99,8 +100,7 @@ V = {
              "JOIN region ON n_regionkey = r_regionkey",
     # stock movements
     "inventory": "SELECT l_suppkey AS store_id, l_partkey AS item_id, CAST(l_shipdate AS DATE) AS inventory_date, "
-                 "l_quantity AS stock_quantity, concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) "
-                 "AS inventory_id FROM lineitem",
+                 "l_quantity AS stock_quantity FROM lineitem",
     # survey answers: one per labelled document
     "survey": "SELECT doc_id AS response_id, doc_id % 100 AS user_id, lang AS survey_category, "
               "text AS response_content, DATE '2024-01-01' + CAST(doc_id % 28 AS INTEGER) AS response_date, "
@@ -119,10 +119,6 @@ V = {
 }
 
 
-def line_id():
-    return F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-
-
 def _channel():
     return F.when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), "EC").otherwise("POS")
 
@@ -136,7 +132,7 @@ def _sales(t: Tables) -> DataFrame:
 
 def _lines(t: Tables) -> DataFrame:
     return t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
-        line_id().alias("order_item_id"), F.col("l_orderkey").alias("order_id"), F.col("o_custkey").alias("user_id"),
+        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("order_item_id"), F.col("l_orderkey").alias("order_id"), F.col("o_custkey").alias("user_id"),
         F.col("l_suppkey").alias("store_id"), F.col("l_partkey").alias("item_id"),
         F.col("l_quantity").alias("quantity"), F.col("l_extendedprice").alias("subtotal"),
         (F.col("l_returnflag") == "R").alias("cancel_flg"), F.to_date("o_orderdate").alias("order_date"),
@@ -171,8 +167,7 @@ def _users(t: Tables) -> DataFrame:
 def _inventory(t: Tables) -> DataFrame:
     return t.lineitem.select(
         F.col("l_suppkey").alias("store_id"), F.col("l_partkey").alias("item_id"),
-        F.to_date("l_shipdate").alias("inventory_date"), F.col("l_quantity").alias("stock_quantity"),
-        line_id().alias("inventory_id"))
+        F.to_date("l_shipdate").alias("inventory_date"), F.col("l_quantity").alias("stock_quantity"))
 
 
 def _survey(t: Tables) -> DataFrame:

@@ -39,10 +39,10 @@ def tf2(t):
 
 
 @query("tf3_store_item_stock", """
-    SELECT n.store_id, n.item_id, inventory_date, stock_quantity, inventory_id, item_name, category_name, price,
+    SELECT n.store_id, n.item_id, inventory_date, stock_quantity, item_name, category_name, price,
            store_name, store_area
     FROM (SELECT * FROM {inventory}
-          QUALIFY row_number() OVER (PARTITION BY store_id, item_id ORDER BY inventory_date DESC, inventory_id DESC) = 1) n
+          QUALIFY row_number() OVER (PARTITION BY store_id, item_id ORDER BY inventory_date DESC, stock_quantity DESC) = 1) n
     JOIN {items} i ON n.item_id = i.item_id JOIN {stores} s ON n.store_id = s.store_id
     WHERE store_name = 'Supplier#000000003' ORDER BY store_name, item_name, n.item_id LIMIT 10""")
 def tf3(t):

@@ -22,10 +22,10 @@ def wn1(t):
 
 @query("wn2_latest_stock_row", """
     SELECT store_id, item_id, inventory_date, stock_quantity FROM {inventory}
-    QUALIFY row_number() OVER (PARTITION BY store_id, item_id ORDER BY inventory_date DESC, inventory_id DESC) = 1""")
+    QUALIFY row_number() OVER (PARTITION BY store_id, item_id ORDER BY inventory_date DESC, stock_quantity DESC) = 1""")
 def wn2(t):
-    newest = W.latest_per_key(t.inventory, ["store_id", "item_id"], ["inventory_date"], ["inventory_id"])
-    return newest.drop("inventory_id")
+    newest = W.latest_per_key(t.inventory, ["store_id", "item_id"], ["inventory_date"], ["stock_quantity"])
+    return newest
 
 
 @query("wn3_top_n_per_group", """
@@ -73,13 +73,13 @@ def wn7(t):
 
 
 @query("wn8_repeat_purchase", """
-    SELECT order_item_id, user_id, item_id, order_date, p IS NOT NULL AS is_repeat_purchase,
+    SELECT order_item_id, subtotal, user_id, item_id, order_date, p IS NOT NULL AS is_repeat_purchase,
            CAST(date_diff('day', p, order_date) AS INTEGER) AS days_since_last_purchase
-    FROM (SELECT *, lag(order_date) OVER (PARTITION BY user_id, item_id ORDER BY order_date, order_item_id) AS p
+    FROM (SELECT *, lag(order_date) OVER (PARTITION BY user_id, item_id ORDER BY order_date, order_item_id, subtotal) AS p
           FROM {lines})""")
 def wn8(t):
-    lines = t.lines.select("order_item_id", "user_id", "item_id", "order_date")
-    return W.repeat_purchase(lines, ["user_id", "item_id"], "order_date", ["order_item_id"])
+    lines = t.lines.select("order_item_id", "subtotal", "user_id", "item_id", "order_date")
+    return W.repeat_purchase(lines, ["user_id", "item_id"], "order_date", ["order_item_id", "subtotal"])
 
 
 @query("wn9_count_over_all", """
