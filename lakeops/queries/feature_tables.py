@@ -171,12 +171,17 @@ def ml10_matrix(t):
     return FT.confusion_matrix(t.labels, "toxic", "quality")
 
 
-@query("ml11_batch_scoring")
+@query("ml11_batch_scoring", """
+    SELECT c_custkey, CAST(CASE WHEN spent / n > 260000 THEN 1 ELSE 0 END AS INTEGER) AS label, TRUE AS scored, TRUE AS stamped
+    FROM customer JOIN (SELECT o_custkey, count(*) AS n, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS spent
+                        FROM orders GROUP BY ALL) ON c_custkey = o_custkey""")
 def ml11(t):
     rows = _churn(t)
     model = FT.train_classifier(rows, "label", ["c_acctbal", "n_orders", "largest"], depths=[2], max_iter=2)
     scored = FT.score(model, rows).select("c_custkey", "label", "prediction", "prediction_timestamp")
-    return append_table(scored, work_dir(t.spark, "ml11")).drop("prediction_timestamp")
+    table = append_table(scored, work_dir(t.spark, "ml11"))
+    return table.select("c_custkey", "label", F.col("prediction").isin(0.0, 1.0).alias("scored"),
+                        F.col("prediction_timestamp").isNotNull().alias("stamped"))
 
 
 @query("ml12_chart_data", f"""

@@ -38,13 +38,13 @@ def rc2(t):
     return RC.ratings_from_ratio(t.lines.withColumn("full", F.lit(25.0)), "user_id", "item_id", "quantity", "full")
 
 
-@query("rc3_als_factors")
+@query("rc3_als_factors", "SELECT DISTINCT CAST(user_id AS INTEGER) AS id, CAST(3 AS INTEGER) AS rank FROM {lines}")
 def rc3(t):
     _, model = _model(t)
     return model.userFactors.select("id", F.size("features").alias("rank"))
 
 
-@query("rc4_top_items")
+@query("rc4_top_items", "SELECT DISTINCT CAST(user_id AS INTEGER) AS user_id, CAST(5 AS INTEGER) AS n_items FROM {lines}")
 def rc4(t):
     _, model = _model(t)
     return RC.recommend(model, 5).select("user_id", F.size("recommendations").alias("n_items"))
@@ -56,6 +56,16 @@ def rc5(t):
     return RC.flatten_recs(RC.recommend(model, 5), "user_id")
 
 
+@query("rc5_flat_shape", """
+    SELECT DISTINCT CAST(user_id AS INTEGER) AS user_id, CAST(5 AS BIGINT) AS n_rows, CAST(5 AS BIGINT) AS n_known_items FROM {lines}""")
+def rc5_shape(t):
+    ratings, model = _model(t)
+    flat = RC.flatten_recs(RC.recommend(model, 5), "user_id")
+    known = ratings.select("item_id").distinct()
+    return flat.join(known, "item_id").groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("item_id").alias("n_known_items"))
+
+
 _LATEST = """SELECT user_id, order_id AS booking_id, order_date AS flight_date FROM {sales}
     WHERE order_date = (SELECT max(order_date) FROM {sales}) QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY order_id) = 1"""
 
@@ -131,7 +141,9 @@ def rc11(t):
     return top_k(counts, [F.col("item_purchases").desc(), F.col("item_id")], 10)
 
 
-@query("rc12_scored_pairs")
+@query("rc12_scored_pairs", """
+    SELECT DISTINCT CAST(user_id AS INTEGER) AS user_id, CAST(item_id AS INTEGER) AS item_id, TRUE AS scored FROM {lines}""")
 def rc12(t):
     ratings, model = _model(t)
-    return RC.score_pairs(model, ratings.select("user_id", "item_id"))
+    scored = RC.score_pairs(model, ratings.select("user_id", "item_id"))
+    return scored.select("user_id", "item_id", F.col("prediction").isNotNull().alias("scored"))
