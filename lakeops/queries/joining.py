@@ -7,6 +7,7 @@ from lakeops.operators.aggregates import share_of_total
 from lakeops.operators.numbering import following_pairs
 from lakeops.queries.registry import query
 from lakeops.queries.sql import money
+from lakeops.streaming.ingest import enrich_stream
 
 
 @query("jn1_inner_multi", """
@@ -139,7 +140,7 @@ def jn12(t):
     SELECT event_id, e.user_id, event_type, c_name, c_mktsegment FROM events e LEFT JOIN customer c ON e.user_id = c_custkey""")
 def jn13(t):
     dim = t.customer.select(F.col("c_custkey").alias("user_id"), "c_name", "c_mktsegment")
-    return t.events.select("event_id", "user_id", "event_type").join(dim, "user_id", "left")
+    return enrich_stream(t.events.select("event_id", "user_id", "event_type"), dim, "user_id")
 
 
 @query("jn14_attribute_join", """

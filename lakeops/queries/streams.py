@@ -15,14 +15,14 @@ DDL = "event_id bigint, ts timestamp, user_id bigint, event_type string, value d
 
 
 def _event_files(t, name):
-    """Events as Parquet files, one or more per day."""
+    """Events as Parquet files, about one per day; a heavy day gets several."""
     path = work_dir(t.spark, name)
     (t.events.select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type", "value")
-     .withColumn("day", F.to_date("ts")).repartition("day").write.parquet(path))
+     .withColumn("day", F.to_date("ts")).hint("rebalance", F.col("day")).write.partitionBy("day").parquet(path))
     return path
 
 
-def _event_stream(t, name, max_files=5):
+def _event_stream(t, name, max_files=10):
     return IN.stream_files(t.spark, _event_files(t, name), "parquet", DDL, rescued=False, max_files=max_files)
 
 

@@ -16,9 +16,15 @@ INGEST_TIME = "cdc_timestamp"
 
 
 def infer_schema(spark: SparkSession, path: str, fmt: str, hints: str | None = None,
-                 **options) -> T.StructType:
-    """Schema of the files present now, with the hinted columns replaced."""
-    opts = {"header": True, "inferSchema": True, **options} if fmt == "csv" else options
+                 sampling_ratio: float = 1.0, **options) -> T.StructType:
+    """Schema of the files present now, with the hinted columns replaced.
+
+    Inference reads the files; on a large folder lower ``sampling_ratio``. A
+    type guessed too narrow costs nothing later on: what does not fit is rescued.
+    """
+    opts = {"samplingRatio": sampling_ratio, **options}
+    if fmt == "csv":
+        opts = {"header": True, "inferSchema": True, **opts}
     schema = spark.read.format(fmt).options(**opts).load(path).schema
     hinted = {f.name: f for f in T.StructType.fromDDL(hints).fields} if hints else {}
     return T.StructType([hinted.get(f.name, f) for f in schema.fields])

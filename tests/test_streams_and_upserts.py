@@ -98,10 +98,11 @@ def test_upsert_rejects_duplicate_source_keys(spark):
         upsert(target, source, ["k"])
 
 
-def test_upsert_sets_null_values(spark):
+@pytest.mark.parametrize("broadcast_rows", [100, 0], ids=["broadcast", "shuffle"])
+def test_upsert_sets_null_values(spark, broadcast_rows):
     target = spark.createDataFrame([(1, "a", 1), (2, "b", 2)], "k int, v string, keep int")
     source = spark.createDataFrame([(1, None), (3, "n")], "k int, v string")
-    got = sorted((r["k"], r["v"], r["keep"]) for r in upsert(target, source, ["k"]).collect())
+    got = sorted((r["k"], r["v"], r["keep"]) for r in upsert(target, source, ["k"], broadcast_rows=broadcast_rows).collect())
     assert got == [(1, None, 1), (2, "b", 2), (3, "n", None)]
 
 
