@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeops.functions.columns import cents
-from lakeops.operators.numbering import MAX_GROUP_ROWS, largest_group, number_rows, surrogate_key
+from lakeops.operators.numbering import MAX_GROUP_ROWS, fits_one_task, number_rows, surrogate_key
 from lakeops.operators.windows import latest_per_key
 
 
@@ -66,7 +66,7 @@ def asof_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_date:
     taken = [F.col(f"_known.{c}").alias(alias) for c, alias in names]
     asked = left.select(*keys, F.col(left_date).alias("_date"), F.lit(None).cast(dtype).alias("_right"))
     by_key = Window.partitionBy(*keys)
-    if largest_group(facts.select(*keys).unionAll(asked.select(*keys)), keys) <= max_group_rows:
+    if fits_one_task(facts.select(*keys).unionAll(asked.select(*keys)), keys, max_group_rows):
         stacked = facts.withColumn("_left", F.lit(None).cast(left.select(F.struct("*")).schema[0].dataType)).unionByName(
             left.select(*keys, F.col(left_date).alias("_date"), F.lit(None).cast(dtype).alias("_right"),
                         F.struct("*").alias("_left")))

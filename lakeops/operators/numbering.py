@@ -30,6 +30,17 @@ def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
     return sizes.agg(F.max("n")).first()[0] or 0
 
 
+def fits_one_task(df: DataFrame, keys: Sequence[str], max_group_rows: int) -> bool:
+    """Whether no group has more rows than one task may sort.
+
+    Rows per first key are an upper bound and cheap to count (few groups, so
+    the partial aggregate does the work); all keys are counted only if needed.
+    """
+    if largest_group(df, keys[:1]) <= max_group_rows:
+        return True
+    return len(keys) > 1 and largest_group(df, keys) <= max_group_rows
+
+
 def sliced(df: DataFrame, group: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
     """Rows sorted by group and order, with ``_pos`` and ``_slice``."""
     keys = [*group, *order]
@@ -44,7 +55,7 @@ def number_rows(df: DataFrame, group: Sequence[str], order: Sequence[Column | st
                 name: str = "rn", max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
     """``row_number()`` within the group. With an empty group the whole frame is
     numbered 1…n without gaps, always by slices."""
-    if group and largest_group(df, group) <= max_group_rows:
+    if group and fits_one_task(df, group, max_group_rows):
         w = Window.partitionBy(*group).orderBy(*order)
         return df.withColumn(name, F.row_number().over(w).cast("bigint"))
     rows = sliced(df, group, order)
@@ -70,7 +81,7 @@ def following_pairs(df: DataFrame, group: Sequence[str], order: Sequence[str], v
                     max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
     """Counts of (value, next value) over neighbouring rows of a group."""
     narrow = df.select(*dict.fromkeys([*group, *order, value]))
-    if largest_group(narrow, group) <= max_group_rows:
+    if fits_one_task(narrow, group, max_group_rows):
         following = F.lead(F.struct(value)).over(Window.partitionBy(*group).orderBy(*order))
         pairs = narrow.select(F.col(value).alias("source"), following.alias("_next")).filter("_next IS NOT NULL")
         return pairs.groupBy("source", F.col(f"_next.{value}").alias("target")).agg(

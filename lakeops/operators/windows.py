@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakeops.operators.numbering import MAX_GROUP_ROWS, largest_group
+from lakeops.operators.numbering import MAX_GROUP_ROWS, fits_one_task
 
 
 def _cols(order: Sequence[Column | str]) -> list[Column]:
@@ -79,7 +79,7 @@ def repeat_purchase(df: DataFrame, keys: Sequence[str], date: str, tiebreak: Seq
     date before it and the first line of the date. Later lines of a date have
     that date itself as their predecessor.
     """
-    if largest_group(df, keys) <= max_group_rows:
+    if fits_one_task(df, keys, max_group_rows):
         prev = F.lag(date).over(Window.partitionBy(*keys).orderBy(date, *tiebreak))
         out = df.withColumn("_prev", prev)
     else:

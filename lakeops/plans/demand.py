@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -95,34 +96,61 @@ def forecast(series: DataFrame, keys: Sequence[str], ds: str = "ds", y: str = "y
              level: float = 0.95) -> DataFrame:
     """One model per series: trend, weekly and yearly seasonality, interval.
 
-    Input is summed to one row per series and day first (by Spark, before the
-    shuffle), so a group handed to Python is as long as its history in days.
+    Input is summed to one row per series and day by Spark, so a series is as
+    long as its history in days. Partitions hold whole series in order; a task
+    fits them one after the other as the Arrow batches pass.
     """
     keys = list(keys)
     daily = series.dropna(subset=[ds]).groupBy(*keys, F.unix_date(ds).cast("double").alias("days")).agg(
         F.sum(y).cast("double").alias("y"))
     key_ddl = ", ".join(f"{k} {daily.schema[k].dataType.simpleString()}" for k in keys)
 
-    def run(table: pa.Table) -> pa.Table:
-        table = table.sort_by("days")
-        actual = table["y"].to_numpy(zero_copy_only=False)
-        if np.isnan(actual).all():
-            return pa.table({**{k: table[k].slice(0, 0) for k in keys}, **{n: pa.array([], t) for n, t in _OUT}})
-        fit = fit_series(table["days"].to_numpy(), actual, horizon, level)
-        n = len(fit["days"])
-        out = {k: pa.repeat(table[k][0], n) for k in keys}
-        out["ds"] = pa.array(fit["days"].astype("int32")).cast(pa.date32())
-        out["y"] = pa.array(fit["y"], mask=np.isnan(fit["y"]))
-        for name in ("yhat", "yhat_lower", "yhat_upper"):
-            out[name] = pa.array(fit[name])
-        return pa.table(out)
-
-    return daily.groupBy(*keys).applyInArrow(
-        run, f"{key_ddl}, ds date, y double, yhat double, yhat_lower double, yhat_upper double")
-
-
-_OUT = [("ds", pa.date32()), ("y", pa.float64()), ("yhat", pa.float64()), ("yhat_lower", pa.float64()),
-        ("yhat_upper", pa.float64())]
+    def fit_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _whole_series(batches, keys):
+            actual = table["y"].to_numpy(zero_copy_only=False)
+            days = table["days"].to_numpy()
+            starts = _series_starts(table, keys)
+            fits, owners = [], []
+            for lo, hi in zip(starts, [*starts[1:], len(table)]):
+                if not np.isnan(actual[lo:hi]).all():
+                    fits.append(fit_series(days[lo:hi], actual[lo:hi], horizon, level))
+                    owners.append(np.full(hi - lo + horizon, lo))
+            if not fits:
+                continue
+            owner = pa.array(np.concatenate(owners))
+            col = {n: np.concatenate([f[n] for f in fits]) for n in fits[0]}
+            out = {k: table[k].take(owner) for k in keys}
+            out["ds"] = pa.array(col["days"].astype("int32")).cast(pa.date32())
+            out["y"] = pa.array(col["y"], mask=np.isnan(col["y"]))
+            out |= {n: pa.array(col[n]) for n in ("yhat", "yhat_lower", "yhat_upper")}
+            yield from pa.table(out).to_batches()
+
+    return daily.repartition(*keys).sortWithinPartitions(*keys, "days").mapInArrow(
+        fit_all, f"{key_ddl}, ds date, y double, yhat double, yhat_lower double, yhat_upper double")
+
+
+def _series_starts(table: pa.Table, keys: Sequence[str]) -> list[int]:
+    """Row numbers at which a new series begins (rows are sorted by key)."""
+    codes = [pc.dictionary_encode(table[k].combine_chunks(), null_encoding="encode").indices.to_numpy() for k in keys]
+    changed = np.zeros(len(table), dtype=bool)
+    for code in codes:
+        changed[1:] |= code[1:] != code[:-1]
+    return [0, *np.flatnonzero(changed)]
+
+
+def _whole_series(batches: Iterator[pa.RecordBatch], keys: Sequence[str]) -> Iterator[pa.Table]:
+    """Regroup batches so that no series is cut in two."""
+    pending = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        table = pa.Table.from_batches([*pending, batch])
+        cut = _series_starts(table, keys)[-1]
+        if cut:
+            yield table.slice(0, cut)
+        pending = table.slice(cut).to_batches()
+    if pending:
+        yield pa.Table.from_batches(pending)
 
 
 def forecast_metrics(df: DataFrame, keys: Sequence[str], y: str, yhat: str) -> DataFrame:

@@ -74,22 +74,17 @@ def gold_order_items(pos_items: DataFrame, ec_items: DataFrame, loyalty: DataFra
     return lines.join(answer, "user_id", "left").join(users, "user_id", "left")
 
 
-def order_details(items: DataFrame, max_bytes: int = 32 << 20) -> DataFrame:
-    """Lines of each order as an array of structs (in parts for a giant order)."""
-    detail = F.struct("category_name", "item_id", "quantity", "unit_price", "order_item_id")
-    return collect_parts(items, ["order_id"], detail, ["order_item_id", "subtotal"], max_bytes, "order_details")
-
+def gold_orders(items: DataFrame, header_cols: Sequence[str], max_bytes: int = 32 << 20) -> DataFrame:
+    """Gold orders: header attributes, totals and the lines as an array of structs.
 
-def gold_orders(items: DataFrame, header_cols: Sequence[str]) -> DataFrame:
-    """Gold orders: header attributes, totals and the array of order lines.
-
-    Header attributes are equal on all lines of an order, so they are taken in
-    the same aggregation as the totals.
+    Header attributes are equal on all lines of an order, so one aggregation
+    gives them together with the totals and the array. Only an order larger
+    than ``max_bytes`` comes in several parts.
     """
-    totals = items.groupBy("order_id").agg(
-        F.sum("quantity").alias("order_quantity"), (F.sum(cents("subtotal")) / 100.0).alias("order_amount"),
-        *[F.min(c).alias(c) for c in header_cols])
-    return totals.join(order_details(items), "order_id")
+    detail = F.struct("category_name", "item_id", "quantity", "unit_price", "order_item_id")
+    totals = [F.sum("quantity").alias("order_quantity"), (F.sum(cents("subtotal")) / 100.0).alias("order_amount"),
+              *[F.min(c).alias(c) for c in header_cols]]
+    return collect_parts(items, ["order_id"], detail, ["order_item_id", "subtotal"], max_bytes, "order_details", totals)
 
 
 def derive_inventory(lines: DataFrame, seed: int = 0, level: Column | None = None) -> DataFrame:
