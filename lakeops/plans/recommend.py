@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from lakeops.functions.columns import safe_div
 from lakeops.operators.clean import latest_partition
+from lakeops.operators.numbering import surrogate_key
 from lakeops.operators.windows import latest_per_key, rank_best, top_n
 from lakeops.session import shared_root
 
@@ -29,6 +30,14 @@ def ratings_from_ratio(df: DataFrame, user: str, item: str, num: str, den: str)
     return df.groupBy(user, item).agg((F.sum(micro) / 1_000_000.0).alias("rating")).filter("rating > 0")
 
 
+def dense_ids(ratings: DataFrame, col: str, name: str) -> DataFrame:
+    """Ratings with ``col`` replaced by dense integers ``name``; the mapping is
+    the frame's distinct (col, name). ALS takes integer ids only, so ids that
+    are text or exceed 32 bits go through this first."""
+    ids = surrogate_key(ratings.select(col).distinct(), [col], name)
+    return ratings.join(ids.withColumn(name, F.col(name).cast("int")), col)
+
+
 def train_als(ratings: DataFrame, user: str, item: str, rating: str = "rating", rank: int = 8, reg: float = 0.1,
               max_iter: int = 10, seed: int = 42, blocks: int | None = None) -> ALSModel:
     """Implicit-feedback ALS; unknown users and items are dropped on scoring.

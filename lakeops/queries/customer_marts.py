@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from lakeops.functions import labels as L
 from lakeops.functions.columns import flag, status_code
 from lakeops.operators.aggregates import distribution, duplicates
 from lakeops.operators.joins import ratio_within_group
@@ -9,7 +10,7 @@ from lakeops.operators.numbering import following_pairs
 from lakeops.plans import customers as CU
 from lakeops.plans import orders as OR
 from lakeops.queries.registry import AS_OF, query
-from lakeops.queries.sql import money, money_if
+from lakeops.queries.sql import ladder, money, money_if, range_ladder
 
 _POS, _EC = "channel = 'POS'", "channel = 'EC'"
 _SCOPES = {"all": "TRUE", "pos": _POS, "ec": _EC}
@@ -20,30 +21,20 @@ _LTV = f"""SELECT user_id, {money_if(_POS, 'total_amount')} AS ltv_pos, {money_i
     {money_if(f"order_date >= DATE '{AS_OF}' - 730", 'total_amount')} AS ltv_last_two_years FROM {{sales}} GROUP BY user_id"""
 
 _RFM = "SELECT user_id, " + ", ".join(f"""
-    max(CASE WHEN {c} THEN order_date END) AS last_purchase_date_{s}, min(CASE WHEN {c} THEN order_date END) AS first_purchase_date_{s},
-    count(DISTINCT CASE WHEN {c} THEN order_id END) AS f_purchase_count_{s},
-    CAST(date_diff('day', max(CASE WHEN {c} THEN order_date END), DATE '{AS_OF}') AS INTEGER) AS r_days_since_last_purchase_{s},
-    coalesce({money_if(c, 'total_amount')} / nullif(count(DISTINCT CASE WHEN {c} THEN order_id END), 0), 0) AS m_average_order_value_{s}"""
+    max(order_date) FILTER ({c}) AS last_purchase_date_{s}, min(order_date) FILTER ({c}) AS first_purchase_date_{s},
+    count(DISTINCT order_id) FILTER ({c}) AS f_purchase_count_{s},
+    CAST(date_diff('day', max(order_date) FILTER ({c}), DATE '{AS_OF}') AS INTEGER) AS r_days_since_last_purchase_{s},
+    coalesce({money_if(c, 'total_amount')} / nullif(count(DISTINCT order_id) FILTER ({c}), 0), 0) AS m_average_order_value_{s}"""
     for s, c in _SCOPES.items()) + " FROM {sales} GROUP BY user_id"
 
-_SEGMENTS = ", ".join(f"""
-    CASE WHEN r_days_since_last_purchase_{s} <= 7 THEN '01_7日以内' WHEN r_days_since_last_purchase_{s} <= 14 THEN '02_14日以内'
-         WHEN r_days_since_last_purchase_{s} <= 30 THEN '03_30日以内' WHEN r_days_since_last_purchase_{s} <= 60 THEN '04_60日以内'
-         WHEN r_days_since_last_purchase_{s} <= 90 THEN '05_90日以内' WHEN r_days_since_last_purchase_{s} <= 150 THEN '06_150日以内'
-         WHEN r_days_since_last_purchase_{s} <= 180 THEN '07_180日以内' ELSE '08_それ以上' END AS r_recency_segment_{s},
-    CASE WHEN f_purchase_count_{s} = 1 THEN '01_1回' WHEN f_purchase_count_{s} = 2 THEN '02_2回' WHEN f_purchase_count_{s} = 3 THEN '03_3回'
-         WHEN f_purchase_count_{s} BETWEEN 5 AND 10 THEN '04_5-10回' WHEN f_purchase_count_{s} BETWEEN 11 AND 20 THEN '05_11-20回'
-         WHEN f_purchase_count_{s} BETWEEN 21 AND 50 THEN '06_21-50回' WHEN f_purchase_count_{s} > 50 THEN '07_50回以上'
-         ELSE '00_その他' END AS f_frequency_segment_{s},
-    CASE WHEN m_average_order_value_{s} < 500 THEN '01_500円未満' WHEN m_average_order_value_{s} < 1000 THEN '02_500以上-1000円未満'
-         WHEN m_average_order_value_{s} < 2000 THEN '03_1000以上-2000円未満' WHEN m_average_order_value_{s} < 3000 THEN '04_2000以上-3000円未満'
-         WHEN m_average_order_value_{s} < 4000 THEN '05_3000以上-4000円未満' WHEN m_average_order_value_{s} < 5000 THEN '06_4000以上-5000円未満'
-         WHEN m_average_order_value_{s} < 10000 THEN '07_5000以上-10000円未満' ELSE '08_10000以上' END AS m_monetary_segment_{s}"""
-    for s in _SCOPES)
-
-_CHANNEL = """
-    CASE WHEN first_purchase_date_pos <= first_purchase_date_ec OR first_purchase_date_ec IS NULL THEN 'POS' ELSE 'EC' END AS first_purchase_channel,
-    CASE WHEN last_purchase_date_pos >= last_purchase_date_ec OR last_purchase_date_ec IS NULL THEN 'POS' ELSE 'EC' END AS last_purchase_channel"""
+_SEGMENTS = ", ".join(
+    f"{ladder(f'r_days_since_last_purchase_{s}', L.RECENCY_EDGES, L.RECENCY_LABELS, '<=')} AS r_recency_segment_{s}, "
+    f"{range_ladder(f'f_purchase_count_{s}', L.FREQUENCY_RANGES, L.FREQUENCY_DEFAULT)} AS f_frequency_segment_{s}, "
+    f"{ladder(f'm_average_order_value_{s}', L.MONETARY_EDGES, L.MONETARY_LABELS)} AS m_monetary_segment_{s}" for s in _SCOPES)
+
+_CHANNEL = ", ".join(
+    f"if(coalesce({w}_purchase_date_pos {op} {w}_purchase_date_ec, {w}_purchase_date_ec IS NULL), 'POS', 'EC') AS {w}_purchase_channel"
+    for w, op in (("first", "<="), ("last", ">=")))
 
 # The store of a POS order is the store of its lines with the smallest id.
 _STORE_ORDERS = """SELECT s.*, CASE WHEN channel = 'POS' THEN store_id END AS store_id FROM {sales} s
@@ -71,17 +62,17 @@ _PROFILE = f"""SELECT u.*, l.* EXCLUDE (user_id), r.* EXCLUDE (user_id), st.* EX
 _CARTS = "SELECT order_id AS cart_id, user_id, CASE WHEN o_orderstatus = 'O' THEN 0 ELSE 1 END AS status, order_date AS updated_date FROM {sales}"
 _CART_ITEMS = """SELECT order_id AS cart_id, order_item_id AS cart_item_id, quantity, subtotal AS unit_price,
     CASE WHEN cancel_flg THEN 0 ELSE 1 END AS item_status FROM {lines}"""
-_ABANDONED = f"""SELECT user_id, max(c.cart_id) AS last_cart_id, max(CASE WHEN status = 0 THEN updated_date END) AS last_cart_abandoned_date,
-    count(DISTINCT CASE WHEN status = 0 AND item_status = 1 THEN cart_item_id END) AS abandoned_cart_available_item_count,
-    count(CASE WHEN status = 0 THEN cart_item_id END) AS abandoned_cart_item_count
+_ABANDONED = f"""SELECT user_id, max(c.cart_id) AS last_cart_id, max(updated_date) FILTER (status = 0) AS last_cart_abandoned_date,
+    count(DISTINCT cart_item_id) FILTER (status = 0 AND item_status = 1) AS abandoned_cart_available_item_count,
+    count(cart_item_id) FILTER (status = 0) AS abandoned_cart_item_count
     FROM ({_CARTS}) c LEFT JOIN ({_CART_ITEMS}) i ON c.cart_id = i.cart_id GROUP BY user_id"""
 _SURVEY = """SELECT user_id, survey_category AS last_survey_category, response_content AS last_survey_response,
     response_date AS last_survey_date, positive_score AS last_survey_positive_score FROM {survey}
     QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY response_date DESC, response_id DESC) = 1"""
 _CATEGORY_LINES = "SELECT l.*, category_name FROM {lines} l JOIN {items} i ON l.item_id = i.item_id"
 _FAVOURITE = f"""SELECT user_id, max(category_name) AS frequent_item_category_all,
-    max(CASE WHEN channel = 'POS' THEN category_name END) AS frequent_item_category_pos,
-    max(CASE WHEN channel = 'EC' THEN category_name END) AS frequent_item_category_ec FROM ({_CATEGORY_LINES}) GROUP BY user_id"""
+    max(category_name) FILTER (channel = 'POS') AS frequent_item_category_pos,
+    max(category_name) FILTER (channel = 'EC') AS frequent_item_category_ec FROM ({_CATEGORY_LINES}) GROUP BY user_id"""
 
 
 def _store_orders(t):
@@ -322,32 +313,32 @@ def _tx(t):
 
 
 _GROUPS = {"small": ["SMALL"], "large": ["LARGE"]}
-_AGE_GROUP = "CASE WHEN age < 35 THEN '若年層' WHEN age < 55 THEN '中年層' ELSE 'シニア層' END AS age_group"
+_AGE_GROUP = f"{ladder('age', L.AGE_EDGES, L.AGE_LABELS)} AS age_group"
 
 
 @query("c16_user_category_metrics", f"""
     SELECT u.user_id, age, {_AGE_GROUP}, coalesce(small_quantity, 0) AS small_quantity, coalesce(large_quantity, 0) AS large_quantity,
            coalesce(other_quantity, 0) AS other_quantity, small_rating, large_rating, other_rating
     FROM ({_AGED}) u LEFT JOIN (
-      SELECT user_id, sum(CASE WHEN category_name = 'SMALL' THEN quantity ELSE 0 END) AS small_quantity,
-             sum(CASE WHEN category_name = 'LARGE' THEN quantity ELSE 0 END) AS large_quantity,
-             sum(CASE WHEN category_name NOT IN ('SMALL', 'LARGE') THEN quantity ELSE 0 END) AS other_quantity
+      SELECT user_id, coalesce(sum(quantity) FILTER (category_name = 'SMALL'), 0) AS small_quantity,
+             coalesce(sum(quantity) FILTER (category_name = 'LARGE'), 0) AS large_quantity,
+             coalesce(sum(quantity) FILTER (category_name NOT IN ('SMALL', 'LARGE')), 0) AS other_quantity
       FROM ({_CATEGORY_LINES}) GROUP BY user_id) q ON u.user_id = q.user_id LEFT JOIN (
-      SELECT user_id, avg(CASE WHEN category = 'SMALL' THEN rating END) AS small_rating,
-             avg(CASE WHEN category = 'LARGE' THEN rating END) AS large_rating,
-             avg(CASE WHEN category NOT IN ('SMALL', 'LARGE') THEN rating END) AS other_rating
+      SELECT user_id, avg(rating) FILTER (category = 'SMALL') AS small_rating,
+             avg(rating) FILTER (category = 'LARGE') AS large_rating,
+             avg(rating) FILTER (category NOT IN ('SMALL', 'LARGE')) AS other_rating
       FROM ({_FEEDBACK}) GROUP BY user_id) f ON u.user_id = f.user_id""")
 def c16(t):
     return CU.user_category_metrics(_aged(t), _tx(t), _feedback(t), _GROUPS)
 
 
 @query("c16_user_category_metrics_fanout", f"""
-    SELECT u.user_id, age, {_AGE_GROUP}, sum(CASE WHEN category_name = 'SMALL' THEN quantity ELSE 0 END) AS small_quantity,
-           sum(CASE WHEN category_name = 'LARGE' THEN quantity ELSE 0 END) AS large_quantity,
-           sum(CASE WHEN category_name NOT IN ('SMALL', 'LARGE') THEN quantity ELSE 0 END) AS other_quantity,
-           avg(CASE WHEN category_name = 'SMALL' THEN rating END) AS small_rating,
-           avg(CASE WHEN category_name = 'LARGE' THEN rating END) AS large_rating,
-           avg(CASE WHEN category_name NOT IN ('SMALL', 'LARGE') THEN rating END) AS other_rating
+    SELECT u.user_id, age, {_AGE_GROUP}, coalesce(sum(quantity) FILTER (category_name = 'SMALL'), 0) AS small_quantity,
+           coalesce(sum(quantity) FILTER (category_name = 'LARGE'), 0) AS large_quantity,
+           coalesce(sum(quantity) FILTER (category_name NOT IN ('SMALL', 'LARGE')), 0) AS other_quantity,
+           avg(rating) FILTER (category_name = 'SMALL') AS small_rating,
+           avg(rating) FILTER (category_name = 'LARGE') AS large_rating,
+           avg(rating) FILTER (category_name NOT IN ('SMALL', 'LARGE')) AS other_rating
     FROM ({_AGED}) u LEFT JOIN ({_CATEGORY_LINES}) l ON u.user_id = l.user_id LEFT JOIN ({_FEEDBACK}) f ON u.user_id = f.user_id
     GROUP BY u.user_id, age""")
 def c16_fanout(t):

@@ -135,14 +135,14 @@ _MART = f"""
       FROM ({_PLAN}) p LEFT JOIN ({_DAILY}) d ON d.order_date = p.order_date AND d.machine_id = p.machine_id AND d.item_id = p.item_id
       WINDOW k AS (PARTITION BY p.machine_id, p.item_id ORDER BY p.order_date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)),
     s AS (SELECT *, CAST(round(CAST(max_daily_demand * 2.2::DOUBLE - avg_daily_demand * 1.5::DOUBLE AS DECIMAL(24,6)), 2) AS DOUBLE) AS safety_stock FROM w)
-    SELECT *, CAST(CASE WHEN stock_quantity < forecast_quantity THEN 1 ELSE 0 END AS INTEGER) AS restock_flag,
-           CASE WHEN stock_quantity < forecast_quantity THEN forecast_quantity - stock_quantity ELSE 0 END AS recommended_restock_quantity,
-           CAST(CASE WHEN actual_quantity / nullif(forecast_quantity, 0) < 1 THEN 1 ELSE 0 END AS INTEGER) AS stock_warn,
-           CASE WHEN stock_quantity > forecast_quantity + safety_stock THEN stock_quantity - (forecast_quantity + safety_stock) ELSE 0 END AS excess_inventory,
-           CASE WHEN stock_quantity > forecast_quantity + safety_stock THEN (stock_quantity - (forecast_quantity + safety_stock)) * unit_price ELSE 0 END AS excess_inventory_value,
-           CASE WHEN stock_quantity < forecast_quantity AND actual_quantity < forecast_quantity THEN forecast_quantity - actual_quantity ELSE 0 END AS lost_sales_quantity,
-           CASE WHEN stock_quantity < forecast_quantity AND actual_quantity < forecast_quantity THEN (forecast_quantity - actual_quantity) * unit_price ELSE 0 END AS lost_sales_value,
-           CASE WHEN forecast_quantity > 0 THEN CAST(round(CAST(actual_quantity / forecast_quantity * 100 AS DECIMAL(24,6)), 1) AS DOUBLE) ELSE 100 END AS demand_fulfillment_rate
+    SELECT *, coalesce((stock_quantity < forecast_quantity)::INTEGER, 0) AS restock_flag,
+           greatest(forecast_quantity - stock_quantity, 0) AS recommended_restock_quantity,
+           coalesce((actual_quantity / nullif(forecast_quantity, 0) < 1)::INTEGER, 0) AS stock_warn,
+           greatest(stock_quantity - (forecast_quantity + safety_stock), 0) AS excess_inventory,
+           coalesce(greatest(stock_quantity - (forecast_quantity + safety_stock), 0) * unit_price, 0) AS excess_inventory_value,
+           coalesce((stock_quantity < forecast_quantity)::INTEGER * greatest(forecast_quantity - actual_quantity, 0), 0) AS lost_sales_quantity,
+           coalesce((stock_quantity < forecast_quantity)::INTEGER * greatest(forecast_quantity - actual_quantity, 0) * unit_price, 0) AS lost_sales_value,
+           if(forecast_quantity > 0, CAST(round(CAST(actual_quantity / forecast_quantity * 100 AS DECIMAL(24,6)), 1) AS DOUBLE), 100) AS demand_fulfillment_rate
     FROM s"""
 
 

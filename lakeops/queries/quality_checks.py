@@ -11,6 +11,7 @@ from lakeops.operators.upsert import state_as_of, upsert, upsert_table
 from lakeops.operators.windows import cumulative_share
 from lakeops.plans.orders import stock_profile
 from lakeops.queries.registry import AS_OF, query
+from lakeops.queries.sql import range_ladder
 from lakeops.session import work_dir
 from lakeops.sources.writers import append_table, write_table
 
@@ -116,11 +117,9 @@ def dq5_recency(t):
                         "days_since_last_purchase")
 
 
-@query("dq5_frequency_profile", """
-    WITH g AS (SELECT CASE WHEN n BETWEEN 1 AND 2 THEN '01_1回〜2回' WHEN n BETWEEN 3 AND 10 THEN '02_3回〜10回'
-                           WHEN n BETWEEN 11 AND 20 THEN '03_11回〜20回' WHEN n BETWEEN 21 AND 50 THEN '04_21回〜50回'
-                           ELSE '05_51回以上' END AS frequency_group
-               FROM (SELECT user_id, count(DISTINCT order_id) AS n FROM {sales} GROUP BY user_id)),
+@query("dq5_frequency_profile", f"""
+    WITH g AS (SELECT {range_ladder('n', L.FREQUENCY_GROUPS, L.FREQUENCY_GROUP_DEFAULT)} AS frequency_group
+               FROM (SELECT user_id, count(DISTINCT order_id) AS n FROM {{sales}} GROUP BY user_id)),
          c AS (SELECT frequency_group, count(*) AS member_count FROM g GROUP BY ALL),
          r AS (SELECT *, member_count * 100.0::DOUBLE / sum(member_count) OVER () AS composition_ratio FROM c)
     SELECT *, sum(composition_ratio) OVER (ORDER BY frequency_group ROWS UNBOUNDED PRECEDING) AS cumulative_ratio FROM r""")
@@ -131,12 +130,10 @@ def dq5_frequency(t):
     return cumulative_share(d, "frequency_group", "composition_ratio", "cumulative_ratio")
 
 
-@query("dq5_monetary_profile", """
+@query("dq5_monetary_profile", f"""
     SELECT price_range, count(*) AS count, count(*) * 100.0::DOUBLE / sum(count(*)) OVER () AS percentage
-    FROM (SELECT CASE WHEN s >= 0 AND s < 1000 THEN '1_0円〜1000円未満' WHEN s >= 1000 AND s < 5000 THEN '2_1001円〜5000円未満'
-                      WHEN s >= 5000 AND s < 10000 THEN '3_5001円〜10000円未満'
-                      WHEN s >= 10000 AND s < 30000 THEN '4_10000円〜30000円未満' ELSE '5_30000円以上' END AS price_range
-          FROM (SELECT order_id, sum(CAST(subtotal AS DECIMAL(18,2))) AS s FROM {lines} GROUP BY order_id))
+    FROM (SELECT {range_ladder('s', L.PRICE_RANGES, L.PRICE_DEFAULT, half_open=True)} AS price_range
+          FROM (SELECT order_id, sum(CAST(subtotal AS DECIMAL(18,2))) AS s FROM {{lines}} GROUP BY order_id))
     GROUP BY price_range""")
 def dq5_monetary(t):
     per_order = t.lineitem.groupBy("l_orderkey").agg((F.sum(cents("l_extendedprice")) / 100.0).alias("s"))

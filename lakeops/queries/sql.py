@@ -8,3 +8,17 @@ def money(expr: str) -> str:
 
 def money_if(cond: str, expr: str) -> str:
     return f"CAST(sum(CASE WHEN {cond} THEN CAST({expr} AS DECIMAL(18,2)) ELSE CAST(0 AS DECIMAL(18,2)) END) AS DOUBLE)"
+
+
+def ladder(col: str, edges, labels, op: str = "<") -> str:
+    """Label by upper edge, the last label for the rest."""
+    cases = " ".join(f"WHEN {col} {op} {e} THEN '{x}'" for e, x in zip(edges, labels))
+    return f"CASE {cases} ELSE '{labels[-1]}' END"
+
+
+def range_ladder(col: str, ranges, default: str, half_open: bool = False) -> str:
+    """Label by closed (or half-open) ranges."""
+    top = "<" if half_open else "<="
+    cases = " ".join(f"WHEN {col} >= {lo}" + (f" AND {col} {top} {hi}" if hi is not None else "") + f" THEN '{x}'"
+                     for lo, hi, x in ranges)
+    return f"CASE {cases} ELSE '{default}' END"

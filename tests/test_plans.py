@@ -202,3 +202,12 @@ def test_account_window_quirk(spark):
     assert (r["sent_txn_cnt_3m"], r["sent_party_cnt_3m"]) == (2, 2)
     old = FT.window_features(tx, "payer", "payee", "d", "amt", "2024-01-31", count_other=False).first()
     assert old["sent_party_cnt_12m"] == 1
+
+
+def test_dense_ids_for_als(spark):
+    big = spark.createDataFrame([("u%03d" % (i % 7), 10**12 + i % 5, 1.0) for i in range(60)], "u string, i bigint, rating double")
+    indexed = RC.dense_ids(RC.dense_ids(big, "u", "uid"), "i", "iid")
+    assert sorted(r[0] for r in indexed.select("uid").distinct().collect()) == list(range(1, 8))
+    model = RC.train_als(indexed.select("uid", "iid", "rating"), "uid", "iid", rank=2, max_iter=1)
+    flat = RC.flatten_recs(RC.recommend(model, 3), "uid")
+    assert flat.groupBy("uid").count().filter("count = 3").count() == 7
