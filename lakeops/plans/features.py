@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from lakeops.functions.columns import cents, unit_hash
 from lakeops.functions.dates import day, local_time
 from lakeops.operators.sets import hash_sample, union_all
+from lakeops.session import checkpointed
 
 
 def window_features(tx: DataFrame, key: str, other: str, ts: str, amount: str, as_of: str,
@@ -159,7 +160,13 @@ def split(df: DataFrame, key: str, fractions: Mapping[str, float], seed: int = 0
 
 def train_classifier(df: DataFrame, label_col: str, numeric: Sequence[str], depths: Sequence[int] = (3, 5),
                      max_iter: int = 10, seed: int = 42) -> PipelineModel:
-    """Gradient-boosted trees, depth chosen on a validation split."""
+    """Gradient-boosted trees, depth chosen on a validation split.
+
+    Boosting passes over its input many times, so label and features are
+    checkpointed first: they are computed once, in as many partitions as their
+    size asks for.
+    """
+    df = checkpointed(df.select(label_col, *numeric))
     gbt = GBTClassifier(labelCol=label_col, featuresCol="features", maxIter=max_iter, seed=seed)
     grid = ParamGridBuilder().addGrid(gbt.maxDepth, list(depths)).build()
     search = TrainValidationSplit(estimator=Pipeline(stages=[prepare(numeric), gbt]), estimatorParamMaps=grid,
