@@ -131,17 +131,22 @@ def customer_profile(users: DataFrame, line_members: DataFrame, orders: DataFram
     )
 
 
+def _lost_items(carts: DataFrame, items: DataFrame) -> DataFrame:
+    return carts.filter(F.col("status") == 0).select("cart_id", "user_id").join(items, "cart_id")
+
+
 def abandoned_carts(carts: DataFrame, items: DataFrame) -> DataFrame:
     """Per user: last cart, last abandoned date, and how many available and how
-    many items in all are left in abandoned carts."""
-    left = F.col("status") == 0
-    item = F.col("cart_item_id")
-    return carts.join(items, "cart_id", "left").groupBy("user_id").agg(
+    many items in all are left in abandoned carts. Only abandoned carts meet
+    their items."""
+    per_user = carts.groupBy("user_id").agg(
         F.max("cart_id").alias("last_cart_id"),
-        F.max(F.when(left, F.col("updated_date"))).alias("last_cart_abandoned_date"),
-        F.count_distinct(F.when(left & (F.col("item_status") == 1), item)).alias(
-            "abandoned_cart_available_item_count"),
-        F.count(F.when(left, item)).alias("abandoned_cart_item_count"))
+        F.max(F.when(F.col("status") == 0, F.col("updated_date"))).alias("last_cart_abandoned_date"))
+    counts = {"abandoned_cart_available_item_count": F.count_distinct(
+                  F.when(F.col("item_status") == 1, F.col("cart_item_id"))),
+              "abandoned_cart_item_count": F.count("cart_item_id")}
+    left = _lost_items(carts, items).groupBy("user_id").agg(*[c.alias(n) for n, c in counts.items()])
+    return per_user.join(left, "user_id", "left").na.fill(0, list(counts))
 
 
 def abandoned_cart_lists(carts: DataFrame, items: DataFrame, max_bytes: int = 32 << 20) -> DataFrame:
@@ -151,8 +156,7 @@ def abandoned_cart_lists(carts: DataFrame, items: DataFrame, max_bytes: int = 32
     further parts.
     """
     entry = F.struct(F.col("cart_item_id").alias("item_id"), "quantity", F.col("unit_price").alias("price"))
-    lost = carts.filter(F.col("status") == 0).join(items, "cart_id")
-    parts = collect_parts(lost, ["user_id"], entry, ["cart_item_id"], max_bytes, "_items")
+    parts = collect_parts(_lost_items(carts, items), ["user_id"], entry, ["cart_item_id"], max_bytes, "_items")
     return parts.select("user_id", "part", F.to_json("_items").alias("abandoned_cart_item_list"))
 
 

@@ -148,3 +148,21 @@ def register_sql_functions(spark: SparkSession) -> None:
                         AND (p_store IS NULL OR store_name = p_store)
                       GROUP BY store_area, store_name, item_id))
           WHERE row_num <= limit_rows""")
+    spark.sql("""
+        CREATE OR REPLACE TEMPORARY FUNCTION spend_segments(high DOUBLE DEFAULT 1000, mid DOUBLE DEFAULT 500)
+        RETURNS TABLE (customer_id STRING, total_spent DOUBLE, customer_segment STRING)
+        READS SQL DATA
+        RETURN
+          SELECT customer_id, total_spent,
+                 CASE WHEN total_spent > high THEN '%s' WHEN total_spent >= mid THEN '%s' ELSE '%s' END
+          FROM (SELECT customer_id, sum(quantity * CAST(rint(unit_price * 100) AS BIGINT)) / 100.0D AS total_spent
+                FROM retail GROUP BY customer_id)""" % (L.SEGMENT_HIGH, L.SEGMENT_MID, L.SEGMENT_LOW))
+    spark.sql("""
+        CREATE OR REPLACE TEMPORARY FUNCTION daily_sales(p_from DATE DEFAULT NULL, p_to DATE DEFAULT NULL)
+        RETURNS TABLE (order_date DATE, total_quantity BIGINT, total_revenue DOUBLE)
+        READS SQL DATA
+        RETURN
+          SELECT order_date, sum(quantity), sum(quantity * CAST(rint(unit_price * 100) AS BIGINT)) / 100.0D
+          FROM retail
+          WHERE (p_from IS NULL OR order_date >= p_from) AND (p_to IS NULL OR order_date <= p_to)
+          GROUP BY order_date""")

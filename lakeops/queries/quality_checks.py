@@ -3,12 +3,9 @@
 from pyspark.sql import functions as F
 
 from lakeops.functions import labels as L
-from lakeops.functions.columns import cents, ranges_label
-from lakeops.functions.dates import day
 from lakeops.operators import quality as Q
-from lakeops.operators.aggregates import distribution
 from lakeops.operators.upsert import state_as_of, upsert, upsert_table
-from lakeops.operators.windows import cumulative_share
+from lakeops.plans import profiles as P
 from lakeops.plans.orders import stock_profile
 from lakeops.queries.registry import AS_OF, query
 from lakeops.queries.sql import range_ladder
@@ -112,9 +109,7 @@ def dq4(t):
            count(*) * 100.0::DOUBLE / sum(count(*)) OVER () AS share
     FROM (SELECT date_diff('day', max(order_date), DATE '{AS_OF}') AS days FROM {{sales}} GROUP BY user_id) GROUP BY days""")
 def dq5_recency(t):
-    last = t.sales.groupBy("user_id").agg(F.max("order_date").alias("last"))
-    return distribution(last.select(F.datediff(day(AS_OF), "last").alias("days_since_last_purchase")),
-                        "days_since_last_purchase")
+    return P.recency_profile(t.sales, AS_OF)
 
 
 @query("dq5_frequency_profile", f"""
@@ -124,10 +119,7 @@ def dq5_recency(t):
          r AS (SELECT *, member_count * 100.0::DOUBLE / sum(member_count) OVER () AS composition_ratio FROM c)
     SELECT *, sum(composition_ratio) OVER (ORDER BY frequency_group ROWS UNBOUNDED PRECEDING) AS cumulative_ratio FROM r""")
 def dq5_frequency(t):
-    counts = t.sales.groupBy("user_id").agg(F.count_distinct("order_id").alias("n"))
-    group = ranges_label("n", L.FREQUENCY_GROUPS, L.FREQUENCY_GROUP_DEFAULT)
-    d = distribution(counts.select(group.alias("frequency_group")), "frequency_group", "member_count", "composition_ratio")
-    return cumulative_share(d, "frequency_group", "composition_ratio", "cumulative_ratio")
+    return P.frequency_profile(t.sales)
 
 
 @query("dq5_monetary_profile", f"""
@@ -136,9 +128,7 @@ def dq5_frequency(t):
           FROM (SELECT order_id, sum(CAST(subtotal AS DECIMAL(18,2))) AS s FROM {{lines}} GROUP BY order_id))
     GROUP BY price_range""")
 def dq5_monetary(t):
-    per_order = t.lineitem.groupBy("l_orderkey").agg((F.sum(cents("l_extendedprice")) / 100.0).alias("s"))
-    label = ranges_label("s", L.PRICE_RANGES, L.PRICE_DEFAULT, half_open=True)
-    return distribution(per_order.select(label.alias("price_range")), "price_range", "count", "percentage")
+    return P.monetary_profile(t.lineitem.select(F.col("l_orderkey").alias("order_id"), F.col("l_extendedprice").alias("subtotal")))
 
 
 @query("dq6_stock_profile", """

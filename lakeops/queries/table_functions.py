@@ -216,6 +216,24 @@ def ud10(t):
     return t.spark.sql("SELECT * FROM top_store_items(p_area => 'ASIA', limit_rows => 5)")
 
 
+@query("ud10_sql_spend_segments", """
+    SELECT *, CASE WHEN total_spent > 600000 THEN '高価格層' WHEN total_spent >= 300000 THEN '中価格層' ELSE '低価格層' END
+             AS customer_segment
+    FROM (SELECT customer_id, CAST(sum(quantity * CAST(unit_price AS DECIMAL(18,2))) AS DOUBLE) AS total_spent
+          FROM {retail} GROUP BY ALL)""")
+def ud10_segments(t):
+    TF.register_sql_functions(_with_views(t))
+    return t.spark.sql("SELECT * FROM spend_segments(high => 600000, mid => 300000)")
+
+
+@query("ud10_sql_daily_sales", """
+    SELECT order_date, CAST(sum(quantity) AS BIGINT) AS total_quantity,
+           CAST(sum(quantity * CAST(unit_price AS DECIMAL(18,2))) AS DOUBLE) AS total_revenue FROM {retail} GROUP BY ALL""")
+def ud10_daily(t):
+    TF.register_sql_functions(_with_views(t))
+    return t.spark.sql("SELECT * FROM daily_sales()")
+
+
 def _with_views(t):
     _store_lines(t).createOrReplaceTempView("store_items")
     t.retail.createOrReplaceTempView("retail")
