@@ -19,11 +19,11 @@ RULES = {"qty_known": "l_quantity IS NOT NULL", "qty_small": "l_quantity <= 45",
 
 @query("prj1_typed_projection", """
     SELECT CAST(o_orderkey AS VARCHAR) AS booking_id, o_custkey AS user_id, CAST(o_orderdate AS DATE) AS flight_date,
-           CAST(o_totalprice AS DECIMAL(10,2)) AS fare_amount FROM orders""")
+           CAST(CAST(o_totalprice AS DECIMAL(10,2)) AS DOUBLE) AS fare_amount FROM orders""")
 def prj1(t):
     return K.project(t.orders, {
         "booking_id": "CAST(o_orderkey AS STRING)", "user_id": "o_custkey", "flight_date": "to_date(o_orderdate)",
-        "fare_amount": "CAST(o_totalprice AS DECIMAL(10,2))"})
+        "fare_amount": "CAST(CAST(o_totalprice AS DECIMAL(10,2)) AS DOUBLE)"})
 
 
 @query("prj2_select_except", "SELECT c_custkey, c_name, c_mktsegment FROM customer")

@@ -196,14 +196,15 @@ def c9(t):
 
 @query("c10_gold_users", f"""
     SELECT b.*, {_CHANNEL}, {_SEGMENTS}, a.* EXCLUDE (user_id), f.* EXCLUDE (user_id), s.last_survey_category,
-           s.last_survey_response, s.last_survey_date, CAST(round(CAST(s.last_survey_positive_score AS DECIMAL(20,6)), 2) AS DECIMAL(10,2))
+           s.last_survey_response, s.last_survey_date, CAST(round(CAST(s.last_survey_positive_score AS DECIMAL(20,6)), 2) AS DOUBLE)
              AS last_survey_positive_score
     FROM ({_PROFILE}) b LEFT JOIN ({_ABANDONED}) a ON b.user_id = a.user_id LEFT JOIN ({_SURVEY}) s ON b.user_id = s.user_id
     LEFT JOIN ({_FAVOURITE}) f ON b.user_id = f.user_id""")
 def c10(t):
     gold = CU.gold_users(_users(t), _line(t), _store_orders(t), _category_lines(t), _loyalty(t), _carts(t), _cart_items(t),
                          t.survey, AS_OF, unique_orders=True)
-    return gold.drop("abandoned_cart_item_list")
+    return gold.drop("abandoned_cart_item_list").withColumn(
+        "last_survey_positive_score", F.col("last_survey_positive_score").cast("double"))
 
 
 @query("c10_gold_users_duplicates", f"SELECT user_id, count(*) AS n FROM {{users}} GROUP BY user_id")

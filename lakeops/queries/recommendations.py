@@ -116,13 +116,14 @@ def rc8(t):
 
 
 @query("rc9_packed_lists", f"""
-    SELECT user_id, booking_id, list(item_id ORDER BY rating DESC, item_id) AS items,
-           list(category_name ORDER BY rating DESC, item_id) AS categories FROM ({_RERANKED}) GROUP BY ALL""")
+    SELECT user_id, booking_id, array_to_string(list(item_id ORDER BY rating DESC, item_id), ',') AS items,
+           array_to_string(list(category_name ORDER BY rating DESC, item_id), ',') AS categories FROM ({_RERANKED}) GROUP BY ALL""")
 def rc9(t):
     top = _reranked(t).withColumn("_order", F.struct(-F.col("rating"), "item_id"))
     packed = RC.pack(top, ["user_id", "booking_id"], ["item_id", "category_name"], F.col("_order"))
-    return packed.select("user_id", "booking_id", F.col("contents_list.item_id").alias("items"),
-                         F.col("contents_list.category_name").alias("categories"))
+    return packed.select("user_id", "booking_id",
+                         F.array_join(F.col("contents_list.item_id").cast("array<string>"), ",").alias("items"),
+                         F.array_join("contents_list.category_name", ",").alias("categories"))
 
 
 @query("rc10_lookup_user", f"""

@@ -121,12 +121,12 @@ def sf11(t):
 
 
 @query("sf12_math", """
-    SELECT order_item_id, round(CAST(subtotal AS DECIMAL(18,2)), 1) AS r, CAST(floor(subtotal) AS BIGINT) AS f,
+    SELECT order_item_id, CAST(round(CAST(subtotal AS DECIMAL(18,2)), 1) AS DOUBLE) AS r, CAST(floor(subtotal) AS BIGINT) AS f,
            CAST(ceil(subtotal) AS BIGINT) AS c, abs(quantity - 25) AS a, least(quantity, 10) AS lo,
            greatest(quantity, 40) AS hi, item_id % 3 AS m FROM {lines}""")
 def sf12(t):
     return t.lines.select(
-        "order_item_id", F.round(F.col("subtotal").cast("decimal(18,2)"), 1).cast("decimal(18,1)").alias("r"),
+        "order_item_id", F.round(F.col("subtotal").cast("decimal(18,2)"), 1).cast("double").alias("r"),
         F.floor("subtotal").alias("f"), F.ceil("subtotal").alias("c"), F.abs(F.col("quantity") - 25).alias("a"),
         F.least("quantity", F.lit(10.0)).alias("lo"), F.greatest("quantity", F.lit(40.0)).alias("hi"),
         F.pmod("item_id", F.lit(3)).cast("bigint").alias("m"))
@@ -142,12 +142,12 @@ def sf13(t):
 
 
 @query("sf14_arrays", """
-    SELECT vec_id, CAST(len(embedding) AS INTEGER) AS n, embedding[1] AS first,
-           embedding[len(embedding)] AS last, CAST(NULL AS FLOAT) AS beyond FROM embeddings""")
+    SELECT vec_id, CAST(len(embedding) AS INTEGER) AS n, CAST(embedding[1] AS DOUBLE) AS first,
+           CAST(embedding[len(embedding)] AS DOUBLE) AS last, CAST(NULL AS DOUBLE) AS beyond FROM embeddings""")
 def sf14(t):
-    return t.embeddings.select("vec_id", F.size("embedding").alias("n"), F.get("embedding", F.lit(0)).alias("first"),
-                               F.element_at("embedding", -1).alias("last"),
-                               F.get("embedding", F.size("embedding")).alias("beyond"))
+    return t.embeddings.select("vec_id", F.size("embedding").alias("n"), F.get("embedding", F.lit(0)).cast("double").alias("first"),
+                               F.element_at("embedding", -1).cast("double").alias("last"),
+                               F.get("embedding", F.size("embedding")).cast("double").alias("beyond"))
 
 
 @query("sf14_explode_sequence", """
@@ -185,12 +185,12 @@ def sf17(t):
 
 
 @query("sf18_casts", """
-    SELECT event_id, CAST(value AS DECIMAL(10,2)) AS amount, CAST(user_id AS VARCHAR) AS user_text,
+    SELECT event_id, CAST(CAST(value AS DECIMAL(10,2)) AS DOUBLE) AS amount, CAST(user_id AS VARCHAR) AS user_text,
            CAST(event_id % 100 AS TINYINT) AS tiny, value > 10 AS big, CAST(NULL AS DOUBLE) AS nothing,
            TRY_CAST(event_type AS BIGINT) AS bad FROM events""")
 def sf18(t):
     return t.events.select(
-        "event_id", F.col("value").cast("decimal(10,2)").alias("amount"), F.col("user_id").cast("string").alias("user_text"),
+        "event_id", F.col("value").cast("decimal(10,2)").cast("double").alias("amount"), F.col("user_id").cast("string").alias("user_text"),
         (F.col("event_id") % 100).cast("tinyint").alias("tiny"), (F.col("value") > 10).alias("big"),
         F.lit(None).cast("double").alias("nothing"), F.col("event_type").try_cast("bigint").alias("bad"))
 

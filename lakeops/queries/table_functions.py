@@ -106,10 +106,10 @@ def tf8(t):
 
 
 @query("tf9_summarize_inquiries", """
-    SELECT survey_category, CAST(0 AS BIGINT) AS part, list_sort(list(DISTINCT response_content)) AS response_contents,
+    SELECT survey_category, CAST(0 AS BIGINT) AS part, array_to_string(list_sort(list(DISTINCT response_content)), chr(10)) AS response_contents,
            avg(positive_score) AS positive_score, count(*) AS n_responses FROM {survey} GROUP BY survey_category""")
 def tf9(t):
-    return TF.summarize_inquiries(t.survey)
+    return TF.summarize_inquiries(t.survey).withColumn("response_contents", F.array_join("response_contents", "\n"))
 
 
 # --- user functions --------------------------------------------------------
