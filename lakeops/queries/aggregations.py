@@ -77,9 +77,9 @@ def ag7(t):
 
 
 @query("ag8_collect_lists", """
-    SELECT order_id, CAST(0 AS BIGINT) AS part, array_to_string(list_sort(list(item_id)), ',') AS item_ids FROM {lines} GROUP BY order_id""")
+    SELECT order_id, CAST(0 AS BIGINT) AS part, array_to_string(list_sort(list(item_id)), ',') AS item_ids FROM {line_facts} GROUP BY order_id""")
 def ag8(t):
-    lists = A.collect_parts(t.lines, ["order_id"], F.col("item_id"), ["order_item_id", "subtotal"], name="item_ids")
+    lists = A.collect_parts(t.line_facts, ["order_id"], F.col("item_id"), ["order_item_id", "subtotal"], name="item_ids")
     return lists.withColumn("item_ids", F.array_join(F.col("item_ids").cast("array<string>"), ","))
 
 

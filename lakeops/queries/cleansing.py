@@ -127,9 +127,9 @@ def flt3(t):
     return K.optional_filter(t.stores, {"store_area": "ASIA", "store_name": None}).select("store_id", "store_name")
 
 
-@query("flt4_active_only", "SELECT order_item_id, subtotal FROM {lines} WHERE NOT cancel_flg")
+@query("flt4_active_only", "SELECT order_item_id, subtotal FROM {line_facts} WHERE NOT cancel_flg")
 def flt4(t):
-    return K.active_only(t.lines, "cancel_flg").select("order_item_id", "subtotal")
+    return K.active_only(t.line_facts, "cancel_flg").select("order_item_id", "subtotal")
 
 
 @query("flt5_nulls_to_zero", """

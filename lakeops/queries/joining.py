@@ -34,9 +34,9 @@ def jn2(t):
 
 @query("jn3_left_star", """
     SELECT order_item_id, l.store_id, l.item_id, store_name, store_area, category_name, subtotal
-    FROM {lines} l LEFT JOIN {stores} s ON l.store_id = s.store_id LEFT JOIN {items} i ON l.item_id = i.item_id""")
+    FROM {line_facts} l LEFT JOIN {stores} s ON l.store_id = s.store_id LEFT JOIN {items} i ON l.item_id = i.item_id""")
 def jn3(t):
-    facts = t.lines.select("order_item_id", "store_id", "item_id", "subtotal")
+    facts = t.line_facts.select("order_item_id", "store_id", "item_id", "subtotal")
     return J.denormalise(facts, [(t.stores.drop("prefecture"), "store_id", "store_id"),
                                  (t.items.select("item_id", "category_name"), "item_id", "item_id")])
 
@@ -129,10 +129,10 @@ def jn11(t):
            total_sales * 100 / CAST(sum(CAST(total_sales AS DECIMAL(18,2))) OVER (PARTITION BY store_area) AS DOUBLE)
              AS sales_ratio
     FROM (SELECT store_area, category_name, {money('subtotal')} AS total_sales
-          FROM {{lines}} l JOIN {{stores}} s ON l.store_id = s.store_id JOIN {{items}} i ON l.item_id = i.item_id
+          FROM {{line_facts}} l JOIN {{stores}} s ON l.store_id = s.store_id JOIN {{items}} i ON l.item_id = i.item_id
           GROUP BY ALL)""")
 def jn12(t):
-    facts = t.lines.join(t.stores, "store_id").join(t.items, "item_id")
+    facts = t.line_facts.join(t.stores, "store_id").join(t.items, "item_id")
     return J.ratio_within_group(facts, "store_area", "category_name", "subtotal")
 
 

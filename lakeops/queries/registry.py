@@ -91,6 +91,11 @@ V = {
              "CAST(o_orderdate AS DATE) AS order_date, CAST(l_shipdate AS DATE) AS ship_date, "
              "CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'EC' ELSE 'POS' END AS channel "
              "FROM lineitem JOIN orders ON l_orderkey = o_orderkey",
+    # the same lines where nothing of the order is needed
+    "line_facts": "SELECT l_orderkey * 8 + l_linenumber AS order_item_id, l_orderkey AS order_id, "
+                  "l_suppkey AS store_id, l_partkey AS item_id, l_quantity AS quantity, "
+                  "l_extendedprice AS subtotal, l_returnflag = 'R' AS cancel_flg, "
+                  "CAST(l_shipdate AS DATE) AS ship_date FROM lineitem",
     "items": "SELECT p_partkey AS item_id, p_name AS item_name, p_type AS category_name, p_brand AS maker, "
              "p_retailprice AS price FROM part",
     "stores": "SELECT s_suppkey AS store_id, s_name AS store_name, r_name AS store_area, n_name AS prefecture "
@@ -130,13 +135,18 @@ def _sales(t: Tables) -> DataFrame:
         "o_orderpriority")
 
 
-def _lines(t: Tables) -> DataFrame:
-    return t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
-        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("order_item_id"), F.col("l_orderkey").alias("order_id"), F.col("o_custkey").alias("user_id"),
+def _line_facts(t: Tables) -> DataFrame:
+    return t.lineitem.select(
+        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("order_item_id"), F.col("l_orderkey").alias("order_id"),
         F.col("l_suppkey").alias("store_id"), F.col("l_partkey").alias("item_id"),
         F.col("l_quantity").alias("quantity"), F.col("l_extendedprice").alias("subtotal"),
-        (F.col("l_returnflag") == "R").alias("cancel_flg"), F.to_date("o_orderdate").alias("order_date"),
-        F.to_date("l_shipdate").alias("ship_date"), _channel().alias("channel"))
+        (F.col("l_returnflag") == "R").alias("cancel_flg"), F.to_date("l_shipdate").alias("ship_date"))
+
+
+def _lines(t: Tables) -> DataFrame:
+    orders = t.orders.select(F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("user_id"),
+                             F.to_date("o_orderdate").alias("order_date"), _channel().alias("channel"))
+    return _line_facts(t).join(orders, "order_id")
 
 
 def _items(t: Tables) -> DataFrame:
@@ -203,6 +213,6 @@ def _transfers(t: Tables) -> DataFrame:
         F.col("l_extendedprice").alias("txn_amt"), F.col("o_orderdate").alias("datetime"))
 
 
-_VIEWS = {"sales": _sales, "lines": _lines, "items": _items, "stores": _stores, "users": _users,
+_VIEWS = {"sales": _sales, "lines": _lines, "line_facts": _line_facts, "items": _items, "stores": _stores, "users": _users,
           "inventory": _inventory, "survey": _survey, "demand": _demand, "retail": _retail,
           "transfers": _transfers}

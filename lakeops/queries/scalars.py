@@ -123,9 +123,9 @@ def sf11(t):
 @query("sf12_math", """
     SELECT order_item_id, CAST(round(CAST(subtotal AS DECIMAL(18,2)), 1) AS DOUBLE) AS r, CAST(floor(subtotal) AS BIGINT) AS f,
            CAST(ceil(subtotal) AS BIGINT) AS c, abs(quantity - 25) AS a, least(quantity, 10) AS lo,
-           greatest(quantity, 40) AS hi, item_id % 3 AS m FROM {lines}""")
+           greatest(quantity, 40) AS hi, item_id % 3 AS m FROM {line_facts}""")
 def sf12(t):
-    return t.lines.select(
+    return t.line_facts.select(
         "order_item_id", F.round(F.col("subtotal").cast("decimal(18,2)"), 1).cast("double").alias("r"),
         F.floor("subtotal").alias("f"), F.ceil("subtotal").alias("c"), F.abs(F.col("quantity") - 25).alias("a"),
         F.least("quantity", F.lit(10.0)).alias("lo"), F.greatest("quantity", F.lit(40.0)).alias("hi"),
@@ -157,9 +157,9 @@ def sf14_sequence(t):
 
 
 @query("sf15_structs", """
-    SELECT order_id, item_id, quantity, subtotal FROM {lines}""")
+    SELECT order_id, item_id, quantity, subtotal FROM {line_facts}""")
 def sf15(t):
-    packed = t.lines.select(F.struct("order_id", F.struct("item_id", "quantity", "subtotal").alias("item")).alias("s"))
+    packed = t.line_facts.select(F.struct("order_id", F.struct("item_id", "quantity", "subtotal").alias("item")).alias("s"))
     return packed.select("s.order_id", "s.item.*")
 
 

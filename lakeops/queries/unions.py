@@ -16,9 +16,9 @@ def sl1(t):
 
 
 @query("sl2_top_k", """
-    SELECT item_id, count(*) AS purchases FROM {lines} GROUP BY item_id ORDER BY purchases DESC, item_id LIMIT 10""")
+    SELECT item_id, count(*) AS purchases FROM {line_facts} GROUP BY item_id ORDER BY purchases DESC, item_id LIMIT 10""")
 def sl2(t):
-    counts = t.lines.groupBy("item_id").agg(F.count(F.lit(1)).alias("purchases"))
+    counts = t.line_facts.groupBy("item_id").agg(F.count(F.lit(1)).alias("purchases"))
     return S.top_k(counts, [F.col("purchases").desc(), F.col("item_id")], 10)
 
 
