@@ -3,11 +3,10 @@
 from __future__ import annotations
 
 import os
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeops.session import work_dir
@@ -62,9 +61,30 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def task_file(folder: str, prefix: str, suffix: str) -> str:
-    """A file name that no other task or attempt uses."""
-    return os.path.join(folder, f"{prefix}-{uuid.uuid4().hex}{suffix}")
+def row_mark(text_col: str) -> Column:
+    """With the id, tells rows apart that repeat an id with another text."""
+    return F.xxhash64(F.col(text_col))
+
+
+def kept_rows(docs: DataFrame, verdicts: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Rows of ``docs`` that a deduplication keeps, with their own columns.
+
+    ``verdicts`` has one row per row of ``docs``: ``_id``, ``_mark`` and ``kept``.
+    Of rows that repeat both id and text, one stays.
+    """
+    verdicts = stored(verdicts, "verdicts")
+
+    def row_is(other: DataFrame):
+        return docs[id_col].eqNullSafe(other["_id"]) & (F.xxhash64(docs[text_col]) == other["_mark"])
+
+    dropped = verdicts.filter(~F.col("kept")).select("_id", "_mark").distinct()
+    out = docs.join(dropped, row_is(dropped), "left_anti")
+    again = verdicts.filter("kept").groupBy("_id", "_mark").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    if again.isEmpty():
+        return out
+    single = docs.join(dropped, row_is(dropped), "left_anti").join(again, row_is(again), "left_anti")
+    repeated = docs.join(again, row_is(again), "left_semi").dropDuplicates([id_col, text_col])
+    return single.unionByName(repeated)
 
 
 def file_system(uri: str):
