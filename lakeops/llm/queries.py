@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeops.llm import bpe
+from lakeops.llm import bpe, exact_dedup, langid, mixing, quality, simhash
+from lakeops.llm.common import held_out
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -24,6 +25,45 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@_query
+def op4_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = held_out("doc_id", 4, 2)
+    return langid.identify(_table(spark, sf_dir, "documents"), ~out, out)
+
+
 @_query
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(_table(spark, sf_dir, "documents"), RANKS, public_tokenizers.PATTERN)
+
+
+@_query
+def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(_table(spark, sf_dir, "documents")).drop("repeats")
+
+
+@_query
+def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_groups(_table(spark, sf_dir, "documents"))
+
+
+ORACLES["op7_exact_dedup"] = r"""
+WITH rows AS (
+  SELECT doc_id, length(coalesce(text, '')) AS points,
+         regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS norm
+  FROM documents)
+SELECT doc_id, first_value(doc_id) OVER best AS keep_id, count(*) OVER (PARTITION BY norm) AS group_size,
+       doc_id = first_value(doc_id) OVER best AS kept, sha256(norm) AS text_sha256
+FROM rows
+WINDOW best AS (PARTITION BY norm ORDER BY points DESC, doc_id)
+"""
+
+
+@_query
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_groups(_table(spark, sf_dir, "documents"), shingle_words=4, radius=4)
+
+
+@_query
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_quality(
+        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), held_out("doc_id", 5, 0), threshold=0.3)
