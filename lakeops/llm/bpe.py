@@ -16,7 +16,8 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from heapq import heapify, heappop, heappush
+from heapq import heappop, heappush
+from struct import pack
 
 import numpy as np
 import regex
@@ -25,9 +26,10 @@ from pyspark.sql import functions as F
 
 from lakeops.llm.common import map_rows
 
-CACHED_WORDS = 150_000  # entries of one generation of a task's word cache
+CACHED_WORDS = 300_000  # entries of one generation of a task's word cache
 _WORD_BITS = 8
 _WORD_MASK = (1 << _WORD_BITS) - 1
+_BIT = [1 << i for i in range(1 << _WORD_BITS)]
 
 
 def read_ranks(path: str) -> list[bytes]:
@@ -40,82 +42,70 @@ def read_ranks(path: str) -> list[bytes]:
     return tokens
 
 
-def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """Token ids of one pre-token."""
+def merge(piece: bytes, ranks: dict[bytes, int], two: list[int] | None = None) -> list[int]:
+    """Token ids of one pre-token. ``two`` has the ranks of all pairs of bytes, see :func:`byte_pairs`."""
     n = len(piece)
     if n < 2:
         return [ranks[piece]] if n else []
+    if two is None:
+        two = byte_pairs(ranks)
     following = list(range(1, n + 1))  # start of the next part; n ends the list
     before = list(range(-1, n - 1))
-    rank_at: list[int] = [-1] * n  # rank of the pair that starts here; -1: none, or the part is gone
+    rank_at = [two[a << 8 | b] for a, b in zip(piece, piece[1:])]  # of the pair that starts here; -1: none
+    rank_at.append(-1)
     buckets: dict[int, list[int]] = {}
-    words: dict[int, int] = {}
+    for i, rank in enumerate(rank_at):
+        if rank >= 0:
+            if rank in buckets:
+                buckets[rank].append(i)  # ascending, hence a heap
+            else:
+                buckets[rank] = [i]
+    words = [0] * ((len(ranks) >> _WORD_BITS) + 1)
     summary = 0
+    for rank in buckets:
+        words[rank >> _WORD_BITS] |= _BIT[rank & _WORD_MASK]
+        summary |= _BIT[rank >> _WORD_BITS]
     rank_of = ranks.get
-    for i in range(n - 1):
-        rank = rank_of(piece[i:i + 2])
-        if rank is not None:
-            rank_at[i] = rank
-            bucket = buckets.get(rank)
-            if bucket is None:
-                buckets[rank] = [i]
-                word = rank >> _WORD_BITS
-                words[word] = words.get(word, 0) | 1 << (rank & _WORD_MASK)
-                summary |= 1 << word
-            else:
-                bucket.append(i)  # ascending, hence a heap
     while summary:
         word = (summary & -summary).bit_length() - 1
         bits = words[word]
         lowest = bits & -bits
         rank = word << _WORD_BITS | lowest.bit_length() - 1
         bucket = buckets[rank]
-        i = heappop(bucket) if len(bucket) > 1 else bucket.pop()
-        if not bucket:
+        if len(bucket) > 1:
+            i = heappop(bucket)
+        else:
+            i = bucket[0]
             del buckets[rank]
-            bits ^= lowest
-            words[word] = bits
+            words[word] = bits = bits ^ lowest
             if not bits:
-                summary ^= 1 << word
+                summary ^= _BIT[word]
         if rank_at[i] != rank:
-            continue
+            continue  # stale
         gone = following[i]
         after = following[gone]
         following[i] = after
         rank_at[gone] = -1
+        left = before[i]
         if after < n:
             before[after] = i
-            end = following[after]
-            new = rank_of(piece[i:end])
-            if new is None:
-                rank_at[i] = -1
-            else:
-                rank_at[i] = new
-                bucket = buckets.get(new)
-                if bucket is None:
-                    buckets[new] = [i]
-                    word = new >> _WORD_BITS
-                    words[word] = words.get(word, 0) | 1 << (new & _WORD_MASK)
-                    summary |= 1 << word
-                else:
-                    heappush(bucket, i)
+            changed = ((left, after), (i, following[after])) if left >= 0 else ((i, following[after]),)
         else:
             rank_at[i] = -1
-        left = before[i]
-        if left >= 0:
-            new = rank_of(piece[left:after])
-            if new is None:
-                rank_at[left] = -1
-            else:
-                rank_at[left] = new
-                bucket = buckets.get(new)
-                if bucket is None:
-                    buckets[new] = [left]
-                    word = new >> _WORD_BITS
-                    words[word] = words.get(word, 0) | 1 << (new & _WORD_MASK)
-                    summary |= 1 << word
+            if left < 0:
+                break
+            changed = ((left, after),)
+        for start, end in changed:
+            new = rank_of(piece[start:end], -1)
+            rank_at[start] = new
+            if new >= 0:
+                if new in buckets:
+                    heappush(buckets[new], start)
                 else:
-                    heappush(bucket, left)
+                    buckets[new] = [start]
+                    word = new >> _WORD_BITS
+                    words[word] |= _BIT[new & _WORD_MASK]
+                    summary |= _BIT[word]
     ids = []
     i = 0
     while i < n:
@@ -125,6 +115,11 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return ids
 
 
+def byte_pairs(ranks: dict[bytes, int]) -> list[int]:
+    """Rank of each pair of bytes, by its value as a big-endian number; -1 for none."""
+    return [ranks.get(bytes((a, b)), -1) for a in range(256) for b in range(256)]
+
+
 class _Words(dict):
     """Word to packed ids, in two generations: a full one becomes the old one,
     so that frequent words stay and memory is bounded."""
@@ -155,6 +150,7 @@ class Tokenizer:
     def __init__(self, tokens: list[bytes], pattern: str, cached: int = CACHED_WORDS):
         self.tokens = tokens
         self.ranks = {t: i for i, t in enumerate(tokens)}
+        self.two = byte_pairs(self.ranks)
         # White space by the Unicode property, without the four separators that Python adds.
         self.pieces = regex.compile(
             pattern.replace(r"[^\s", r"[^\p{White_Space}").replace(r"\s", r"\p{White_Space}")
@@ -168,8 +164,8 @@ class Tokenizer:
     def _piece(self, piece: str) -> bytes:
         data = piece.encode()
         rank = self.ranks.get(data)
-        ids = [rank] if rank is not None else merge(data, self.ranks)
-        return np.array(ids, dtype="<u4").tobytes()
+        ids = [rank] if rank is not None else merge(data, self.ranks, self.two)
+        return pack("<%dI" % len(ids), *ids)
 
     def _word(self, word: str) -> bytes:
         of = self.piece_ids
