@@ -106,6 +106,8 @@ class _Lines(HTMLParser):
 
     def handle_starttag(self, tag, attrs):
         self.tags += 1
+        if tag in BLOCKS and tag not in ("html", "head", "title") and self.open_count.get("head"):
+            self._close("head")
         if tag in BLOCKS:
             if self.open_count.get("p") and tag in NOT_IN_P:
                 self._close("p", ("table", "button"))

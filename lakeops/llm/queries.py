@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeops.llm import bpe, exact_dedup, html_text, langid, mixing, quality, simhash
+from lakeops.llm import bpe, exact_dedup, html_text, langid, mixing, quality, simhash, warc
 from lakeops.llm.common import held_out
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -30,6 +30,11 @@ def op1_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(_table(spark, sf_dir, "pages"))
 
 
+@_query
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(_table(spark, sf_dir, "pages"), least_revisit_bytes=0)
+
+
 @_query
 def op4_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = held_out("doc_id", 4, 2)
