@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lakeops.llm import bpe, exact_dedup, html_text, langid, mixing, quality, simhash, warc
+from lakeops.llm import ann, bpe, exact_dedup, html_text, langid, mixing, packing, quality, simhash, warc
 from lakeops.llm.common import held_out
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -35,6 +36,11 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(_table(spark, sf_dir, "pages"), least_revisit_bytes=0)
 
 
+@_query
+def op3_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.neighbours(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
 @_query
 def op4_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = held_out("doc_id", 4, 2)
@@ -77,3 +83,8 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(
         _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), held_out("doc_id", 5, 0), threshold=0.3)
+
+
+@_query
+def op10_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(_table(spark, sf_dir, "documents"), RANKS, public_tokenizers.PATTERN)
