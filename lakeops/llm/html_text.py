@@ -138,7 +138,8 @@ class _Lines(HTMLParser):
         """Close the innermost ``tag``, and what is open inside it, unless a border is in between."""
         for i in range(len(self.stack) - 1, -1, -1):
             if self.stack[i][0] == tag:
-                self.flush()
+                if any(name in BLOCKS for name, _, _ in self.stack[i:]):
+                    self.flush()
                 for name, _, _ in self.stack[i:]:
                     self.open_count[name] -= 1
                 del self.stack[i:]
@@ -168,7 +169,7 @@ class _Lines(HTMLParser):
 
 
 # What the parser could not finish starts here: a page cut off inside a tag or a comment ends before it.
-_unfinished = re.compile(r"<[a-zA-Z/!?]")
+_unfinished = re.compile(r"<(?:[a-zA-Z/!?]|\Z)")
 
 
 def smoothed(ratios: np.ndarray, sigma: float) -> np.ndarray:
