@@ -46,10 +46,6 @@ SEGMENT_LOW = "低価格層"
 AGE_EDGES = [35, 55]
 AGE_LABELS = ["若年層", "中年層", "シニア層"]
 
-# Stock states and reasons.
-STOCK_OUT, STOCK_IN, STOCK_TRANSIT = "OUT_OF_STOCK", "IN_STOCK", "IN_TRANSIT"
-REASON_SHIPPED, REASON_RECEIVED, REASON_COUNTED = "出荷", "入荷", "棚卸"
-
 # Review topics and feedback classes.
 REVIEW_TOPICS = [
     "食事と飲み物", "機内エンターテイメント", "機内Wi-Fiと接続性", "価格に対する価値",

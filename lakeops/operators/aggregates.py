@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeops.operators.joins import null_safe_join
+from lakeops.operators.null_safe import null_safe_join
 
 
 def cond_agg(df: DataFrame, keys: Sequence[str], specs: Mapping[str, Column]) -> DataFrame:
@@ -78,27 +78,21 @@ def _bytes_of(value: Column, dtype: T.DataType) -> Column:
 
 
 def collect_parts(df: DataFrame, keys: Sequence[str], value: Column, row_id: Sequence[str],
-                  max_bytes: int = 32 << 20, name: str = "items", extra: Sequence[Column] = ()) -> DataFrame:
-    """Group members as sorted lists, in parts no larger than about ``max_bytes``.
-
-    The size of the largest group is measured first. If it is within the limit,
-    every group is one list with ``part`` 0. Otherwise the large groups are
-    spread by row id over as many parts as their size asks for: no task and no
-    cell has to hold a whole hot group, and no member is left out. ``extra``
-    aggregates of the whole group are repeated on each of its parts.
+                  max_bytes: int = 32 << 20, name: str = "items") -> DataFrame:
+    """Group members as sorted lists, one row per group and ``part``.
+
+    A group has as many parts as its own size asks for, one for every
+    ``max_bytes`` begun, numbered from 0; members are dealt to them by a hash of
+    ``row_id``. The grain is the same at every size, no member is left out, and
+    no task or cell has to hold a whole hot group. Figures of the whole group
+    belong in a table of their own.
     """
-    members = df.withColumn("_value", value)
+    members = df.select(*keys, F.xxhash64(*row_id).alias("_h"), value.alias("_value"))
     size = _bytes_of(F.col("_value"), members.schema["_value"].dataType)
-    sizes = members.groupBy(*keys).agg(F.sum(size).alias("_bytes"))
-    listed = F.sort_array(F.collect_list("_value")).alias(name)
-    if (sizes.agg(F.max("_bytes")).first()[0] or 0) <= max_bytes:
-        return members.groupBy(*keys).agg(F.lit(0).cast("bigint").alias("part"), listed, *extra)
-    n_parts = F.greatest(F.ceil(F.sum(size) / F.lit(float(max_bytes))), F.lit(1)).cast("bigint")
-    groups = members.groupBy(*keys).agg(n_parts.alias("_parts"), *extra)
-    parts = null_safe_join(members.select(*keys, "_value", F.xxhash64(*row_id).alias("_h")),
-                           groups.select(*keys, "_parts"), keys, "inner")
-    lists = parts.withColumn("part", F.pmod("_h", "_parts")).groupBy(*keys, "part").agg(listed)
-    return null_safe_join(lists, groups.drop("_parts"), keys, "inner") if extra else lists
+    parts = F.greatest(F.ceil(F.sum(size) / F.lit(float(max_bytes))), F.lit(1)).cast("bigint")
+    sized = null_safe_join(members, members.groupBy(*keys).agg(parts.alias("_parts")), keys, "inner")
+    return sized.groupBy(*keys, F.pmod("_h", "_parts").alias("part")).agg(
+        F.sort_array(F.collect_list("_value")).alias(name))
 
 
 def concat_group(df: DataFrame, keys: Sequence[str], text: str, row_id: Sequence[str],

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeops.functions.columns import cents
+from lakeops.operators.null_safe import null_safe_join
 from lakeops.operators.numbering import MAX_GROUP_ROWS, fits_one_task, number_rows, surrogate_key
 from lakeops.operators.windows import latest_per_key
 
@@ -36,18 +37,6 @@ def role_join(fact: DataFrame, dim: DataFrame, dim_key: str,
     return out
 
 
-def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str],
-                   how: str = "left") -> DataFrame:
-    """Equi-join in which NULL matches NULL."""
-    r = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys],
-                     *[c for c in right.columns if c not in keys])
-    on = None
-    for k in keys:
-        test = left[k].eqNullSafe(r[f"_r_{k}"])
-        on = test if on is None else on & test
-    return left.join(r, on, how).drop(*[f"_r_{k}" for k in keys])
-
-
 def asof_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_date: str,
               right_date: str, values: Sequence[str], tiebreak: Sequence[str] = (),
               max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:

@@ -51,7 +51,8 @@ def join_texts(*cols: str, head: str = "", tail: str = "", sep: str = "\n") -> C
 
 
 def _safe_call(scorer: Scorer, values: list, retries: int) -> list:
-    """The batch's results; after repeated failure row by row, NULL where it fails."""
+    """The batch's results. A batch that keeps failing is halved until the bad
+    rows are alone, and these are NULL."""
     for _ in range(retries + 1):
         try:
             out = list(scorer(values))
@@ -59,13 +60,10 @@ def _safe_call(scorer: Scorer, values: list, retries: int) -> list:
                 return out
         except Exception:
             continue
-    out = []
-    for v in values:
-        try:
-            out.append(scorer([v])[0])
-        except Exception:
-            out.append(None)
-    return out
+    if len(values) <= 1:
+        return [None] * len(values)
+    half = len(values) // 2
+    return _safe_call(scorer, values[:half], retries) + _safe_call(scorer, values[half:], retries)
 
 
 def map_text(df: DataFrame, text: str, make_scorer: Callable[[], Scorer], name: str = "result",
@@ -140,16 +138,18 @@ def unpivot_topics(df: DataFrame, ids: Sequence[str],
 
 def process_in_batches(df: DataFrame, id_col: str, size: int, fn: Callable[[DataFrame], DataFrame],
                        out: str) -> DataFrame:
-    """Run ``fn`` over every id batch not yet in ``out``; returns the table.
+    """Run ``fn`` over every row whose id is not yet in ``out``; returns the table.
 
     All pending batches go through one distributed job. Each is stored under its
-    ``batch_id``; a restart finds finished batches and leaves them alone.
+    ``batch_id``; a restart finds the ids that are done and leaves them alone, so
+    a batch that has grown is completed. ``fn`` has to keep ``id_col`` and
+    ``batch_id``, and a row without a result as a row with a NULL.
     """
     spark = df.sparkSession
     todo = df.withColumn("batch_id", F.floor(F.col(id_col) / size).cast("bigint"))
     try:
-        done = spark.read.parquet(out).select(F.col("batch_id").cast("bigint")).distinct()
-        todo = todo.join(done, "batch_id", "left_anti")
+        done = spark.read.parquet(out).select(F.col(id_col).alias("_done")).distinct()
+        todo = todo.join(done, todo[id_col].eqNullSafe(done["_done"]), "left_anti")
     except Exception as error:  # first run: there is no table yet
         if "PATH_NOT_FOUND" not in str(error):
             raise

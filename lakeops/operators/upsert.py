@@ -8,64 +8,44 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakeops.operators.null_safe import null_safe_join
 from lakeops.operators.windows import latest_per_key
-from lakeops.session import work_dir
+from lakeops.session import checkpointed, work_dir
 from lakeops.sources.writers import write_table
 
 
-BROADCAST_ROWS = 100_000  # measured source rows up to which the target is not shuffled
-
-
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
-           set_cols: Mapping[str, Column | str] | None = None,
-           broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+           set_cols: Mapping[str, Column | str] | None = None) -> DataFrame:
     """Target after a MERGE: matched rows updated, unmatched ones inserted.
 
     ``set_cols`` maps target columns to source expressions; by default every
     target column takes the source column of its name. Target columns left out
     keep their old value on update and are NULL on insert. The source keys must
-    be unique, as MERGE demands; the check also counts the source. A small
-    source is broadcast and the target stays where it is; otherwise one full
-    outer join does update and insert together.
+    be unique, as MERGE demands. The source is computed once, into a reliable
+    checkpoint that the check and the join both read; one full outer join does
+    update and insert together. NULL keys match nothing, so such rows are
+    inserted.
     """
-    per_key = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    size = per_key.agg(F.sum("n").alias("rows"), F.max("n").alias("most")).first()
-    if (size["most"] or 0) > 1:
-        raise ValueError(f"source has duplicate keys in {list(keys)}")
     if set_cols is None:
         set_cols = {c: c for c in target.columns if c not in keys and c in source.columns}
     exprs = {n: F.expr(e) if isinstance(e, str) else e for n, e in set_cols.items()}
-    new = source.select(*[F.col(k).alias(f"_k_{k}") for k in keys],
-                        *[e.alias(f"_s_{n}") for n, e in exprs.items()],
-                        F.lit(True).alias("_in_source"))
-
-    def same_key(left: DataFrame, right: DataFrame) -> Column:
-        tests = [left[k] == right[f"_k_{k}"] for k in keys]
-        return reduce(lambda a, b: a & b, tests)
-
-    def result(joined: DataFrame) -> DataFrame:
-        hit, out = F.col("_in_source").isNotNull(), []
-        for c in target.columns:
-            dtype = target.schema[c].dataType
-            if c in keys:
-                out.append(F.coalesce(F.col(c), F.col(f"_k_{c}")).cast(dtype).alias(c))
-            elif c in exprs:
-                out.append(F.when(hit, F.col(f"_s_{c}")).otherwise(F.col(c)).cast(dtype).alias(c))
-            else:
-                out.append(F.col(c))
-        return joined.select(*out)
-
-    if (size["rows"] or 0) > broadcast_rows:
-        return result(target.join(new, same_key(target, new), "full_outer"))
-    small = F.broadcast(new)
-    updated = result(target.join(small, same_key(target, small), "left"))
-    # Distinct keys of the target that the source has: never more rows than the source.
-    found = target.select(*keys).join(small, same_key(target, small), "left_semi").distinct()
-    missing = new.join(F.broadcast(found), same_key(found, new), "left_anti")
-    inserted = missing.select(*[
-        (F.col(f"_k_{c}") if c in keys else F.col(f"_s_{c}") if c in exprs else F.lit(None))
-        .cast(target.schema[c].dataType).alias(c) for c in target.columns])
-    return updated.unionByName(inserted)
+    new = checkpointed(source.select(*[F.col(k).alias(f"_k_{k}") for k in keys],
+                                     *[e.alias(f"_s_{n}") for n, e in exprs.items()]))
+    per_key = new.groupBy(*[f"_k_{k}" for k in keys]).agg(F.count(F.lit(1)).alias("n"))
+    if not per_key.filter("n > 1").isEmpty():
+        raise ValueError(f"source has duplicate keys in {list(keys)}")
+    same_key = reduce(lambda a, b: a & b, [target[k] == new[f"_k_{k}"] for k in keys])
+    joined = target.join(new.withColumn("_in_source", F.lit(True)), same_key, "full_outer")
+    hit, out = F.col("_in_source").isNotNull(), []
+    for c in target.columns:
+        dtype = target.schema[c].dataType
+        if c in keys:
+            out.append(F.when(hit, F.col(f"_k_{c}")).otherwise(F.col(c)).cast(dtype).alias(c))
+        elif c in exprs:
+            out.append(F.when(hit, F.col(f"_s_{c}")).otherwise(F.col(c)).cast(dtype).alias(c))
+        else:
+            out.append(F.col(c))
+    return joined.select(*out)
 
 
 def upsert_table(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str],
@@ -73,14 +53,15 @@ def upsert_table(spark: SparkSession, path: str, source: DataFrame, keys: Sequen
     """MERGE into a partitioned Parquet table, rewriting only touched partitions.
 
     ``partition_by`` must be one of the keys, so a row cannot change partition.
-    The merged partitions are staged in the shared folder first: no plan writes
-    to a path it reads.
+    The partition of NULL is a partition like others: its old rows are kept. The
+    merged partitions are staged in the shared folder first: no plan writes to a
+    path it reads.
     """
     if partition_by not in keys:
         raise ValueError("the partition column has to be part of the key")
     target = spark.read.parquet(path)
     touched = source.select(partition_by).distinct()
-    affected = target.join(touched, partition_by, "left_semi").select(*target.columns)
+    affected = null_safe_join(target, touched, [partition_by], "left_semi").select(*target.columns)
     merged = upsert(affected, source, keys, set_cols)
     staged = write_table(merged, work_dir(spark, "upsert"))
     return write_table(staged.select(*target.columns), path, partition_by=[partition_by], dynamic=True)

@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakeops.operators.numbering import MAX_GROUP_ROWS, fits_one_task
+from lakeops.operators.null_safe import null_safe_join
 
 
 def _cols(order: Sequence[Column | str]) -> list[Column]:
@@ -35,11 +35,15 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     return top_n(df, keys, newest, 1)
 
 
-def rank_best(df: DataFrame, group: Sequence[str], order: Sequence[Column | str],
+def rank_best(df: DataFrame, group: Sequence[str], by: str, descending: bool = False,
               rank_col: str = "rnk") -> DataFrame:
-    """Rows of rank 1, all ties kept."""
-    w = Window.partitionBy(*group).orderBy(*_cols(order))
-    return df.withColumn(rank_col, F.rank().over(w)).filter(F.col(rank_col) == 1)
+    """Rows of rank 1, all ties kept; a null value wins only where there is no other.
+
+    The best value of a group is an aggregate and its rows are found by a join,
+    so the ties of a hot group are never sorted in one task.
+    """
+    best = df.groupBy(*group).agg((F.max if descending else F.min)(by).alias(by))
+    return null_safe_join(df, best, [*group, by], "left_semi").withColumn(rank_col, F.lit(1))
 
 
 def ranked_totals(totals: DataFrame, order: Sequence[Column | str], n: int,
@@ -70,23 +74,19 @@ def cumulative_share(dist: DataFrame, order: str, share: str, name: str = "cumul
     return dist.withColumn(name, F.sum(share).over(w))
 
 
-def repeat_purchase(df: DataFrame, keys: Sequence[str], date: str, tiebreak: Sequence[str],
-                    max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+def repeat_purchase(df: DataFrame, keys: Sequence[str], date: str, tiebreak: Sequence[str]) -> DataFrame:
     """Repeat flag and days since the previous purchase of the same item.
 
-    Where a user and item may have more rows than one task should sort, only
-    the dates go through the window: a summary row per key and date carries the
-    date before it and the first line of the date. Later lines of a date have
-    that date itself as their predecessor.
+    Only dates go through the window: a row per key and date carries the date
+    before it and the first line of the date. Later lines of a date have that
+    date itself as their predecessor. Null users, items and dates are values
+    like others; a null date has no predecessor and is none.
     """
-    if fits_one_task(df, keys, max_group_rows):
-        prev = F.lag(date).over(Window.partitionBy(*keys).orderBy(date, *tiebreak))
-        out = df.withColumn("_prev", prev)
-    else:
-        line = F.struct(*[F.col(c) for c in tiebreak])
-        by_day = df.groupBy(*keys, date).agg(F.min(line).alias("_first_line"))
-        by_day = by_day.withColumn("_before", F.lag(date).over(Window.partitionBy(*keys).orderBy(date)))
-        prev = F.when(line == F.col("_first_line"), F.col("_before")).otherwise(F.col(date))
-        out = df.join(by_day, [*keys, date]).withColumn("_prev", prev)
+    line = F.struct(*[F.col(c) for c in tiebreak])
+    by_day = df.groupBy(*keys, date).agg(F.min(line).alias("_first_line"))
+    by_day = by_day.withColumn("_before", F.lag(date).over(Window.partitionBy(*keys).orderBy(date)))
+    first = line.eqNullSafe(F.col("_first_line"))
+    out = null_safe_join(df, by_day, [*keys, date], "left").withColumn(
+        "_prev", F.when(first, F.col("_before")).otherwise(F.col(date)))
     return out.select(*df.columns, F.col("_prev").isNotNull().alias("is_repeat_purchase"),
                       F.datediff(F.col(date), F.col("_prev")).alias("days_since_last_purchase"))

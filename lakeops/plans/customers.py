@@ -14,6 +14,7 @@ from lakeops.functions import labels as L
 from lakeops.functions.columns import bucketize, cents, money_sum, ranges_label, safe_div
 from lakeops.functions.dates import day
 from lakeops.operators.aggregates import collect_parts
+from lakeops.operators.null_safe import null_safe_join
 from lakeops.operators.sets import union_all
 from lakeops.operators.windows import latest_per_key
 
@@ -150,14 +151,16 @@ def abandoned_carts(carts: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def abandoned_cart_lists(carts: DataFrame, items: DataFrame, max_bytes: int = 32 << 20) -> DataFrame:
-    """The items of a user's abandoned carts as JSON, sorted by item.
+    """The items of a user's abandoned carts as JSON, sorted by item, per user and part.
 
-    One row per user (``part`` 0); only a list above ``max_bytes`` continues in
-    further parts.
+    Every user with a cart has a part 0, an empty list if nothing was left in it.
     """
     entry = F.struct(F.col("cart_item_id").alias("item_id"), "quantity", F.col("unit_price").alias("price"))
     parts = collect_parts(_lost_items(carts, items), ["user_id"], entry, ["cart_item_id"], max_bytes, "_items")
-    return parts.select("user_id", "part", F.to_json("_items").alias("abandoned_cart_item_list"))
+    everyone = carts.select("user_id").distinct()
+    return null_safe_join(everyone, parts, ["user_id"], "left").select(
+        "user_id", F.coalesce("part", F.lit(0)).alias("part"),
+        F.coalesce(F.to_json("_items"), F.lit("[]")).alias("abandoned_cart_item_list"))
 
 
 def latest_survey(survey: DataFrame) -> DataFrame:
@@ -231,15 +234,13 @@ def gold_users(users: DataFrame, line_members: DataFrame, orders: DataFrame, ite
                as_of: str, unique_orders: bool = False) -> DataFrame:
     """The complete customer-360 row per user.
 
-    The cart list shown is part 0 of :func:`abandoned_cart_lists`, which is the
-    whole list but for users above its size limit.
+    The items left in carts are counted here; their lists are the child table
+    :func:`abandoned_cart_lists`.
     """
     base = customer_profile(users, line_members, orders, loyalty, as_of, unique_orders)
     base = rfm_segments(channel_of(base))
-    first_list = abandoned_cart_lists(carts, cart_items).filter("part = 0").drop("part")
     return (
         base.join(abandoned_carts(carts, cart_items), "user_id", "left")
-        .join(first_list, "user_id", "left")
         .join(latest_survey(survey), "user_id", "left")
         .join(favourite(items), "user_id", "left")
         .withColumn("last_survey_positive_score",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
@@ -48,7 +49,12 @@ def future_frame(series: DataFrame, keys: Sequence[str], ds: str, y: str, horizo
 
 # --- forecast --------------------------------------------------------------
 
-_Z = {0.8: 1.2816, 0.9: 1.6449, 0.95: 1.9600, 0.99: 2.5758}
+
+def _quantile(level: float) -> float:
+    """Half width of the central band of a standard normal that holds ``level``."""
+    if not 0 < level < 1:
+        raise ValueError("level must be between 0 and 1")
+    return NormalDist().inv_cdf((1 + level) / 2)
 
 
 def _design(days: np.ndarray, origin: float, span: float, weekly: bool, yearly: bool) -> np.ndarray:
@@ -68,9 +74,14 @@ def fit_series(days: np.ndarray, y: np.ndarray, horizon: int, level: float) -> d
     ``days`` are day numbers in ascending order. log(1 + y) is regressed on
     trend and seasonality with a small ridge penalty, which makes the
     seasonality multiplicative. The band comes from the residual spread.
-    Seasonal terms need at least two full periods.
+    Seasonal terms need at least two full periods. A series without any value
+    has no forecast: its days come back with empty figures.
     """
     known = ~np.isnan(y)
+    if not known.any():
+        ahead = np.concatenate([days, days[-1] + 1 + np.arange(horizon)])
+        none = np.full(len(ahead), np.nan)
+        return {"days": ahead, "y": none, "yhat": none, "yhat_lower": none, "yhat_upper": none}
     origin, last = days[known][0], days[known][-1]
     span = max(last - origin, 1.0)
     weekly, yearly = span >= 14, span >= 730
@@ -82,7 +93,7 @@ def fit_series(days: np.ndarray, y: np.ndarray, horizon: int, level: float) -> d
     penalty[0] = 0.0
     beta = np.linalg.solve(x.T @ x + np.diag(penalty), x.T @ target)
     free = max(len(target) - x.shape[1], 1)
-    spread = _Z.get(level, 1.96) * np.sqrt(np.sum((target - x @ beta) ** 2) / free)
+    spread = _quantile(level) * np.sqrt(np.sum((target - x @ beta) ** 2) / free)
     fitted = design @ beta
 
     def back(v: np.ndarray) -> np.ndarray:
@@ -112,17 +123,14 @@ def forecast(series: DataFrame, keys: Sequence[str], ds: str = "ds", y: str = "y
             starts = _series_starts(table, keys)
             fits, owners = [], []
             for lo, hi in zip(starts, [*starts[1:], len(table)]):
-                if not np.isnan(actual[lo:hi]).all():
-                    fits.append(fit_series(days[lo:hi], actual[lo:hi], horizon, level))
-                    owners.append(np.full(hi - lo + horizon, lo))
-            if not fits:
-                continue
+                fits.append(fit_series(days[lo:hi], actual[lo:hi], horizon, level))
+                owners.append(np.full(hi - lo + horizon, lo))
             owner = pa.array(np.concatenate(owners))
             col = {n: np.concatenate([f[n] for f in fits]) for n in fits[0]}
             out = {k: table[k].take(owner) for k in keys}
             out["ds"] = pa.array(col["days"].astype("int32")).cast(pa.date32())
             out["y"] = pa.array(col["y"], mask=np.isnan(col["y"]))
-            out |= {n: pa.array(col[n]) for n in ("yhat", "yhat_lower", "yhat_upper")}
+            out |= {n: pa.array(col[n], mask=np.isnan(col[n])) for n in ("yhat", "yhat_lower", "yhat_upper")}
             yield from pa.table(out).to_batches()
 
     return daily.repartition(*keys).sortWithinPartitions(*keys, "days").mapInArrow(
@@ -221,19 +229,6 @@ def weekday_profile(series: DataFrame, ds: str = "ds", y: str = "y") -> DataFram
         F.avg("_sales").alias("sales"))
 
 
-def seasonal_stock(sales: DataFrame, origin: str) -> DataFrame:
-    """Stock estimate by item rank: A with a yearly wave, B and C flat.
-
-    The rank is the item id modulo 3. Random terms of a demo generator are left
-    out; B and C use the middle of their range.
-    """
-    wave = F.sin(F.datediff(F.col("order_date"), F.lit(origin).cast("date")) / 365 * 2 * 3.14159) * 0.5 + 0.8
-    q = F.col("sales_quantity").cast("double")
-    rank = F.pmod("item_id", F.lit(3))
-    level = F.when(rank == 0, q * wave).when(rank == 1, q * 1.4).otherwise(q * 1.95)
-    return sales.withColumn("stock_quantity", F.abs(level))
-
-
 def date_bounds(df: DataFrame, col: str) -> DataFrame:
     """First and last date as a one-row frame, for :func:`calendar`."""
     return df.agg(F.min(col).alias("start"), F.max(col).alias("end"))

@@ -1,4 +1,4 @@
-"""Silver and gold order tables, inventory derivation and rule scoring."""
+"""Silver and gold order tables and rule scoring."""
 
 from __future__ import annotations
 
@@ -7,8 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeops.functions import labels as L
-from lakeops.functions.columns import cents, flag, unit_hash
+from lakeops.functions.columns import cents, flag
 from lakeops.operators.aggregates import collect_parts
 from lakeops.operators.clean import active_only
 from lakeops.operators.joins import asof_join, denormalise, latest_stock_join, same_day_join
@@ -55,7 +54,6 @@ def gold_order_items(pos_items: DataFrame, ec_items: DataFrame, loyalty: DataFra
     """
     lines = union_all([pos_items.withColumn("purchase_channel", F.lit("POS")),
                        ec_items.withColumn("purchase_channel", F.lit("EC"))])
-    # Needs only the lines themselves, and measures them, so it comes first.
     lines = repeat_purchase(lines, ["user_id", "item_id"], "order_date", ["order_item_id", "subtotal"])
     points = latest_per_key(loyalty, ["user_id"], ["updated_date"], ["point_id"]).select(
         "user_id", F.col("point_balance").alias("points_earned"), "member_rank")
@@ -74,42 +72,21 @@ def gold_order_items(pos_items: DataFrame, ec_items: DataFrame, loyalty: DataFra
     return lines.join(answer, "user_id", "left").join(users, "user_id", "left")
 
 
-def gold_orders(items: DataFrame, header_cols: Sequence[str], max_bytes: int = 32 << 20) -> DataFrame:
-    """Gold orders: header attributes, totals and the lines as an array of structs.
+def gold_orders(items: DataFrame, header_cols: Sequence[str]) -> DataFrame:
+    """Gold orders: one row per order with its header attributes and totals.
 
-    Header attributes are equal on all lines of an order, so one aggregation
-    gives them together with the totals and the array. Only an order larger
-    than ``max_bytes`` comes in several parts.
+    Header attributes are equal on all lines of an order. The lines are in
+    :func:`gold_order_details`.
     """
-    detail = F.struct("category_name", "item_id", "quantity", "unit_price", "order_item_id")
-    totals = [F.sum("quantity").alias("order_quantity"), (F.sum(cents("subtotal")) / 100.0).alias("order_amount"),
-              *[F.min(c).alias(c) for c in header_cols]]
-    return collect_parts(items, ["order_id"], detail, ["order_item_id", "subtotal"], max_bytes, "order_details", totals)
-
+    return items.groupBy("order_id").agg(
+        F.sum("quantity").alias("order_quantity"), (F.sum(cents("subtotal")) / 100.0).alias("order_amount"),
+        *[F.min(c).alias(c) for c in header_cols])
 
-def derive_inventory(lines: DataFrame, seed: int = 0, level: Column | None = None) -> DataFrame:
-    """Stock row per line from what each store sold of each item.
 
-    ``level`` in [0, 1) sets how full the shelf is per store and item; by
-    default it is a repeatable hash of both.
-    """
-    if level is None:
-        level = unit_hash(F.concat_ws("/", "store_id", "item_id"), seed)
-    sold = lines.groupBy("store_id", "item_id").agg(F.sum("quantity").alias("total_quantity"))
-    sold = sold.withColumn("_level", level)
-    total = F.col("total_quantity").cast("double")
-    sold = sold.withColumn("quantity", F.when(F.col("_level") < 0.2, F.lit(0))
-                           .when(F.col("_level") < 0.6, F.round(total * F.col("_level") * 0.5))
-                           .otherwise(F.round(total * (F.col("_level") + 1))).cast("bigint"))
-    out = F.col("quantity") == 0
-    sold = sold.withColumns({
-        "inventory_type": F.when(out, L.STOCK_OUT).when(F.col("_level") < 0.4, L.STOCK_IN)
-        .otherwise(L.STOCK_TRANSIT),
-        "update_reason": F.when(out | (F.col("_level") < 0.4), L.REASON_SHIPPED)
-        .when(F.col("_level") < 0.8, L.REASON_RECEIVED).otherwise(L.REASON_COUNTED),
-    })
-    return lines.select("order_item_id", "store_id", "item_id", "order_date").join(
-        sold.drop("_level"), ["store_id", "item_id"])
+def gold_order_details(items: DataFrame, max_bytes: int = 32 << 20) -> DataFrame:
+    """The lines of an order as an array of structs, per order and part."""
+    detail = F.struct("category_name", "item_id", "quantity", "unit_price", "order_item_id")
+    return collect_parts(items, ["order_id"], detail, ["order_item_id", "subtotal"], max_bytes, "order_details")
 
 
 def apply_rules(df: DataFrame, col: str, rules: Sequence[tuple[Column | str, float]],

@@ -90,7 +90,7 @@ def rerank(recs: DataFrame, bookings: DataFrame, prefs: DataFrame, items: DataFr
 def nearest_offer(recs: DataFrame, seats: DataFrame, user: str, section: str, seat: str) -> DataFrame:
     """Recommended offers nearest to the user's seat; ties are all kept."""
     near = recs.join(seats, user).withColumn("distance", F.abs(F.col(section) - F.col(seat)))
-    return rank_best(near, [user], [F.col("distance")])
+    return rank_best(near, [user], "distance")
 
 
 def pack(top: DataFrame, keys: Sequence[str], cols: Sequence[str], order: Column | str) -> DataFrame:

@@ -6,13 +6,17 @@ that the same reports can be called as ``SELECT * FROM store_sales_ranking(5)``.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeops.functions import labels as L
 from lakeops.functions.columns import cents, money_sum
-from lakeops.operators.aggregates import collect_parts
+from lakeops.operators.aggregates import concat_group
 from lakeops.operators.clean import optional_filter
+from lakeops.operators.null_safe import null_safe_join
+from lakeops.operators.text import summarise
 from lakeops.operators.windows import latest_per_key, ranked_totals
 
 
@@ -98,22 +102,33 @@ def _spend() -> Column:
     return F.sum(F.col("quantity") * cents("unit_price")) / F.lit(100.0)
 
 
-def summarize_inquiries(survey: DataFrame, max_bytes: int = 32 << 20) -> DataFrame:
-    """Distinct answers per category with the category's mean score.
+def inquiry_texts(survey: DataFrame, max_bytes: int = 32 << 20, sep: str = "\n") -> DataFrame:
+    """The distinct answers of a category as one text per part of at most about ``max_bytes``."""
+    answers = survey.select("survey_category", "response_content").distinct()
+    return concat_group(answers, ["survey_category"], "response_content", ["response_content"], sep, max_bytes,
+                        "response_contents")
+
 
-    The answers of a category come as one list, or as several parts when they
-    exceed ``max_bytes``; a text model can then summarise part by part.
+def summarize_inquiries(survey: DataFrame, make_summary: Callable[[Column], Column] = summarise,
+                        max_bytes: int = 32 << 20) -> DataFrame:
+    """Per category: mean score, number of answers and a summary of the distinct answers.
+
+    The joined answers are summarised part by part (a category has one part
+    unless its answers exceed ``max_bytes``), and the short summaries are joined
+    by line. Answers without a category are a category of their own.
     """
     scores = survey.groupBy("survey_category").agg(
         F.avg("positive_score").alias("positive_score"), F.count(F.lit(1)).alias("n_responses"))
-    answers = survey.select("survey_category", "response_content").distinct()
-    lists = collect_parts(answers, ["survey_category"], F.col("response_content"), ["response_content"],
-                          max_bytes, "response_contents")
-    return lists.join(scores, "survey_category")
+    short = inquiry_texts(survey, max_bytes).select(
+        "survey_category", F.struct("part", make_summary(F.col("response_contents")).alias("text")).alias("_s"))
+    summaries = short.groupBy("survey_category").agg(
+        F.array_join(F.sort_array(F.collect_list("_s"))["text"], "\n").alias("summary"))
+    return null_safe_join(scores, summaries, ["survey_category"], "left")
 
 
 def register_sql_functions(spark: SparkSession) -> None:
-    """Temporary SQL functions over the views ``retail`` and ``store_items``."""
+    """Temporary SQL functions over the views ``retail``, ``retail_hours`` (with the
+    hour), ``store_items``, ``inventory``, ``stores`` and ``items``."""
     spark.sql(
         "CREATE OR REPLACE TEMPORARY FUNCTION transform_date(t STRING) RETURNS TIMESTAMP "
         "RETURN try_to_timestamp(t, 'M/d/yy H:mm')")
@@ -166,3 +181,42 @@ def register_sql_functions(spark: SparkSession) -> None:
           FROM retail
           WHERE (p_from IS NULL OR order_date >= p_from) AND (p_to IS NULL OR order_date <= p_to)
           GROUP BY order_date""")
+    spark.sql("""
+        CREATE OR REPLACE TEMPORARY FUNCTION store_stock(
+          p_store STRING DEFAULT NULL, p_item STRING DEFAULT NULL, limit_rows INT DEFAULT 10)
+        RETURNS TABLE (store_name STRING, item_name STRING, item_id BIGINT, inventory_date DATE, stock_quantity DOUBLE)
+        READS SQL DATA
+        RETURN
+          SELECT store_name, item_name, item_id, inventory_date, stock_quantity
+          FROM (SELECT *, row_number() OVER (ORDER BY store_name, item_name, item_id) AS at
+                FROM (SELECT s.store_name, i.item_name, n.item_id, n.inventory_date, n.stock_quantity,
+                             row_number() OVER (PARTITION BY n.store_id, n.item_id
+                                                ORDER BY n.inventory_date DESC, n.stock_quantity DESC) AS newest
+                      FROM inventory n JOIN stores s ON n.store_id = s.store_id JOIN items i ON n.item_id = i.item_id
+                      WHERE (p_store IS NULL OR s.store_name = p_store) AND (p_item IS NULL OR i.item_name = p_item))
+                WHERE newest = 1)
+          WHERE at <= limit_rows""")
+    spark.sql("""
+        CREATE OR REPLACE TEMPORARY FUNCTION customer_purchases(p_customer STRING DEFAULT NULL)
+        RETURNS TABLE (customer_id STRING, stock_code STRING, total_quantity_purchased BIGINT, total_spent DOUBLE)
+        READS SQL DATA
+        RETURN
+          SELECT customer_id, stock_code, sum(quantity), sum(quantity * CAST(rint(unit_price * 100) AS BIGINT)) / 100.0D
+          FROM retail WHERE p_customer IS NULL OR customer_id = p_customer GROUP BY customer_id, stock_code""")
+    spark.sql("""
+        CREATE OR REPLACE TEMPORARY FUNCTION product_sales(p_code STRING DEFAULT NULL)
+        RETURNS TABLE (stock_code STRING, total_quantity_sold BIGINT, total_revenue DOUBLE, distinct_customers BIGINT)
+        READS SQL DATA
+        RETURN
+          SELECT stock_code, sum(quantity), sum(quantity * CAST(rint(unit_price * 100) AS BIGINT)) / 100.0D,
+                 count(DISTINCT customer_id)
+          FROM retail WHERE p_code IS NULL OR stock_code = p_code GROUP BY stock_code""")
+    spark.sql("""
+        CREATE OR REPLACE TEMPORARY FUNCTION hourly_sales(p_from DATE DEFAULT NULL, p_to DATE DEFAULT NULL)
+        RETURNS TABLE (order_date DATE, order_hour STRING, total_quantity BIGINT, total_revenue DOUBLE)
+        READS SQL DATA
+        RETURN
+          SELECT order_date, order_hour, sum(quantity), sum(quantity * CAST(rint(unit_price * 100) AS BIGINT)) / 100.0D
+          FROM retail_hours
+          WHERE (p_from IS NULL OR order_date >= p_from) AND (p_to IS NULL OR order_date <= p_to)
+          GROUP BY order_date, order_hour""")

@@ -152,8 +152,8 @@ def c5(t):
 
 
 @query("c5_abandoned_cart_lists", f"""
-    SELECT user_id, CAST(0 AS BIGINT) AS part, count(*) AS n_items, sum(quantity) AS quantity
-    FROM ({_CARTS}) c JOIN ({_CART_ITEMS}) i ON c.cart_id = i.cart_id WHERE status = 0 GROUP BY user_id""")
+    SELECT c.user_id, CAST(0 AS BIGINT) AS part, count(i.cart_item_id) AS n_items, coalesce(sum(quantity), 0) AS quantity
+    FROM ({_CARTS}) c LEFT JOIN ({_CART_ITEMS}) i ON c.cart_id = i.cart_id AND status = 0 GROUP BY c.user_id""")
 def c5_lists(t):
     lists = CU.abandoned_cart_lists(_carts(t), _cart_items(t))
     back = F.from_json("abandoned_cart_item_list", "array<struct<item_id:bigint,quantity:double,price:double>>")
@@ -203,7 +203,7 @@ def c9(t):
 def c10(t):
     gold = CU.gold_users(_users(t), _line(t), _store_orders(t), _category_lines(t), _loyalty(t), _carts(t), _cart_items(t),
                          t.survey, AS_OF, unique_orders=True)
-    return gold.drop("abandoned_cart_item_list").withColumn(
+    return gold.withColumn(
         "last_survey_positive_score", F.col("last_survey_positive_score").cast("double"))
 
 
@@ -285,14 +285,27 @@ def c14(t):
 
 
 @query("c15_gold_orders", f"""
-    SELECT order_id, CAST(0 AS BIGINT) AS part, sum(quantity) AS order_quantity, {money('subtotal')} AS order_amount,
+    SELECT order_id, sum(quantity) AS order_quantity, {money('subtotal')} AS order_amount,
            min(user_id) AS user_id, min(order_date) AS order_date, count(*) AS n_details, sum(quantity) AS details_quantity
     FROM {{lines}} WHERE NOT cancel_flg GROUP BY order_id""")
 def c15(t):
-    items = _category_lines(t).filter("NOT cancel_flg").withColumn("unit_price", F.col("subtotal") / F.col("quantity"))
-    gold = OR.gold_orders(items, ["user_id", "order_date"])
-    return gold.withColumn("n_details", F.size("order_details").cast("bigint")).withColumn(
-        "details_quantity", F.aggregate("order_details.quantity", F.lit(0.0), lambda a, x: a + x)).drop("order_details")
+    items = _gold_items(t)
+    lines = OR.gold_order_details(items).groupBy("order_id").agg(
+        F.sum(F.size("order_details")).alias("n_details"),
+        F.sum(F.aggregate("order_details.quantity", F.lit(0.0), lambda a, x: a + x)).alias("details_quantity"))
+    return OR.gold_orders(items, ["user_id", "order_date"]).join(lines, "order_id")
+
+
+def _gold_items(t):
+    return _category_lines(t).filter("NOT cancel_flg").withColumn("unit_price", F.col("subtotal") / F.col("quantity"))
+
+
+@query("c15_gold_order_details", f"""
+    SELECT order_id, CAST(0 AS BIGINT) AS part, order_item_id, item_id, category_name, quantity, subtotal / quantity AS unit_price
+    FROM ({_CATEGORY_LINES}) WHERE NOT cancel_flg""")
+def c15_details(t):
+    lines = OR.gold_order_details(_gold_items(t)).select("order_id", "part", F.explode("order_details").alias("d"))
+    return lines.select("order_id", "part", "d.order_item_id", "d.item_id", "d.category_name", "d.quantity", "d.unit_price")
 
 
 _FEEDBACK = """SELECT user_id, CASE event_type WHEN 'view' THEN 'SMALL' WHEN 'click' THEN 'LARGE' ELSE 'PROMO' END AS category,
@@ -370,20 +383,6 @@ def c19(t):
     return distribution(t.orders, "o_orderpriority")
 
 
-@query("c20_derived_inventory", """
-    WITH s AS (SELECT store_id, item_id, sum(quantity) AS total_quantity, (store_id * 7 + item_id) % 10 / 10.0::DOUBLE AS lv
-               FROM {lines} GROUP BY ALL),
-    q AS (SELECT *, CAST(CASE WHEN lv < 0.2 THEN 0 WHEN lv < 0.6 THEN round(total_quantity * lv * 0.5)
-                              ELSE round(total_quantity * (lv + 1)) END AS BIGINT) AS quantity FROM s)
-    SELECT order_item_id, l.store_id, l.item_id, order_date, total_quantity, q.quantity,
-           CASE WHEN q.quantity = 0 THEN 'OUT_OF_STOCK' WHEN lv < 0.4 THEN 'IN_STOCK' ELSE 'IN_TRANSIT' END AS inventory_type,
-           CASE WHEN q.quantity = 0 OR lv < 0.4 THEN '出荷' WHEN lv < 0.8 THEN '入荷' ELSE '棚卸' END AS update_reason
-    FROM {lines} l JOIN q ON l.store_id = q.store_id AND l.item_id = q.item_id""")
-def c20(t):
-    level = ((F.col("store_id") * 7 + F.col("item_id")) % 10) / F.lit(10.0)
-    return OR.derive_inventory(t.lines, level=level)
-
-
 @query("c21_rule_scores", """
     SELECT order_item_id, greatest(0, least(45, quantity + CASE WHEN category_name = 'SMALL' THEN 2 ELSE 0 END
              + CASE WHEN area = 'ASIA' AND category_name = 'LARGE' THEN 5 ELSE 0 END

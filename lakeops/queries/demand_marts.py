@@ -188,15 +188,3 @@ def fc11(t):
 @query("fc12_calendar", _CALENDAR)
 def fc12(t):
     return _calendar(t)
-
-
-@query("fc13_seasonal_stock", """
-    SELECT order_date, item_id, store_id, n, round(abs(CASE item_id % 3
-      WHEN 0 THEN q * (sin(date_diff('day', DATE '1998-01-01', order_date) / 365 * 2 * 3.14159::DOUBLE) * 0.5::DOUBLE + 0.8::DOUBLE)
-      WHEN 1 THEN q * 1.4::DOUBLE ELSE q * 1.95::DOUBLE END), 3) AS stock_quantity
-    FROM (SELECT order_date, item_id, store_id, count(*) AS n, sum(quantity) AS q FROM {lines} GROUP BY ALL)""")
-def fc13(t):
-    sales = t.lines.groupBy("order_date", "item_id", "store_id").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("quantity").alias("sales_quantity"))
-    out = DM.seasonal_stock(sales, "1998-01-01")
-    return out.select("order_date", "item_id", "store_id", "n", F.round("stock_quantity", 3).alias("stock_quantity"))

@@ -9,9 +9,10 @@ from lakeops.queries.registry import query
 from lakeops.queries.table_functions import mirror_scorer
 from lakeops.session import work_dir
 
-TOPICS = L.REVIEW_TOPICS[:3]
+TOPICS = L.REVIEW_TOPICS
 TEMPLATE = "[review]{text}\n[topic]{topic} ({polarity})"
-_TOPIC_ROWS = "(VALUES ('食事と飲み物'), ('機内エンターテイメント'), ('機内Wi-Fiと接続性')) tt(topic)"
+_TOPIC_ROWS = ("(VALUES ('食事と飲み物'), ('機内エンターテイメント'), ('機内Wi-Fiと接続性'), ('価格に対する価値'), "
+               "('地上サービス'), ('機内スタッフのサービス品質'), ('座席の快適さ')) tt(topic)")
 
 
 @query("tx1_prompts", f"""
@@ -60,22 +61,27 @@ def tx6(t):
     return t.events.select("event_id", to_score(raw).alias("score"))
 
 
-_WIDE = """SELECT doc_id, lang, CASE WHEN quality = 1 THEN text ELSE '-' END AS pos_food, CASE WHEN toxic = 1 THEN text END AS neg_food,
-    CASE lang WHEN 'en' THEN source WHEN 'fr' THEN source || ' -' END AS pos_seat
-    FROM documents LEFT JOIN labels USING (doc_id)"""
+_SIDES = ("pos", "neg")
+_RESULT_COLS = [f"{side}_{n}" for side in _SIDES for n in range(len(TOPICS))]
+# Result n of a side: the text, its source, or nothing, by the document and the topic.
+_WIDE = "SELECT doc_id, lang, " + ", ".join(
+    f"CASE WHEN (doc_id + {n}) % 5 = 0 THEN NULL WHEN (doc_id + {n}) % 5 = 1 THEN '-' WHEN lang = 'fr' THEN source || ' -' "
+    f"WHEN coalesce({'quality' if side == 'pos' else 'toxic'}, 0) = 1 THEN text ELSE source || ' {side}{n}' END AS {side}_{n}"
+    for side in _SIDES for n in range(7)) + " FROM documents LEFT JOIN labels USING (doc_id)"
 
 
 def _wide(t):
-    en = F.when(F.col("lang") == "en", F.col("source")).when(F.col("lang") == "fr", F.concat("source", F.lit(" -")))
+    def result(side, n):
+        case = F.pmod(F.col("doc_id") + n, F.lit(5))
+        mark = F.coalesce("quality" if side == "pos" else "toxic", F.lit(0))
+        return (F.when(case == 0, None).when(case == 1, "-").when(F.col("lang") == "fr", F.concat("source", F.lit(" -")))
+                .when(mark == 1, F.col("text")).otherwise(F.concat("source", F.lit(f" {side}{n}"))))
     return t.documents.join(t.labels, "doc_id", "left").select(
-        "doc_id", "lang", F.when(F.col("quality") == 1, F.col("text")).otherwise("-").alias("pos_food"),
-        F.when(F.col("toxic") == 1, F.col("text")).alias("neg_food"), en.alias("pos_seat"))
+        "doc_id", "lang", *[result(side, n).alias(f"{side}_{n}") for side in _SIDES for n in range(len(TOPICS))])
 
 
-_CLEAN = f"""SELECT doc_id, lang, coalesce(CASE WHEN contains(pos_food, ' -') THEN '-' ELSE pos_food END, '-') AS pos_food,
-    coalesce(CASE WHEN contains(neg_food, ' -') THEN '-' ELSE neg_food END, '-') AS neg_food,
-    coalesce(CASE WHEN contains(pos_seat, ' -') THEN '-' ELSE pos_seat END, '-') AS pos_seat FROM ({_WIDE})"""
-_RESULT_COLS = ["pos_food", "neg_food", "pos_seat"]
+_CLEAN = "SELECT doc_id, lang, " + ", ".join(
+    f"coalesce(CASE WHEN contains({c}, ' -') THEN '-' ELSE {c} END, '-') AS {c}" for c in _RESULT_COLS) + f" FROM ({_WIDE})"
 
 
 @query("tx7_clean_results", _CLEAN)
@@ -83,16 +89,17 @@ def tx7(t):
     return X.clean_results(_wide(t), _RESULT_COLS)
 
 
-_LONG = f"""SELECT * FROM (
-    SELECT doc_id, lang, '食事と飲み物' AS review_category, pos_food AS review_details, 'positive' AS sentiment FROM ({_CLEAN})
-    UNION ALL SELECT doc_id, lang, '座席の快適さ', pos_seat, 'positive' FROM ({_CLEAN})
-    UNION ALL SELECT doc_id, lang, '食事と飲み物', neg_food, 'negative' FROM ({_CLEAN})) WHERE review_details <> '-'"""
+_LONG = f"WITH c AS ({_CLEAN}) SELECT * FROM (" + " UNION ALL ".join(
+    f"SELECT doc_id, lang, '{topic}' AS review_category, {side}_{n} AS review_details, '{name}' AS sentiment FROM c"
+    for side, name in (("pos", "positive"), ("neg", "negative"))
+    for n, topic in enumerate(("食事と飲み物", "機内エンターテイメント", "機内Wi-Fiと接続性", "価格に対する価値", "地上サービス",
+                               "機内スタッフのサービス品質", "座席の快適さ"))) + ") WHERE review_details <> '-'"
 
 
 def _long(t):
     return X.unpivot_topics(X.clean_results(_wide(t), _RESULT_COLS), ["doc_id", "lang"], {
-        "positive": {L.REVIEW_TOPICS[0]: "pos_food", L.REVIEW_TOPICS[6]: "pos_seat"},
-        "negative": {L.REVIEW_TOPICS[0]: "neg_food"}})
+        name: {topic: f"{side}_{n}" for n, topic in enumerate(TOPICS)}
+        for side, name in (("pos", "positive"), ("neg", "negative"))})
 
 
 @query("tx8_topics_to_rows", _LONG)

@@ -73,7 +73,42 @@ def src7(t):
     src, out, ckpt = _event_csv(t, "src7"), work_dir(t.spark, "src7-out"), work_dir(t.spark, "src7-ckpt")
     ingest.copy_into(t.spark, src, out, ckpt, EVENT_DDL)
     again = ingest.copy_into(t.spark, src, out, ckpt, EVENT_DDL)
-    return t.spark.read.parquet(out).drop("ingestion_time").withColumn("second_run", F.lit(again).cast("bigint"))
+    return ingest.read_batches(t.spark, out).drop("ingestion_time").withColumn("second_run", F.lit(again).cast("bigint"))
+
+
+@query("src7_copy_into_new_column", """
+    SELECT event_id, user_id, event_type, value, CASE WHEN event_id % 2 = 1 THEN 'n' || event_id END AS note,
+           CAST((SELECT count(*) FROM events WHERE event_id % 2 = 1) AS BIGINT) AS second_run FROM events""")
+def src7_new_column(t):
+    src, out, ckpt = (work_dir(t.spark, n) for n in ("src7n", "src7n-out", "src7n-ckpt"))
+    events = t.events.select("event_id", "user_id", "event_type", "value")
+    events.filter("event_id % 2 = 0").write.option("header", True).csv(src)
+    ingest.copy_into(t.spark, src, out, ckpt, EVENT_DDL)
+    more = events.filter("event_id % 2 = 1").withColumn("note", F.concat(F.lit("n"), F.col("event_id")))
+    more.write.mode("append").option("header", True).csv(src)
+    second = ingest.copy_into(t.spark, src, out, ckpt, EVENT_DDL)
+    return ingest.read_batches(t.spark, out).drop("ingestion_time").withColumn("second_run", F.lit(second).cast("bigint"))
+
+
+_EXTRA = """SELECT event_id, value, '{"event_type":"' || event_type || '"}' AS _rescued_data FROM events"""
+
+
+def _extra_stream(t, fmt):
+    """A stream of files with a column that the schema does not name."""
+    src, out, ckpt = (work_dir(t.spark, f"src6-{fmt}{n}") for n in ("", "-out", "-ckpt"))
+    writer = t.events.select("event_id", "event_type", "value").write
+    (writer.option("header", True) if fmt == "csv" else writer).format(fmt).save(src)
+    return ingest.bronze_stream(t.spark, src, fmt, out, ckpt, schema="event_id bigint, value double").drop(ingest.INGEST_TIME)
+
+
+@query("src6_rescued_csv_stream", _EXTRA)
+def src6_csv(t):
+    return _extra_stream(t, "csv")
+
+
+@query("src6_rescued_json_stream", _EXTRA)
+def src6_json(t):
+    return _extra_stream(t, "json")
 
 
 @query("src8_binary_as_base64", "SELECT item_id, text FROM benchmark")

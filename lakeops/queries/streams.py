@@ -114,16 +114,12 @@ def str7_label(t):
 
 @query("str7_streamed_sessions", f"""
     SELECT user_id, session_start, session_end + INTERVAL 30 MINUTE AS session_end, n_events
-    FROM ({_SESSIONS.replace("{op}", ">=")})""")
+    FROM ({_SESSIONS.replace("{op}", ">=")})
+    WHERE session_end + INTERVAL 30 MINUTE <= (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 1 HOUR FROM events)""")
 def str7_stream(t):
+    # Append mode: a session is written, and its state freed, once the watermark has passed its end.
     out = work_dir(t.spark, "str7-out")
     stream = SE.sessionize_stream(_event_stream(t, "str7-src", max_files=1000), "user_id", "ts")
-
-    def replace(df, _):
-        df.write.mode("overwrite").parquet(out)
-
-    q = (stream.writeStream.outputMode("complete").foreachBatch(replace)
-         .option("checkpointLocation", work_dir(t.spark, "str7-ckpt")).trigger(availableNow=True).start())
-    q.awaitTermination()
+    IN.run_once(stream, out, work_dir(t.spark, "str7-ckpt"))
     return t.spark.read.parquet(out).select("user_id", F.col("session_start").cast("timestamp_ntz").alias("session_start"),
                                             F.col("session_end").cast("timestamp_ntz").alias("session_end"), "n_events")

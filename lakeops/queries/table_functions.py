@@ -100,16 +100,24 @@ def tf7(t):
            CAST(sum(user_id) AS BIGINT) AS total_quantity,
            CAST(sum(user_id * CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total_revenue FROM events GROUP BY ALL""")
 def tf8(t):
-    return TF.sales_by_time_summary(t.events.select(
-        F.to_date("ts").alias("order_date"), F.lpad(F.hour("ts").cast("string"), 2, "0").alias("order_hour"),
-        F.col("user_id").alias("quantity"), F.col("value").alias("unit_price")))
+    return TF.sales_by_time_summary(_hours(t))
+
+
+_TEXTS = """SELECT survey_category, CAST(0 AS BIGINT) AS part,
+    array_to_string(list_sort(list(DISTINCT response_content)), chr(10)) AS response_contents FROM {survey} GROUP BY survey_category"""
+
 
+@query("tf9_inquiry_texts", _TEXTS)
+def tf9_texts(t):
+    return TF.inquiry_texts(t.survey)
 
-@query("tf9_summarize_inquiries", """
-    SELECT survey_category, CAST(0 AS BIGINT) AS part, array_to_string(list_sort(list(DISTINCT response_content)), chr(10)) AS response_contents,
-           avg(positive_score) AS positive_score, count(*) AS n_responses FROM {survey} GROUP BY survey_category""")
+
+@query("tf9_summarize_inquiries", f"""
+    SELECT s.survey_category, avg(positive_score) AS positive_score, count(*) AS n_responses,
+           any_value(substr(trim(regexp_extract(response_contents, '^[^.!?。！？\\n]*')), 1, 30)) AS summary
+    FROM {{survey}} s JOIN ({_TEXTS}) x ON s.survey_category = x.survey_category GROUP BY s.survey_category""")
 def tf9(t):
-    return TF.summarize_inquiries(t.survey).withColumn("response_contents", F.array_join("response_contents", "\n"))
+    return TF.summarize_inquiries(t.survey)
 
 
 # --- user functions --------------------------------------------------------
@@ -164,9 +172,13 @@ def ud5(t):
 
 
 @query("ud6_metrics_per_group", """
-    SELECT event_type, max(abs(value - 10)) AS worst, count(*) AS n FROM events GROUP BY event_type""")
+    SELECT event_type, round(avg(abs(e)), 6) AS mae, round(avg(e * e), 6) AS mse, round(sqrt(avg(e * e)), 6) AS rmse,
+           round(avg(abs(e / nullif(value, 0))) * 100, 6) AS mape, round(median(abs(e / nullif(value, 0))) * 100, 6) AS mdape
+    FROM (SELECT event_type, value, value - CAST(user_id % 20 AS DOUBLE) AS e FROM events) GROUP BY event_type""")
 def ud6(t):
-    return t.events.groupBy("event_type").agg(F.max(F.abs(F.col("value") - 10)).alias("worst"), F.count(F.lit(1)).alias("n"))
+    rows = t.events.withColumn("guess", F.pmod("user_id", F.lit(20)).cast("double"))
+    m = DM.forecast_metrics(rows, ["event_type"], "value", "guess")
+    return m.withColumns({c: F.round(c, 6) for c in ("mae", "mse", "rmse", "mape", "mdape")})
 
 
 @query("ud7_score_with_model")
@@ -234,7 +246,54 @@ def ud10_daily(t):
     return t.spark.sql("SELECT * FROM daily_sales()")
 
 
+@query("ud10_sql_store_stock", """
+    SELECT store_name, item_name, n.item_id, inventory_date, stock_quantity
+    FROM (SELECT * FROM {inventory}
+          QUALIFY row_number() OVER (PARTITION BY store_id, item_id ORDER BY inventory_date DESC, stock_quantity DESC) = 1) n
+    JOIN {items} i ON n.item_id = i.item_id JOIN {stores} s ON n.store_id = s.store_id
+    WHERE store_name = 'Supplier#000000003' ORDER BY store_name, item_name, n.item_id LIMIT 10""")
+def ud10_stock(t):
+    TF.register_sql_functions(_with_views(t))
+    return t.spark.sql("SELECT * FROM store_stock(p_store => 'Supplier#000000003')")
+
+
+@query("ud10_sql_customer_purchases", """
+    SELECT customer_id, stock_code, CAST(sum(quantity) AS BIGINT) AS total_quantity_purchased,
+           CAST(sum(quantity * CAST(unit_price AS DECIMAL(18,2))) AS DOUBLE) AS total_spent FROM {retail} GROUP BY ALL""")
+def ud10_purchases(t):
+    TF.register_sql_functions(_with_views(t))
+    return t.spark.sql("SELECT * FROM customer_purchases()")
+
+
+@query("ud10_sql_product_sales", """
+    SELECT stock_code, CAST(sum(quantity) AS BIGINT) AS total_quantity_sold,
+           CAST(sum(quantity * CAST(unit_price AS DECIMAL(18,2))) AS DOUBLE) AS total_revenue,
+           count(DISTINCT customer_id) AS distinct_customers FROM {retail} GROUP BY ALL""")
+def ud10_products(t):
+    TF.register_sql_functions(_with_views(t))
+    return t.spark.sql("SELECT * FROM product_sales()")
+
+
+@query("ud10_sql_hourly_sales", """
+    SELECT CAST(ts AS DATE) AS order_date, lpad(CAST(hour(ts) AS VARCHAR), 2, '0') AS order_hour,
+           CAST(sum(user_id) AS BIGINT) AS total_quantity,
+           CAST(sum(user_id * CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total_revenue FROM events GROUP BY ALL""")
+def ud10_hours(t):
+    TF.register_sql_functions(_with_views(t))
+    return t.spark.sql("SELECT * FROM hourly_sales()")
+
+
+def _hours(t):
+    return t.events.select(
+        F.to_date("ts").alias("order_date"), F.lpad(F.hour("ts").cast("string"), 2, "0").alias("order_hour"),
+        F.col("user_id").alias("quantity"), F.col("value").alias("unit_price"))
+
+
 def _with_views(t):
     _store_lines(t).createOrReplaceTempView("store_items")
+    _hours(t).createOrReplaceTempView("retail_hours")
+    t.inventory.createOrReplaceTempView("inventory")
+    t.stores.createOrReplaceTempView("stores")
+    t.items.createOrReplaceTempView("items")
     t.retail.createOrReplaceTempView("retail")
     return t.spark

@@ -42,7 +42,7 @@ def wn3(t):
     QUALIFY rank() OVER (PARTITION BY l_suppkey ORDER BY l_quantity DESC) = 1""")
 def wn4(t):
     lines = t.lineitem.select("l_suppkey", "l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
-    return W.rank_best(lines, ["l_suppkey"], [F.col("l_quantity").desc()])
+    return W.rank_best(lines, ["l_suppkey"], "l_quantity", descending=True)
 
 
 @query("wn5_ranked_totals", f"""

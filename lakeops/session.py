@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import atexit
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
+_scratch: list[tuple[SparkSession, str]] = []
 
 
 def get_spark(app: str = "lakeops", master: str | None = None, **conf: str) -> SparkSession:
@@ -35,19 +36,37 @@ def get_spark(app: str = "lakeops", master: str | None = None, **conf: str) -> S
 def shared_root(spark: SparkSession) -> str:
     """Folder every executor can reach, as the cluster names it.
 
-    Only a session without that setting (unit tests) gets a new local folder.
+    A session without that setting is an error, unless its master is ``local``:
+    there the driver is the only machine, and the warehouse folder will do.
     """
     root = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        root = tempfile.mkdtemp(prefix="lakeops-")
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError(f"set {CHECKPOINT_KEY} to a folder that all executors share")
+        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(root)
     return root
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
-    """A new, unused folder below the shared root."""
-    return os.path.join(shared_root(spark), "lakeops", f"{name}-{uuid.uuid4().hex[:12]}")
+    """A new, unused folder below the shared root, removed when the application ends."""
+    path = os.path.join(shared_root(spark), "lakeops", f"{name}-{uuid.uuid4().hex[:12]}")
+    if not _scratch:
+        atexit.register(_remove_scratch)
+    _scratch.append((spark, path))
+    return path
+
+
+def _remove_scratch() -> None:
+    """Remove the folders of this application; a session that has ended leaves them."""
+    for spark, path in _scratch:
+        try:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        except Exception:
+            return
 
 
 def checkpointed(df):

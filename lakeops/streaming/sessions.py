@@ -7,6 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lakeops.operators.null_safe import null_safe_join
+
 
 def _slot(ts: str, gap_seconds: int) -> Column:
     return F.floor(_micros(F.col(ts)) / F.lit(gap_seconds * 1_000_000))
@@ -50,12 +52,10 @@ def sessionize(events: DataFrame, user: str, ts: str, gap_seconds: int = 1800,
 
 def label_sessions(events: DataFrame, user: str, ts: str, gap_seconds: int = 1800,
                    strict: bool = False) -> DataFrame:
-    """Every event with the number of its session."""
+    """Every event with the number of its session; events without a time come first, as one session."""
     slots = session_slots(events, user, ts, gap_seconds, strict).select(user, "_slot", "session_no")
-    return (
-        events.withColumn("_slot", _slot(ts, gap_seconds)).join(slots, [user, "_slot"])
-        .select(*events.columns, "session_no")
-    )
+    slotted = events.withColumn("_slot", _slot(ts, gap_seconds))
+    return null_safe_join(slotted, slots, [user, "_slot"], "left").select(*events.columns, "session_no")
 
 
 def sessionize_stream(events: DataFrame, user: str, ts: str, gap: str = "30 minutes",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import sys
+import tempfile
 import time
 
 from lakeops.queries import ORACLES, QUERIES
@@ -14,7 +15,9 @@ def main(argv: list[str]) -> int:
     sf = argv[0] if argv else "0.01"
     prefixes = tuple(argv[1:])
     sf_dir = f"/root/testdata/sf{sf}"
-    spark = get_spark(master="local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "12g",
+    shared = tempfile.TemporaryDirectory(prefix="lakeops-check-")
+    spark = get_spark(master="local[8]", **{"spark.checkpoint.dir": f"file://{shared.name}",
+                                            "spark.sql.shuffle.partitions": "8", "spark.driver.memory": "12g",
                                             "spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf_dir)

@@ -49,11 +49,23 @@ def test_forecast_of_short_series(spark, values):
     assert all(r["yhat"] >= 0 and np.isfinite(r["yhat"]) for r in out)
 
 
-def test_forecast_ignores_empty_series_and_sums_days(spark):
+def test_forecast_of_empty_series_and_sums_of_days(spark):
     rows = [("a", date(2024, 1, 1), 1), ("a", date(2024, 1, 1), 2), ("b", date(2024, 1, 1), None)]
     out = DM.forecast(spark.createDataFrame(rows, "k string, ds date, y bigint"), ["k"], horizon=2).collect()
-    assert {r["k"] for r in out} == {"a"}
     assert [r["y"] for r in out if r["y"] is not None] == [3.0]
+    empty = [r for r in out if r["k"] == "b"]
+    assert len(empty) == 3 and all(r["yhat"] is None and r["yhat_upper"] is None for r in empty)
+
+
+def test_band_of_any_level(spark):
+    df = spark.createDataFrame(seasonal(60), "k int, ds date, y bigint")
+    width = {}
+    for level in (0.5, 0.85, 0.95, 0.999):
+        r = DM.forecast(df, ["k"], horizon=1, level=level).orderBy(F.col("ds").desc()).first()
+        width[level] = r["yhat_upper"] - r["yhat_lower"]
+    assert sorted(width, key=width.get) == sorted(width) and len(set(width.values())) == 4
+    with pytest.raises(ValueError):
+        DM.fit_series(np.arange(3.0), np.ones(3), 1, 1.5)
 
 
 def test_forecast_metrics_skip_zero_and_null(spark):
@@ -74,6 +86,19 @@ def test_text_model_errors_become_null(spark):
     assert {r["id"]: r["result"] for r in X.map_text(df, "s", scorer).collect()} == {1: "a!", 2: None, 3: "c!"}
 
 
+def test_a_bad_row_costs_few_calls():
+    calls = []
+
+    def scorer(batch):
+        calls.append(len(batch))
+        if "bad" in batch:
+            raise RuntimeError("service down")
+        return [s + "!" for s in batch]
+    values = ["a"] * 500 + ["bad"] + ["b"] * 523
+    assert X._safe_call(scorer, values, 0) == ["a!"] * 500 + [None] + ["b!"] * 523
+    assert len(calls) <= 2 * 11
+
+
 def test_sentiment_of_failed_row_is_null(spark):
     def scorer():
         return lambda batch: [("4 stars", 0.5) if s else 1 / 0 for s in batch]
@@ -88,7 +113,7 @@ def test_process_in_batches_restarts(spark):
     def work(df):
         return df.select("batch_id", "id")
 
-    X.process_in_batches(docs.filter("id < 10"), "id", 10, work, out)
+    X.process_in_batches(docs.filter("id < 6"), "id", 10, work, out)  # a batch that will grow
     assert X.process_in_batches(docs, "id", 10, work, out).count() == 25
     assert X.process_in_batches(docs, "id", 10, work, out).count() == 25
 
@@ -155,12 +180,14 @@ def test_abandoned_cart_lists_in_parts(spark):
     parts = CU.abandoned_cart_lists(carts, items, max_bytes=500)
     ids = parts.select(F.explode(F.from_json("abandoned_cart_item_list", "array<struct<item_id:int>>")).alias("x")).select("x.item_id")
     assert parts.count() > 1 and sorted(r[0] for r in ids.collect()) == list(range(40))
+    nothing_left = CU.abandoned_cart_lists(carts.withColumn("status", F.lit(1)), items).collect()
+    assert [tuple(r) for r in nothing_left] == [(10, 0, "[]")]
 
 
 def test_ties(spark):
     df = spark.createDataFrame([(1, 5, "a"), (1, 5, "b"), (1, 4, "c")], "k int, t int, v string")
     assert [r["v"] for r in latest_per_key(df, ["k"], ["t"], ["v"]).collect()] == ["b"]
-    assert {r["v"] for r in rank_best(df, ["k"], [F.col("t").desc()]).collect()} == {"a", "b"}
+    assert {r["v"] for r in rank_best(df, ["k"], "t", descending=True).collect()} == {"a", "b"}
 
 
 def test_rerank_splits_by_preference(spark):

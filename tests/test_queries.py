@@ -6,6 +6,7 @@ from lakeops.queries import ORACLES, QUERIES
 from tests.oracle import compare, connect
 
 SF_DIR = "/root/testdata/sf0.001"
+MAY_BE_EMPTY: set[str] = set()
 
 
 @pytest.fixture(scope="module")
@@ -15,7 +16,7 @@ def con():
 
 @pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, con, name):
-    problems = [p for p in compare(spark, con, name, SF_DIR) if p != "both results are empty"]
+    problems = [p for p in compare(spark, con, name, SF_DIR) if name not in MAY_BE_EMPTY or p != "both results are empty"]
     assert not problems
 
 

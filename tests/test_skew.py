@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from lakeops.operators.aggregates import collect_parts, concat_group
 from lakeops.operators.joins import asof_join, assign_round_robin, attach_members, latest_stock_join, same_day_join
 from lakeops.operators.numbering import following_pairs, largest_group, number_rows, surrogate_key
-from lakeops.operators.windows import repeat_purchase
+from lakeops.operators.windows import rank_best, repeat_purchase
+from lakeops.plans.orders import gold_order_details, gold_orders
+from lakeops.plans.table_functions import summarize_inquiries
 from lakeops.streaming.sessions import label_sessions, sessionize
 
 PLANS = pytest.mark.parametrize("max_rows", [10**9, 0], ids=["window", "split"])
@@ -68,20 +70,20 @@ def test_following_pairs(hot, max_rows):
     assert got == dict(want)
 
 
-@PLANS
-def test_repeat_purchase(spark, hot, max_rows):
+def test_repeat_purchase(hot):
+    """Null users and dates are kept; a null date is no predecessor."""
     day0 = date(2024, 1, 1)
-    lines = hot.filter("k IS NOT NULL").withColumn("d", F.date_add(F.lit(day0), F.col("t")))
+    lines = hot.withColumn("d", F.when(F.col("t") > 0, F.date_add(F.lit(day0), F.col("t"))))
     got = {r["id"]: (r["is_repeat_purchase"], r["days_since_last_purchase"])
-           for r in repeat_purchase(lines, ["k", "v"], "d", ["id"], max_rows).collect()}
+           for r in repeat_purchase(lines, ["k", "v"], "d", ["id"]).collect()}
     groups, want = defaultdict(list), {}
     for i, k, t, v in hot_rows():
-        if k is not None:
-            groups[k, v].append((t, i))
+        groups[k, v].append((t, i))
     for g in groups.values():
         g.sort()
         for n, (t, i) in enumerate(g):
-            want[i] = (n > 0, t - g[n - 1][0] if n else None)
+            before = g[n - 1][0] if n else 0
+            want[i] = (before > 0, t - before if before else None)
     assert got == want
 
 
@@ -129,6 +131,35 @@ def test_collect_parts_keeps_every_member(hot, max_bytes):
     assert len(hot_parts) == 1 if max_bytes > 2000 else len(hot_parts) > 10
 
 
+@pytest.mark.parametrize("max_bytes", [1 << 30, 100], ids=["whole", "parts"])
+def test_order_totals_at_any_list_size(spark, max_bytes):
+    lines = spark.createDataFrame([(1, n, n, 1.0, 2.0, "c", 9) for n in range(40)] + [(None, 50, 1, 3.0, 4.0, "c", 9)],
+                                  "order_id int, order_item_id int, item_id int, quantity double, subtotal double, category_name string, user_id int")
+    lines = lines.withColumn("unit_price", F.lit(2.0))
+    totals = {r["order_id"]: (r["order_quantity"], r["order_amount"]) for r in gold_orders(lines, ["user_id"]).collect()}
+    assert totals == {1: (40.0, 80.0), None: (3.0, 4.0)}
+    parts = gold_order_details(lines, max_bytes)
+    back = parts.select("order_id", F.explode("order_details").alias("d")).groupBy("order_id").agg(F.sum("d.quantity").alias("q"))
+    assert {r["order_id"]: r["q"] for r in back.collect()} == {1: 40.0, None: 3.0}
+    assert parts.filter("order_id = 1").count() > 1 if max_bytes == 100 else parts.count() == 2
+
+
+def test_summaries_keep_the_null_category(spark):
+    survey = spark.createDataFrame([("a", "x one. more", 1.0), ("a", "y two", 3.0), (None, "z", 5.0)],
+                                   "survey_category string, response_content string, positive_score double")
+    for max_bytes in (1 << 20, 1):
+        got = {r["survey_category"]: (r["positive_score"], r["n_responses"]) for r in summarize_inquiries(survey, max_bytes=max_bytes).collect()}
+        assert got == {"a": (2.0, 2), None: (5.0, 1)}
+    assert {r["survey_category"]: r["summary"] for r in summarize_inquiries(survey).collect()} == {"a": "x one", None: "z"}
+
+
+def test_events_without_user_or_time_keep_a_session(spark):
+    at = datetime(2024, 1, 1)
+    df = spark.createDataFrame([(1, None, at), (2, None, at + timedelta(hours=2)), (3, 5, None), (4, 5, at)], "id int, u int, ts timestamp")
+    got = {r["id"]: r["session_no"] for r in label_sessions(df, "u", "ts").collect()}
+    assert got == {1: 1, 2: 2, 3: 1, 4: 2}
+
+
 def test_concat_group_joins_sorted_text(spark):
     df = spark.createDataFrame([(1, 1, "b"), (2, 1, "a"), (3, 2, None)], "id int, k int, s string")
     got = {r["k"]: r["text"] for r in concat_group(df, ["k"], "s", ["id"]).collect()}
@@ -187,3 +218,11 @@ def test_sessions_against_loop(spark, strict):
                  for r in sessionize(df, "u", "ts", strict=strict).collect())
     assert got == sorted(want)
     assert {r["id"]: r["session_no"] for r in label_sessions(df, "u", "ts", strict=strict).collect()} == labels
+
+
+def test_ties_of_a_hot_group(hot):
+    got = {r["id"] for r in rank_best(hot, ["k"], "t", descending=True).collect()}
+    best = defaultdict(int)
+    for _, k, t, _ in hot_rows():
+        best[k] = max(best[k], t)
+    assert got == {i for i, k, t, _ in hot_rows() if t == best[k]}

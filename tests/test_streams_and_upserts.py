@@ -83,7 +83,39 @@ def test_null_injection_expectations(spark):
         "ds": (21, 10), "item": (21, 10), "vm": (21, 10)}
 
 
-def test_rescued_data_of_csv_stream(spark):
+@pytest.mark.parametrize("fmt", ["csv", "json"])
+def test_streams_rescue_undeclared_columns(spark, fmt):
+    src, out, ckpt = (work_dir(spark, f"rescue-{fmt}{n}") for n in ("", "-o", "-c"))
+
+    def put_files(rows, ddl):
+        writer = spark.createDataFrame(rows, ddl).coalesce(1).write.mode("append")
+        (writer.option("header", True) if fmt == "csv" else writer).format(fmt).save(src)
+
+    put_files([("1", "x")], "a string, b string")
+    put_files([("extra", "2"), ("more", "bad")], "c string, a string")
+    got = ingest.bronze_stream(spark, src, fmt, out, ckpt, schema="a int, b string").collect()
+    assert sorted(((r["a"], r["b"], r["_rescued_data"]) for r in got), key=str) == sorted(
+        [(1, "x", None), (2, None, '{"c":"extra"}'), (None, None, '{"a":"bad","c":"more"}')], key=str)
+    put_files([("7", "y", "z")], "a string, b string, d string")
+    assert ingest.bronze_stream(spark, src, fmt, out, ckpt, schema="a int, b string").count() == 4
+
+
+def test_copy_into_widens_the_table(spark):
+    src, out, ckpt = (work_dir(spark, f"widen{n}") for n in ("", "-o", "-c"))
+    for rows, ddl, n in (([(1, "a")], "k int, v string", 1), ([(2, "b", "new"), (3, "c", None)], "k int, v string, w string", 2)):
+        spark.createDataFrame(rows, ddl).coalesce(1).write.mode("append").option("header", True).csv(src)
+        assert ingest.copy_into(spark, src, out, ckpt, "k int, v string") == n
+    got = {r["k"]: r["w"] for r in ingest.read_batches(spark, out).collect()}
+    assert got == {1: None, 2: "new", 3: None}
+
+
+def test_many_batches_are_all_counted(spark):
+    src, out, ckpt = (work_dir(spark, f"many{n}") for n in ("", "-o", "-c"))
+    spark.range(12).repartition(12).write.option("header", True).csv(src)
+    assert ingest.copy_into(spark, src, out, ckpt, "id bigint", max_files=1) == 12
+
+
+def test_rescued_data_of_rows(spark):
     raw = spark.createDataFrame([("1", "x", "p"), ("y", "2", None)], "a string, b string, extra string")
     got = [(r["a"], r["b"], r["_rescued_data"]) for r in with_rescued(raw, "a int, b int").orderBy("a").collect()]
     assert got == [(None, 2, '{"a":"y"}'), (1, None, '{"b":"x","extra":"p"}')]
@@ -98,12 +130,31 @@ def test_upsert_rejects_duplicate_source_keys(spark):
         upsert(target, source, ["k"])
 
 
-@pytest.mark.parametrize("broadcast_rows", [100, 0], ids=["broadcast", "shuffle"])
-def test_upsert_sets_null_values(spark, broadcast_rows):
+def test_upsert_sets_null_values(spark):
     target = spark.createDataFrame([(1, "a", 1), (2, "b", 2)], "k int, v string, keep int")
-    source = spark.createDataFrame([(1, None), (3, "n")], "k int, v string")
-    got = sorted((r["k"], r["v"], r["keep"]) for r in upsert(target, source, ["k"], broadcast_rows=broadcast_rows).collect())
-    assert got == [(1, None, 1), (2, "b", 2), (3, "n", None)]
+    source = spark.createDataFrame([(1, None), (3, "n"), (None, "x")], "k int, v string")
+    got = sorted(((r["k"], r["v"], r["keep"]) for r in upsert(target, source, ["k"]).collect()), key=str)
+    assert got == sorted([(1, None, 1), (2, "b", 2), (3, "n", None), (None, "x", None)], key=str)
+
+
+def test_upsert_reads_its_source_once(spark):
+    runs = spark.sparkContext.accumulator(0)
+
+    def count(rows):
+        runs.add(1)
+        return rows
+    source = spark.createDataFrame(spark.sparkContext.parallelize([(1, "b")], 1).mapPartitions(count), "k int, v string")
+    assert upsert(spark.createDataFrame([(1, "a")], "k int, v string"), source, ["k"]).count() == 1
+    assert runs.value == 1
+
+
+def test_upsert_keeps_the_null_partition(spark):
+    path = work_dir(spark, "null-part")
+    write_table(spark.createDataFrame([(1, None, "old"), (2, "x", "old")], "k int, p string, v string"), path, partition_by=["p"])
+    source = spark.createDataFrame([(9, None, "new")], "k int, p string, v string")
+    out = upsert_table(spark, path, source, ["k", "p"], "p")
+    assert sorted(map(tuple, out.select("k", "p", "v").collect()), key=str) == sorted(
+        [(1, None, "old"), (2, "x", "old"), (9, None, "new")], key=str)
 
 
 def test_upsert_table_touches_only_its_partitions(spark):
