@@ -81,6 +81,22 @@ def map_text(df: DataFrame, text: str, make_scorer: Callable[[], Scorer], name:
     return df.withColumn(name, score(F.col(text)))
 
 
+def score_rows(df: DataFrame, cols: Sequence[str], make_scorer: Callable[[], Callable[[pd.DataFrame], Sequence]],
+               name: str = "prediction", result_type: T.DataType | str = "double") -> DataFrame:
+    """Apply a model to a struct of columns; the result has the declared type.
+
+    ``make_scorer`` is called once per task (load the model there) and gives a
+    function from a pandas frame of the columns to one result per row.
+    """
+    @F.pandas_udf(result_type)
+    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
+        scorer = make_scorer()
+        for batch in batches:
+            yield pd.Series(scorer(batch))
+
+    return df.withColumn(name, score(F.struct(*[F.col(c) for c in cols])))
+
+
 def sentiment(df: DataFrame, text: str, make_scorer: Callable[[], Scorer]) -> DataFrame:
     """``positive_score`` = stars × probability from a scorer that yields
     ``("n stars", probability)``; a failed row scores as unknown."""

@@ -177,6 +177,25 @@ def forecast_metrics(df: DataFrame, keys: Sequence[str], y: str, yhat: str) -> D
     )
 
 
+def forecast_fit(out: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """How a forecast fits its own history, per series.
+
+    ``spread`` is the sum of squares of log(1 + y) around its mean, ``fits``
+    whether the forecast leaves no more than that (a regression with a constant
+    cannot leave more) and, over all series, clearly less. ``ordered``: every
+    figure lies in its band and is not negative.
+    """
+    known = F.col("y").isNotNull()
+    rest = F.log1p("y") - F.log1p("yhat")
+    per = out.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(~known).alias("n_future"),
+        F.every((F.col("yhat_lower") <= F.col("yhat")) & (F.col("yhat") <= F.col("yhat_upper")) & (F.col("yhat") >= 0)).alias("ordered"),
+        F.round(F.var_pop(F.when(known, F.log1p("y"))) * F.count_if(known), 6).alias("spread"),
+        F.sum(F.when(known, rest * rest)).alias("_left"))
+    total = per.agg((F.sum("_left") < F.sum("spread") * 0.999)).first()[0]
+    return per.withColumn("fits", (F.col("_left") <= F.col("spread") + 1e-5) & F.lit(bool(total))).drop("_left")
+
+
 def attach_actuals(forecasts: DataFrame, history: DataFrame, on: Sequence[str], actual: str) -> DataFrame:
     """Forecast rows with the actual of the same series and date, where known."""
     return forecasts.join(history.select(*on, actual), list(on), "left")

@@ -52,9 +52,13 @@ def train_als(ratings: DataFrame, user: str, item: str, rating: str = "rating",
     return als.fit(ratings)
 
 
-def recommend(model: ALSModel, k: int = 30) -> DataFrame:
-    """Top ``k`` items for every user, as arrays."""
-    return model.recommendForAllUsers(k)
+def recommend(model: ALSModel, k: int = 30, users: DataFrame | None = None) -> DataFrame:
+    """Top ``k`` items as arrays, for the given users or for all.
+
+    Each user is scored against every item, so name the users that matter (the
+    booked ones, say) where they are few.
+    """
+    return model.recommendForAllUsers(k) if users is None else model.recommendForUserSubset(users, k)
 
 
 def flatten_recs(recs: DataFrame, user: str) -> DataFrame:

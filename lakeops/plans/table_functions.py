@@ -57,7 +57,7 @@ def store_item_stock(inventory: DataFrame, items: DataFrame, stores: DataFrame,
     return ranked_totals(named, [F.col("store_name"), F.col("item_name"), F.col("item_id")], limit).drop("row_num")
 
 
-def store_product_inventory(sales: DataFrame, products: DataFrame, store_id: int, product_id: int,
+def store_product_inventory(sales: DataFrame, products: DataFrame, store_id: int, product_id: int | Column,
                             any_rank: bool = False) -> DataFrame:
     """Stock of a product in a store, with its sales there.
 

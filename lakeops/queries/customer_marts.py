@@ -2,7 +2,6 @@
 
 from pyspark.sql import functions as F
 
-from lakeops.functions import labels as L
 from lakeops.functions.columns import flag, status_code
 from lakeops.operators.aggregates import distribution, duplicates
 from lakeops.operators.joins import ratio_within_group
@@ -10,7 +9,7 @@ from lakeops.operators.numbering import following_pairs
 from lakeops.plans import customers as CU
 from lakeops.plans import orders as OR
 from lakeops.queries.registry import AS_OF, query
-from lakeops.queries.sql import ladder, money, money_if, range_ladder
+from lakeops.queries.sql import frequency, money, money_if, order_value, recency
 
 _POS, _EC = "channel = 'POS'", "channel = 'EC'"
 _SCOPES = {"all": "TRUE", "pos": _POS, "ec": _EC}
@@ -28,9 +27,9 @@ _RFM = "SELECT user_id, " + ", ".join(f"""
     for s, c in _SCOPES.items()) + " FROM {sales} GROUP BY user_id"
 
 _SEGMENTS = ", ".join(
-    f"{ladder(f'r_days_since_last_purchase_{s}', L.RECENCY_EDGES, L.RECENCY_LABELS, '<=')} AS r_recency_segment_{s}, "
-    f"{range_ladder(f'f_purchase_count_{s}', L.FREQUENCY_RANGES, L.FREQUENCY_DEFAULT)} AS f_frequency_segment_{s}, "
-    f"{ladder(f'm_average_order_value_{s}', L.MONETARY_EDGES, L.MONETARY_LABELS)} AS m_monetary_segment_{s}" for s in _SCOPES)
+    f"{recency(f'r_days_since_last_purchase_{s}')} AS r_recency_segment_{s}, "
+    f"{frequency(f'f_purchase_count_{s}')} AS f_frequency_segment_{s}, "
+    f"{order_value(f'm_average_order_value_{s}')} AS m_monetary_segment_{s}" for s in _SCOPES)
 
 _CHANNEL = ", ".join(
     f"if(coalesce({w}_purchase_date_pos {op} {w}_purchase_date_ec, {w}_purchase_date_ec IS NULL), 'POS', 'EC') AS {w}_purchase_channel"
@@ -327,7 +326,7 @@ def _tx(t):
 
 
 _GROUPS = {"small": ["SMALL"], "large": ["LARGE"]}
-_AGE_GROUP = f"{ladder('age', L.AGE_EDGES, L.AGE_LABELS)} AS age_group"
+_AGE_GROUP = "CASE WHEN age < 35 THEN '若年層' WHEN age < 55 THEN '中年層' ELSE 'シニア層' END AS age_group"
 
 
 @query("c16_user_category_metrics", f"""

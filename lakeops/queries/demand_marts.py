@@ -60,14 +60,10 @@ def fc2(t):
 
 
 @query("fc3_forecast", """
-    SELECT machine_id, item, count(*) + 90 AS n_rows, CAST(90 AS BIGINT) AS n_future, TRUE AS ordered, TRUE AS beats_nothing
-    FROM {demand} GROUP BY ALL""")
+    SELECT machine_id, item, count(*) + 90 AS n_rows, CAST(90 AS BIGINT) AS n_future, TRUE AS ordered,
+           round(CAST(var_pop(ln(1 + y)) * count(*) AS DOUBLE), 6) AS spread, TRUE AS fits FROM {demand} GROUP BY ALL""")
 def fc3(t):
-    out = DM.forecast(t.demand, ["machine_id", "item"])
-    inside = (F.col("yhat_lower") <= F.col("yhat")) & (F.col("yhat") <= F.col("yhat_upper"))
-    return out.groupBy("machine_id", "item").agg(
-        F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("y").isNull()).alias("n_future"),
-        F.every(inside).alias("ordered"), F.every(F.col("yhat") >= 0).alias("beats_nothing"))
+    return DM.forecast_fit(DM.forecast(t.demand, ["machine_id", "item"]), ["machine_id", "item"])
 
 
 @query("fc4_future_frame", """

@@ -159,11 +159,29 @@ def _churn(t):
     return FT.label(rows, "spent / n_orders > 260000")
 
 
-@query("ml10_classifier")
+def _metrics(scored):
+    """F1 weighted by class, from the confusion matrix, and the accuracies of the model and of the larger class."""
+    n = {(r["label"], r["prediction"]): r["n"] for r in FT.confusion_matrix(scored, "label", "prediction").collect()}
+    total, f1, per_class = sum(n.values()), 0.0, {}
+    for c in {k[0] for k in n}:
+        actual = sum(v for k, v in n.items() if k[0] == c)
+        guessed = sum(v for k, v in n.items() if k[1] == c)
+        per_class[c] = actual
+        f1 += actual * 2 * n.get((c, float(c)), 0) / max(actual + guessed, 1)
+    right = sum(v for (label, guess), v in n.items() if label == guess)
+    return f1 / total, right / total, max(per_class.values()) / total
+
+
+@query("ml10_classifier", """
+    SELECT count(*) > 0 AS has_rows, TRUE AS f1_agrees, TRUE AS ranks_better_than_chance, TRUE AS at_least_the_larger_class FROM customer""")
 def ml10(t):
     rows = FT.split(_churn(t), "c_custkey", {"train": 0.8, "test": 0.2})
-    model = FT.train_classifier(rows.filter("split = 'train'"), "label", ["c_acctbal", "n_orders", "largest"], depths=[2, 3], max_iter=3)
-    return FT.confusion_matrix(model.transform(rows.filter("split = 'test'")), "label", "prediction")
+    model = FT.train_classifier(rows.filter("split = 'train'"), "label", ["c_acctbal", "n_orders", "largest"])
+    scored = model.transform(rows.filter("split = 'test'"))
+    told, (f1, right, larger) = FT.evaluate(scored, "label"), _metrics(scored)
+    return scored.agg((F.count(F.lit(1)) > 0).alias("has_rows"), F.lit(abs(told["f1"] - f1) < 1e-6).alias("f1_agrees"),
+                      F.lit(told["roc_auc"] > 0.5 and 0 < told["pr_auc"] <= 1).alias("ranks_better_than_chance"),
+                      F.lit(right > larger - 0.1).alias("at_least_the_larger_class"))
 
 
 @query("ml10_confusion_matrix", "SELECT toxic, quality, count(*) AS n FROM labels GROUP BY ALL")
@@ -172,16 +190,17 @@ def ml10_matrix(t):
 
 
 @query("ml11_batch_scoring", """
-    SELECT c_custkey, CAST(CASE WHEN spent / n > 260000 THEN 1 ELSE 0 END AS INTEGER) AS label, TRUE AS scored, TRUE AS stamped
+    SELECT c_custkey, CAST(CASE WHEN spent / n > 260000 THEN 1 ELSE 0 END AS INTEGER) AS label, TRUE AS scored, TRUE AS stamped, TRUE AS model_fits
     FROM customer JOIN (SELECT o_custkey, count(*) AS n, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS spent
                         FROM orders GROUP BY ALL) ON c_custkey = o_custkey""")
 def ml11(t):
     rows = _churn(t)
-    model = FT.train_classifier(rows, "label", ["c_acctbal", "n_orders", "largest"], depths=[2], max_iter=2)
+    model = FT.train_classifier(rows, "label", ["c_acctbal", "n_orders", "largest"], depths=[3])
     scored = FT.score(model, rows).select("c_custkey", "label", "prediction", "prediction_timestamp")
     table = append_table(scored, work_dir(t.spark, "ml11"))
+    _, right, larger = _metrics(table)
     return table.select("c_custkey", "label", F.col("prediction").isin(0.0, 1.0).alias("scored"),
-                        F.col("prediction_timestamp").isNotNull().alias("stamped"))
+                        F.col("prediction_timestamp").isNotNull().alias("stamped"), F.lit(right > larger).alias("model_fits"))
 
 
 @query("ml12_chart_data", f"""

@@ -2,13 +2,12 @@
 
 from pyspark.sql import functions as F
 
-from lakeops.functions import labels as L
 from lakeops.operators import quality as Q
 from lakeops.operators.upsert import state_as_of, upsert, upsert_table
 from lakeops.plans import profiles as P
 from lakeops.plans.orders import stock_profile
 from lakeops.queries.registry import AS_OF, query
-from lakeops.queries.sql import range_ladder
+from lakeops.queries.sql import frequency_group, price_range
 from lakeops.session import work_dir
 from lakeops.sources.writers import append_table, write_table
 
@@ -92,16 +91,14 @@ def dq3(t):
     return Q.check_fk(t.documents.select("doc_id", "lang"), t.labels, "doc_id", "doc_id")
 
 
-@query("dq4_profile", """
-    SELECT 'o_orderkey' AS column_name, count(*) AS n_rows, count(*) - count(o_orderkey) AS n_null,
-           count(DISTINCT o_orderkey) AS n_distinct, CAST(min(o_orderkey) AS VARCHAR) AS min_value,
-           CAST(max(o_orderkey) AS VARCHAR) AS max_value FROM orders
-    UNION ALL SELECT 'o_custkey', count(*), count(*) - count(o_custkey), count(DISTINCT o_custkey),
-           CAST(min(o_custkey) AS VARCHAR), CAST(max(o_custkey) AS VARCHAR) FROM orders
-    UNION ALL SELECT 'o_orderpriority', count(*), count(*) - count(o_orderpriority), count(DISTINCT o_orderpriority),
-           min(o_orderpriority), max(o_orderpriority) FROM orders""")
+_ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+
+
+@query("dq4_profile", " UNION ALL ".join(f"""
+    SELECT '{c}' AS column_name, count(*) AS n_rows, count(*) - count({c}) AS n_null, count(DISTINCT {c}) AS n_distinct,
+           CAST(min({c}) AS VARCHAR) AS min_value, CAST(max({c}) AS VARCHAR) AS max_value FROM orders""" for c in _ORDER_COLUMNS))
 def dq4(t):
-    return Q.profile(t.orders.select("o_orderkey", "o_custkey", "o_orderpriority"))
+    return Q.profile(t.orders)
 
 
 @query("dq5_recency_profile", f"""
@@ -113,7 +110,7 @@ def dq5_recency(t):
 
 
 @query("dq5_frequency_profile", f"""
-    WITH g AS (SELECT {range_ladder('n', L.FREQUENCY_GROUPS, L.FREQUENCY_GROUP_DEFAULT)} AS frequency_group
+    WITH g AS (SELECT {frequency_group('n')} AS frequency_group
                FROM (SELECT user_id, count(DISTINCT order_id) AS n FROM {{sales}} GROUP BY user_id)),
          c AS (SELECT frequency_group, count(*) AS member_count FROM g GROUP BY ALL),
          r AS (SELECT *, member_count * 100.0::DOUBLE / sum(member_count) OVER () AS composition_ratio FROM c)
@@ -124,7 +121,7 @@ def dq5_frequency(t):
 
 @query("dq5_monetary_profile", f"""
     SELECT price_range, count(*) AS count, count(*) * 100.0::DOUBLE / sum(count(*)) OVER () AS percentage
-    FROM (SELECT {range_ladder('s', L.PRICE_RANGES, L.PRICE_DEFAULT, half_open=True)} AS price_range
+    FROM (SELECT {price_range('s')} AS price_range
           FROM (SELECT order_id, sum(CAST(subtotal AS DECIMAL(18,2))) AS s FROM {{lines}} GROUP BY order_id))
     GROUP BY price_range""")
 def dq5_monetary(t):

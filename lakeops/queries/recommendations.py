@@ -23,7 +23,7 @@ def _scores(t):
 def _model(t):
     ratings = _ratings(t).select(F.col("user_id").cast("int").alias("user_id"), F.col("item_id").cast("int").alias("item_id"),
                                  F.col("rating").cast("float").alias("rating"))
-    return ratings, RC.train_als(ratings, "user_id", "item_id", rank=3, max_iter=3, seed=0)
+    return ratings, RC.train_als(ratings, "user_id", "item_id", seed=0)
 
 
 @query("rc1_ratings_from_counts", _RATINGS)
@@ -38,22 +38,50 @@ def rc2(t):
     return RC.ratings_from_ratio(t.lines.withColumn("full", F.lit(25.0)), "user_id", "item_id", "quantity", "full")
 
 
-@query("rc3_als_factors", "SELECT DISTINCT CAST(user_id AS INTEGER) AS id, CAST(3 AS INTEGER) AS rank FROM {lines}")
+def _dot(model, pairs):
+    """Scores of (user_id, item_id) pairs, computed anew from the factors."""
+    users = model.userFactors.select(F.col("id").alias("user_id"), F.col("features").alias("u"))
+    items = model.itemFactors.select(F.col("id").alias("item_id"), F.col("features").alias("i"))
+    product = F.aggregate(F.zip_with("u", "i", lambda a, b: a.cast("double") * b), F.lit(0.0), lambda a, x: a + x)
+    return pairs.join(users, "user_id").join(items, "item_id").withColumn("score", product).drop("u", "i")
+
+
+def _same(a, b):
+    return F.abs(F.col(a) - F.col(b)) < 1e-4
+
+
+@query("rc3_als_factors", """
+    SELECT DISTINCT CAST(user_id AS INTEGER) AS id, CAST(8 AS INTEGER) AS rank, TRUE AS likes_bought_items FROM {lines}""")
 def rc3(t):
-    _, model = _model(t)
-    return model.userFactors.select("id", F.size("features").alias("rank"))
+    ratings, model = _model(t)
+    # Over all users, bought items must score above the same items scored for another user.
+    bought = _dot(model, ratings.select("user_id", "item_id"))
+    other = ratings.select("user_id").distinct().withColumn("next", F.col("user_id") + 1)
+    swapped = _dot(model, ratings.select("user_id", "item_id").join(other, "user_id").select(F.col("next").alias("user_id"), "item_id"))
+    fits = bought.agg(F.avg("score")).first()[0] > swapped.agg(F.avg("score")).first()[0]
+    return model.userFactors.select("id", F.size("features").alias("rank"), F.lit(fits).alias("likes_bought_items"))
 
 
-@query("rc4_top_items", "SELECT DISTINCT CAST(user_id AS INTEGER) AS user_id, CAST(5 AS INTEGER) AS n_items FROM {lines}")
+@query("rc4_top_items", """
+    SELECT DISTINCT CAST(user_id AS INTEGER) AS user_id, CAST(5 AS INTEGER) AS n_items, CAST(0 AS BIGINT) AS n_better_left_out
+    FROM {lines} WHERE user_id % 3 = 0""")
 def rc4(t):
-    _, model = _model(t)
-    return RC.recommend(model, 5).select("user_id", F.size("recommendations").alias("n_items"))
+    # Of the items a user has bought, none outside the list may score above its last entry.
+    ratings, model = _model(t)
+    recs = RC.recommend(model, 5, ratings.filter("user_id % 3 = 0").select("user_id").distinct())
+    last = recs.select("user_id", F.size("recommendations").alias("n_items"),
+                       F.array_min("recommendations.rating").alias("least"), F.col("recommendations.item_id").alias("listed"))
+    scored = _dot(model, ratings.select("user_id", "item_id")).join(last, "user_id")
+    left_out = ~F.array_contains("listed", F.col("item_id")) & (F.col("score") > F.col("least") + 1e-4)
+    return scored.groupBy("user_id", "n_items").agg(F.count_if(left_out).alias("n_better_left_out"))
 
 
-@query("rc5_flat_recommendations")
+@query("rc5_flat_recommendations", """
+    SELECT DISTINCT CAST(user_id AS INTEGER) AS user_id, CAST(5 AS BIGINT) AS n_rows, CAST(5 AS BIGINT) AS n_right_ratings FROM {lines}""")
 def rc5(t):
     _, model = _model(t)
-    return RC.flatten_recs(RC.recommend(model, 5), "user_id")
+    flat = _dot(model, RC.flatten_recs(RC.recommend(model, 5), "user_id"))
+    return flat.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(_same("rating", "score")).alias("n_right_ratings"))
 
 
 @query("rc5_flat_shape", """
@@ -143,8 +171,8 @@ def rc11(t):
 
 
 @query("rc12_scored_pairs", """
-    SELECT DISTINCT CAST(user_id AS INTEGER) AS user_id, CAST(item_id AS INTEGER) AS item_id, TRUE AS scored FROM {lines}""")
+    SELECT DISTINCT CAST(user_id AS INTEGER) AS user_id, CAST(item_id AS INTEGER) AS item_id, TRUE AS right_score FROM {lines}""")
 def rc12(t):
     ratings, model = _model(t)
-    scored = RC.score_pairs(model, ratings.select("user_id", "item_id"))
-    return scored.select("user_id", "item_id", F.col("prediction").isNotNull().alias("scored"))
+    scored = _dot(model, RC.score_pairs(model, ratings.select("user_id", "item_id")))
+    return scored.select("user_id", "item_id", _same("prediction", "score").alias("right_score"))

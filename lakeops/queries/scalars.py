@@ -211,6 +211,9 @@ def sf20(t):
                              C.mask_hash("c_name", privileged=False).alias("name_hashed"))
 
 
-@query("sf20_encrypted_names")
+@query("sf20_encrypted_names", "SELECT c_custkey, c_name AS name_back, TRUE AS hidden FROM customer")
 def sf20_aes(t):
-    return t.customer.select("c_custkey", C.mask_encrypt("c_name", "0123456789abcdef", protect=True).alias("name_b64"))
+    key = "0123456789abcdef"
+    hidden = t.customer.select("c_custkey", "c_name", C.mask_encrypt("c_name", key, protect=True).alias("b64"))
+    back = F.aes_decrypt(F.unbase64("b64"), F.lit(key)).cast("string")
+    return hidden.select("c_custkey", back.alias("name_back"), (F.col("b64") != F.col("c_name")).alias("hidden"))
