@@ -14,6 +14,7 @@ from lakeops.queries import (  # noqa: F401
     recommendations,
     review_text,
     scalars,
+    silver_masters,
     sinks,
     sources,
     streams,

@@ -3,8 +3,9 @@
 A target is a folder of change batches. Each micro-batch is reduced to its
 newest row per key and written to ``batch=<id>``; writing a batch again
 replaces it, so a retried batch changes nothing. The current state is the
-newest row per key over all batches. The sequence column is kept in the files,
-hence a late record with an older sequence loses also across batches.
+newest row per key over all batches, and :func:`compact` folds old ones now and
+then, so that a read does not go over the whole history. The sequence column is
+kept in the files, hence a late record with an older sequence loses also across batches.
 """
 
 from __future__ import annotations
@@ -46,15 +47,36 @@ def current_state(spark: SparkSession, target: str, keys: Sequence[str], sequenc
     return state.drop(*except_cols)
 
 
-def compact(spark: SparkSession, target: str, new_target: str, keys: Sequence[str],
-            sequence_by: str) -> str:
-    """Fold all batches of a target into one batch of a new target.
+def compact(spark: SparkSession, target: str, keys: Sequence[str], sequence_by: str, upto: int) -> str:
+    """Fold the batches up to ``upto`` of a target into one, in place.
 
-    Readers move to the new folder; later batches keep their higher ids.
+    Batches after ``upto`` are not touched, so changes may go on arriving: name
+    a batch that is complete. The folded batch gets a new id below all others and
+    is complete before the batches it replaces are removed; a fold that was cut
+    short leaves rows twice, which count once, and the next one completes it. A
+    reader that has listed a removed batch already has to read again.
     """
-    current_state(spark, target, keys, sequence_by).write.mode("overwrite").parquet(
-        f"{new_target}/batch=-1")
-    return new_target
+    paths = [p for p in _batches(spark, target) if _batch_id(p) <= upto]
+    if len(paths) < 2:
+        return target
+    log = spark.read.option("mergeSchema", True).parquet(*paths)
+    newest = latest_per_key(log, keys, [sequence_by], _tiebreak(log, keys, sequence_by))
+    newest.write.parquet(f"{target}/batch={min(0, *map(_batch_id, paths)) - 1}")
+    for path in paths:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    return target
+
+
+def _batches(spark: SparkSession, target: str) -> list[str]:
+    """Folders of the batches of a target; their number is bounded by folding now and then."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(target)
+    found = where.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(where)
+    return [f.getPath().toString() for f in found if "/batch=" in f.getPath().toString()]
+
+
+def _batch_id(path: str) -> int:
+    return int(path.rsplit("batch=", 1)[1])
 
 
 def refresh(df: DataFrame, out: str | None = None) -> DataFrame:

@@ -39,10 +39,13 @@ def test_late_record_loses_across_batches_and_runs(spark):
     assert state(spark, target) == want
     run()  # nothing new
     assert state(spark, target) == want
-    folded = changes.compact(spark, target, work_dir(spark, "late-f"), ["k"], "seq")
-    assert state(spark, folded) == want
-    changes.write_changes(spark.createDataFrame([(1, 4, "older"), (3, 2, "second")], DDL), 7, folded, ["k"], "seq")
-    assert state(spark, folded) == {1: (5, "new"), 2: (9, "z"), 3: (2, "second")}
+    changes.write_changes(spark.createDataFrame([(1, 4, "older"), (3, 2, "second")], DDL), 7, target, ["k"], "seq")
+    want[3] = (2, "second")
+    changes.compact(spark, target, ["k"], "seq", upto=1)  # batch 7 arrived meanwhile
+    assert state(spark, target) == want
+    assert {r["batch"] for r in spark.read.parquet(target).select("batch").distinct().collect()} == {-1, 7}
+    changes.compact(spark, target, ["k"], "seq", upto=7)
+    assert state(spark, target) == want and spark.read.parquet(target).count() == 3
 
 
 def test_retried_batch_changes_nothing(spark):
