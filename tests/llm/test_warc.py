@@ -37,11 +37,18 @@ def test_damaged_member(hurt):
 
 
 def test_junk_and_cut_end():
-    ids, gaps = summary(b"junk" + DATA[:STARTS[3]] + b"\x1f\x8b\x08 not a member " + DATA[STARTS[3]:-3])
+    ids, gaps = summary(b"junk" + DATA[:STARTS[3]] + b"\x1f\x8b\x08 not a member " + DATA[STARTS[3]:-30])
     assert ids == [str(i) for i in range(11)]
     assert [g[0] for g in gaps] == [0, 4 + STARTS[3], 4 + STARTS[11] + 17] and gaps[-1][2] == "member cut off"
 
 
+def test_record_before_a_lost_checksum():
+    """Only the member's checksum is cut off: the record's own digests hold, the gap is logged."""
+    ids, gaps = summary(DATA[:-3])
+    assert ids == [str(i) for i in range(12)]
+    assert gaps == [(STARTS[11], len(RECORDS[11]) - 3, "member cut off")]
+
+
 def test_damaged_plain_records():
     lost = b"".join(PLAIN[:4]) + PLAIN[4][:-20] + b"".join(PLAIN[5:])
     ids, gaps = summary(lost)
