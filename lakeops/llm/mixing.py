@@ -119,7 +119,8 @@ def _plan(docs, weights, share, max_epochs, seed, id_col, text_col, source_col)
     needed = weighed.select("source_key", (F.col("target") - F.col("whole") * F.col("source_size")).alias("need"))
     limits = thresholds(facts.select("source_key", "size", "h"), needed.filter("need > 0"))
     by_source = weighed.join(limits, "source_key", "left").withColumn("limit", F.coalesce("limit", F.lit(-1)))
-    return facts, by_source.select("source_key", "source_size", "target", "whole", "limit")
+    # Written, so that Spark knows its size when it plans the join with the rows.
+    return facts, stored(by_source.select("source_key", "source_size", "target", "whole", "limit"), "mix-by-source")
 
 
 def mixed(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.5, max_epochs: float = 2.0,
