@@ -3,7 +3,8 @@
 A pre-token starts as one part per byte. The parts form a doubly linked list;
 a pair of neighbours whose joined bytes have a rank waits in the bucket of that
 rank. A bitmap marks the buckets in use, a second one the words of the first
-that are not zero, so the lowest rank is two find-first-set steps away. Entries
+that are not zero, so the lowest rank is two find-first-set steps away (ranks
+are counted from the last one, which makes the lowest the highest bit). Entries
 are never searched for removal: one whose pair has changed since is stale and
 skipped when it comes up. Work grows with the length of the pre-token times the
 logarithm of a bucket, so that very long pre-tokens are no special case.
@@ -27,6 +28,9 @@ from pyspark.sql import functions as F
 from lakeops.llm.common import map_rows
 
 CACHED_WORDS = 300_000  # entries of one generation of a task's word cache
+# Fixed value: the usual pattern of byte-level vocabularies. Words of texts can be looked up without running it.
+WORD_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+_SIGNS = ".,;:!?%&*#$\"()|-"  # neither letters, digits, white space nor the apostrophe
 _WORD_BITS = 8
 _WORD_MASK = (1 << _WORD_BITS) - 1
 _BIT = [1 << i for i in range(1 << _WORD_BITS)]
@@ -42,82 +46,108 @@ def read_ranks(path: str) -> list[bytes]:
     return tokens
 
 
-def merge(piece: bytes, ranks: dict[bytes, int], two: list[int] | None = None) -> list[int]:
-    """Token ids of one pre-token. ``two`` has the ranks of all pairs of bytes, see :func:`byte_pairs`."""
+def merge(piece: bytes, ranks: Ranks) -> list[int]:
+    """Token ids of one pre-token."""
     n = len(piece)
+    keys, last = ranks.keys, ranks.last
     if n < 2:
-        return [ranks[piece]] if n else []
-    if two is None:
-        two = byte_pairs(ranks)
+        return [last - keys[piece]] if n else []
     following = list(range(1, n + 1))  # start of the next part; n ends the list
     before = list(range(-1, n - 1))
-    rank_at = [two[a << 8 | b] for a, b in zip(piece, piece[1:])]  # of the pair that starts here; -1: none
-    rank_at.append(-1)
-    buckets: dict[int, list[int]] = {}
-    for i, rank in enumerate(rank_at):
-        if rank >= 0:
-            if rank in buckets:
-                buckets[rank].append(i)  # ascending, hence a heap
+    two = ranks.two
+    key_at = [two[a << 8 | b] for a, b in zip(piece, piece[1:])]  # of the pair that starts here; -1: none
+    key_at.append(-1)
+    buckets: dict[int, int | list[int]] = {}  # a place, or a heap of places
+    for i, key in enumerate(key_at):
+        if key >= 0:
+            if key in buckets:
+                _push(buckets, key, i)
             else:
-                buckets[rank] = [i]
-    words = [0] * ((len(ranks) >> _WORD_BITS) + 1)
+                buckets[key] = i
+    words, bit = [0] * ranks.words, _BIT
     summary = 0
-    for rank in buckets:
-        words[rank >> _WORD_BITS] |= _BIT[rank & _WORD_MASK]
-        summary |= _BIT[rank >> _WORD_BITS]
-    rank_of = ranks.get
+    for key in buckets:
+        words[key >> _WORD_BITS] |= bit[key & _WORD_MASK]
+        summary |= bit[key >> _WORD_BITS]
+    key_of = keys.get
     while summary:
-        word = (summary & -summary).bit_length() - 1
+        word = summary.bit_length() - 1
         bits = words[word]
-        lowest = bits & -bits
-        rank = word << _WORD_BITS | lowest.bit_length() - 1
-        bucket = buckets[rank]
-        if len(bucket) > 1:
-            i = heappop(bucket)
-        else:
-            i = bucket[0]
-            del buckets[rank]
-            words[word] = bits = bits ^ lowest
+        first = bits.bit_length() - 1
+        key = word << _WORD_BITS | first
+        i = buckets[key]
+        if type(i) is int:
+            del buckets[key]
+            words[word] = bits = bits ^ bit[first]
             if not bits:
-                summary ^= _BIT[word]
-        if rank_at[i] != rank:
+                summary ^= bit[word]
+        else:
+            i = _pop(buckets, key)
+        if key_at[i] != key:
             continue  # stale
         gone = following[i]
         after = following[gone]
         following[i] = after
-        rank_at[gone] = -1
+        key_at[gone] = -1
         left = before[i]
         if after < n:
             before[after] = i
-            changed = ((left, after), (i, following[after])) if left >= 0 else ((i, following[after]),)
+            key_at[i] = key = key_of(piece[i:following[after]], -1)
+            if key >= 0:
+                if key in buckets:
+                    _push(buckets, key, i)
+                else:
+                    buckets[key] = i
+                    word = key >> _WORD_BITS
+                    words[word] |= bit[key & _WORD_MASK]
+                    summary |= bit[word]
         else:
-            rank_at[i] = -1
-            if left < 0:
-                break
-            changed = ((left, after),)
-        for start, end in changed:
-            new = rank_of(piece[start:end], -1)
-            rank_at[start] = new
-            if new >= 0:
-                if new in buckets:
-                    heappush(buckets[new], start)
+            key_at[i] = -1
+        if left >= 0:
+            key_at[left] = key = key_of(piece[left:after], -1)
+            if key >= 0:
+                if key in buckets:
+                    _push(buckets, key, left)
                 else:
-                    buckets[new] = [start]
-                    word = new >> _WORD_BITS
-                    words[word] |= _BIT[new & _WORD_MASK]
-                    summary |= _BIT[word]
+                    buckets[key] = left
+                    word = key >> _WORD_BITS
+                    words[word] |= bit[key & _WORD_MASK]
+                    summary |= bit[word]
     ids = []
     i = 0
     while i < n:
         end = following[i]
-        ids.append(ranks[piece[i:end]])
+        ids.append(last - keys[piece[i:end]])
         i = end
     return ids
 
 
-def byte_pairs(ranks: dict[bytes, int]) -> list[int]:
-    """Rank of each pair of bytes, by its value as a big-endian number; -1 for none."""
-    return [ranks.get(bytes((a, b)), -1) for a in range(256) for b in range(256)]
+def _push(buckets: dict, key: int, place: int) -> None:
+    """Add a place to a bucket that is in use."""
+    held = buckets[key]
+    if type(held) is int:
+        held = buckets[key] = [held]
+    heappush(held, place)
+
+
+def _pop(buckets: dict, key: int) -> int:
+    """The leftmost place of a bucket with several; the last one left is a plain place again."""
+    held = buckets[key]
+    place = heappop(held)
+    if len(held) == 1:
+        buckets[key] = held[0]
+    return place
+
+
+class Ranks:
+    """The tables of a vocabulary. A key is the last rank less the rank, so that the
+    lowest rank is the highest bit, which ``bit_length`` finds at once."""
+
+    def __init__(self, tokens: dict[bytes, int]):
+        self.last = max(tokens.values(), default=0)
+        self.keys = {token: self.last - rank for token, rank in tokens.items()}
+        self.words = (self.last >> _WORD_BITS) + 1
+        self.two = [self.keys.get(bytes((a, b)), -1) for a in range(256) for b in range(256)]
 
 
 class _Words(dict):
@@ -150,12 +180,12 @@ class Tokenizer:
     def __init__(self, tokens: list[bytes], pattern: str, cached: int = CACHED_WORDS):
         self.tokens = tokens
         self.ranks = {t: i for i, t in enumerate(tokens)}
-        self.two = byte_pairs(self.ranks)
+        self.tables = Ranks(self.ranks)
         # White space by the Unicode property, without the four separators that Python adds.
         self.pieces = regex.compile(
             pattern.replace(r"[^\s", r"[^\p{White_Space}").replace(r"\s", r"\p{White_Space}")
             .replace(r"\S", r"\P{White_Space}"))
-        self.odd_space = regex.compile(r"\p{White_Space}{2}|[^\P{White_Space} \n]|^\p{White_Space}|\p{White_Space}$")
+        self.by_word = pattern == WORD_PATTERN
         self.piece_ids = _Words(self._piece, cached)
         self.bare = _Words(self._word, cached)
         self.spaced = _Words(self._spaced, cached)
@@ -164,7 +194,7 @@ class Tokenizer:
     def _piece(self, piece: str) -> bytes:
         data = piece.encode()
         rank = self.ranks.get(data)
-        ids = [rank] if rank is not None else merge(data, self.ranks, self.two)
+        ids = [rank] if rank is not None else merge(data, self.tables)
         return pack("<%dI" % len(ids), *ids)
 
     def _word(self, word: str) -> bytes:
@@ -172,18 +202,27 @@ class Tokenizer:
         return b"".join([of[p] for p in self.pieces.findall(word)])
 
     def _spaced(self, word: str) -> bytes:
+        """A word and the space before it. Letters are one match, signs after them another."""
+        if word.isalpha():
+            return self._piece(" " + word)
+        letters = word.rstrip(_SIGNS)
+        if len(letters) < len(word) and letters.isalpha():
+            return self.spaced[letters] + self.piece_ids[word[len(letters):]]
         return self._word(" " + word)
 
     def encode(self, text: str) -> bytes:
         """Packed ids of a text, each match of the pattern merged by itself.
 
-        Where lone spaces and newlines are the only white space, no match
-        crosses them: a space goes with the word after it, a newline stands
-        alone. Words can then be looked up without running the pattern.
+        Where lone spaces and newlines between words are the only white space,
+        no match of :data:`WORD_PATTERN` crosses them: a space goes with the word
+        after it, a newline stands alone. Words can then be looked up without
+        running the pattern.
         """
         if not text:
             return b""
-        if self.odd_space.search(text):
+        words = text.split()  # at any white space, and some more
+        if not self.by_word or not words or len(" ".join(words)) != len(text) or (
+                text.count(" ") + text.count("\n") != len(words) - 1):
             return self._word(text)
         out = []
         for line in text.split("\n"):

@@ -56,8 +56,12 @@ def check_fk(child: DataFrame, parent: DataFrame, child_key: str, parent_key: st
         F.col(child_key).isNotNull())
 
 
-def profile(df: DataFrame, exact_distinct: bool = True) -> DataFrame:
-    """Per column: rows, nulls, distinct values, smallest and largest as text."""
+def profile(df: DataFrame, exact_distinct: bool = False) -> DataFrame:
+    """Per column: rows, nulls, distinct values, smallest and largest as text.
+
+    Distinct values are estimated in one pass; ``exact_distinct`` counts them,
+    for which every row is copied once per column.
+    """
     count_distinct = F.count_distinct if exact_distinct else F.approx_count_distinct
     one_row = df.agg(*[
         F.struct(

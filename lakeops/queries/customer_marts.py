@@ -221,7 +221,7 @@ def c10_dup(t):
 def c11(t):
     lines = t.lines.drop("ship_date", "channel")
     return OR.silver_order_items(lines, t.users.select("user_id", "name", "pref"), t.sales.select("order_id", "o_orderstatus"),
-                                 t.stores.drop("prefecture"))
+                                 t.store_dim.drop("prefecture"))
 
 
 @query("c12_silver_orders", f"""
@@ -231,7 +231,7 @@ def c11(t):
     WHERE o_orderstatus <> 'P'""")
 def c12(t):
     orders = _store_orders(t).withColumn("cancel_flg", F.col("o_orderstatus") == "P")
-    return OR.silver_orders(orders, t.users.select("user_id", "name", "pref"), t.stores.drop("prefecture"))
+    return OR.silver_orders(orders, t.users.select("user_id", "name", "pref"), t.store_dim.drop("prefecture"))
 
 
 @query("c13_silver_members", f"SELECT DISTINCT * FROM ({_LINE})")

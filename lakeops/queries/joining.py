@@ -37,7 +37,7 @@ def jn2(t):
     FROM {line_facts} l LEFT JOIN {stores} s ON l.store_id = s.store_id LEFT JOIN {items} i ON l.item_id = i.item_id""")
 def jn3(t):
     facts = t.line_facts.select("order_item_id", "store_id", "item_id", "subtotal")
-    return J.denormalise(facts, [(t.stores.drop("prefecture"), "store_id", "store_id"),
+    return J.denormalise(facts, [(t.store_dim.drop("prefecture"), "store_id", "store_id"),
                                  (t.items.select("item_id", "category_name"), "item_id", "item_id")])
 
 
@@ -132,7 +132,7 @@ def jn11(t):
           FROM {{line_facts}} l JOIN {{stores}} s ON l.store_id = s.store_id JOIN {{items}} i ON l.item_id = i.item_id
           GROUP BY ALL)""")
 def jn12(t):
-    facts = t.line_facts.join(t.stores, "store_id").join(t.items, "item_id")
+    facts = t.line_facts.join(t.store_dim, "store_id").join(t.items, "item_id")
     return J.ratio_within_group(facts, "store_area", "category_name", "subtotal")
 
 

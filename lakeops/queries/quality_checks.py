@@ -98,7 +98,7 @@ _ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o
     SELECT '{c}' AS column_name, count(*) AS n_rows, count(*) - count({c}) AS n_null, count(DISTINCT {c}) AS n_distinct,
            CAST(min({c}) AS VARCHAR) AS min_value, CAST(max({c}) AS VARCHAR) AS max_value FROM orders""" for c in _ORDER_COLUMNS))
 def dq4(t):
-    return Q.profile(t.orders)
+    return Q.profile(t.orders, exact_distinct=True)
 
 
 @query("dq5_recency_profile", f"""

@@ -14,6 +14,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakeops.sources.writers import with_known_size
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -164,6 +166,11 @@ def _stores(t: Tables) -> DataFrame:
     )
 
 
+def _store_dim(t: Tables) -> DataFrame:
+    """The stores as a table whose size Spark knows, for joins with the lines."""
+    return with_known_size(t.stores)
+
+
 def _users(t: Tables) -> DataFrame:
     return (
         t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
@@ -213,6 +220,6 @@ def _transfers(t: Tables) -> DataFrame:
         F.col("l_extendedprice").alias("txn_amt"), F.col("o_orderdate").alias("datetime"))
 
 
-_VIEWS = {"sales": _sales, "lines": _lines, "line_facts": _line_facts, "items": _items, "stores": _stores, "users": _users,
+_VIEWS = {"sales": _sales, "lines": _lines, "line_facts": _line_facts, "items": _items, "stores": _stores, "store_dim": _store_dim, "users": _users,
           "inventory": _inventory, "survey": _survey, "demand": _demand, "retail": _retail,
           "transfers": _transfers}

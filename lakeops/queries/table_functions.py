@@ -7,7 +7,6 @@ from lakeops.functions import columns as C
 from lakeops.functions import dates as D
 from lakeops.operators import text as X
 from lakeops.plans import demand as DM
-from lakeops.plans import features as FT
 from lakeops.plans import table_functions as TF
 from lakeops.queries.registry import query
 from lakeops.queries.sql import money
@@ -17,7 +16,7 @@ _STORE_LINES = """SELECT l.*, store_name, store_area, item_name, category_name F
 
 
 def _store_lines(t):
-    return t.lines.join(t.stores, "store_id").join(t.items, "item_id")
+    return t.lines.join(t.store_dim, "store_id").join(t.items, "item_id")
 
 
 @query("tf1_store_sales_ranking", f"""

@@ -8,6 +8,8 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakeops.session import work_dir
+
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite",
                 partition_by: Sequence[str] | None = None, dynamic: bool = False) -> DataFrame:
@@ -28,6 +30,16 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite",
     return df.sparkSession.read.parquet(path)
 
 
+def with_known_size(dim: DataFrame) -> DataFrame:
+    """A derived dimension, written to scratch and read back.
+
+    Behind joins and filters Spark can only guess the size of a table, and
+    guesses high; a small dimension would then have the fact shuffled by a key
+    that may be hot. Of a written table the size is known when the join is planned.
+    """
+    return write_table(dim, work_dir(dim.sparkSession, "dimension"))
+
+
 def append_table(df: DataFrame, path: str, merge_schema: bool = True) -> DataFrame:
     """Append; a frame with new columns widens the table."""
     df.write.mode("append").parquet(path)
