@@ -46,8 +46,9 @@ MARKS = frozenset(
     "promotion sidebar menu nav navbar navigation breadcrumb breadcrumbs header masthead footer cookie cookies consent "
     "gdpr notice notices notification alert popup modal overlay newsletter subscribe subscription signup login social "
     "share sharing related recommended recommendations comment comments commentlist disqus reply replies respond "
-    "pagination pager widget widgets toolbar contentinfo complementary search form dialog hidden".split())
-_SPLIT = re.compile(r"[^a-z0-9]+")
+    "pagination pager widget widgets toolbar contentinfo complementary search form dialog".split())
+OF_ARTICLE = frozenset("article post entry story title".split())  # with these, a header is the article's own
+_SPLIT = re.compile(r"[^a-z]+")
 _CAMEL = re.compile(r"(?<=[a-z0-9])(?=[A-Z])")
 _HIDING = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
@@ -64,8 +65,8 @@ def _marked(tag: str, attrs: list[tuple[str, str | None]], in_article: bool) ->
             continue
         if name in ("class", "id", "role"):
             words = _SPLIT.split(_CAMEL.sub(" ", value).lower())
-            if in_article and tag == "header":
-                words = [w for w in words if w not in ("header", "banner")]
+            if in_article or not OF_ARTICLE.isdisjoint(words):
+                words = [w for w in words if w not in ("header", "masthead") and (w != "banner" or tag != "header")]
             if not MARKS.isdisjoint(words):
                 return True
             joined = "".join(words)

@@ -42,6 +42,16 @@ def test_odd_markup():
     assert main_text("<p hidden>x</p><p style='display: none'>z</p><p>y") == "y"
 
 
+def test_headers_of_the_article_stay():
+    body = "<p>Some text that is long enough for an article, with a second half.</p><p>More of it follows here.</p>"
+    text = "Some text that is long enough for an article, with a second half.\nMore of it follows here."
+    for head in ("<header><h1>T</h1></header>", '<div class="article-header"><h1>T</h1></div>'):
+        assert main_text(f"<header>Site</header><main><article>{head}{body}</article></main>") == "T\n" + text
+    assert main_text(f'<div class="header">Site</div><div class="post"><div class="entry-header"><h2>T</h2></div>{body}</div>') == "T\n" + text
+    for ad in ('<div id="ad12">Buy</div>', '<div class="adSlot">Buy</div>', '<div class="entry-footer">Tags</div>', "<div role=search>Find</div>"):
+        assert main_text(f"<article>{body}{ad}</article>") == text
+
+
 def test_long_and_nested():
     assert len(main_text("<div>" * 20_000 + "x")) == 1
     assert main_text("<p>" + "word " * 100_000) == ("word " * 100_000).strip()
