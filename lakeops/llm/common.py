@@ -77,7 +77,8 @@ def kept_rows(docs: DataFrame, verdicts: DataFrame, id_col: str, text_col: str)
     def row_is(other: DataFrame):
         return docs[id_col].eqNullSafe(other["_id"]) & (F.xxhash64(docs[text_col]) == other["_mark"])
 
-    dropped = verdicts.filter(~F.col("kept")).select("_id", "_mark").distinct()
+    # Written, so that Spark knows its size when it plans the join with the texts.
+    dropped = stored(verdicts.filter(~F.col("kept")).select("_id", "_mark").distinct(), "dropped")
     out = docs.join(dropped, row_is(dropped), "left_anti")
     again = verdicts.filter("kept").groupBy("_id", "_mark").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
     if again.isEmpty():
