@@ -27,13 +27,14 @@ from pyspark.sql import functions as F
 
 from lakeops.llm.common import map_rows
 
-CACHED_WORDS = 300_000  # entries of one generation of a task's word cache
+CACHED_WORDS = 200_000  # entries of one generation of a task's word cache
+_CACHED_OTHERS = 30_000  # the same, for signs and for words at the start of a line
 # Fixed value: the usual pattern of byte-level vocabularies. Words of texts can be looked up without running it.
 WORD_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 _SIGNS = ".,;:!?%&*#$\"()|-"  # neither letters, digits, white space nor the apostrophe
 _WORD_BITS = 8
 _WORD_MASK = (1 << _WORD_BITS) - 1
-_BIT = [1 << i for i in range(1 << _WORD_BITS)]
+_BIT = [1 << i for i in range(1 << 12)]  # bits of a word, and of the summary: for up to 2**20 ranks
 
 
 def read_ranks(path: str) -> list[bytes]:
@@ -161,7 +162,9 @@ class _Words(dict):
     def __missing__(self, word):
         ids = self.old.get(word)
         if ids is None:
-            ids = self.encode(word)
+            ids, keep = self.encode(word)
+            if not keep:
+                return ids
         if len(word) <= 64:
             if len(self) >= self.size:
                 self.old = dict(self)
@@ -186,9 +189,14 @@ class Tokenizer:
             pattern.replace(r"[^\s", r"[^\p{White_Space}").replace(r"\s", r"\p{White_Space}")
             .replace(r"\S", r"\P{White_Space}"))
         self.by_word = pattern == WORD_PATTERN
-        self.piece_ids = _Words(self._piece, cached)
-        self.bare = _Words(self._word, cached)
+        others = min(cached, _CACHED_OTHERS)
+        self.piece_ids = _Words(lambda piece: (self._piece(piece), True), others)
+        self.bare = _Words(lambda word: (self._word(word), True), others)
         self.spaced = _Words(self._spaced, cached)
+        # For decoding: all tokens in one array, and where each begins.
+        self.flat = np.frombuffer(b"".join(tokens), dtype=np.uint8)
+        self.lengths = np.array([len(t) for t in tokens], dtype=np.int64)
+        self.starts = np.cumsum(self.lengths) - self.lengths
         self.newline = self._piece("\n")
 
     def _piece(self, piece: str) -> bytes:
@@ -201,14 +209,17 @@ class Tokenizer:
         of = self.piece_ids
         return b"".join([of[p] for p in self.pieces.findall(word)])
 
-    def _spaced(self, word: str) -> bytes:
-        """A word and the space before it. Letters are one match, signs after them another."""
+    def _spaced(self, word: str) -> tuple[bytes, bool]:
+        """A word and the space before it, and whether to keep the result.
+
+        Letters are one match, signs after them another; these two are put
+        together anew each time."""
         if word.isalpha():
-            return self._piece(" " + word)
+            return self._piece(" " + word), True
         letters = word.rstrip(_SIGNS)
         if len(letters) < len(word) and letters.isalpha():
-            return self.spaced[letters] + self.piece_ids[word[len(letters):]]
-        return self._word(" " + word)
+            return self.spaced[letters] + self.piece_ids[word[len(letters):]], False
+        return self._word(" " + word), True
 
     def encode(self, text: str) -> bytes:
         """Packed ids of a text, each match of the pattern merged by itself.
@@ -234,7 +245,15 @@ class Tokenizer:
         return b"".join(out)
 
     def decode(self, ids: bytes) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, dtype="<u4").tolist()))
+        """The bytes of packed ids."""
+        of = np.frombuffer(ids, dtype="<u4")
+        if not len(of):
+            return b""
+        lengths = self.lengths[of]
+        ends = np.cumsum(lengths)
+        places = np.repeat(self.starts[of] - (ends - lengths), lengths)
+        places += np.arange(ends[-1])
+        return self.flat[places].tobytes()
 
 
 def encode_decode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id",
