@@ -2,9 +2,12 @@
 
 The standard library's parser streams events. Text gathers in lines, one per
 block of the page; a line knows its characters, its tags and its place among the
-containers. Lines inside menus, headers, footers, sidebars, notices, adverts,
-forms, scripts and comments are left out at once. Over the lines that remain,
-the text-to-tag ratio is smoothed by a Gaussian and split by a threshold into
+containers. Lines inside elements that are no content by their tag (menus,
+footers, forms, scripts and the like) are left out at once. A class, id or role
+that names such an element (sidebar, notice, advert, comments) decides only if
+the element is small or has a low text-to-tag ratio, and never for a heading,
+for what holds an article, or for what holds most of the page's text. Over the
+lines that remain, the text-to-tag ratio is smoothed by a Gaussian and split by a threshold into
 two clusters; lines of the upper one show where the content is. The region is
 the smallest container that holds nearly all of their text (never smaller than
 an article), and every line in it belongs to the result, however short.
@@ -42,56 +45,77 @@ SIBLINGS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr",
 LISTS = frozenset(("ul", "ol", "dl", "table", "menu", "select"))
 # Words in class, id and role that mark what is not the article.
 MARKS = frozenset(
-    "ad ads adv advert advertisement advertisements advertising adsense adbox adslot banner sponsor sponsored promo "
+    "ad ads adv advert adverts advertisement advertisements advertising adsense adbox adslot banner sponsor sponsored promo "
     "promotion sidebar menu nav navbar navigation breadcrumb breadcrumbs header masthead footer cookie cookies consent "
     "gdpr notice notices notification alert popup modal overlay newsletter subscribe subscription signup login social "
     "share sharing related recommended recommendations comment comments commentlist disqus reply replies respond "
     "pagination pager widget widgets toolbar contentinfo complementary search form dialog".split())
 OF_ARTICLE = frozenset("article post entry story title".split())  # with these, a header is the article's own
+# Words beside a mark that leave its meaning: "ad-slot" is an advert, "search-algorithms" is not a search.
+BESIDE_MARK = frozenset(
+    "area article bar body bottom box button buttons container content entry form group inner item items left link links "
+    "list main module outer page panel post posts primary right secondary section site slot story top unit wrap "
+    "wrapper".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+SMALL_SHARE = 1 / 3  # of the page's text: a marked element up to this size looks like boilerplate
+MOST_SHARE = 1 / 2  # of the page's text: what holds more is no boilerplate, whatever its marks
+_OWN_TITLE = frozenset(("header", "masthead"))
+_OWN_HEADER = _OWN_TITLE | {"banner"}
 _SPLIT = re.compile(r"[^a-z]+")
 _CAMEL = re.compile(r"(?<=[a-z0-9])(?=[A-Z])")
 _HIDING = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
-def _marked(tag: str, attrs: list[tuple[str, str | None]], in_article: bool) -> bool:
+def _left_out(tag: str, attrs: list[tuple[str, str | None]], in_article: bool) -> bool:
+    """Whether an element is boilerplate or hidden by its tag and attributes, without regard to names."""
     if tag in BOILERPLATE or tag == "header" and not in_article:
         return True
-    if not attrs or tag in ("html", "body", "main", "article"):
+    if tag in ("html", "body", "main", "article"):
         return False
+    return any(name == "hidden" or value and (name == "aria-hidden" and value.lower() == "true"
+                                              or name == "style" and _HIDING.search(value)) for name, value in attrs)
+
+
+def _is_mark(name: str, no_marks: frozenset[str]) -> bool:
+    """Whether a whole name stands for boilerplate: marks, and words beside them that add nothing."""
+    words = [w for w in _SPLIT.split(_CAMEL.sub(" ", name).lower()) if w and w not in no_marks]
+    return not MARKS.isdisjoint(words) and all(w in MARKS or w in BESIDE_MARK for w in words)
+
+
+def _marked(tag: str, attrs: list[tuple[str, str | None]], in_article: bool) -> int:
+    """2 if class or role mark an element, 1 if only its id does, 0 if nothing."""
+    if not attrs or tag in HEADINGS or tag in ("html", "body", "main"):
+        return 0
+    found = 0
     for name, value in attrs:
-        if name == "hidden":
-            return True
-        if not value:
-            continue
-        if name in ("class", "id", "role"):
-            words = _SPLIT.split(_CAMEL.sub(" ", value).lower())
-            if in_article or not OF_ARTICLE.isdisjoint(words):
-                words = [w for w in words if w not in ("header", "masthead") and (w != "banner" or tag != "header")]
-            if not MARKS.isdisjoint(words):
-                return True
-            joined = "".join(words)
-            if "sidebar" in joined or "advert" in joined or "breadcrumb" in joined:
-                return True
-        elif name == "aria-hidden" and value.lower() == "true" or name == "style" and _HIDING.search(value):
-            return True
-    return False
+        if name in ("class", "id", "role") and value:
+            no_marks = frozenset()
+            if in_article or not OF_ARTICLE.isdisjoint(_SPLIT.split(_CAMEL.sub(" ", value).lower())):
+                no_marks = _OWN_HEADER if tag == "header" else _OWN_TITLE
+            if any(_is_mark(n, no_marks) for n in value.split()):
+                # Inside an article an id is often the slug of a heading.
+                found = max(found, 1 if name == "id" and in_article else 2)
+    return found
 
 
 class _Lines(HTMLParser):
-    """Lines of a page that are not boilerplate.
+    """Lines of a page that are not boilerplate by their tags.
 
-    ``lines``: text, number of tags and container of each. Containers are
-    numbered in order of opening; ``parents`` has the one around each.
+    ``lines``: pieces of text with their containers, number of tags and tag of
+    the block. Containers are numbered in order of opening; ``parents`` has the
+    one around each, ``marks`` how names mark it. Marked elements are
+    containers, too.
     """
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, int]] = []
+        self.lines: list[tuple[list[tuple[str, int]], int, str]] = []
         self.parents = [-1]
         self.tags_of = ["html"]
+        self.marks = [0]
         self.stack: list[tuple[str, bool, int]] = []  # tag, boilerplate (own or around), container
         self.open_count: dict[str, int] = {}
-        self.text: list[str] = []
+        self.text: list[tuple[str, int]] = []
         self.tags = 0
 
     def _outside(self) -> tuple[bool, int]:
@@ -99,12 +123,17 @@ class _Lines(HTMLParser):
 
     def flush(self) -> None:
         if self.text:
-            line = " ".join("".join(self.text).split())
-            if line:
-                self.lines.append((line, self.tags, self._outside()[1]))
+            if any(not t.isspace() for t, _ in self.text):
+                self.lines.append((self.text, self.tags, self._block()))
                 self.tags = 0
             self.text = []
 
+    def _block(self) -> str:
+        return next((tag for tag, _, _ in reversed(self.stack) if tag in BLOCKS), "")
+
+    def _space(self) -> None:
+        self.text.append((" ", self._outside()[1]))
+
     def handle_starttag(self, tag, attrs):
         self.tags += 1
         if tag in BLOCKS and tag not in ("html", "head", "title") and self.open_count.get("head"):
@@ -114,7 +143,7 @@ class _Lines(HTMLParser):
                 self._close("p", ("table", "button"))
             self.flush()
         elif tag in CELLS:
-            self.text.append(" ")
+            self._space()
         if tag in SIBLINGS:
             for other in SIBLINGS[tag]:
                 if self.open_count.get(other):
@@ -122,12 +151,14 @@ class _Lines(HTMLParser):
         if tag in VOID:
             return
         out, container = self._outside()
-        if tag in REGIONS:
+        in_article = bool(self.open_count.get("article") or self.open_count.get("main"))
+        mark = _marked(tag, attrs, in_article)
+        if mark or tag in REGIONS:
             self.parents.append(container)
             self.tags_of.append(tag)
+            self.marks.append(mark)
             container = len(self.parents) - 1
-        in_article = bool(self.open_count.get("article") or self.open_count.get("main"))
-        self.stack.append((tag, out or _marked(tag, attrs, in_article), container))
+        self.stack.append((tag, out or _left_out(tag, attrs, in_article), container))
         self.open_count[tag] = self.open_count.get(tag, 0) + 1
 
     def handle_startendtag(self, tag, attrs):
@@ -156,11 +187,12 @@ class _Lines(HTMLParser):
             # The end of inline markup does not close blocks around it.
             self._close(tag, () if tag in BLOCKS or tag in CELLS or tag in BOILERPLATE else BLOCKS)
         if tag in CELLS:
-            self.text.append(" ")
+            self._space()
 
     def handle_data(self, data):
-        if not self._outside()[0]:
-            self.text.append(data)
+        out, container = self._outside()
+        if not out:
+            self.text.append((data, container))
 
     def finish(self) -> None:
         if _unfinished.match(self.rawdata):
@@ -207,20 +239,67 @@ def main_text(html: str | None) -> str:
     page = _Lines()
     page.feed(html)
     page.finish()
-    if not page.lines:
+    lines = _unmarked(page)
+    if not lines:
         return ""
-    lengths = np.array([len(t) for t, _, _ in page.lines], dtype=float)
-    tags = np.array([max(n, 1) for _, n, _ in page.lines], dtype=float)
+    lengths = np.array([len(t) for t, _, _, _ in lines], dtype=float)
+    tags = np.array([max(n, 1) for _, n, _, _ in lines], dtype=float)
     content = content_lines(smoothed(lengths / tags, SMOOTHING))
-    region = _region(page, lengths * content)
+    region = _region(page, lines, lengths * content)
     inside = _below(page.parents, region)
-    return "\n".join(t for t, _, c in page.lines if inside[c])
-
-
-def _region(page: _Lines, weights: np.ndarray) -> int:
+    return "\n".join(t for t, _, c, _ in lines if inside[c])
+
+
+def _unmarked(page: _Lines) -> list[tuple[str, int, int, str]]:
+    """Lines without the text of boilerplate by name: text, number of tags, container and tag of the block."""
+    out = _marked_out(page) if any(page.marks) else None
+    lines, carried = [], 0
+    for pieces, tags, block in page.lines:
+        if out is not None:
+            pieces = [p for p in pieces if not out[p[1]]]
+        text = " ".join("".join([t for t, _ in pieces]).split())
+        if not text:
+            carried += tags
+            continue
+        around = {c for t, c in pieces if not t.isspace()}
+        while len(around) > 1:  # the smallest container around all pieces; parents come before their children
+            last = max(around)
+            around.remove(last)
+            around.add(page.parents[last])
+        lines.append((text, tags + carried, around.pop(), block))
+        carried = 0
+    return lines
+
+
+def _marked_out(page: _Lines) -> list[bool]:
+    """Which containers are boilerplate by name, or lie in one that is."""
+    n = len(page.parents)
+    chars, tags, holds_article = [0] * n, [0] * n, [False] * n
+    for pieces, count, _ in page.lines:
+        for text, c in pieces:
+            chars[c] += len("".join(text.split()))
+        tags[next(c for t, c in pieces if not t.isspace())] += count
+    for c in range(n - 1, 0, -1):
+        up = page.parents[c]
+        chars[up] += chars[c]
+        tags[up] += tags[c]
+        # A comment or a teaser may be an article by its tag; its name tells.
+        holds_article[up] |= holds_article[c] or page.tags_of[c] in ("main", "article") and not page.marks[c]
+    out = [False] * n
+    for c in range(1, n):
+        out[c] = out[page.parents[c]]
+        if page.marks[c] and not out[c] and page.tags_of[c] != "article" and not holds_article[c]:
+            rest = (chars[0] - chars[c]) / max(tags[0] - tags[c], 1)
+            low = chars[c] / max(tags[c], 1) < rest / 2
+            small = chars[c] <= SMALL_SHARE * chars[0]
+            out[c] = chars[c] <= MOST_SHARE * chars[0] and (low or small and page.marks[c] == 2)
+    return out
+
+
+def _region(page: _Lines, lines: list[tuple[str, int, int, str]], weights: np.ndarray) -> int:
     """Smallest container with nearly all content; an article is not entered further."""
     own = np.zeros(len(page.parents))
-    for (_, _, container), w in zip(page.lines, weights):
+    for (_, _, container, _), w in zip(lines, weights):
         own[container] += w
     for c in range(len(own) - 1, 0, -1):  # parents come before their children
         own[page.parents[c]] += own[c]
@@ -229,7 +308,7 @@ def _region(page: _Lines, weights: np.ndarray) -> int:
     if articles:
         return articles[0]
     for c in range(1, len(own)):
-        if page.parents[c] == region and own[c] >= REGION_SHARE * total:
+        if page.parents[c] == region and page.tags_of[c] in REGIONS and own[c] >= REGION_SHARE * total:
             region = c
             if page.tags_of[c] in ("main", "article"):
                 break

@@ -52,6 +52,35 @@ def test_headers_of_the_article_stay():
         assert main_text(f"<article>{body}{ad}</article>") == text
 
 
+PROSE = "".join(f"<p>Paragraph {i} of the article, which says a few things and then some more of them.</p>" for i in range(6))
+LINES = "\n".join(f"Paragraph {i} of the article, which says a few things and then some more of them." for i in range(6))
+
+
+@pytest.mark.parametrize("name", ["site-content has-sidebar", "layout no-sidebar", "post comments-open", "content right-sidebar",
+                                  "sidebar", "widget-area"])
+def test_wrappers_with_marks(name):
+    side = '<div class="sidebar"><p>Read this, too.</p></div>'
+    assert main_text(f'<body><div class="{name}"><article>{PROSE}</article></div>{side}</body>') == LINES
+    assert main_text(f'<body><div class="{name}">{PROSE}</div>{side}</body>') == LINES
+    assert main_text(f'<body><div class="{name}"><article><p>Short.</p></article></div></body>') == "Short."
+
+
+@pytest.mark.parametrize("part,text", [
+    ('<h2 id="related-work">Related work</h2>', "Related work"), ('<h2 id="advertising">Advertising</h2>', "Advertising"),
+    ('<p class="notice-period">One month.</p>', "One month."),
+    (f'<section id="search-algorithms"><h2>Search algorithms</h2>{PROSE}</section>', "Search algorithms\n" + LINES),
+    (f'<section id="advertising"><h2>Advertising</h2>{PROSE}</section>', "Advertising\n" + LINES)])
+def test_slugs_of_headings(part, text):
+    assert main_text(f"<article>{PROSE}{part}{PROSE}{PROSE}</article>") == "\n".join([LINES, text, LINES, LINES])
+
+
+def test_marks_of_small_elements():
+    for name in ("comments", "related-posts", "ad-slot", "cookieNotice", "sidebar-right", "share social"):
+        small = f'<div class="{name}"><p>Something that is not the article.</p></div>'
+        assert main_text(f"<article>{PROSE}{small}{PROSE}</article>") == LINES + "\n" + LINES
+    assert main_text(f'<article>{PROSE}<p>A line <span class="share">Share</span> with a button.</p></article>') == LINES + "\nA line with a button."
+
+
 def test_long_and_nested():
     assert len(main_text("<div>" * 20_000 + "x")) == 1
     assert main_text("<p>" + "word " * 100_000) == ("word " * 100_000).strip()
