@@ -9,8 +9,12 @@ the element is small or has a low text-to-tag ratio, and never for a heading,
 for what holds an article, or for what holds most of the page's text. Over the
 lines that remain, the text-to-tag ratio is smoothed by a Gaussian and split by a threshold into
 two clusters; lines of the upper one show where the content is. The region is
-the smallest container that holds nearly all of their text (never smaller than
-an article), and every line in it belongs to the result, however short.
+the article that holds half of their text or, without one, the smallest
+container that holds all of them; every line in it belongs to the result,
+however short. Without an article or main element, headings and paragraphs that
+stand directly in a container around the region, and what stands beside them,
+belong to it as well, and so do the blocks with a first-level heading or with
+much text per tag, which the lower of two clusters may hold on a page of prose.
 """
 
 from __future__ import annotations
@@ -25,7 +29,6 @@ from pyspark.sql import functions as F
 from lakeops.llm.common import map_rows
 
 SMOOTHING = 1.0  # standard deviation of the Gaussian, in lines
-REGION_SHARE = 0.8  # of the content lines' text that a region must hold
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCKS = frozenset(
@@ -33,7 +36,7 @@ BLOCKS = frozenset(
     "footer form frameset h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre "
     "section summary table tbody tfoot thead title tr ul".split())
 CELLS = frozenset(("td", "th", "br"))  # white space, no block of its own
-REGIONS = frozenset("html body main article section div td center blockquote table tbody tr ul ol dl".split())
+REGIONS = frozenset("html body main article section div center".split())  # quotations, lists and tables are not entered
 BOILERPLATE = frozenset(
     "head script style noscript template nav footer aside form menu dialog button select textarea option iframe object "
     "svg math canvas audio video title".split())
@@ -57,6 +60,7 @@ BESIDE_MARK = frozenset(
     "list main module outer page panel post posts primary right secondary section site slot story top unit wrap "
     "wrapper".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+PROSE_RATIO = 40  # characters per tag from which a line outside the region belongs to the result
 SMALL_SHARE = 1 / 3  # of the page's text: a marked element up to this size looks like boilerplate
 MOST_SHARE = 1 / 2  # of the page's text: what holds more is no boilerplate, whatever its marks
 _OWN_TITLE = frozenset(("header", "masthead"))
@@ -244,9 +248,9 @@ def main_text(html: str | None) -> str:
         return ""
     lengths = np.array([len(t) for t, _, _, _ in lines], dtype=float)
     tags = np.array([max(n, 1) for _, n, _, _ in lines], dtype=float)
-    content = content_lines(smoothed(lengths / tags, SMOOTHING))
-    region = _region(page, lines, lengths * content)
-    inside = _below(page.parents, region)
+    # On a log scale, one very long line does not push the others into the lower cluster.
+    content = content_lines(np.log1p(smoothed(lengths / tags, SMOOTHING)))
+    inside = _inside(page, lines, lengths * content, lengths / tags >= PROSE_RATIO)
     return "\n".join(t for t, _, c, _ in lines if inside[c])
 
 
@@ -296,23 +300,43 @@ def _marked_out(page: _Lines) -> list[bool]:
     return out
 
 
-def _region(page: _Lines, lines: list[tuple[str, int, int, str]], weights: np.ndarray) -> int:
-    """Smallest container with nearly all content; an article is not entered further."""
-    own = np.zeros(len(page.parents))
+def _inside(page: _Lines, lines: list[tuple[str, int, int, str]], weights: np.ndarray,
+            prose: np.ndarray) -> list[bool]:
+    """Which containers have lines of the result directly in them."""
+    n = len(page.parents)
+    own, filled = np.zeros(n), [False] * n  # content and any text, in a container and below
     for (_, _, container, _), w in zip(lines, weights):
         own[container] += w
-    for c in range(len(own) - 1, 0, -1):  # parents come before their children
+        filled[container] = True
+    for c in range(n - 1, 0, -1):  # parents come before their children
         own[page.parents[c]] += own[c]
-    total, region = own[0], 0
-    articles = [c for c, t in enumerate(page.tags_of) if t == "article" and own[c] >= total / 2]
-    if articles:
-        return articles[0]
-    for c in range(1, len(own)):
-        if page.parents[c] == region and page.tags_of[c] in REGIONS and own[c] >= REGION_SHARE * total:
-            region = c
-            if page.tags_of[c] in ("main", "article"):
-                break
-    return region
+        filled[page.parents[c]] |= filled[c]
+    for c in range(n):
+        if page.tags_of[c] == "article" and own[c] >= own[0] / 2:
+            return _below(page.parents, c)  # never smaller than an article, and not entered further
+    sections = [0] * n
+    for c in range(1, n):
+        sections[page.parents[c]] += page.tags_of[c] == "section" and filled[c]
+    region = 0
+    for c in range(1, n):
+        if page.parents[c] != region or page.tags_of[c] not in REGIONS or own[c] < own[0]:
+            continue
+        if page.tags_of[c] == "section" and sections[region] > 1:
+            break  # one of several sections
+        region = c
+        if page.tags_of[c] == "main":
+            break
+    inside = _below(page.parents, region)
+    around, c = set(), region
+    while c > 0:
+        if page.tags_of[c] == "main":
+            return inside
+        c = page.parents[c]
+        around.add(c)
+    for (_, _, c, block), long in zip(lines, prose):
+        if long or block == "h1" or c in around and (block in HEADINGS or block == "p"):
+            inside[c] = True
+    return inside
 
 
 def _below(parents: list[int], region: int) -> list[bool]:

@@ -81,6 +81,28 @@ def test_marks_of_small_elements():
     assert main_text(f'<article>{PROSE}<p>A line <span class="share">Share</span> with a button.</p></article>') == LINES + "\nA line with a button."
 
 
+def block(name, n):
+    return f"{name} " + "word " * (n // 5 - 2) + "end."
+
+
+@pytest.mark.parametrize("around", ["{}", "<body><header>Site</header>{}<footer>Imprint</footer></body>"])
+def test_layouts_without_article(around):
+    a, b, c, d, long = block("a", 200), block("b", 200), block("c", 200), block("d", 120), block("long", 3000)
+    for tag, inner in (("blockquote", "<p>{}</p>"), ("ul", "<li>{}"), ("table", "<tr><td>{}"), ("table", "<tr><td><p>{}</p>")):
+        page = f"<div class=content><p>{a}</p><p>{b}</p><{tag}>{inner.format(long)}</{tag}><p>{c}</p></div>"
+        assert main_text(around.format(page)) == "\n".join([a, b, long, c])
+    body = f"<div class=body><p>{long}</p><p>{b}</p></div>"
+    assert main_text(around.format(f"<div class=post><h1>Title</h1><p>{d}</p>{body}</div>")) == "\n".join(["Title", d, long, b])
+    assert main_text(around.format(f"<div class=post><h1>Title</h1><p>Lead.</p>{body}</div>")) == "\n".join(["Title", "Lead.", long, b])
+    assert main_text(around.format(f"<div class=post><div><h1>Title</h1></div>{body}</div>")) == "\n".join(["Title", long, b])
+    page = f"<div class=post><div><p>{a}</p><p>{b}</p></div><div><p>{long}</p><p>{long}</p></div></div>"
+    assert main_text(around.format(page)) == "\n".join([a, b, long, long])
+    page = f"<div class=post><section><h2>One</h2><p>{d}</p></section><section><p>{long}</p></section><section><p>Two.</p></section></div>"
+    assert main_text(around.format(page)) == "\n".join(["One", d, long, "Two."])
+    page = f"<div class=post><div><p>{a}</p></div><div><h3>Part</h3></div><div><p>{b}</p><p>{long}</p></div><div><p>{long}</p></div></div>"
+    assert main_text(around.format(page)) == "\n".join([a, "Part", b, long, long])
+
+
 def test_long_and_nested():
     assert len(main_text("<div>" * 20_000 + "x")) == 1
     assert main_text("<p>" + "word " * 100_000) == ("word " * 100_000).strip()
