@@ -76,6 +76,30 @@ def rc4(t):
     return scored.groupBy("user_id", "n_items").agg(F.count_if(left_out).alias("n_better_left_out"))
 
 
+@query("rc4_top_items_of_all_users", """
+    SELECT DISTINCT CAST(user_id AS INTEGER) AS user_id, CAST(5 AS INTEGER) AS n_items, CAST(0 AS BIGINT) AS n_better_left_out
+    FROM {lines}""")
+def rc4_all(t):
+    # Of all items, bought or not, none outside the list may score above its last entry.
+    _, model = _model(t)
+    return _better_left_out(model, RC.recommend(model, 5))
+
+
+def _better_left_out(model, recs):
+    """Per user: the length of the list, and how many items of the model score above its last entry without being in it.
+
+    Like the recommendation itself, this scores every user against every item.
+    """
+    last = recs.select("user_id", F.size("recommendations").alias("n_items"),
+                       F.array_min("recommendations.rating").alias("least"), F.col("recommendations.item_id").alias("listed"))
+    users = last.join(model.userFactors.select(F.col("id").alias("user_id"), F.col("features").alias("u")), "user_id")
+    items = model.itemFactors.select(F.col("id").alias("item_id"), F.col("features").alias("i"))
+    score = sum(F.col("u")[k].cast("double") * F.col("i")[k] for k in range(model.rank))
+    better = users.crossJoin(items).filter((score > F.col("least") + 1e-4) & ~F.array_contains("listed", F.col("item_id")))
+    n = better.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_better_left_out"))
+    return last.select("user_id", "n_items").join(n, "user_id", "left").fillna(0, ["n_better_left_out"])
+
+
 @query("rc5_flat_recommendations", """
     SELECT DISTINCT CAST(user_id AS INTEGER) AS user_id, CAST(5 AS BIGINT) AS n_rows, CAST(5 AS BIGINT) AS n_right_ratings FROM {lines}""")
 def rc5(t):

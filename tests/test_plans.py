@@ -16,6 +16,7 @@ from lakeops.plans import demand as DM
 from lakeops.plans import features as FT
 from lakeops.plans import recommend as RC
 from lakeops.plans import table_functions as TF
+from lakeops.queries import QUERIES
 from lakeops.session import work_dir
 
 
@@ -238,3 +239,22 @@ def test_dense_ids_for_als(spark):
     model = RC.train_als(indexed.select("uid", "iid", "rating"), "uid", "iid", rank=2, max_iter=1)
     flat = RC.flatten_recs(RC.recommend(model, 3), "uid")
     assert flat.groupBy("uid").count().filter("count = 3").count() == 7
+
+
+def test_better_items_left_out_are_counted(spark):
+    """A better item counts even if its user has never taken it; every user has a row."""
+    from lakeops.queries.recommendations import _better_left_out
+
+    ratings = spark.createDataFrame([(u, i, 1.0) for u in range(9) for i in range(12) if (u + i) % 3 == 0], "user_id int, item_id int, rating double")
+    model = RC.train_als(ratings, "user_id", "item_id", rank=2, max_iter=2, seed=1)
+    recs = RC.recommend(model, 5)
+    assert {tuple(r) for r in _better_left_out(model, recs).collect()} == {(u, 5, 0) for u in range(9)}
+    full = RC.recommend(model, 12).collect()
+    worst = [(r["user_id"], r["recommendations"][-1:]) for r in full]
+    want = {(r["user_id"], 1, sum(x["rating"] > r["recommendations"][-1]["rating"] + 1e-4 for x in r["recommendations"])) for r in full}
+    assert {tuple(r) for r in _better_left_out(model, spark.createDataFrame(worst, recs.schema)).collect()} == want
+    assert any(n for _, _, n in want)
+    registered = QUERIES["rc4_top_items_of_all_users"](spark, "/root/testdata/sf0.001").select("user_id")
+    buyers = spark.read.parquet("/root/testdata/sf0.001/orders.parquet").join(
+        spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet"), F.col("o_orderkey") == F.col("l_orderkey"))
+    assert {r[0] for r in registered.collect()} == {r[0] for r in buyers.select("o_custkey").distinct().collect()}
