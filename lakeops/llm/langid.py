@@ -105,6 +105,12 @@ class Model:
         first = min(shares, key=lambda i: (-shares[i], self.languages[i]))
         return self.languages[first], min(max(shares[first], 0.0), 1.0)
 
+    def accepts(self, text: str | None) -> bool:
+        """Whether a language is found or, without any learned language, whether there is a letter."""
+        if not self.languages:
+            return len(gram_counts(text)[0]) > 0
+        return self.predict(text)[0] != UNKNOWN
+
 
 def _proportions(p: np.ndarray, counts: np.ndarray, weights: np.ndarray) -> np.ndarray:
     n = counts.sum()
@@ -174,7 +180,8 @@ def in_known_language(docs: DataFrame, learn_from: Column, id_col: str = "doc_id
                       lang_col: str = "lang") -> DataFrame:
     """Rows of ``docs`` for which a language is found, with their own columns.
 
-    Rejected are null texts and texts without any letter, and nothing else.
+    Rejected are null texts and texts without any letter, and nothing else: if
+    no row has a language to learn, every text with a letter stays.
     """
     model = learn(docs.filter(learn_from), text_col, lang_col)
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -182,7 +189,7 @@ def in_known_language(docs: DataFrame, learn_from: Column, id_col: str = "doc_id
 
     def known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [shared.value.predict(t)[0] != UNKNOWN for t in batch.column(at).to_pylist()]
+            found = [shared.value.accepts(t) for t in batch.column(at).to_pylist()]
             yield batch.filter(pa.array(found, pa.bool_()))
 
     return docs.mapInArrow(known, docs.schema)

@@ -82,3 +82,13 @@ def test_rejected_rows(odd_docs):
     kept = in_known_language(odd_docs, F.lit(True))
     assert kept.columns == odd_docs.columns
     assert sorted(r["doc_id"] for r in kept.collect() if r["doc_id"]) == [1, 2, 3, 8, 8, 8, 9, 10, 11]
+
+
+def test_without_any_language_all_texts_with_letters_stay(odd_docs, no_docs):
+    unlabelled = odd_docs.withColumn("lang", F.lit(None).cast("string"))
+    for docs in (unlabelled, odd_docs.withColumn("lang", F.lit(None))):
+        kept = in_known_language(docs, F.lit(True)).collect()
+        assert sorted(r["doc_id"] for r in kept if r["doc_id"]) == [1, 2, 3, 8, 8, 8, 9, 10, 11]
+        assert len(kept) == in_known_language(odd_docs, F.lit(True)).count()
+    assert in_known_language(odd_docs, F.lit(False)).count() == len(kept)
+    assert in_known_language(no_docs, F.lit(True)).count() == 0
