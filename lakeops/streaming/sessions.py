@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeops.operators.null_safe import null_safe_join
+from lakeops.streaming.ingest import run_once
 
 
 def _slot(ts: str, gap_seconds: int) -> Column:
@@ -71,3 +72,27 @@ def sessionize_stream(events: DataFrame, user: str, ts: str, gap: str = "30 minu
         .select(user, F.col("session.start").alias("session_start"),
                 F.col("session.end").alias("session_end"), "n_events")
     )
+
+
+def sessionize_run(stream: DataFrame, source: DataFrame, out: str, checkpoint: str, user: str, ts: str,
+                   gap_seconds: int = 1800, watermark: str = "1 hour") -> DataFrame:
+    """All sessions of a bounded run: what the stream has closed, and the open ones, closed here.
+
+    ``source`` is the batch form of what ``stream`` reads. A user's events from
+    the end of the last written session on are sessionized as a batch. An event
+    that came too late for the watermark is an error if a session lacks it:
+    the events of all sessions must be those of the source that have a time.
+    """
+    run_once(sessionize_stream(stream, user, ts, f"{gap_seconds} seconds", watermark), out, checkpoint)
+    written = source.sparkSession.read.parquet(out)
+    ends = written.groupBy(user).agg(F.max("session_end").alias("_end"))
+    timed = source.filter(F.col(ts).isNotNull()).select(user, ts)
+    rest = null_safe_join(timed, ends, [user], "left").filter(F.col("_end").isNull() | (F.col(ts) >= F.col("_end")))
+    last = sessionize(rest, user, ts, gap_seconds).select(
+        user, "session_start", (F.col("session_end") + F.expr(f"INTERVAL {gap_seconds} SECOND")).alias("session_end"), "n_events")
+    sessions = written.unionByName(last)
+    n, counted = timed.count(), sessions.agg(F.coalesce(F.sum("n_events"), F.lit(0))).first()[0]
+    if n != counted:
+        raise ValueError(f"{n - counted} events came after the watermark and are in no session; "
+                         f"feed the files in the order of {ts} or raise the watermark delay of {watermark}")
+    return sessions

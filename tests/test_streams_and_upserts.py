@@ -177,3 +177,35 @@ def test_upsert_table_touches_only_its_partitions(spark):
 def test_state_as_of(spark):
     log = spark.createDataFrame([(1, 1, "a"), (1, 3, "c"), (2, 2, "b")], DDL)
     assert {r["k"]: r["v"] for r in state_as_of(log, ["k"], "seq", 2).collect()} == {1: "a", 2: "b"}
+
+
+def test_streamed_sessions_do_not_depend_on_the_number_of_files(spark):
+    """One file per trigger, written in any order: the same sessions as in one batch, the last ones included."""
+    from lakeops.queries import streams
+    from lakeops.queries.registry import Tables
+    from lakeops.streaming.sessions import sessionize
+
+    t = Tables(spark, "/root/testdata/sf0.001")
+    want = sorted((r["user_id"], r["session_start"], r["n_events"]) for r in sessionize(t.events, "user_id", "ts").collect())
+    got = streams._streamed_sessions(t, max_files=1).collect()
+    assert sorted((r["user_id"], r["session_start"], r["n_events"]) for r in got) == want
+
+
+def test_events_behind_the_watermark_are_an_error(spark):
+    from lakeops.streaming.sessions import sessionize_run
+
+    src = work_dir(spark, "sessions-src")
+    ddl = "u int, ts timestamp"
+    for i, (hour, u) in enumerate([(40, 1), (41, 2), (2, 1), (60, 2), (61, 2)]):
+        at = datetime.fromtimestamp(hour * 3600)
+        put(spark, f"{src}/day={i}", [(u, at), (u, at)], ddl)
+    assert ingest.order_files(spark, src) > 0
+
+    def run(watermark):
+        stream = ingest.stream_files(spark, src, "parquet", ddl, rescued=False, max_files=1)
+        return sessionize_run(stream, spark.read.schema(ddl).parquet(src), work_dir(spark, "sessions-out"),
+                              work_dir(spark, "sessions-ckpt"), "u", "ts", watermark=watermark)
+
+    with pytest.raises(ValueError, match="2 events came after the watermark"):
+        run("1 hour")
+    assert sorted((r["u"], r["n_events"]) for r in run("2 days").collect()) == [(1, 2), (1, 2), (2, 2), (2, 2), (2, 2)]
