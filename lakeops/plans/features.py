@@ -120,6 +120,16 @@ def distinct_values(df: DataFrame, cols: Sequence[str], limit: int = 1000) -> di
     return out
 
 
+def one_hot_long(df: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
+    """The ones of a one-hot encoding as rows (key, column, value), for columns with any number of values.
+
+    Every value of every row is kept; a null has no row, as it has no column in
+    the wide form. No value comes to the driver, and nothing is shuffled.
+    """
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in cols])
+    return df.select(key, F.inline(pairs)).filter(F.col("value").isNotNull())
+
+
 def yes_no(c: Column | str) -> Column:
     value = F.col(c) if isinstance(c, str) else c
     return F.when(value == "Yes", 1).when(value == "No", 0)

@@ -222,6 +222,16 @@ def test_one_hot_refuses_many_values(spark):
         FT.distinct_values(spark.range(50).select(F.col("id").cast("string").alias("c")), ["c"], limit=10)
 
 
+def test_one_hot_long_has_every_value(spark):
+    df = spark.range(3000).select("id", F.when(F.col("id") != 7, F.concat(F.lit("v"), "id")).alias("c"), (F.col("id") % 2).alias("d"))
+    rows = {tuple(r) for r in FT.one_hot_long(df, "id", ["c", "d"]).collect()}
+    assert rows == {(i, "c", f"v{i}") for i in range(3000) if i != 7} | {(i, "d", str(i % 2)) for i in range(3000)}
+    few = df.filter("id < 20")
+    wide = FT.one_hot(few, FT.distinct_values(few, ["c"])).collect()
+    ones = {(r["id"], "c", n[2:]) for r in wide for n, v in r.asDict().items() if n.startswith("c_") and v == 1}
+    assert ones == {r for r in rows if r[0] < 20 and r[1] == "c"}
+
+
 def test_account_window_quirk(spark):
     tx = spark.createDataFrame([(1, 5, date(2024, 1, 20), 10.0), (1, 6, date(2023, 11, 20), 20.0), (1, None, date(2023, 3, 1), 5.0)],
                                "payer int, payee int, d date, amt double")
