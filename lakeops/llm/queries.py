@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeops.llm import ann, bpe, exact_dedup, html_text, langid, mixing, packing, quality, simhash, warc
+from lakeops.llm import ann, bpe, exact_dedup, html_text, langid, mixing, packing, periodic, quality, simhash, warc
 from lakeops.llm.common import held_out
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -88,3 +88,8 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op10_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(_table(spark, sf_dir, "documents"), RANKS, public_tokenizers.PATTERN)
+
+
+@_query
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.periodic_runs(_table(spark, sf_dir, "documents"), plant=True)

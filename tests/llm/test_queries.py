@@ -12,6 +12,7 @@ COLUMNS = {
     6: "doc_id size source_size target taken", 7: "doc_id keep_id group_size kept text_sha256",
     8: "doc_id fingerprint component_id", 9: "doc_id held_out score predicted",
     10: "file row n_tokens n_segments doc_ids offsets cu_seqlens ids_sha256",
+    11: "doc_id n_runs start length period exponent_milli runs_sha256 collapsed_sha256",
 }
 TABLES = {1: "pages", 2: "pages", 3: None, 10: None}
 
