@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeops.llm import ann, bpe, exact_dedup, html_text, langid, mixing, packing, periodic, quality, simhash, warc
+from lakeops.llm import ann, bpe, exact_dedup, html_text, langid, line_dedup, mixing, packing, periodic, quality, simhash, warc
 from lakeops.llm.common import held_out
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -93,3 +93,22 @@ def op10_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic.periodic_runs(_table(spark, sf_dir, "documents"), plant=True)
+
+
+@_query
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.deduplicated_lines(_table(spark, sf_dir, "documents"))
+
+
+ORACLES["op13_line_dedup"] = r"""
+WITH docs AS (SELECT doc_id, row_number() OVER () AS row_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+lines AS (SELECT doc_id, row_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS pos FROM docs),
+keyed AS (
+  SELECT *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM lines),
+marked AS (SELECT *, length(key) >= 10 AND doc_id <> min(doc_id) OVER (PARTITION BY key) AS dropped FROM keyed)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT dropped), '')) AS kept_sha256
+FROM marked GROUP BY doc_id, row_id
+"""
