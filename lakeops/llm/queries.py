@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeops.llm import ann, bpe, exact_dedup, html_text, langid, line_dedup, mixing, packing, periodic, quality, simhash, warc
+from lakeops.llm import ann, bpe, exact_dedup, html_text, langid, line_dedup, mixing, packing, periodic, quality, simhash, variants, warc
 from lakeops.llm.common import held_out
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -95,6 +95,11 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic.periodic_runs(_table(spark, sf_dir, "documents"), plant=True)
 
 
+@_query
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.spelling_variants(_table(spark, sf_dir, "documents"), delete_every=31)
+
+
 @_query
 def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.deduplicated_lines(_table(spark, sf_dir, "documents"))

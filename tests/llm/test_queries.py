@@ -13,9 +13,10 @@ COLUMNS = {
     8: "doc_id fingerprint component_id", 9: "doc_id held_out score predicted",
     10: "file row n_tokens n_segments doc_ids offsets cu_seqlens ids_sha256",
     11: "doc_id n_runs start length period exponent_milli runs_sha256 collapsed_sha256",
+    12: "word form root n n_near form_n",
     13: "doc_id n_lines n_dropped kept_sha256",
 }
-TABLES = {1: "pages", 2: "pages", 3: None, 10: None}
+TABLES = {1: "pages", 2: "pages", 3: None, 10: None, 12: None}
 
 
 @pytest.mark.parametrize("name", list(QUERIES))
