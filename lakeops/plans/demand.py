@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from statistics import NormalDist
 
 import numpy as np
@@ -15,6 +15,7 @@ from lakeops.functions.columns import safe_div
 from lakeops.functions.dates import holiday_flag, quarter_label, weekday_number
 from lakeops.operators.joins import denormalise
 from lakeops.operators.windows import rolling
+from lakeops.plans import trend_changes
 
 
 def daily_series(sales: DataFrame, keys: Sequence[str], ds: str = "ds", y: str = "y") -> DataFrame:
@@ -68,44 +69,73 @@ def _design(days: np.ndarray, origin: float, span: float, weekly: bool, yearly:
     return np.column_stack(cols)
 
 
-def fit_series(days: np.ndarray, y: np.ndarray, horizon: int, level: float) -> dict[str, np.ndarray]:
+def fit_series(days: np.ndarray, y: np.ndarray, horizon: int, level: float, paths: int = 300,
+               seed: int = 0) -> dict[str, np.ndarray]:
     """Fit one series and predict its history and the days ahead.
 
-    ``days`` are day numbers in ascending order. log(1 + y) is regressed on
-    trend and seasonality with a small ridge penalty, which makes the
-    seasonality multiplicative. The band comes from the residual spread.
+    ``days`` are day numbers in ascending order. log(1 + y) is regressed on a
+    piecewise-linear trend with steps and on seasonality with a small ridge penalty, which makes
+    the seasonality multiplicative. The days at which slope or level change are found
+    with a penalty on the changes, see ``trend_changes``. The band of the history
+    has the spread of the residuals; ahead, ``paths`` simulated courses add changes of the trend, as frequent
+    and as large as those of the history, and the error of the estimate.
     Seasonal terms need at least two full periods. A series without any value
     has no forecast: its days come back with empty figures.
     """
+    half_width = _quantile(level)
     known = ~np.isnan(y)
     if not known.any():
         ahead = np.concatenate([days, days[-1] + 1 + np.arange(horizon)])
         none = np.full(len(ahead), np.nan)
-        return {"days": ahead, "y": none, "yhat": none, "yhat_lower": none, "yhat_upper": none}
+        return {"days": ahead, "y": none, "yhat": none, "yhat_lower": none, "yhat_upper": none, "changes": trend_changes.NONE}
     origin, last = days[known][0], days[known][-1]
     span = max(last - origin, 1.0)
     weekly, yearly = span >= 14, span >= 730
     ahead = np.concatenate([days, last + 1 + np.arange(horizon)])
     design = _design(ahead, origin, span, weekly, yearly)
-    x = design[: len(days)][known]
     target = np.log1p(np.clip(y[known], 0, None))
-    penalty = np.full(x.shape[1], 0.1)
+    penalty = np.full(design.shape[1], 0.1)
     penalty[0] = 0.0
-    beta = np.linalg.solve(x.T @ x + np.diag(penalty), x.T @ target)
+    base = design[: len(days)][known]
+    changes = trend_changes.change_days(days[known], target, base, penalty / 100, span)
+    design = np.hstack([design, trend_changes.columns(ahead, changes, span)])
+    penalty = np.append(penalty, np.full(len(changes), 1e-3))
+    x = design[: len(days)][known]
+    inverse = np.linalg.inv(x.T @ x + np.diag(penalty))
+    beta = inverse @ (x.T @ target)
+    rest = target - x @ beta
     free = max(len(target) - x.shape[1], 1)
-    spread = _quantile(level) * np.sqrt(np.sum((target - x @ beta) ** 2) / free)
+    sigma = np.sqrt(np.sum(rest ** 2) / free)
+    low, high = -half_width * sigma, half_width * sigma
+    if len(rest) * (1 - level) >= 2:  # the residuals themselves show the tails
+        wider = np.sqrt(len(rest) / free)
+        low, high = (min(wider * q, 0.0) if s < 0 else max(wider * q, 0.0)
+                     for s, q in zip((-1, 1), np.quantile(rest, [(1 - level) / 2, (1 + level) / 2])))
     fitted = design @ beta
+    # The error of the estimate widens the band ahead, as do changes to come.
+    lever = np.sqrt(1.0 + np.maximum(np.einsum("ij,jk,ik->i", design[len(days):], inverse, design[len(days):]), 0.0))
+    lower = fitted + np.append(np.full(len(days), low), low * lever)
+    upper = fitted + np.append(np.full(len(days), high), high * lever)
+    if len(changes):
+        rng = np.random.default_rng(seed)
+        sizes = beta[-len(changes):] / np.where(changes[:, 1] == trend_changes.SLOPE, span, 1.0)
+        to_come = trend_changes.simulated_changes(rng, changes, sizes, span, horizon, paths)
+        errors = rng.choice(rest, (paths, horizon)) * np.sqrt(len(rest) / free) * lever
+        sums = np.sort(to_come + errors, axis=0)
+        ranks = np.clip(np.round(np.array([(1 - level) / 2, (1 + level) / 2]) * (paths - 1)).astype(int), 0, paths - 1)
+        lower[len(days):] = np.minimum(lower[len(days):], fitted[len(days):] + sums[ranks[0]])
+        upper[len(days):] = np.maximum(upper[len(days):], fitted[len(days):] + sums[ranks[1]])
 
     def back(v: np.ndarray) -> np.ndarray:
         return np.clip(np.expm1(np.clip(v, -50, 50)), 0, None)
 
     return {"days": ahead, "y": np.concatenate([y, np.full(horizon, np.nan)]), "yhat": back(fitted),
-            "yhat_lower": back(fitted - spread), "yhat_upper": back(fitted + spread)}
+            "yhat_lower": back(lower), "yhat_upper": back(upper), "changes": changes}
 
 
-def forecast(series: DataFrame, keys: Sequence[str], ds: str = "ds", y: str = "y", horizon: int = 90,
-             level: float = 0.95) -> DataFrame:
-    """One model per series: trend, weekly and yearly seasonality, interval.
+def _fitted(series: DataFrame, keys: Sequence[str], ds: str, y: str, horizon: int, level: float, schema: str,
+            rows: Callable[[pa.Table, list[int], list[dict[str, np.ndarray]]], pa.Table]) -> DataFrame:
+    """Fit every series; ``rows`` makes the result of the series in a batch.
 
     Input is summed to one row per series and day by Spark, so a series is as
     long as its history in days. Partitions hold whole series in order; a task
@@ -121,20 +151,40 @@ def forecast(series: DataFrame, keys: Sequence[str], ds: str = "ds", y: str = "y
             actual = table["y"].to_numpy(zero_copy_only=False)
             days = table["days"].to_numpy()
             starts = _series_starts(table, keys)
-            fits, owners = [], []
-            for lo, hi in zip(starts, [*starts[1:], len(table)]):
-                fits.append(fit_series(days[lo:hi], actual[lo:hi], horizon, level))
-                owners.append(np.full(hi - lo + horizon, lo))
-            owner = pa.array(np.concatenate(owners))
-            col = {n: np.concatenate([f[n] for f in fits]) for n in fits[0]}
-            out = {k: table[k].take(owner) for k in keys}
-            out["ds"] = pa.array(col["days"].astype("int32")).cast(pa.date32())
-            out["y"] = pa.array(col["y"], mask=np.isnan(col["y"]))
-            out |= {n: pa.array(col[n], mask=np.isnan(col[n])) for n in ("yhat", "yhat_lower", "yhat_upper")}
-            yield from pa.table(out).to_batches()
-
-    return daily.repartition(*keys).sortWithinPartitions(*keys, "days").mapInArrow(
-        fit_all, f"{key_ddl}, ds date, y double, yhat double, yhat_lower double, yhat_upper double")
+            fits = [fit_series(days[lo:hi], actual[lo:hi], horizon, level) for lo, hi in zip(starts, [*starts[1:], len(table)])]
+            yield from rows(table, starts, fits).to_batches()
+
+    return daily.repartition(*keys).sortWithinPartitions(*keys, "days").mapInArrow(fit_all, f"{key_ddl}, {schema}")
+
+
+def forecast(series: DataFrame, keys: Sequence[str], ds: str = "ds", y: str = "y", horizon: int = 90,
+             level: float = 0.95) -> DataFrame:
+    """One model per series: trend with change points, weekly and yearly seasonality, interval."""
+    keys = list(keys)
+
+    def rows(table: pa.Table, starts: list[int], fits: list[dict[str, np.ndarray]]) -> pa.Table:
+        owner = pa.array(np.repeat(starts, [len(f["days"]) for f in fits]))
+        col = {n: np.concatenate([f[n] for f in fits]) for n in ("days", "y", "yhat", "yhat_lower", "yhat_upper")}
+        out = {k: table[k].take(owner) for k in keys}
+        out["ds"] = pa.array(col["days"].astype("int32")).cast(pa.date32())
+        out |= {n: pa.array(col[n], mask=np.isnan(col[n])) for n in ("y", "yhat", "yhat_lower", "yhat_upper")}
+        return pa.table(out)
+
+    return _fitted(series, keys, ds, y, horizon, level, "ds date, y double, yhat double, yhat_lower double, yhat_upper double", rows)
+
+
+def trend_change_points(series: DataFrame, keys: Sequence[str], ds: str = "ds", y: str = "y") -> DataFrame:
+    """The days at which the trend of each series changes its slope or its level, as lists; empty for a steady trend."""
+    keys = list(keys)
+
+    def rows(table: pa.Table, starts: list[int], fits: list[dict[str, np.ndarray]]) -> pa.Table:
+        out = {k: table[k].take(pa.array(starts)) for k in keys}
+        for name, kind in (("slope_days", trend_changes.SLOPE), ("level_days", trend_changes.LEVEL)):
+            days = [f["changes"][f["changes"][:, 1] == kind, 0].astype("int32") for f in fits]
+            out[name] = pa.array(days, pa.list_(pa.int32())).cast(pa.list_(pa.date32()))
+        return pa.table(out)
+
+    return _fitted(series, keys, ds, y, 1, 0.95, "slope_days array<date>, level_days array<date>", rows)
 
 
 def _series_starts(table: pa.Table, keys: Sequence[str]) -> list[int]:

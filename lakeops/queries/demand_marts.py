@@ -66,6 +66,36 @@ def fc3(t):
     return DM.forecast_fit(DM.forecast(t.demand, ["machine_id", "item"]), ["machine_id", "item"])
 
 
+# Demand of a category, ten times as high from a day on: the change that the model has to find.
+_RAISED = "1998-07-01"
+
+
+@query("fc3_change_points", """
+    SELECT item, CAST(count(DISTINCT ds) AS BIGINT) AS n_days, TRUE AS found_within_a_week FROM {demand} GROUP BY item""")
+def fc3_changes(t):
+    times = F.when(F.col("ds") >= F.lit(_RAISED).cast("date"), 10).otherwise(1)
+    series = t.demand.groupBy("item", "ds").agg((F.sum("y") * times).alias("y"))
+    changes = DM.trend_change_points(series, ["item"])
+    near = F.exists("level_days", lambda d: F.abs(F.date_diff(d, F.lit(_RAISED).cast("date"))) <= 7)
+    return changes.join(series.groupBy("item").agg(F.count(F.lit(1)).alias("n_days")), "item").select(
+        "item", "n_days", near.alias("found_within_a_week"))
+
+
+@query("fc3_backtest", """
+    SELECT item, CAST(count(DISTINCT ds) AS BIGINT) AS n_held_out, TRUE AS band_holds FROM {demand}
+    WHERE ds BETWEEN DATE '2000-01-01' AND DATE '2000-03-30' GROUP BY item""")
+def fc3_backtest(t):
+    # Trained on the days before; the band of 95 % must hold 90 to 98 % of the days up to March.
+    series = t.demand.groupBy("item", "ds").agg(F.sum("y").alias("y"))
+    before = F.col("ds") < F.lit("2000-01-01").cast("date")
+    ahead = DM.forecast(series.filter(before), ["item"], horizon=120).filter(~before & (F.col("ds") <= F.lit("2000-03-30").cast("date")))
+    held = ahead.drop("y").join(series, ["item", "ds"])
+    per = held.groupBy("item").agg(F.count(F.lit(1)).alias("n_held_out"), F.count_if(
+        (F.col("yhat_lower") <= F.col("y")) & (F.col("y") <= F.col("yhat_upper"))).alias("_inside"))
+    share = per.agg(F.sum("_inside") / F.sum("n_held_out")).first()[0]
+    return per.select("item", "n_held_out", F.lit(share is not None and 0.9 <= share <= 0.98).alias("band_holds"))
+
+
 @query("fc4_future_frame", """
     SELECT ds, machine_id, item, y FROM {demand}
     UNION ALL SELECT CAST(m + CAST(k AS INTEGER) AS DATE), machine_id, item, NULL
