@@ -12,6 +12,7 @@ from lakeops.functions.columns import safe_div
 from lakeops.operators.clean import latest_partition
 from lakeops.operators.numbering import surrogate_key
 from lakeops.operators.windows import latest_per_key, rank_best, top_n
+from lakeops.plans.inner_products import top_items
 from lakeops.session import shared_root
 
 
@@ -52,13 +53,19 @@ def train_als(ratings: DataFrame, user: str, item: str, rating: str = "rating",
     return als.fit(ratings)
 
 
-def recommend(model: ALSModel, k: int = 30, users: DataFrame | None = None) -> DataFrame:
+def recommend(model: ALSModel, k: int = 30, users: DataFrame | None = None, with_counts: bool = False) -> DataFrame:
     """Top ``k`` items as arrays, for the given users or for all.
 
-    Each user is scored against every item, so name the users that matter (the
-    booked ones, say) where they are few.
+    The result is exact, but items that cannot reach a user's list are not
+    scored, see ``inner_products``. ``with_counts`` adds ``n_scored``.
     """
-    return model.recommendForAllUsers(k) if users is None else model.recommendForUserSubset(users, k)
+    user, item = model.getUserCol(), model.getItemCol()
+    wanted = model.userFactors
+    if users is not None:
+        wanted = wanted.join(users.select(F.col(user).alias("id")).distinct(), "id", "left_semi")
+    found = top_items(wanted, model.itemFactors, k)
+    recs = F.transform("found", lambda x: F.struct(x["item"].cast("int").alias(item), x["score"].cast("float").alias("rating")))
+    return found.select(F.col("id").cast("int").alias(user), recs.alias("recommendations"), *(["n_scored"] if with_counts else []))
 
 
 def flatten_recs(recs: DataFrame, user: str) -> DataFrame:

@@ -64,13 +64,11 @@ def rc3(t):
 
 @query("rc4_top_items", """
     SELECT DISTINCT CAST(user_id AS INTEGER) AS user_id, CAST(5 AS INTEGER) AS n_items, CAST(0 AS BIGINT) AS n_better_left_out
-    FROM {lines} WHERE user_id % 3 = 0""")
+    FROM {lines}""")
 def rc4(t):
     # Of the items a user has bought, none outside the list may score above its last entry.
     ratings, model = _model(t)
-    recs = RC.recommend(model, 5, ratings.filter("user_id % 3 = 0").select("user_id").distinct())
-    last = recs.select("user_id", F.size("recommendations").alias("n_items"),
-                       F.array_min("recommendations.rating").alias("least"), F.col("recommendations.item_id").alias("listed"))
+    last = _last_entries(RC.recommend(model, 5))
     scored = _dot(model, ratings.select("user_id", "item_id")).join(last, "user_id")
     left_out = ~F.array_contains("listed", F.col("item_id")) & (F.col("score") > F.col("least") + 1e-4)
     return scored.groupBy("user_id", "n_items").agg(F.count_if(left_out).alias("n_better_left_out"))
@@ -82,20 +80,45 @@ def rc4(t):
 def rc4_all(t):
     # Of all items, bought or not, none outside the list may score above its last entry.
     _, model = _model(t)
-    return _better_left_out(model, RC.recommend(model, 5))
+    return _better_left_out(model, _last_entries(RC.recommend(model, 5)))
+
+
+@query("rc4_scored_share", """
+    SELECT count(DISTINCT user_id) AS n_users, count(DISTINCT item_id) AS n_items, TRUE AS skips_pairs FROM {lines}""")
+def rc4_share(t):
+    # Pairs of users and items that the search has scored, of all pairs there are.
+    _, model = _model(t)
+    scored = RC.recommend(model, 5, with_counts=True).agg(F.count(F.lit(1)).alias("n_users"), F.sum("n_scored").alias("n_scored"))
+    n_items = model.itemFactors.count()
+    return scored.select("n_users", F.lit(n_items).cast("bigint").alias("n_items"),
+                         (F.col("n_scored") < n_items * F.col("n_users")).alias("skips_pairs"))
+
 
+def _last_entries(recs):
+    return recs.select("user_id", F.size("recommendations").alias("n_items"),
+                       F.array_min("recommendations.rating").alias("least"), F.col("recommendations.item_id").alias("listed"))
+
+
+def _norm_class(norm):
+    """Eighths of a doubling."""
+    return F.floor(F.log2(norm) * 8).cast("int")
 
-def _better_left_out(model, recs):
+
+def _better_left_out(model, last):
     """Per user: the length of the list, and how many items of the model score above its last entry without being in it.
 
-    Like the recommendation itself, this scores every user against every item.
+    Such an item has at least a norm of that score over the user's norm, so a user is joined with the
+    items of these classes of norms only.
     """
-    last = recs.select("user_id", F.size("recommendations").alias("n_items"),
-                       F.array_min("recommendations.rating").alias("least"), F.col("recommendations.item_id").alias("listed"))
-    users = last.join(model.userFactors.select(F.col("id").alias("user_id"), F.col("features").alias("u")), "user_id")
-    items = model.itemFactors.select(F.col("id").alias("item_id"), F.col("features").alias("i"))
+    norm = F.sqrt(F.aggregate("features", F.lit(0.0), lambda a, x: a + x.cast("double") * x))
+    items = model.itemFactors.select(F.col("id").alias("item_id"), F.col("features").alias("i"), norm.alias("norm")).filter("norm > 0")
+    items = items.withColumn("class", _norm_class(F.col("norm")))
+    low, high = items.agg(F.min("class"), F.max("class")).first()
+    users = last.join(model.userFactors.select(F.col("id").alias("user_id"), F.col("features").alias("u"), norm.alias("norm")), "user_id")
+    floor = F.when(F.col("least") > 0, _norm_class(F.col("least") / F.col("norm")) - 1).otherwise(low)
+    reached = users.withColumn("class", F.explode(F.sequence(F.least(F.greatest(floor, F.lit(low)), F.lit(high)), F.lit(high))))
     score = sum(F.col("u")[k].cast("double") * F.col("i")[k] for k in range(model.rank))
-    better = users.crossJoin(items).filter((score > F.col("least") + 1e-4) & ~F.array_contains("listed", F.col("item_id")))
+    better = reached.join(items.drop("norm"), "class").filter((score > F.col("least") + 1e-4) & ~F.array_contains("listed", F.col("item_id")))
     n = better.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_better_left_out"))
     return last.select("user_id", "n_items").join(n, "user_id", "left").fillna(0, ["n_better_left_out"])
 
