@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from lakeops.operators.quality import expect_or_drop
 from lakeops.queries.registry import query
 from lakeops.session import work_dir
+from lakeops.sources import quoted_csv as Q
 from lakeops.sources import readers as R
 from lakeops.streaming import ingest
 
@@ -29,7 +30,15 @@ def src1(t):
 def src2(t):
     path = work_dir(t.spark, "src2")
     t.documents.select("doc_id", "text").write.options(header=True, quote='"', escape='"', quoteAll=True).csv(path)
-    return R.read_text_csv(t.spark, path, "doc_id bigint, text string")
+    return Q.read_quoted_csv(t.spark, path, "doc_id bigint, text string")
+
+
+@query("src2_csv_one_large_file", "SELECT CAST(doc_id AS INTEGER) AS doc_id, lang, text FROM documents")
+def src2_large(t):
+    # One file, names and types from the file itself; any number of tasks may read it.
+    path = work_dir(t.spark, "src2-large")
+    t.documents.select("doc_id", "lang", "text").coalesce(1).write.options(header=True, quote='"', escape='"').csv(path)
+    return Q.read_quoted_csv(t.spark, path)
 
 
 @query("src3_csv_with_schema", "SELECT event_id, user_id, event_type, value FROM events")

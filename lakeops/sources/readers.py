@@ -18,7 +18,10 @@ def read_csv(spark: SparkSession, path: str, infer: bool = True, **options) -> D
 
 def read_text_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
                   **options) -> DataFrame:
-    """CSV whose quoted fields may hold commas, quotes and line breaks."""
+    """CSV whose quoted fields may hold commas, quotes and line breaks, for small files: one task reads each.
+
+    Large files are read by ``quoted_csv.read_quoted_csv``.
+    """
     reader = spark.read.options(header=True, multiLine=True, quote='"', escape='"', **options)
     reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
     return reader.csv(path)
