@@ -4,12 +4,14 @@ AvailableNow trigger, and the outcome is compared with the batch answer."""
 from pyspark.sql import functions as F
 
 from lakeops.functions.columns import cents
+from lakeops.operators.windows import latest_per_key
 from lakeops.queries.registry import query
 from lakeops.queries.sql import money
 from lakeops.session import work_dir
 from lakeops.streaming import changes as CH
 from lakeops.streaming import ingest as IN
 from lakeops.streaming import sessions as SE
+from lakeops.streaming import stateful as ST
 
 DDL = "event_id bigint, ts timestamp, user_id bigint, event_type string, value double"
 
@@ -53,6 +55,19 @@ def str3(t):
     return CH.current_state(t.spark, target, ["user_id"], "value")
 
 
+@query("str3_newest_by_state", """
+    SELECT user_id, event_id, ts, value FROM events
+    QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""")
+def str3_state(t):
+    # The state lets newer rows through only; the last of them per user is the current row.
+    src, out = _event_files(t, "str3s"), work_dir(t.spark, "str3s-out")
+    stream = IN.stream_files(t.spark, src, "parquet", DDL, rescued=False, max_files=10).select("user_id", "ts", "event_id", "value")
+    days = t.events.agg(F.datediff(F.max("ts"), F.min("ts")) + 2).first()[0]
+    ST.run_stateful(ST.newest_rows(stream, ["user_id"], "ts", f"{days} days"), out, work_dir(t.spark, "str3s-ckpt"))
+    newer = t.spark.read.schema(stream.schema).parquet(out).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    return latest_per_key(newer, ["user_id"], ["ts"], ["event_id"]).select("user_id", "event_id", "ts", "value")
+
+
 @query("str4_composite_key_changes", """
     SELECT user_id, event_type, event_id, value FROM events
     QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1""")
@@ -113,30 +128,31 @@ def str7_label(t):
 
 
 @query("str7_streamed_sessions", f"""
-    SELECT user_id, session_start, session_end + INTERVAL 30 MINUTE AS session_end, n_events
-    FROM ({_SESSIONS.replace("{op}", ">=")})
-    WHERE session_end + INTERVAL 30 MINUTE <= (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 1 HOUR FROM events)""")
+    SELECT user_id, session_start, session_end + INTERVAL 30 MINUTE AS session_end, n_events FROM ({_SESSIONS.replace("{op}", ">=")})""")
 def str7_stream(t):
-    # As its check SQL has it: sessions closed one hour before the last event.
-    end = t.events.agg((F.date_trunc("millisecond", F.max("ts")).cast("timestamp_ntz") - F.expr("INTERVAL 1 HOUR")).alias("_closed"))
-    return _streamed_sessions(t).crossJoin(end).filter(F.col("session_end") <= F.col("_closed")).drop("_closed")
+    return _streamed_sessions(t).withColumn("session_end", F.col("session_end") + F.expr("INTERVAL 30 MINUTE"))
 
 
 @query("str7_all_streamed_sessions", f"""
     SELECT user_id, session_start, session_end + INTERVAL 30 MINUTE AS session_end, n_events FROM ({_SESSIONS.replace("{op}", ">=")})""")
 def str7_all(t):
-    return _streamed_sessions(t)
+    # The same from many triggers.
+    return _streamed_sessions(t, max_files=4).withColumn("session_end", F.col("session_end") + F.expr("INTERVAL 30 MINUTE"))
+
 
+@query("str7_streamed_sessions_strict", f"""
+    SELECT user_id, session_start, session_end, n_events FROM ({_SESSIONS.replace("{op}", ">")})""")
+def str7_stream_strict(t):
+    # Few files per trigger, so that state goes from trigger to trigger.
+    return _streamed_sessions(t, strict=True, max_files=10)
 
-def _streamed_sessions(t, max_files=1000):
-    """Append mode: a session is written, and its state freed, once the watermark has passed its end.
 
-    The files are read day by day, so the source is out of order by a day at most, and the watermark waits for that.
-    """
+def _streamed_sessions(t, strict=False, max_files=1000):
+    """State per user. The watermark waits as long as the source lasts, so the order of its files does not matter."""
     src, out = _event_files(t, "str7-src"), work_dir(t.spark, "str7-out")
-    IN.order_files(t.spark, src)
     stream = IN.stream_files(t.spark, src, "parquet", DDL, rescued=False, max_files=max_files)
-    sessions = SE.sessionize_run(stream, t.spark.read.schema(DDL).parquet(src), out, work_dir(t.spark, "str7-ckpt"), "user_id", "ts",
-                                 watermark="25 hours")
+    days, last = t.events.agg(F.datediff(F.max("ts"), F.min("ts")) + 2, F.max("ts")).first()
+    sessions = SE.sessionize_run(stream, out, work_dir(t.spark, "str7-ckpt"), "user_id", "ts", strict=strict,
+                                 watermark=f"{days} days", last=last)
     return sessions.select("user_id", F.col("session_start").cast("timestamp_ntz").alias("session_start"),
                            F.col("session_end").cast("timestamp_ntz").alias("session_end"), "n_events")

@@ -97,30 +97,6 @@ def _new_files(spark: SparkSession, src: str, checkpoint: str, max_files: int,
         availableNow=True).start().awaitTermination()
 
 
-def order_files(spark: SparkSession, path: str) -> int:
-    """Give the files of a partitioned folder ascending modification times, in the order of their paths.
-
-    A file stream reads in order of modification time, so it then takes the
-    partitions one after the other (dates in their order). The files of one
-    partition may still fall into two triggers: the disorder that is left is
-    the time one partition spans. Returns the number of files. File names come
-    to the driver, as they do in the stream itself. A store that keeps its own
-    times is left as it is.
-    """
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    found, files = fs.listFiles(folder, True), []
-    while found.hasNext():
-        status = found.next()
-        if status.getPath().getName().startswith("part-"):
-            files.append((status.getPath().toString(), status.getPath(), status.getModificationTime()))
-    files.sort(key=lambda f: f[0])
-    first = max((f[2] for f in files), default=0) - 1000 * len(files)
-    for i, (_, file, _) in enumerate(files):
-        fs.setTimes(file, first + 1000 * i, -1)
-    return len(files)
-
-
 def run_once(stream: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
     """Append everything available now to a Parquet table and wait for the end."""
     query = (

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeops.operators.null_safe import null_safe_join
-from lakeops.streaming.ingest import run_once
+from lakeops.streaming.stateful import close_after, closing_stream, run_stateful, session_state
 
 
 def _slot(ts: str, gap_seconds: int) -> Column:
@@ -74,25 +75,27 @@ def sessionize_stream(events: DataFrame, user: str, ts: str, gap: str = "30 minu
     )
 
 
-def sessionize_run(stream: DataFrame, source: DataFrame, out: str, checkpoint: str, user: str, ts: str,
-                   gap_seconds: int = 1800, watermark: str = "1 hour") -> DataFrame:
-    """All sessions of a bounded run: what the stream has closed, and the open ones, closed here.
+def sessionize_run(stream: DataFrame, out: str, checkpoint: str, user: str, ts: str, gap_seconds: int = 1800,
+                   strict: bool = False, watermark: str = "1 hour", last: datetime | None = None) -> DataFrame:
+    """All sessions of a bounded run, from state per user; the table ``out``.
 
-    ``source`` is the batch form of what ``stream`` reads. A user's events from
-    the end of the last written session on are sessionized as a batch. An event
-    that came too late for the watermark is an error if a session lacks it:
-    the events of all sessions must be those of the source that have a time.
+    Sessions are written when the watermark has passed them. With ``last``, a time after all events, a
+    closing row then lets the watermark pass the rest, so that the run ends with no state left; without
+    it open sessions wait in the checkpoint for the next run. Events that came behind the
+    watermark are counted by the stream, and are an error: the delay has to be as long as the
+    source is out of order. With a delay as long as the whole source, neither the order nor the number of files matters.
     """
-    run_once(sessionize_stream(stream, user, ts, f"{gap_seconds} seconds", watermark), out, checkpoint)
-    written = source.sparkSession.read.parquet(out)
-    ends = written.groupBy(user).agg(F.max("session_end").alias("_end"))
-    timed = source.filter(F.col(ts).isNotNull()).select(user, ts)
-    rest = null_safe_join(timed, ends, [user], "left").filter(F.col("_end").isNull() | (F.col(ts) >= F.col("_end")))
-    last = sessionize(rest, user, ts, gap_seconds).select(
-        user, "session_start", (F.col("session_end") + F.expr(f"INTERVAL {gap_seconds} SECOND")).alias("session_end"), "n_events")
-    sessions = written.unionByName(last)
-    n, counted = timed.count(), sessions.agg(F.coalesce(F.sum("n_events"), F.lit(0))).first()[0]
-    if n != counted:
-        raise ValueError(f"{n - counted} events came after the watermark and are in no session; "
-                         f"feed the files in the order of {ts} or raise the watermark delay of {watermark}")
-    return sessions
+    spark = stream.sparkSession
+    events = stream.select(user, F.col(ts).cast("timestamp").alias(ts))
+    closing, folder = closing_stream(spark, events, ts)
+    # Of the closing row only the time matters; its session is recognised by that and left out.
+    sessions = session_state(events.unionByName(closing), user, ts, gap_seconds, strict, watermark)
+    _, late = run_stateful(sessions, out, checkpoint)
+    if late:
+        raise ValueError(f"at least {late} events came more than {watermark} late and are in no session")
+    if last is not None:
+        far = last + timedelta(days=36_500)
+        close_after(spark, folder, events.schema, ts, far)
+        run_stateful(sessions, out, checkpoint)
+        return spark.read.schema(sessions.schema).parquet(out).filter(F.col("session_start") < F.lit(far))
+    return spark.read.schema(sessions.schema).parquet(out)

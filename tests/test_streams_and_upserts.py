@@ -191,21 +191,74 @@ def test_streamed_sessions_do_not_depend_on_the_number_of_files(spark):
     assert sorted((r["user_id"], r["session_start"], r["n_events"]) for r in got) == want
 
 
-def test_events_behind_the_watermark_are_an_error(spark):
-    from lakeops.streaming.sessions import sessionize_run
-
+def _bursts(spark, hours):
+    """A file per (hour, user), in this order, with two events each."""
     src = work_dir(spark, "sessions-src")
-    ddl = "u int, ts timestamp"
-    for i, (hour, u) in enumerate([(40, 1), (41, 2), (2, 1), (60, 2), (61, 2)]):
+    for i, (hour, u) in enumerate(hours):
         at = datetime.fromtimestamp(hour * 3600)
-        put(spark, f"{src}/day={i}", [(u, at), (u, at)], ddl)
-    assert ingest.order_files(spark, src) > 0
+        put(spark, f"{src}/day={i}", [(u, at), (u, at)], "u int, ts timestamp")
+    return src
+
 
-    def run(watermark):
-        stream = ingest.stream_files(spark, src, "parquet", ddl, rescued=False, max_files=1)
-        return sessionize_run(stream, spark.read.schema(ddl).parquet(src), work_dir(spark, "sessions-out"),
-                              work_dir(spark, "sessions-ckpt"), "u", "ts", watermark=watermark)
+def _session_run(spark, src, watermark, max_files=1, **parameters):
+    from lakeops.streaming.sessions import sessionize_run
+
+    stream = ingest.stream_files(spark, src, "parquet", "u int, ts timestamp", rescued=False, max_files=max_files)
+    return sessionize_run(stream, work_dir(spark, "sessions-out"), work_dir(spark, "sessions-ckpt"), "u", "ts",
+                          watermark=watermark, last=datetime.fromtimestamp(100 * 3600), **parameters)
 
-    with pytest.raises(ValueError, match="2 events came after the watermark"):
-        run("1 hour")
-    assert sorted((r["u"], r["n_events"]) for r in run("2 days").collect()) == [(1, 2), (1, 2), (2, 2), (2, 2), (2, 2)]
+
+def test_events_behind_the_watermark_are_an_error(spark):
+    src = _bursts(spark, [(40, 1), (41, 2), (2, 1), (60, 2), (61, 2)])
+    with pytest.raises(ValueError, match="came more than 1 hour late"):
+        _session_run(spark, src, "1 hour")
+    assert sorted((r["u"], r["n_events"]) for r in _session_run(spark, src, "2 days").collect()) == [(1, 2), (1, 2), (2, 2), (2, 2), (2, 2)]
+
+
+@pytest.mark.parametrize("max_files", [1, 2, 100])
+def test_sessions_from_state_do_not_depend_on_triggers(spark, max_files):
+    """Files out of order, a burst that joins two sessions, a pause of exactly the gap."""
+    src = _bursts(spark, [(50, 1), (10, 1), (9, 1), (48, 1), (49, 1), (10, None), (30, 2)])
+    for strict, want in ((False, [(1, 2), (1, 2), (1, 2), (1, 2), (1, 2)]), (True, [(1, 4), (1, 6)])):
+        got = _session_run(spark, src, "10 days", max_files, gap_seconds=3600, strict=strict).collect()
+        assert sorted((r["u"], r["n_events"]) for r in got if r["u"] is not None) == [*want, (2, 2)]
+        assert [r["n_events"] for r in got if r["u"] is None] == [2]
+
+
+def test_state_is_freed(spark):
+    from lakeops.streaming import stateful
+
+    src = _bursts(spark, [(h, u) for h in range(10, 40, 3) for u in (1, 2, 3)])
+    stream = ingest.stream_files(spark, src, "parquet", "u int, ts timestamp", rescued=False, max_files=3)
+    # Sessions: only those near the watermark are held.
+    closed = stateful.session_state(stream, "u", "ts", 1800, watermark="1 hour")
+    out = work_dir(spark, "freed-out")
+    query, late = stateful.run_stateful(closed, out, work_dir(spark, "freed-ckpt"))
+    assert late == 0 and query.lastProgress["stateOperators"][0]["numRowsTotal"] <= 12
+    assert spark.read.parquet(out).count() == 27  # the last burst waits
+    # Newest rows: all keys are behind the watermark once a later time has come.
+    more = _bursts(spark, [(10, 1), (11, 2), (12, 3), (900, 4)])
+    stream = ingest.stream_files(spark, more, "parquet", "u int, ts timestamp", rescued=False, max_files=1).select("u", "ts")
+    newer = stateful.newest_rows(stream, ["u"], "ts", "1 hour")
+    query, late = stateful.run_stateful(newer, work_dir(spark, "newest-out"), work_dir(spark, "newest-ckpt"))
+    assert late == 0 and query.lastProgress["stateOperators"][0]["numRowsTotal"] <= 4
+
+
+@pytest.mark.parametrize("max_files", [1, 100])
+def test_older_rows_lose_in_any_order(spark, max_files):
+    from lakeops.streaming import stateful
+
+    src = work_dir(spark, "newest-src")
+    ddl = "k int, ts timestamp, v string, x double"
+    rows = [(1, 5, "new"), (1, 4, "old"), (2, 1, "a"), (2, 3, "b"), (2, 3, "c"), (None, 2, "n"), (3, 1, None), (1, 1, "older")]
+    for i, (k, hour, v) in enumerate(rows):
+        put(spark, f"{src}/f={i}", [(k, datetime(2024, 1, 1, hour, 0, 0, 123456), v, 0.1)], ddl)
+    stream = ingest.stream_files(spark, src, "parquet", ddl, rescued=False, max_files=max_files).select("k", "ts", "v", "x")
+    out = work_dir(spark, "newest-out")
+    _, late = stateful.run_stateful(stateful.newest_rows(stream, ["k"], "ts", "2 days"), out, work_dir(spark, "newest-ckpt"))
+    got = spark.read.parquet(out).collect()
+    newest = {}
+    for r in sorted(got, key=lambda r: (r["ts"], r["v"] or "")):
+        newest[r["k"]] = (r["ts"].hour, r["ts"].microsecond, r["v"], r["x"])
+    assert late == 0 and newest == {1: (5, 123456, "new", 0.1), 2: (3, 123456, "c", 0.1), None: (2, 123456, "n", 0.1), 3: (1, 123456, None, 0.1)}
+    assert not any(r["v"] in ("old", "older") for r in got) and len(got) <= 6
