@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from lakeops.operators import sets as S
+from lakeops.operators.sampling import exact_sample
 from lakeops.queries.registry import query
 
 
@@ -22,6 +23,21 @@ def sl2(t):
     return S.top_k(counts, [F.col("purchases").desc(), F.col("item_id")], 10)
 
 
+_H = "('0x' || substr(md5(concat_ws('#', event_id, '7')), 1, 15))::BIGINT"
+
+
+@query("sl3_exact_sample", f"""
+    SELECT event_id, user_id, value FROM events ORDER BY {_H}, event_id LIMIT 500""")
+def sl3_exact(t):
+    return exact_sample(t.events, ["event_id"], 500, seed=7).select("event_id", "user_id", "value")
+
+
+@query("sl3_exact_sample_by_class", f"""
+    SELECT event_id, event_type FROM events QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY {_H}, event_id) <= 40""")
+def sl3_by_class(t):
+    return exact_sample(t.events, ["event_id"], 40, ["event_type"], seed=7).select("event_id", "event_type")
+
+
 @query("sl3_hash_sample", """
     SELECT event_id, user_id, value FROM events
     WHERE ('0x' || substr(md5(concat_ws('#', event_id, '7')), 1, 8))::BIGINT / 4294967296.0 < 0.1""")
