@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 
 from lakeops.functions.columns import cents, unit_hash
 from lakeops.functions.dates import day, local_time
+from lakeops.operators.sampling import exact_sample
 from lakeops.operators.sets import hash_sample, union_all
+from lakeops.plans.search import draw, halving_search
 from lakeops.session import checkpointed
 
 
@@ -102,6 +104,14 @@ def rebalance(df: DataFrame, label_col: str, key: str, over: int = 2, ratio: flo
     return union_all([major, oversample(df, label_col, over)])
 
 
+def rebalance_exactly(df: DataFrame, label_col: str, keys: Sequence[str], over: int = 2, ratio: float = 3.0,
+                      seed: int = 42) -> DataFrame:
+    """Minority rows repeated, and exactly ``ratio`` times as many majority rows, or all of them."""
+    n = df.filter(F.col(label_col) == 1).count() * over
+    major = exact_sample(df.filter(F.col(label_col) == 0), keys, int(n * ratio), seed=seed)
+    return union_all([major, oversample(df, label_col, over)])
+
+
 def one_hot(df: DataFrame, values: Mapping[str, Sequence[str]], keep: bool = False) -> DataFrame:
     """0/1 columns named ``<column>_<value>`` for the given values."""
     dummies = {f"{c}_{v}": F.coalesce((F.col(c) == v).cast("int"), F.lit(0)) for c, vs in values.items() for v in vs}
@@ -185,6 +195,24 @@ def train_classifier(df: DataFrame, label_col: str, numeric: Sequence[str], dept
     return search.fit(df).bestModel
 
 
+def search_classifier(train: DataFrame, validation: DataFrame, keys: Sequence[str], label_col: str, numeric: Sequence[str],
+                      space: Mapping[str, object], n_trials: int = 9, least_rows: int = 1000, factor: int = 3,
+                      parallelism: int = 4, seed: int = 42) -> tuple[PipelineModel, DataFrame]:
+    """Gradient-boosted trees with the best parameters of ``space``, by successive halving; and all trials.
+
+    ``space`` names parameters of ``GBTClassifier`` (``maxDepth``, ``maxIter``, ``stepSize``, ``subsamplingRate``, ...).
+    """
+    roc = BinaryClassificationEvaluator(labelCol=label_col, metricName="areaUnderROC")
+
+    def fit(rows: DataFrame, params: dict[str, object]) -> PipelineModel:
+        gbt = GBTClassifier(labelCol=label_col, featuresCol="features", seed=seed, **params)
+        return Pipeline(stages=[prepare(numeric), gbt]).fit(rows)
+
+    cols = list(dict.fromkeys([*keys, label_col, *numeric]))
+    return halving_search(train.select(*cols), validation.select(*cols), keys, label_col, draw(space, n_trials, seed), fit,
+                          lambda model, rows: roc.evaluate(model.transform(rows)), least_rows, factor, parallelism, seed)
+
+
 def evaluate(scored: DataFrame, label_col: str) -> dict[str, float]:
     """F1, area under ROC and under the precision-recall curve."""
     f1 = MulticlassClassificationEvaluator(labelCol=label_col, metricName="f1")

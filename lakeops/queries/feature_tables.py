@@ -1,11 +1,14 @@
 """2.16 feature engineering and models."""
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from lakeops.functions import columns as C
 from lakeops.operators.aggregates import distribution
 from lakeops.operators.joins import hashed_join, min_group, role_join
+from lakeops.operators.sampling import exact_split
 from lakeops.plans import features as FT
+from lakeops.plans.shapley import explain
 from lakeops.queries.registry import AS_OF, query
 from lakeops.queries.sql import money
 from lakeops.session import work_dir
@@ -120,6 +123,25 @@ def ml7(t):
     return FT.rebalance(t.labels, "toxic", "doc_id").select("doc_id", "toxic")
 
 
+def _place(seed):
+    return f"('0x' || substr(md5(concat_ws('#', doc_id, '{seed}')), 1, 15))::BIGINT"
+
+
+@query("ml7_rebalanced_exactly", f"""
+    SELECT doc_id, toxic FROM labels WHERE toxic = 1 UNION ALL SELECT doc_id, toxic FROM labels WHERE toxic = 1
+    UNION ALL SELECT doc_id, toxic FROM (SELECT *, row_number() OVER (ORDER BY {_place(42)}) AS rn FROM labels WHERE toxic = 0)
+    WHERE rn <= 6 * (SELECT count(*) FROM labels WHERE toxic = 1)""")
+def ml7_exact(t):
+    return FT.rebalance_exactly(t.labels, "toxic", ["doc_id"]).select("doc_id", "toxic")
+
+
+@query("ml9_exact_split", f"""
+    SELECT doc_id, quality, CASE WHEN rn <= floor(n * 0.6::DOUBLE + 0.5) THEN 'train' WHEN rn <= floor(n * 0.8::DOUBLE + 0.5) THEN 'val' ELSE 'test' END AS split
+    FROM (SELECT doc_id, quality, row_number() OVER (PARTITION BY quality ORDER BY {_place(0)}) AS rn, count(*) OVER (PARTITION BY quality) AS n FROM labels)""")
+def ml9_exact(t):
+    return exact_split(t.labels, ["doc_id"], {"train": 0.6, "val": 0.2, "test": 0.2}, ["quality"]).select("doc_id", "quality", "split")
+
+
 @query("ml8_one_hot", """
     SELECT c_custkey, CAST(c_mktsegment = 'AUTOMOBILE' AS INTEGER) AS c_mktsegment_AUTOMOBILE,
            CAST(c_mktsegment = 'BUILDING' AS INTEGER) AS c_mktsegment_BUILDING, CAST(c_mktsegment = 'FURNITURE' AS INTEGER) AS c_mktsegment_FURNITURE,
@@ -184,6 +206,45 @@ def ml10(t):
                       F.lit(right > larger - 0.1).alias("at_least_the_larger_class"))
 
 
+_CHURN_ROWS = """(SELECT count(*) AS n FROM customer JOIN (SELECT DISTINCT o_custkey FROM orders) ON c_custkey = o_custkey)"""
+_NUMERIC = ["c_acctbal", "n_orders", "largest"]
+
+
+def _searched(t):
+    parts = exact_split(_churn(t), ["c_custkey"], {"train": 0.6, "val": 0.2, "test": 0.2}, ["label"])
+    space = {"maxDepth": [2, 4], "maxIter": [2, 6], "stepSize": [0.05, 0.3]}
+    model, trials = FT.search_classifier(parts.filter("split = 'train'"), parts.filter("split = 'val'"), ["c_custkey"], "label",
+                                         _NUMERIC, space, n_trials=8, least_rows=50, factor=2)
+    return parts, model, trials
+
+
+@query("ml10_search_trials", """
+    SELECT CAST(unnest(generate_series(0, 7)) AS INTEGER) AS trial, TRUE AS params_named, TRUE AS scored, TRUE AS halved""")
+def ml10_search(t):
+    # Every trial is in the first rung; each rung keeps the better ones, and one wins.
+    _, _, trials = _searched(t)
+    rungs = trials.groupBy("rung").agg(F.count_if("kept").alias("kept"), F.min(F.when(F.col("kept"), F.col("score"))).alias("least"),
+                                       F.max(F.when(~F.col("kept"), F.col("score"))).alias("best_out")).orderBy("rung").collect()
+    counts = [r["n"] for r in trials.groupBy("rung").agg(F.count(F.lit(1)).alias("n")).orderBy("rung").collect()]
+    halved = (counts[1:] == [r["kept"] for r in rungs[:-1]] and rungs[-1]["kept"] == 1
+              and all(r["best_out"] is None or r["best_out"] <= r["least"] for r in rungs))
+    return trials.filter("rung = 0").select("trial", F.col("params").contains("maxDepth").alias("params_named"),
+                                            F.col("score").between(0, 1).alias("scored"), F.lit(halved).alias("halved"))
+
+
+@query("ml10_attributions", """
+    SELECT c_custkey, TRUE AS adds_up, CAST(3 AS INTEGER) AS n_features FROM customer
+    JOIN (SELECT DISTINCT o_custkey FROM orders) ON c_custkey = o_custkey""")
+def ml10_attributions(t):
+    # Base value and attributions add up to the margin of the model, for every row.
+    parts, model, _ = _searched(t)
+    ready = model.stages[0].transform(parts).select("c_custkey", "features")
+    told = model.stages[-1].transform(ready).select("c_custkey", "features", vector_to_array("rawPrediction")[1].alias("told"))
+    out = explain(model.stages[-1], told)
+    total = F.aggregate("attributions", F.lit(0.0), lambda a, x: a + x) + F.col("base_value")
+    return out.select("c_custkey", (F.abs(total - F.col("told")) < 1e-9).alias("adds_up"), F.size("attributions").alias("n_features"))
+
+
 @query("ml10_confusion_matrix", "SELECT toxic, quality, count(*) AS n FROM labels GROUP BY ALL")
 def ml10_matrix(t):
     return FT.confusion_matrix(t.labels, "toxic", "quality")
