@@ -2,12 +2,14 @@
 
 Sources share a budget by weight. A source whose share is above its cap (its
 words times the maximum of epochs) is clamped there, and the excess goes to the
-others by weight, until no share is above its cap: the water level, the share
-per unit of weight, only rises, and one aggregate over the sources gives the
-next level. A target is then taken as whole repetitions of all documents of the
+others by weight, until no share is above its cap. That fixes the water level, the
+share per unit of weight: sources with a smaller cap per weight are clamped. It is found by sums over
+ranges of the cap per weight, from coarse to fine, so the number of jobs does not
+grow with the sources. A target is then taken as whole repetitions of all documents of the
 source and one more of some of them: those with the smallest seeded hashes, up
-to the one that comes nearest to the target. That threshold is found by sums
-over ranges of hashes, from coarse to fine, so no source is ever sorted.
+to the one that comes nearest to the target. That threshold, too, is found by sums
+over ranges of hashes, so no source is ever sorted. Rows equal in id and text
+are numbered, and the number goes into the hash: they are taken one by one.
 """
 
 from __future__ import annotations
@@ -29,23 +31,43 @@ def word_count(text: Column) -> Column:
     return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(WORD)).cast("bigint")
 
 
+def water_level(sources: DataFrame, total: float) -> float | None:
+    """Share per unit of weight at which the capped shares sum up to ``total``; None if all are clamped.
+
+    ``sources`` has ``cap`` and ``weight``. Each round brings at most 2**12 sums to the driver and narrows the range
+    of caps per weight by that factor.
+    """
+    rows = sources.filter("weight > 0").withColumn("ratio", F.col("cap") / F.col("weight"))
+    low, high, all_caps, free = rows.agg(F.min("ratio"), F.max("ratio"), F.sum("cap"), F.sum("weight")).first()
+    if low is None or total >= all_caps:
+        return None
+    clamped = 0.0  # caps of the sources below the range; ``free``: weights from the range on
+    while low < high:
+        step = (high - low) / (1 << _LEVEL_BITS)
+        at = F.least(F.floor((F.col("ratio") - low) / step), F.lit((1 << _LEVEL_BITS) - 1))
+        sums = rows.filter(F.col("ratio").between(low, high)).groupBy(at.alias("at")).agg(
+            F.sum("cap").alias("cap"), F.sum("weight").alias("weight"), F.min("ratio").alias("low"), F.max("ratio").alias("high"))
+        for r in sums.orderBy("at").collect():
+            if clamped + r["low"] * free >= total:  # the level is below all of this range
+                return (total - clamped) / free
+            if clamped + r["cap"] + r["high"] * (free - r["weight"]) >= total:
+                low, high = r["low"], r["high"]
+                break
+            clamped, free = clamped + r["cap"], free - r["weight"]
+        else:
+            return None
+    return (total - clamped) / free
+
+
 def targets(sources: DataFrame, share: float, max_epochs: float) -> DataFrame:
     """``target`` of each source, from its ``source_size`` and ``weight``.
 
-    ``sources`` must be stored: it is read once per rise of the level.
+    ``sources`` must be stored: it is read a few times.
     """
     cap, weight = F.col("source_size") * F.lit(float(max_epochs)), F.col("weight")
     total = (sources.agg(F.sum("source_size")).first()[0] or 0) * share
-    level, known = None, -1
-    while True:
-        over = F.lit(False) if level is None else weight * F.lit(level) > cap
-        clamped, capped, free = sources.agg(
-            F.count_if(over), F.sum(F.when(over, cap)), F.sum(F.when(~over, weight))).first()
-        if clamped == known:
-            break
-        known = clamped
-        level = (total - (capped or 0.0)) / free if free else float("inf")
-    if level == float("inf"):
+    level = water_level(sources.select(cap.alias("cap"), "weight"), total)
+    if level is None:
         return sources.withColumn("target", cap)
     return sources.withColumn("target", F.least(weight * F.lit(level), cap))
 
@@ -84,8 +106,8 @@ def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.
     ``max_epochs`` times the words of its source. Returns the id, ``size``,
     ``source_size``, ``target`` (of the row's source), ``repeats`` (times the
     row is taken) and ``taken`` (words, repeats counted). The same rows and seed
-    give the same result, in any partitioning; rows equal in id and text
-    are taken alike. An empty table gives an empty result.
+    give the same result, in any partitioning; of rows equal in id and text
+    some may be taken more often than others. An empty table gives an empty result.
     """
     facts, by_source = _plan(docs, weights, share, max_epochs, seed, id_col, text_col, source_col)
     out = facts.join(by_source, "source_key")
@@ -98,6 +120,21 @@ def _row_hash(seed: int, id_col: str, text_col: str) -> Column:
     return F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col)), 64 - _HASH_BITS)
 
 
+def _apart(rows: DataFrame, order: list[Column | str]) -> DataFrame:
+    """Rows with a hash of their own each, where several have one: their number goes into it.
+
+    Such rows are equal in id and text, so it does not matter which has which number; ``order`` makes
+    it the same on every run. Most tables have none, and then the rows pass as they are.
+    """
+    again = stored(rows.groupBy("source_key", "h").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("source_key", "h"), "mix-again")
+    if again.isEmpty():
+        return rows
+    numbered = number_rows(rows.join(again, ["source_key", "h"], "left_semi"), ["source_key", "h"], order, "_copy")
+    own = F.shiftrightunsigned(F.xxhash64("h", F.col("_copy").cast("bigint")), 64 - _HASH_BITS)
+    many = numbered.withColumn("h", F.when(F.col("_copy") > 1, own).otherwise(F.col("h"))).drop("_copy")
+    return rows.join(again, ["source_key", "h"], "left_anti").unionByName(many)
+
+
 def _source_key(source: Column) -> Column:
     """A key that joins null sources too: they are marked by a name no source has."""
     return F.coalesce(F.concat(F.lit("="), source), F.lit("null"))
@@ -108,6 +145,7 @@ def _plan(docs, weights, share, max_epochs, seed, id_col, text_col, source_col)
     facts = stored(docs.select(
         F.col(id_col).alias("id"), _source_key(source).alias("source_key"), source.alias("source"),
         word_count(F.col(text_col)).alias("size"), _row_hash(seed, id_col, text_col).alias("h")), "mix-facts")
+    facts = _apart(facts, ["id", "size"])
     sources = facts.groupBy("source_key", "source").agg(F.sum("size").alias("source_size"))
     ranked = number_rows(sources, [], [F.col("source").asc_nulls_last()])
     pick = F.element_at(F.array(*[F.lit(float(w)) for w in weights]),
@@ -130,6 +168,7 @@ def mixed(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float =
     rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"),
                        _source_key(F.col(source_col).cast("string")).alias("source_key"),
                        _row_hash(seed, id_col, text_col).alias("h"))
+    rows = _apart(rows, [F.to_json(F.col("row"))])
     rows = rows.join(by_source.select("source_key", "whole", "limit"), "source_key")
     times = (F.col("whole") + F.when(F.col("h") <= F.col("limit"), 1).otherwise(0)).cast("int")
     # explode of an empty array drops the row

@@ -1,9 +1,10 @@
+import random
 import re
 
 import pytest
 from pyspark.sql import functions as F
 
-from lakeops.llm.mixing import mix, mixed, targets
+from lakeops.llm.mixing import _row_hash, mix, mixed, targets
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -72,6 +73,45 @@ def test_water_level(spark):
         assert sum(got) == pytest.approx(share * sum(sizes))
 
 
+def test_many_sources_in_few_jobs(spark):
+    rng = random.Random(3)
+    rows = [(i, rng.choice([0, 1, 5, 1000, 10 ** 9]) * rng.randrange(1, 50), float(rng.choice([5, 2, 1, 0.001]))) for i in range(5000)]
+    frame = spark.createDataFrame(rows, "source_key int, source_size bigint, weight double").cache()
+    tracker = spark.sparkContext.statusTracker()
+    for share in (0.3, 1.5, 1.99):
+        spark.sparkContext.setJobGroup(f"level-{share}", "level")
+        got = [r["target"] for r in targets(frame, share, 2.0).orderBy("source_key").collect()]
+        assert len(tracker.getJobIdsForGroup(f"level-{share}")) <= 30
+        assert got == pytest.approx(water_fill([r[1] for r in rows], [r[2] for r in rows], share, 2.0))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_repeated_rows_are_taken_one_by_one(spark):
+    rows = [(1, "one two three", "a")] * 100 + [(2, "x " * 40, "b"), (3, "y " * 60, "b")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    for frame in (docs, docs.repartition(7)):
+        got = mix(frame, share=0.9, max_epochs=2.0).collect()
+        own = [r for r in got if r["doc_id"] == 1]
+        assert abs(sum(r["taken"] for r in own) - own[0]["target"]) <= 3 and own[0]["target"] == pytest.approx(0.9 * 400 * 5 / 7)
+        assert mixed(frame, share=0.9, max_epochs=2.0).filter("doc_id = 1").count() == sum(r["taken"] for r in own) // 3
+
+
+def test_chosen_rows_against_a_sort(spark, small_docs, small_rows):
+    """Whole repetitions of all, then the smallest hashes up to the nearest sum."""
+    hashes = {r["doc_id"]: r["h"] for r in small_docs.select("doc_id", _row_hash(42, "doc_id", "text").alias("h")).collect()}
+    sizes, want = expected(small_rows)
+    taken = {}
+    for source in sizes:
+        own = sorted((hashes[r["doc_id"]], r["doc_id"], len(WORD.findall(r["text"] or ""))) for r in small_rows if r["source"] == source)
+        whole = int(want[source] // sizes[source]) if sizes[source] else 0
+        need = want[source] - whole * sizes[source]
+        for h, doc, size in own:
+            extra = 1 if need > 0 and (size <= need or 2 * need >= size) else 0
+            taken[doc] = (whole + extra) * size
+            need = need - size if need > 0 else 0
+    assert {r["doc_id"]: r["taken"] for r in mix(small_docs).collect()} == taken
+
+
 def test_mixed_rows(odd_docs, small_docs, no_docs):
     for docs in (odd_docs, small_docs):
         rows = mixed(docs)
