@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lakeops.llm.ann import Tree, chi_square_below, neighbours
+from lakeops.llm.ann import Tree, block_of, chi_square_below, neighbours, split_places
 
 SCHEMA = "vec_id bigint, embedding array<float>, label int, id string, v int, block string, kind int"
 
@@ -61,17 +61,75 @@ def test_exact_with_full_confidence(spark):
     assert {q: [i for i, _ in v] for q, v in got.items()} == {q: [i for i, _ in v] for q, v in want.items()}
 
 
+def clusters(n_clusters=40, each=100, length=32, spread=0.05, seed=2):
+    rng = np.random.default_rng(seed)
+    return rng.normal(size=(n_clusters * each, length)) * spread + np.repeat(rng.normal(size=(n_clusters, length)), each, axis=0)
+
+
 def test_search_stops_early():
-    rng = np.random.default_rng(2)
-    points = rng.normal(size=(4000, 32)) * 0.05 + np.repeat(rng.normal(size=(40, 32)), 100, axis=0)
+    """On clustered points few are verified; all of them without a stopping test."""
+    points = clusters()
     tree = Tree([[i] for i in range(4000)], points)
-    seen = []
-    real = np.partition
+    hits, counts = [], []
     for q in range(0, 4000, 200):
-        want = np.argsort(-(points @ points[q]) / np.linalg.norm(points, axis=1))[:6]
-        got = [i for i, _ in tree.nearest(points[q], q, 5)]
-        seen.append(len(set(want) & set(got)) / 5)
-    assert np.mean(seen) >= 0.9 and real is np.partition
+        want = np.argsort(-(points @ points[q]) / np.linalg.norm(points, axis=1), kind="stable")[:6].tolist()
+        found, verified = tree.search(points[q], 6)
+        hits.append(len(set(want) & {i for i, _ in found}) / 6)
+        counts.append(verified)
+        full, everything = tree.search(points[q], 6, confidence=1.1)
+        assert everything == 4000 and [i for i, _ in full] == want
+        # A k-th best that is known from elsewhere only makes it shorter.
+        assert tree.search(points[q], 6, least=full[-1][1])[1] <= verified
+    assert np.mean(hits) >= 0.9 and np.mean(counts) < 0.3 * 4000
+
+
+def test_points_are_verified_in_projected_order():
+    points = clusters()
+    tree = Tree([[i] for i in range(4000)], points)
+    seen = []
+    real, tree.vectors = tree.vectors, _Watched(tree.vectors, seen)
+    tree.search(points[7], 6, confidence=1.1)
+    tree.vectors = real
+    at = points[7] / np.linalg.norm(points[7]) @ tree.directions
+    away = ((tree.places[np.concatenate(seen)] - at) ** 2).sum(axis=1)
+    assert len(away) == 4000 and (np.diff(away) >= 0).all()
+
+
+class _Watched:
+    def __init__(self, array, seen):
+        self.array, self.seen = array, seen
+
+    def __getitem__(self, rows):
+        self.seen.append(rows)
+        return self.array[rows]
+
+
+def test_blocks_by_place_and_queries_sent_to_few(spark):
+    points = clusters(60, 200, 24, 0.03, seed=4)
+    rows = [(i, v.astype("float32").tolist()) for i, v in enumerate(points)]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")
+    want = brute(rows)
+    out = neighbours(frame, F.col("vec_id") % 50 == 0, block_rows=500, with_counts=True).collect()
+    got, verified = {}, {}
+    for r in out:
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+        verified[r["query_id"]] = r["n_verified"]
+        assert r["n_points"] == 12_000
+    assert got.keys() == want.keys()
+    recall = np.mean([len(got[q] & {i for i, _ in want[q]}) / 5 for q in want])
+    share = np.mean(list(verified.values())) / 12_000
+    assert recall >= 0.9 and share < 0.3
+
+
+def test_splits_deal_evenly_and_equal_places_stay_together():
+    rng = np.random.default_rng(1)
+    places = rng.normal(size=(5000, 8))
+    for blocks in (1, 2, 7, 32):
+        found = block_of(split_places(places, blocks), places)
+        sizes = np.bincount(found, minlength=blocks)
+        assert len(sizes) == blocks and sizes.min() > 0.5 * 5000 / blocks
+    same = np.zeros((100, 8))
+    assert len(set(block_of(split_places(same, 4), same).tolist())) == 1
 
 
 def test_hot_vector_and_ties(spark):
