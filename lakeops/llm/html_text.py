@@ -3,10 +3,11 @@
 The standard library's parser streams events. Text gathers in lines, one per
 block of the page; a line knows its characters, its tags and its place among the
 containers. Lines inside elements that are no content by their tag (menus,
-footers, forms, scripts and the like) are left out at once. A class, id or role
-that names such an element (sidebar, notice, advert, comments) decides only if
-the element is small or has a low text-to-tag ratio, and never for a heading,
-for what holds an article, or for what holds most of the page's text. Over the
+footers, scripts and the like) are left out at once. What a class, id or role
+names as such (sidebar, notice, advert, comments) goes too, however long it is, but never a heading or
+what holds an article. A name alone does not make the container of the page go:
+an element without running text beside it stays, unless its name stands for
+comments, adverts or consent. A form goes unless it holds an article or most of the page's text. Over the
 lines that remain, the text-to-tag ratio is smoothed by a Gaussian and split by a threshold into
 two clusters; lines of the upper one show where the content is. The region is
 the article that holds half of their text or, without one, the smallest
@@ -38,7 +39,7 @@ BLOCKS = frozenset(
 CELLS = frozenset(("td", "th", "br"))  # white space, no block of its own
 REGIONS = frozenset("html body main article section div center".split())  # quotations, lists and tables are not entered
 BOILERPLATE = frozenset(
-    "head script style noscript template nav footer aside form menu dialog button select textarea option iframe object "
+    "head script style noscript template nav footer aside menu dialog button select textarea option iframe object "
     "svg math canvas audio video title".split())
 CLOSED_BY_BLOCK = frozenset(("p",))
 NOT_IN_P = BLOCKS - frozenset(("body", "html", "caption", "legend", "optgroup", "option", "title", "summary", "tr",
@@ -60,9 +61,15 @@ BESIDE_MARK = frozenset(
     "list main module outer page panel post posts primary right secondary section site slot story top unit wrap "
     "wrapper".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+# Names that never stand for the container of a page.
+NEVER_CONTENT = frozenset(
+    "ad ads adv advert adverts advertisement advertisements advertising adsense adbox adslot sponsor sponsored cookie "
+    "cookies consent gdpr comment comments commentlist disqus reply replies respond".split())
+READERS = frozenset("comment comments commentlist disqus reply replies respond".split())
 PROSE_RATIO = 40  # characters per tag from which a line outside the region belongs to the result
-SMALL_SHARE = 1 / 3  # of the page's text: a marked element up to this size looks like boilerplate
-MOST_SHARE = 1 / 2  # of the page's text: what holds more is no boilerplate, whatever its marks
+RUNNING_RATIO = 15  # characters (without spaces) per tag from which a line is running text
+MOST_SHARE = 1 / 2  # of the page's text: a form that holds more is a container
+BESIDE_SHARE = 1 / 10  # of its own running text: a named element with no more beside it is the page's container
 _OWN_TITLE = frozenset(("header", "masthead"))
 _OWN_HEADER = _OWN_TITLE | {"banner"}
 _SPLIT = re.compile(r"[^a-z]+")
@@ -87,18 +94,24 @@ def _is_mark(name: str, no_marks: frozenset[str]) -> bool:
 
 
 def _marked(tag: str, attrs: list[tuple[str, str | None]], in_article: bool) -> int:
-    """2 if class or role mark an element, 1 if only its id does, 0 if nothing."""
+    """How names mark an element: 3 never content, 2 by class or role, 1 only by the id inside an article, 0 not at all.
+
+    A form is marked by its tag.
+    """
+    found = 2 if tag == "form" else 0
     if not attrs or tag in HEADINGS or tag in ("html", "body", "main"):
-        return 0
-    found = 0
+        return found
     for name, value in attrs:
         if name in ("class", "id", "role") and value:
             no_marks = frozenset()
             if in_article or not OF_ARTICLE.isdisjoint(_SPLIT.split(_CAMEL.sub(" ", value).lower())):
                 no_marks = _OWN_HEADER if tag == "header" else _OWN_TITLE
-            if any(_is_mark(n, no_marks) for n in value.split()):
-                # Inside an article an id is often the slug of a heading.
-                found = max(found, 1 if name == "id" and in_article else 2)
+            for n in value.split():
+                if _is_mark(n, no_marks):
+                    # Inside an article an id is often the slug of a heading.
+                    slug = name == "id" and in_article
+                    hard = not (READERS if slug else NEVER_CONTENT).isdisjoint(_SPLIT.split(_CAMEL.sub(" ", n).lower()))
+                    found = max(found, 3 if hard else 1 if slug else 2)
     return found
 
 
@@ -278,25 +291,53 @@ def _unmarked(page: _Lines) -> list[tuple[str, int, int, str]]:
 def _marked_out(page: _Lines) -> list[bool]:
     """Which containers are boilerplate by name, or lie in one that is."""
     n = len(page.parents)
-    chars, tags, holds_article = [0] * n, [0] * n, [False] * n
+    chars, tags, prose, own_prose, holds_article = [0] * n, [0] * n, [0] * n, [0] * n, [False] * n
+    nearest = [-1] * n  # marked container around each, itself included
+    for c in range(1, n):
+        nearest[c] = c if page.marks[c] > 1 else nearest[page.parents[c]]
+    beside = 0  # running text that lies in no marked container, or only in such that stay
     for pieces, count, _ in page.lines:
+        length = 0
         for text, c in pieces:
-            chars[c] += len("".join(text.split()))
-        tags[next(c for t, c in pieces if not t.isspace())] += count
+            own = len("".join(text.split()))
+            chars[c] += own
+            length += own
+        first = next(c for t, c in pieces if not t.isspace())
+        tags[first] += count
+        if length >= RUNNING_RATIO * max(count, 1):
+            prose[first] += length
+            if nearest[first] < 0:
+                beside += length
+            else:
+                own_prose[nearest[first]] += length
     for c in range(n - 1, 0, -1):
         up = page.parents[c]
         chars[up] += chars[c]
         tags[up] += tags[c]
+        prose[up] += prose[c]
         # A comment or a teaser may be an article by its tag; its name tells.
         holds_article[up] |= holds_article[c] or page.tags_of[c] in ("main", "article") and not page.marks[c]
     out = [False] * n
     for c in range(1, n):
         out[c] = out[page.parents[c]]
-        if page.marks[c] and not out[c] and page.tags_of[c] != "article" and not holds_article[c]:
+        if out[c] or not page.marks[c]:
+            continue
+        tag, mark = page.tags_of[c], page.marks[c]
+        if holds_article[c]:
+            out[c] = False
+        elif tag == "article":
+            out[c] = mark == 3 and beside > 0
+        elif mark == 1:  # an id in an article: only if it holds little text per tag
             rest = (chars[0] - chars[c]) / max(tags[0] - tags[c], 1)
-            low = chars[c] / max(tags[c], 1) < rest / 2
-            small = chars[c] <= SMALL_SHARE * chars[0]
-            out[c] = chars[c] <= MOST_SHARE * chars[0] and (low or small and page.marks[c] == 2)
+            out[c] = chars[c] <= MOST_SHARE * chars[0] and chars[c] / max(tags[c], 1) < rest / 2
+        elif mark == 3 or not prose[c]:
+            out[c] = True
+        elif tag == "form":
+            out[c] = holds_article[0] or chars[c] <= MOST_SHARE * chars[0] or beside > prose[c] / 3
+        else:
+            out[c] = beside > BESIDE_SHARE * prose[c]
+        if not out[c]:
+            beside += own_prose[c]
     return out
 
 

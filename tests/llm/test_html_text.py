@@ -81,6 +81,37 @@ def test_marks_of_small_elements():
     assert main_text(f'<article>{PROSE}<p>A line <span class="share">Share</span> with a button.</p></article>') == LINES + "\nA line with a button."
 
 
+LONG = "".join(f"<p>Remark {i}, which goes on for a while and is not at all a part of the article.</p>" for i in range(14))
+
+
+@pytest.mark.parametrize("rest", ['<div id="comments">{}</div>', '<section class="comments">{}</section>', '<div class="comment-list">{}</div>',
+                                  '<div class="sidebar">{}</div>', '<div class="related-posts">{}</div>', '<div class="ad-slot">{}</div>',
+                                  '<div class="cookie-notice">{}</div>', '<form>{}</form>', '<article class="comment">{}</article>'])
+def test_boilerplate_goes_however_long(rest):
+    """In, beside and without an article, also where it is longer than the article."""
+    rest = rest.format(LONG)
+    two = "".join(PROSE.partition("</p>")[:2]) * 2
+    first = LINES.split("\n")[0]
+    assert main_text(f"<body><article>{two}</article>{rest}</body>") == f"{first}\n{first}"
+    if "<form" not in rest and "<article" not in rest:
+        assert main_text(f"<body><article>{two}{rest}</article></body>") == f"{first}\n{first}"
+    assert main_text(f"<body><main><h1>T</h1>{two}</main>{rest}</body>") == f"T\n{first}\n{first}"
+    assert main_text(f'<body><div class="layout"><div class="main-column"><h1>T</h1>{PROSE}</div>{rest}</div></body>') == f"T\n{LINES}"
+    if ("comment" in rest or "ad-slot" in rest) and "<article" not in rest:  # even if there is nothing else but a title
+        assert main_text(f'<body><div class="page"><h1>T</h1>{rest}</div></body>') == "T"
+
+
+@pytest.mark.parametrize("inner", ["{}", "<article>{}</article>", '<div class="content">{}</div>', '<div class="form-body widget">{}</div>'])
+def test_form_around_the_page(inner):
+    inner = inner.format(f"<h1>T</h1>{PROSE}")
+    fields = '<input name=q><select><option>One<option>Two</select><button>Go</button><textarea>x</textarea>'
+    page = f'<body><form id="aspnetForm" class="form">{fields}<nav>Home</nav>{inner}<div class="comments">{LONG}</div></form><footer>F</footer></body>'
+    assert main_text(page) == f"T\n{LINES}"
+    assert main_text(f'<body><form><p>Name <input></p><p>Mail <input></p></form></body>') == ""
+    sign_up = f'<form class="newsletter"><p>Your mail address here, we never share it with anyone else.</p></form>'
+    assert main_text(f'<body><form id="aspnetForm"><div class="post"><h1>T</h1>{PROSE}</div></form>{sign_up}</body>') == f"T\n{LINES}"
+
+
 def block(name, n):
     return f"{name} " + "word " * (n // 5 - 2) + "end."
 
