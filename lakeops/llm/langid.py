@@ -24,6 +24,8 @@ from lakeops.llm.common import arrow_schema, map_rows
 
 GRAM_BITS = 15  # trigrams are hashed to 2**15 values
 UNKNOWN = "und"
+WORSE_PER_GRAM = 0.25  # log-likelihood below chance, per trigram, from which a text is in no learned language
+WORSE_IN_ALL = 20.0  # the same, in all: short texts say little
 _SMOOTHING = 0.5
 _ROUNDS = 30  # of expectation-maximisation, at most
 _CLOSE = 1e-4  # proportions that move less are final
@@ -105,11 +107,23 @@ class Model:
         first = min(shares, key=lambda i: (-shares[i], self.languages[i]))
         return self.languages[first], min(max(shares[first], 0.0), 1.0)
 
-    def accepts(self, text: str | None) -> bool:
-        """Whether a language is found or, without any learned language, whether there is a letter."""
-        if not self.languages:
-            return len(gram_counts(text)[0]) > 0
-        return self.predict(text)[0] != UNKNOWN
+    def decide(self, text: str | None) -> tuple[str | None, bool]:
+        """The language of a text, None if it has none, and whether the text is accepted.
+
+        Rejected are texts without a letter, and texts that the best mixture of the learned languages explains
+        worse than chance: by more than a quarter of a nat per trigram and 20 in all, below trigrams drawn evenly.
+        Without any learned language every text with a letter is accepted.
+        """
+        grams, counts = gram_counts(text)
+        if not len(grams) or not self.languages:
+            return None, len(grams) > 0
+        shares = self.mixture(grams, counts)
+        chosen = list(shares)
+        likelihood = np.log(np.array([shares[i] for i in chosen]) @ self.probabilities[np.ix_(chosen, grams)]) @ counts
+        chance = -counts.sum() * np.log(self.probabilities.shape[1])
+        if likelihood < chance - counts.sum() * WORSE_PER_GRAM - WORSE_IN_ALL:
+            return None, False
+        return self.languages[min(shares, key=lambda i: (-shares[i], self.languages[i]))], True
 
 
 def _proportions(p: np.ndarray, counts: np.ndarray, weights: np.ndarray) -> np.ndarray:
@@ -178,18 +192,23 @@ def identify(docs: DataFrame, learn_from: Column, held_out: Column, id_col: str
 
 def in_known_language(docs: DataFrame, learn_from: Column, id_col: str = "doc_id", text_col: str = "text",
                       lang_col: str = "lang") -> DataFrame:
-    """Rows of ``docs`` for which a language is found, with their own columns.
+    """Rows of ``docs`` in a language that the table has, with their own columns.
 
-    Rejected are null texts and texts without any letter, and nothing else: if
-    no row has a language to learn, every text with a letter stays.
+    The mixture decides: rejected are null texts, texts without any letter, and texts that are in no learned language, see
+    ``Model.decide``. A null language becomes the predicted one. If
+    no row has a language to learn, every text with a letter stays, as it is. Repeated rows are kept.
     """
     model = learn(docs.filter(learn_from), text_col, lang_col)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    at = docs.columns.index(text_col)
+    at, lang_at = docs.columns.index(text_col), docs.columns.index(lang_col)
 
     def known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [shared.value.accepts(t) for t in batch.column(at).to_pylist()]
-            yield batch.filter(pa.array(found, pa.bool_()))
+            found = [shared.value.decide(t) for t in batch.column(at).to_pylist()]
+            old = batch.column(lang_at)
+            if shared.value.languages and old.null_count:
+                filled = [new if lang is None else lang for lang, (new, _) in zip(old.to_pylist(), found)]
+                batch = batch.set_column(lang_at, batch.schema.field(lang_at), pa.array(filled, old.type))
+            yield batch.filter(pa.array([ok for _, ok in found], pa.bool_()))
 
     return docs.mapInArrow(known, docs.schema)

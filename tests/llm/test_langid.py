@@ -1,4 +1,5 @@
 import random
+from itertools import combinations
 
 import numpy as np
 import pytest
@@ -78,6 +79,68 @@ def test_odd_rows(odd_docs, no_docs):
     assert {r["lang_pred"] for r in identify(unlabelled, F.lit(True), F.lit(False)).collect()} == {"und"}
 
 
+def plain_model(rows):
+    """Trigram probabilities by language, from all (text, lang)."""
+    sums = {}
+    for text, lang in rows:
+        if lang is not None:
+            own = sums.setdefault(lang, np.zeros(1 << GRAM_BITS))
+            grams, counts = gram_counts(text)
+            own[grams] += counts
+    return {lang: (n + 0.5) / (n.sum() + 0.5 * len(n)) for lang, n in sums.items()}
+
+
+def plain_decision(model, text):
+    """Every set of languages by a long expectation-maximisation; the one with the best penalised likelihood."""
+    grams, counts = gram_counts(text)
+    if not len(grams) or not model:
+        return None, len(grams) > 0
+    n, best = counts.sum(), None
+    for size in range(1, len(model) + 1):
+        for names in combinations(sorted(model), size):
+            p = np.stack([model[lang][grams] for lang in names])
+            w = np.full(size, 1 / size)
+            for _ in range(300 if size > 1 else 0):
+                parts = w[:, None] * p
+                w = (parts / parts.sum(axis=0)) @ counts / n
+            likelihood = np.log(w @ p) @ counts
+            value = likelihood - size * max(np.log(n), 1.0)
+            if best is None or value > best[0] + 1e-9:
+                best = value, names, w, likelihood
+    _, names, w, likelihood = best
+    if likelihood < -n * np.log(1 << GRAM_BITS) - 0.25 * n - 20:
+        return None, False
+    return names[int(np.argmax(w))], True
+
+
+def with_junk(spark, docs):
+    """Some rows without a language, some of random letters, some of two languages."""
+    rng = random.Random(11)
+    rows = docs.collect()
+    junk = [(10_000 + i, "".join(rng.choice("bcdfghjklmnpqrstvwxzßøłđ ") for _ in range(rng.choice([40, 400, 3000]))), None, "j", 1) for i in range(20)]
+    half = [(20_000 + i, (rows[i]["text"] or "")[:800] + " " + (rows[-1 - i]["text"] or "")[:500], None, "m", 1) for i in range(20)]
+    plain = [(r["doc_id"], r["text"], None if k % 4 == 0 else r["lang"], r["source"], r["n_chars"]) for k, r in enumerate(rows)]
+    return spark.createDataFrame(plain + junk + half, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+
+
+def test_stage_against_all_sets_of_languages(spark, small_docs):
+    docs = with_junk(spark, small_docs)
+    rows = docs.collect()
+    model = plain_model([(r["text"], r["lang"]) for r in rows])
+    got = {r["doc_id"]: r["lang"] for r in in_known_language(docs, F.lit(True)).collect()}
+    want = {}
+    for r in rows:
+        lang, ok = plain_decision(model, r["text"])
+        if ok:
+            want[r["doc_id"]] = lang if r["lang"] is None else r["lang"]
+    assert got == want
+    # The model, not the letters, decides: long junk goes, and rows without a language get theirs.
+    assert sum(i >= 10_000 and i < 20_000 for i in got) < 20
+    truth = {r["doc_id"]: r["lang"] for r in small_docs.collect()}
+    filled = [r["doc_id"] for r in rows if r["lang"] is None and r["doc_id"] < 10_000 and r["doc_id"] in got]
+    assert len(filled) > 30 and np.mean([got[i] == truth[i] for i in filled]) >= 0.98
+
+
 def test_rejected_rows(odd_docs):
     kept = in_known_language(odd_docs, F.lit(True))
     assert kept.columns == odd_docs.columns

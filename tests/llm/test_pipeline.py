@@ -1,5 +1,4 @@
 import hashlib
-import re
 
 import pytest
 import tiktoken
@@ -7,6 +6,7 @@ import tiktoken
 import corpus_pipeline
 from lakeops.llm.bpe import read_ranks
 from tests.llm.test_exact_dedup import brute as exact
+from tests.llm.test_langid import plain_decision, plain_model
 from tests.llm.test_mixing import expected as mix_targets
 from tests.llm.test_simhash import brute as near
 
@@ -33,7 +33,10 @@ def test_each_stage_against_brute_force(spark, odd_docs, small_docs, tmp_path, w
 
     key = lambda r: (str(r["doc_id"]), r["text"])
     rows = sorted(known.collect(), key=key)
-    assert rows == sorted((r for r in before if r["text"] and re.search(r"[^\W\d_]", r["text"])), key=key)
+    model = plain_model([(r["text"], r["lang"]) for r in before])
+    decided = [(r, *plain_decision(model, r["text"])) for r in before]
+    want = [(r["doc_id"], r["text"], lang if r["lang"] is None else r["lang"], r["source"], r["n_chars"]) for r, lang, ok in decided if ok]
+    assert list(map(tuple, rows)) == sorted(want, key=lambda r: (str(r[0]), r[1]))
 
     kept = {r[1] for r in exact(rows)}
     left = sorted(unlike.collect(), key=key)
