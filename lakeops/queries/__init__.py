@@ -15,6 +15,7 @@ from lakeops.queries import (  # noqa: F401
     review_text,
     scalars,
     silver_masters,
+    sketched,
     sinks,
     sources,
     streams,
