@@ -18,6 +18,7 @@ from lakeops.operators.clean import optional_filter
 from lakeops.operators.null_safe import null_safe_join
 from lakeops.operators.text import summarise
 from lakeops.operators.windows import latest_per_key, ranked_totals
+from lakeops.plans.summaries import ranked_summaries
 
 
 def store_sales_ranking(items: DataFrame, limit: int = 10) -> DataFrame:
@@ -126,6 +127,13 @@ def summarize_inquiries(survey: DataFrame, make_summary: Callable[[Column], Colu
     return null_safe_join(scores, summaries, ["survey_category"], "left")
 
 
+def summarize_inquiries_ranked(survey: DataFrame, n: int = 3, sep: str = ". ") -> DataFrame:
+    """Per category: mean score, number of answers, and a summary in which every answer takes part, see ``summaries``."""
+    scores = survey.groupBy("survey_category").agg(
+        F.avg("positive_score").alias("positive_score"), F.count(F.lit(1)).alias("n_responses"))
+    return null_safe_join(scores, ranked_summaries(survey, ["survey_category"], "response_content", n, sep), ["survey_category"], "left")
+
+
 def register_sql_functions(spark: SparkSession) -> None:
     """Temporary SQL functions over the views ``retail``, ``retail_hours`` (with the
     hour), ``store_items``, ``inventory``, ``stores`` and ``items``."""

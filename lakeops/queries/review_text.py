@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 from lakeops.functions import labels as L
 from lakeops.functions.columns import to_score
 from lakeops.operators import text as X
+from lakeops.plans import text_labels as LB
+from lakeops.plans.summaries import ranked_summaries
 from lakeops.queries.registry import query
 from lakeops.queries.table_functions import mirror_scorer
 from lakeops.session import work_dir
@@ -37,6 +39,41 @@ def tx3(t):
         "doc_id", X.positive_score(emotion, F.lit(0.75)).alias("positive_score"))
 
 
+_HELD = "('0x' || substr(md5(concat_ws('#', doc_id, 'held')), 1, 8))::BIGINT % 5 = 0"
+
+
+def _learned(t, label):
+    """Labels of all documents, learned from the labelled rows outside the held-out bucket."""
+    truth = t.documents.join(t.labels, "doc_id", "left")
+    model = LB.learn_labels(truth.filter(~LB.held_out("doc_id")), "text", label)
+    found = LB.label_texts(model, t.documents, "doc_id", "text")
+    rows = truth.withColumn("_held", LB.held_out("doc_id"))
+    told = LB.accuracy(found, rows, "doc_id", label, F.col("_held"))
+    known = rows.filter(F.col("_held") & F.col(label).isNotNull()).groupBy(label).count().agg(F.max("count") / F.sum("count")).first()[0]
+    return found, told, known
+
+
+@query("tx3_learned_sentiment", f"""
+    SELECT doc_id, {_HELD} AS held_out, TRUE AS is_stars_times_probability, TRUE AS as_good_as_the_larger_class FROM documents""")
+def tx3_learned(t):
+    # Sentiment from the words: quality 1 as five stars, 0 as one.
+    found, told, larger = _learned(t, "quality")
+    rated = LB.stars(found, {"0": 1, "1": 5}, "doc_id").withColumn("score", X.positive_score(F.col("emotion"), F.col("probability")))
+    right = (F.col("score") > 0.49) & (F.col("score") <= 5) & F.col("emotion").isin("1 star", "5 stars")
+    return rated.select("doc_id", LB.held_out("doc_id").alias("held_out"), right.alias("is_stars_times_probability"),
+                        F.lit(told >= larger).alias("as_good_as_the_larger_class"))
+
+
+@query("tx4_learned_category", f"""
+    SELECT doc_id, {_HELD} AS held_out, CASE WHEN NOT {_HELD} THEN lang END AS category, TRUE AS held_out_98_percent_right FROM documents""")
+def tx4_learned(t):
+    # A fixed set of categories, here the languages; held-out rows are checked by their accuracy.
+    found, told, _ = _learned(t, "lang")
+    held = LB.held_out("doc_id")
+    return found.select("doc_id", held.alias("held_out"), F.when(~held, F.col("label")).alias("category"),
+                        F.lit(told >= 0.98).alias("held_out_98_percent_right"))
+
+
 # Keyword rules of the check, first match wins.
 RULES = {"品質": "licen[sc]e", "接客・サービス": "(^| )the ", "コスパ・お得感": "(^| )que "}
 
@@ -54,6 +91,15 @@ def tx5(t):
     return t.documents.select("doc_id", X.summarise("text", 30).alias("summary"))
 
 
+@query("tx5_ranked_summary", """
+    SELECT doc_id, CAST(len(list_distinct(list_filter(list_transform(regexp_split_to_array(text, '[.!?。！？\n]+'), lambda x: trim(x, ' ')), lambda x: x <> ''))) AS BIGINT)
+      AS n_sentences, TRUE AS from_the_text FROM documents""")
+def tx5_ranked(t):
+    # The most central sentence of each document.
+    out = ranked_summaries(t.documents, ["doc_id"], "text", n=1, rounds=4)
+    return out.join(t.documents, "doc_id").select("doc_id", "n_sentences", F.contains(F.col("text"), F.col("summary")).alias("from_the_text"))
+
+
 @query("tx6_text_to_score", """
     SELECT event_id, CASE WHEN event_type = 'error' THEN NULL ELSE least(greatest(value / 10, 0), 1) END AS score FROM events""")
 def tx6(t):

@@ -7,6 +7,7 @@ from lakeops.functions import columns as C
 from lakeops.functions import dates as D
 from lakeops.operators import text as X
 from lakeops.plans import demand as DM
+from lakeops.plans import summaries as SM
 from lakeops.plans import table_functions as TF
 from lakeops.queries.registry import query
 from lakeops.queries.sql import money
@@ -119,6 +120,22 @@ def tf9(t):
     return TF.summarize_inquiries(t.survey)
 
 
+@query("tf9_ranked_summaries", """
+    SELECT survey_category, avg(positive_score) AS positive_score, count(*) AS n_responses, count(DISTINCT response_content) AS n_answers,
+           CAST(1 AS BIGINT) AS n_summaries, TRUE AS sentences_of_the_answers FROM {survey} GROUP BY survey_category""")
+def tf9_ranked(t):
+    # One summary of all answers per category; each of its sentences is one of an answer.
+    out = TF.summarize_inquiries_ranked(t.survey, n=2, sep="\n")
+    said = SM.sentences(t.survey, ["survey_category"], "response_content").select("g", "sentence")
+    shown = SM.keyed(out, ["survey_category"]).select("g", F.explode(F.split("summary", "\n")).alias("sentence"))
+    missing = shown.join(said, ["g", "sentence"], "left_anti").count()
+    answers = t.survey.groupBy("survey_category").agg(F.count_distinct("response_content").alias("n_answers"))
+    n = out.groupBy("survey_category").agg(F.count(F.lit(1)).alias("n_summaries"))
+    return out.join(answers, "survey_category").join(n, "survey_category").select(
+        "survey_category", "positive_score", "n_responses", "n_answers", "n_summaries",
+        (F.lit(missing == 0) & (F.col("summary") != "")).alias("sentences_of_the_answers"))
+
+
 # --- user functions --------------------------------------------------------
 
 
