@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeops.operators.null_safe import null_safe_join
+from lakeops.operators.numbering import MAX_GROUP_ROWS, fits_one_task
 
 
 def _cols(order: Sequence[Column | str]) -> list[Column]:
@@ -74,14 +75,20 @@ def cumulative_share(dist: DataFrame, order: str, share: str, name: str = "cumul
     return dist.withColumn(name, F.sum(share).over(w))
 
 
-def repeat_purchase(df: DataFrame, keys: Sequence[str], date: str, tiebreak: Sequence[str]) -> DataFrame:
+def repeat_purchase(df: DataFrame, keys: Sequence[str], date: str, tiebreak: Sequence[str],
+                    max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
     """Repeat flag and days since the previous purchase of the same item.
 
-    Only dates go through the window: a row per key and date carries the date
+    Where groups fit one task (measured by a narrow count), one window does it. Otherwise
+    only dates go through the window: a row per key and date carries the date
     before it and the first line of the date. Later lines of a date have that
-    date itself as their predecessor. Null users, items and dates are values
-    like others; a null date has no predecessor and is none.
+    date itself as their predecessor. Both give the same rows; ``tiebreak`` must be unique within a date. Null users,
+    items and dates are values like others; a null date has no predecessor and is none.
     """
+    if fits_one_task(df.select(*keys), keys, max_group_rows):
+        lines = df.withColumn("_prev", F.lag(date).over(Window.partitionBy(*keys).orderBy(date, *tiebreak)))
+        return lines.select(*df.columns, F.col("_prev").isNotNull().alias("is_repeat_purchase"),
+                            F.datediff(F.col(date), F.col("_prev")).alias("days_since_last_purchase"))
     line = F.struct(*[F.col(c) for c in tiebreak])
     by_day = df.groupBy(*keys, date).agg(F.min(line).alias("_first_line"))
     by_day = by_day.withColumn("_before", F.lag(date).over(Window.partitionBy(*keys).orderBy(date)))

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from lakeops.operators import joins as J
 from lakeops.operators.aggregates import share_of_total
 from lakeops.operators.numbering import following_pairs
-from lakeops.queries.registry import query
+from lakeops.queries.registry import query, with_stores
 from lakeops.queries.sql import money
 from lakeops.streaming.ingest import enrich_stream
 
@@ -37,8 +37,12 @@ def jn2(t):
     FROM {line_facts} l LEFT JOIN {stores} s ON l.store_id = s.store_id LEFT JOIN {items} i ON l.item_id = i.item_id""")
 def jn3(t):
     facts = t.line_facts.select("order_item_id", "store_id", "item_id", "subtotal")
-    return J.denormalise(facts, [(t.store_dim.drop("prefecture"), "store_id", "store_id"),
-                                 (t.items.select("item_id", "category_name"), "item_id", "item_id")])
+    # The dimension's own tables one after the other: their sizes are known, so no fact has to be shuffled.
+    supplier = t.supplier.select("s_suppkey", F.col("s_name").alias("store_name"), "s_nationkey")
+    nation, region = t.nation.select("n_nationkey", "n_regionkey"), t.region.select("r_regionkey", F.col("r_name").alias("store_area"))
+    wide = J.denormalise(facts, [(supplier, "store_id", "s_suppkey"), (nation, "s_nationkey", "n_nationkey"),
+                                 (region, "n_regionkey", "r_regionkey"), (t.items.select("item_id", "category_name"), "item_id", "item_id")])
+    return wide.drop("s_nationkey", "n_regionkey")
 
 
 @query("jn4_role_join", """
@@ -132,7 +136,7 @@ def jn11(t):
           FROM {{line_facts}} l JOIN {{stores}} s ON l.store_id = s.store_id JOIN {{items}} i ON l.item_id = i.item_id
           GROUP BY ALL)""")
 def jn12(t):
-    facts = t.line_facts.join(t.store_dim, "store_id").join(t.items, "item_id")
+    facts = with_stores(t, t.line_facts, "store_area").join(t.items, "item_id")
     return J.ratio_within_group(facts, "store_area", "category_name", "subtotal")
 
 

@@ -166,6 +166,16 @@ def _stores(t: Tables) -> DataFrame:
     )
 
 
+def with_stores(t: Tables, facts: DataFrame, *cols: str) -> DataFrame:
+    """Facts with columns of their store, by joins with tables whose sizes Spark knows: nothing is written, and
+    the facts are shuffled only for tables too large to be sent."""
+    wide = (
+        facts.join(t.supplier, F.col("store_id") == F.col("s_suppkey"))
+        .join(t.nation, F.col("s_nationkey") == F.col("n_nationkey")).join(t.region, F.col("n_regionkey") == F.col("r_regionkey")))
+    named = {"store_name": "s_name", "store_area": "r_name", "prefecture": "n_name"}
+    return wide.select(*facts.columns, *[F.col(named[c]).alias(c) for c in cols or named])
+
+
 def _store_dim(t: Tables) -> DataFrame:
     """The stores as a table whose size Spark knows, for joins with the lines."""
     return with_known_size(t.stores)

@@ -9,7 +9,7 @@ from lakeops.operators import text as X
 from lakeops.plans import demand as DM
 from lakeops.plans import summaries as SM
 from lakeops.plans import table_functions as TF
-from lakeops.queries.registry import query
+from lakeops.queries.registry import query, with_stores
 from lakeops.queries.sql import money
 
 _STORE_LINES = """SELECT l.*, store_name, store_area, item_name, category_name FROM {lines} l
@@ -17,7 +17,7 @@ _STORE_LINES = """SELECT l.*, store_name, store_area, item_name, category_name F
 
 
 def _store_lines(t):
-    return t.lines.join(t.store_dim, "store_id").join(t.items, "item_id")
+    return with_stores(t, t.lines).join(t.items, "item_id")
 
 
 @query("tf1_store_sales_ranking", f"""

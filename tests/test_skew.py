@@ -70,12 +70,13 @@ def test_following_pairs(hot, max_rows):
     assert got == dict(want)
 
 
-def test_repeat_purchase(hot):
+@PLANS
+def test_repeat_purchase(hot, max_rows):
     """Null users and dates are kept; a null date is no predecessor."""
     day0 = date(2024, 1, 1)
     lines = hot.withColumn("d", F.when(F.col("t") > 0, F.date_add(F.lit(day0), F.col("t"))))
     got = {r["id"]: (r["is_repeat_purchase"], r["days_since_last_purchase"])
-           for r in repeat_purchase(lines, ["k", "v"], "d", ["id"]).collect()}
+           for r in repeat_purchase(lines, ["k", "v"], "d", ["id"], max_rows).collect()}
     groups, want = defaultdict(list), {}
     for i, k, t, v in hot_rows():
         groups[k, v].append((t, i))
