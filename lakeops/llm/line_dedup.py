@@ -402,9 +402,14 @@ def _changes(change: Callable[[Cuckoo, np.ndarray], None]):
 
 
 def deduplicated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shards: int = SHARDS,
-                       least_points: int = 10, with_text: bool = False) -> DataFrame:
-    """Lines of a table that stay, from an index of its own. An empty table gives an empty result."""
+                       least_points: int = 10, with_text: bool = False, batches: int = 2) -> DataFrame:
+    """Lines of a table that stay, from an index of its own, filled in ``batches`` dealt by a hash of the id.
+
+    The result does not depend on the number of batches; all but the first ask the filters for the keys of those before.
+    An empty table gives an empty result.
+    """
     spark = docs.sparkSession
     index = LineIndex(spark, work_dir(spark, "lines"), docs.schema[id_col].dataType.simpleString(), shards, least_points)
-    index.insert(docs, id_col, text_col)
+    for i in range(batches):
+        index.insert(docs.filter(F.pmod(F.xxhash64(F.col(id_col)), F.lit(batches)) == i), id_col, text_col)
     return index.deduplicate(docs, id_col, text_col, with_text)

@@ -47,6 +47,15 @@ def record_id(key: object, payload_digest: str) -> str:
     return f"<urn:uuid:{uuid.uuid5(_NAMESPACE, f'{key}/{payload_digest}')}>"
 
 
+def _escaped(key: str) -> str:
+    """A row id as one header value: control characters, spaces and the escape itself as %XX."""
+    return re.sub(r"[\x00-\x20\x7f%]", lambda m: f"%{ord(m[0]):02X}", key)
+
+
+def _plain_id(value: str | None) -> str | None:
+    return value if value is None else re.sub("%([0-9A-F]{2})", lambda m: chr(int(m[1], 16)), value)
+
+
 def write_record(key, url: str | None, payload: bytes, original=None, is_revisit: bool = False) -> bytes:
     """A record as a gzip member: a response, or a revisit of the record of row ``original``.
 
@@ -64,11 +73,11 @@ def write_record(key, url: str | None, payload: bytes, original=None, is_revisit
     if url is not None:
         head.append(("WARC-Target-URI", re.sub(r"[\x00-\x20\x7f]", lambda m: f"%{ord(m[0]):02X}", url)))
     if key is not None:
-        head.append(("WARC-Row-ID", str(key)))
+        head.append(("WARC-Row-ID", _escaped(str(key))))
     if is_revisit:
         head += [("WARC-Profile", PROFILE), ("WARC-Refers-To", record_id(original, digest))]
         if original is not None:
-            head.append(("WARC-Refers-To-Row-ID", str(original)))
+            head.append(("WARC-Refers-To-Row-ID", _escaped(str(original))))
     lines = "".join(f"{name}: {value}\r\n" for name, value in head).encode()
     pack = zlib.compressobj(6, zlib.DEFLATED, 31)
     return pack.compress(VERSION + b"\r\n" + lines + b"\r\n" + block + b"\r\n\r\n") + pack.flush()
@@ -293,7 +302,9 @@ def read_archives(spark: SparkSession, folder: str, with_payload: bool = False)
     place. A record has ``row_id``, ``record_type``, ``record_id``, ``target_uri``,
     ``refers_to`` (record id), ``refers_to_row``, ``payload_bytes`` and
     ``payload_digest`` of the full payload, and ``payload`` if asked for (null for
-    a revisit); a gap has the ``reason`` of its first failed check.
+    a revisit); a gap has the ``reason`` of its first failed check. A task holds
+    one whole archive, which must be below 2 GB and takes a few times its size in
+    memory: write archives of some 100 MB, as ``write_archives`` does.
     """
     names = ("row_id", "record_type", "record_id", "target_uri", "refers_to", "refers_to_row", "payload_digest")
     schema = ("kind string, path string, offset bigint, length bigint, reason string, payload_bytes bigint, "
@@ -318,9 +329,9 @@ def read_archives(spark: SparkSession, folder: str, with_payload: bool = False)
                     digest = digest[5:].upper() if digest.startswith("sha1:") else None
                     if digest is None and payload is not None:
                         digest = sha1_base32(payload)
-                    rows.append(("record", *place, None, payload_length(h, found.block), h.get("warc-row-id"),
+                    rows.append(("record", *place, None, payload_length(h, found.block), _plain_id(h.get("warc-row-id")),
                                  h.get("warc-type"), h.get("warc-record-id"), h.get("warc-target-uri"),
-                                 h.get("warc-refers-to"), h.get("warc-refers-to-row-id"), digest,
+                                 h.get("warc-refers-to"), _plain_id(h.get("warc-refers-to-row-id")), digest,
                                  *([payload] if with_payload else [])))
                 columns = list(zip(*rows)) or [[]] * len(arrow)
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow)], schema=arrow)

@@ -67,6 +67,8 @@ def test_whole_table(small_docs, small_rows):
     got = order(deduplicated_lines(small_docs).collect())
     assert got == expected([(r["doc_id"], r["text"]) for r in small_rows])
     assert sum(r[2] for r in got) > 10
+    for batches in (1, 5):
+        assert order(deduplicated_lines(small_docs, batches=batches).collect()) == got
 
 
 def lines_at_random(rng, n):

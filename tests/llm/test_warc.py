@@ -116,3 +116,15 @@ def test_files_are_salvaged(spark):
     assert gap["reason"] and gap["length"] > 0
     html = {str(r["page_id"]): r["html"] for r in pages.collect()}
     assert all(r["payload"].decode() == html[r["row_id"]] for r in found if r["kind"] == "record")
+
+
+def test_text_ids_are_one_header_value(spark):
+    ids = ["a\r\nX: 1", "  lead ", "line\r\n\r\nbody", "100%", "%41", "tab\t", "é", "plain", None]
+    pages = spark.createDataFrame([(i, f"<p>{n % 3}") for n, i in enumerate(ids)], "page_id string, html string").withColumn(
+        "url", F.lit("http://x/"))
+    folder = work_dir(spark, "warc-ids")
+    write_archives(pages, folder, least_revisit_bytes=0)
+    rows = read_archives(spark, folder).collect()
+    assert {r["kind"] for r in rows} == {"record"}
+    assert sorted(map(str, (r["row_id"] for r in rows))) == sorted(map(str, ids))
+    assert {r["refers_to_row"] for r in rows if r["record_type"] == "revisit"} <= set(ids)
