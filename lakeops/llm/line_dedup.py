@@ -159,7 +159,9 @@ def _in_shards(heads: DataFrame, keys: DataFrame, schema: str,
                         none.cast("bigint").alias("h1"), none.cast("bigint").alias("h2"))
     key = keys.select("shard", F.lit(1).alias("kind"), none.cast("int").alias("buckets"), none.cast("binary").alias("table"),
                       none.cast("binary").alias("stash"), "h1", "h2")
-    dealt = head.unionByName(key).repartition("shard").sortWithinPartitions("shard", "kind")
+    # An expression of its own: by the plain column Spark may take the deal of a join below for this one, and that
+    # join may still be planned anew while it runs.
+    dealt = head.unionByName(key).repartition(F.xxhash64("shard")).sortWithinPartitions("shard", "kind")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, cuckoo = None, None
@@ -175,6 +177,8 @@ def _in_shards(heads: DataFrame, keys: DataFrame, schema: str,
                     shard = int(numbers[s])
                     cuckoo = Cuckoo(batch.column(2)[s].as_py(), batch.column(3)[s].as_py(), batch.column(4)[s].as_py() or b"")
                     continue
+                if shard != int(numbers[s]):
+                    raise ValueError(f"keys of shard {numbers[s]} came without their filter")
                 out = work(shard, cuckoo, batch.column(5).slice(s, e - s).to_numpy(),
                            batch.column(6).slice(s, e - s).to_numpy())
                 if out is not None:
