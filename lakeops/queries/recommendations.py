@@ -80,7 +80,7 @@ def rc4(t):
 def rc4_all(t):
     # Of all items, bought or not, none outside the list may score above its last entry.
     _, model = _model(t)
-    return _better_left_out(model, _last_entries(RC.recommend(model, 5)))
+    return _better_left_out(model, RC.recommend(model, 5))
 
 
 @query("rc4_scored_share", """
@@ -104,12 +104,13 @@ def _norm_class(norm):
     return F.floor(F.log2(norm) * 8).cast("int")
 
 
-def _better_left_out(model, last):
+def _better_left_out(model, recs):
     """Per user: the length of the list, and how many items of the model score above its last entry without being in it.
 
     Such an item has at least a norm of that score over the user's norm, so a user is joined with the
     items of these classes of norms only.
     """
+    last = _last_entries(recs)
     norm = F.sqrt(F.aggregate("features", F.lit(0.0), lambda a, x: a + x.cast("double") * x))
     items = model.itemFactors.select(F.col("id").alias("item_id"), F.col("features").alias("i"), norm.alias("norm")).filter("norm > 0")
     items = items.withColumn("class", _norm_class(F.col("norm")))
