@@ -244,12 +244,14 @@ class _Index:
         sizes = {r["size"]: r["count"] for r in points.groupBy("size").count().collect()}  # one per vector length
         total = sum(sizes.values())
         some = points.filter(F.pmod(F.xxhash64(F.col("ids")[0]), F.lit(1 << 40)) < int(min(1.0, SAMPLE_ROWS / max(total, 1)) * (1 << 40)))
-        sample: dict[int, list] = {}
-        for r in some.select("size", "v").collect():
-            sample.setdefault(r["size"], []).append(r["v"])
-        self.splits = {
-            size: split_places(projected(np.array(v), directions(size, dimensions)), min(MOST_BLOCKS, ceil(sizes[size] / block_rows)))
-            for size, v in sample.items() if sizes[size] > block_rows}
+        self.splits: dict[int, list] = {}
+        sample = some.mapInArrow(self._place(), "size int, block int, ids array<bigint>, v array<double>, place array<double>")
+        sample = sample.select("size", "place").toArrow()  # a bounded number of rows with a few numbers each
+        lengths = sample.column("size").to_numpy()
+        for size in np.unique(lengths).tolist():
+            if sizes[size] > block_rows:
+                places = np.array(sample.filter(pa.array(lengths == size)).column("place").to_pylist())
+                self.splits[size] = split_places(places, min(MOST_BLOCKS, ceil(sizes[size] / block_rows)))
         self.points = stored(points.mapInArrow(self._place(), "size int, block int, ids array<bigint>, v array<double>, place array<double>"),
                              "ann-blocks")
         edges = [f(F.col("place")[i]).alias(f"{n}{i}") for n, f in (("low", F.min), ("high", F.max)) for i in range(dimensions)]
