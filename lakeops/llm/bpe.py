@@ -257,7 +257,7 @@ class Tokenizer:
 
 
 def encode_decode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id",
-                  text_col: str = "text", with_ids: bool = False) -> DataFrame:
+                  text_col: str = "text", with_ids: bool = False, cached: int = CACHED_WORDS) -> DataFrame:
     """Encode every text and decode its ids again.
 
     One row per row of ``docs``: the id, ``n_tokens``, ``ids_sha256`` of the ids
@@ -265,13 +265,13 @@ def encode_decode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str =
     decoded bytes; ``with_ids`` adds ``ids`` (array of int). A null text counts
     as empty: no ids, the digests of no bytes. Null and repeated ids are kept as
     they are, other columns are not read. No shuffle; a task holds one Arrow
-    batch and its word cache.
+    batch and its word cache, of ``cached`` words in each of two generations.
     """
     tokens = read_ranks(ranks_path)
     shared = docs.sparkSession.sparkContext.broadcast(tokens)  # a vocabulary file, fixed in size
 
     def make():
-        tokenizer = _of_worker(shared, pattern)
+        tokenizer = _of_worker(shared, pattern, cached)
 
         def one(key, text):
             ids = tokenizer.encode(text or "")
@@ -291,10 +291,10 @@ def encode_decode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str =
 _tokenizers: dict[tuple[int, str], Tokenizer] = {}
 
 
-def _of_worker(shared, pattern: str) -> Tokenizer:
+def _of_worker(shared, pattern: str, cached: int) -> Tokenizer:
     """The tokenizer of this Python worker, kept between its tasks."""
-    key = (id(shared.value), pattern)
+    key = (id(shared.value), pattern, cached)
     if key not in _tokenizers:
         _tokenizers.clear()
-        _tokenizers[key] = Tokenizer(shared.value, pattern)
+        _tokenizers[key] = Tokenizer(shared.value, pattern, cached)
     return _tokenizers[key]
