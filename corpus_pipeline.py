@@ -15,10 +15,11 @@ from lakeops.llm import bpe, exact_dedup, langid, mixing, simhash
 from lakeops.llm.common import stored
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+CACHED_WORDS = 80_000  # the workers of the last stage have the memory of the others' behind them
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which a language is found; null texts and texts without a letter go."""
+    """Documents in a language that the table has, null languages filled in; null texts, texts without a letter and noise go."""
     return langid.in_known_language(docs, F.lit(True))
 
 
@@ -39,7 +40,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def token_digests(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Tokens of every document of the mix."""
-    return bpe.encode_decode(docs, RANKS, public_tokenizers.PATTERN)
+    return bpe.encode_decode(docs, RANKS, public_tokenizers.PATTERN, cached=CACHED_WORDS)
 
 
 STAGES = [
