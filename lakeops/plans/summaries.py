@@ -5,12 +5,17 @@ sentence to one of its terms, by weight, and from there to a sentence with that
 share of time it spends at a sentence is its rank. Links are never made: each step of the
 power iteration is two sums over the inverted index (sentence, term), so the
 work grows with the words. Rare terms weigh more. Every answer takes part, and a group has one summary at any size.
+
+A group of up to ``GROUP_BYTES`` of text is ranked whole in a task; if every such group is
+one row, no text is shuffled. Larger groups go through an inverted index that Spark joins and sums.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,6 +23,8 @@ from lakeops.session import work_dir
 
 DAMPING = 0.85
 ROUNDS = 8
+GROUP_BYTES = 4 << 20
+ROWS_AT_ONCE = 128
 _ENDS = r"[.!?。！？\n]+"
 
 
@@ -36,10 +43,19 @@ def keyed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.withColumn("g", _group_key(keys))
 
 
+def _sentences_of(text: Column) -> Column:
+    parts = F.transform(F.split(F.coalesce(text, F.lit("")), _ENDS), lambda s: F.trim(s))
+    return F.filter(parts, lambda s: s != "")
+
+
+def _words_of(sentence: Column) -> Column:
+    """Distinct words in lower case."""
+    return F.array_distinct(F.filter(F.split(F.lower(sentence), r"[^\p{L}\p{N}]+"), lambda w: w != ""))
+
+
 def sentences(df: DataFrame, keys: Sequence[str], text: str) -> DataFrame:
     """Distinct sentences of each group: ``g`` (the keys as text), ``sentence`` and ``id``."""
-    parts = F.transform(F.split(F.coalesce(F.col(text), F.lit("")), _ENDS), lambda s: F.trim(s))
-    rows = df.select(_group_key(keys).alias("g"), F.explode(F.filter(parts, lambda s: s != "")).alias("sentence")).distinct()
+    rows = df.select(_group_key(keys).alias("g"), F.explode(_sentences_of(F.col(text))).alias("sentence")).distinct()
     return rows.withColumn("id", F.xxhash64("g", "sentence"))
 
 
@@ -48,8 +64,7 @@ def sentence_ranks(rows: DataFrame, rounds: int = ROUNDS, damping: float = DAMPI
 
     A sentence without a term is reached by chance only.
     """
-    words = F.array_distinct(F.filter(F.split(F.lower("sentence"), r"[^\p{L}\p{N}]+"), lambda w: w != ""))
-    index = rows.select("g", "id", F.explode(words).alias("word")).withColumn("term", F.xxhash64("g", "word")).drop("word")
+    index = rows.select("g", "id", F.explode(_words_of(F.col("sentence"))).alias("word")).withColumn("term", F.xxhash64("g", "word")).drop("word")
     sizes = _stored(rows.groupBy("g").agg(F.count(F.lit(1)).alias("size")), "summary-sizes")
     spread = index.groupBy("g", "term").agg(F.count(F.lit(1)).alias("df")).join(sizes, "g")
     weights = spread.select("term", "df", F.log1p(F.col("size") / F.col("df")).alias("w"))
@@ -68,17 +83,122 @@ def sentence_ranks(rows: DataFrame, rounds: int = ROUNDS, damping: float = DAMPI
     return rows.join(ranks, "id")
 
 
-def ranked_summaries(df: DataFrame, keys: Sequence[str], text: str, n: int = 3, sep: str = ". ", rounds: int = ROUNDS) -> DataFrame:
+def _ranks_of_group(terms: np.ndarray, sizes: np.ndarray, rounds: int, damping: float) -> np.ndarray:
+    """Ranks of the sentences of one group; ``terms`` has those of one sentence after the other, ``sizes`` their numbers."""
+    n = len(sizes)
+    owner = np.repeat(np.arange(n), sizes)
+    _, place, df = np.unique(terms, return_inverse=True, return_counts=True)
+    weight = np.log1p(n / df)[place]
+    to_term = weight / np.bincount(owner, weight, n)[owner]
+    to_sentence = (1.0 / df)[place]
+    ranks = np.full(n, 1.0 / n)
+    for _ in range(rounds):
+        mass = np.bincount(place, ranks[owner] * to_term, len(df))
+        ranks = (1 - damping) / n + damping * np.bincount(owner, mass[place] * to_sentence, n)
+    return ranks
+
+
+def _summary_of(parts: Iterator[tuple[list[str], pa.ListScalar]], n: int, sep: str, rounds: int, damping: float) -> tuple[str, int]:
+    """Summary and number of sentences of a group, from the sentences of its rows and their terms."""
+    seen: dict[str, int] = {}
+    terms, sizes = [], []
+    for said, own in parts:
+        if not said:
+            continue
+        lengths, flat = np.diff(own.offsets.to_numpy()), own.flatten().to_numpy()
+        fresh = []
+        for i, sentence in enumerate(said):
+            if sentence not in seen:
+                seen[sentence] = len(seen)
+                fresh.append(i)
+        keep = np.zeros(len(said), dtype=bool)
+        keep[fresh] = True
+        terms.append(flat[np.repeat(keep, lengths)])
+        sizes.append(lengths[keep])
+    if not seen:
+        return "", 0
+    ranks = np.round(_ranks_of_group(np.concatenate(terms), np.concatenate(sizes), rounds, damping), 9)
+    if n < len(seen):  # only those that may be among the best are sorted
+        least = np.partition(ranks, -n)[-n] if n else np.inf
+        best = sorted((-r, s) for s, r in zip(seen, ranks.tolist()) if r >= least)[:n]
+    else:
+        best = sorted((-r, s) for s, r in zip(seen, ranks.tolist()))
+    return sep.join(s for _, s in best), len(seen)
+
+
+def _in_tasks(df: DataFrame, keys: Sequence[str], text: str, n: int, sep: str, rounds: int, damping: float, single: bool) -> DataFrame:
+    """Summaries of groups that fit a task; ``single``: every group is one row. Sentences and terms are made by Spark."""
+    rows = df.select(*keys, "g", F.col(text).alias("_text"))
+    if not single:
+        rows = rows.repartition("g").sortWithinPartitions("g")
+    said = _sentences_of(F.col("_text"))
+    rows = rows.select(*keys, "g", said.alias("_said")).select("*", F.transform(
+        "_said", lambda s: F.transform(_words_of(s), lambda w: F.xxhash64(w))).alias("_terms"))
+    kinds = [df.schema[k] for k in keys]
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kinds) + ", g string, summary string, n_sentences bigint"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []  # rows of the last group so far
+        for whole in batches:
+            for at in range(0, whole.num_rows, ROWS_AT_ONCE):
+                batch = whole.slice(at, ROWS_AT_ONCE)
+                starts = list(range(batch.num_rows)) if single else _starts(batch.column("g"))
+                if held and (single or held[0].column("g")[0].as_py() != batch.column("g")[0].as_py()):
+                    yield finished([held])
+                    held = []
+                cuts = [*starts, batch.num_rows]
+                slices = [batch.slice(lo, hi - lo) for lo, hi in zip(cuts, cuts[1:])]
+                groups = [[*held, slices[0]], *[[s] for s in slices[1:]]]
+                held = groups.pop()
+                if groups:
+                    yield finished(groups)
+        if held:
+            yield finished([held])
+
+    def finished(groups: list[list[pa.RecordBatch]]) -> pa.RecordBatch:
+        found = [_summary_of(((said, own.values) for b in g for said, own in zip(b.column("_said").to_pylist(), b.column("_terms"))),
+                             n, sep, rounds, damping) for g in groups]
+        heads = pa.Table.from_batches([g[0].slice(0, 1).select([*keys, "g"]) for g in groups]).combine_chunks()
+        out = [heads[k].combine_chunks() for k in (*keys, "g")] + [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.int64())]
+        return pa.RecordBatch.from_arrays(out, names=[*keys, "g", "summary", "n_sentences"])
+
+    return rows.mapInArrow(run, schema)
+
+
+def _starts(groups: pa.Array) -> list[int]:
+    """Places at which another group begins (rows of a group follow each other)."""
+    codes = groups.dictionary_encode().indices.to_numpy()
+    return [0, *(np.flatnonzero(np.diff(codes)) + 1).tolist()]
+
+
+def ranked_summaries(df: DataFrame, keys: Sequence[str], text: str, n: int = 3, sep: str = ". ", rounds: int = ROUNDS,
+                     group_bytes: int = GROUP_BYTES) -> DataFrame:
     """Per group the ``n`` most central sentences, best first: the keys, ``summary`` and ``n_sentences``.
 
     Ranks that differ by less than a billionth are equal, and go by the text. A group without a sentence has an empty summary.
     """
+    rows = keyed(df, keys)
+    sizes = rows.groupBy("g").agg(F.count(F.lit(1)).alias("n_rows"), F.coalesce(F.sum(F.octet_length(text)), F.lit(0)).alias("bytes"))
+    fits = F.col("bytes") <= group_bytes
+    n_large, n_small, most = sizes.agg(F.count_if(~fits), F.count_if(fits), F.max(F.when(fits, F.col("n_rows")))).first()
+    if not n_large:
+        return _in_tasks(rows, keys, text, n, sep, rounds, DAMPING, most == 1).drop("g")
+    if not n_small:
+        return _by_index(df, keys, text, n, sep, rounds)
+    # At most one large group for every ``group_bytes`` of text.
+    large = _stored(sizes.filter(~fits).select("g"), "summary-large")
+    small = _in_tasks(rows.join(large, "g", "left_anti"), keys, text, n, sep, rounds, DAMPING, most == 1).drop("g")
+    return small.unionByName(_by_index(rows.join(large, "g", "left_semi"), keys, text, n, sep, rounds))
+
+
+def _by_index(df: DataFrame, keys: Sequence[str], text: str, n: int, sep: str, rounds: int) -> DataFrame:
+    """Summaries of groups of any size."""
     rows = _stored(sentences(df, keys, text), "summary-sentences")
     ranked = sentence_ranks(rows, rounds)
     order = Window.partitionBy("g").orderBy(F.round("rank", 9).desc(), "sentence")
     best = ranked.withColumn("_at", F.row_number().over(order)).filter(F.col("_at") <= n)
     short = best.groupBy("g").agg(F.array_join(F.sort_array(F.collect_list(F.struct("_at", "sentence")))["sentence"], sep).alias("summary"))
     counts = rows.groupBy("g").agg(F.count(F.lit(1)).alias("n_sentences"))
-    groups = df.select(*keys).distinct().withColumn("g", _group_key(keys))
+    groups = keyed(df.select(*keys).distinct(), keys)
     return groups.join(short, "g", "left").join(counts, "g", "left").select(
         *keys, F.coalesce("summary", F.lit("")).alias("summary"), F.coalesce("n_sentences", F.lit(0)).cast("bigint").alias("n_sentences"))

@@ -114,3 +114,26 @@ def test_every_answer_counts_and_a_hot_group(spark):
         F.concat(F.lit("Odd opening "), F.col("id"), F.lit(". The seat was broken and crew number "), F.col("id") % 90, F.lit(" knew")).alias("t"))
     out = {r["kind"]: r["summary"] for r in SM.ranked_summaries(df, ["kind"], "t", n=1).collect()}
     assert len(out) == 51 and "seat was broken" in out["hot"]
+
+
+def test_groups_in_a_task_and_by_the_index_agree(spark):
+    """Small groups are ranked in one task, large ones by the index; rows of a group lie anywhere, keys may be null."""
+    rng = np.random.default_rng(5)
+    pool = ["Seat", "food", "late", "crew", "kind", "Ärger", "wifi", "price", "again", "İstanbul"]
+    rows = [(k, k and k % 3, ". ".join(" ".join(rng.choice(pool, rng.integers(1, 6))) for _ in range(int(rng.integers(1, 9)))))
+            for k in (None, *range(9)) for _ in range(1 if k in (1, 2) else 400 if k == 3 else 30)]
+    rows += [(20, 0, None), (21, 0, ""), (21, 0, "..."), (22, 1, "?! + -")]
+    df = spark.createDataFrame(rows, "k int, j int, t string").repartition(7)
+    out = {}
+    for name, limit in (("tasks", 1 << 30), ("index", -1), ("both", 10_000)):
+        out[name] = {tuple(r[:2]): tuple(r[2:]) for r in SM.ranked_summaries(df, ["k", "j"], "t", n=2, sep="|", group_bytes=limit).select("k", "j", "summary", "n_sentences").collect()}
+    assert len(out["tasks"]) == 13 and out["tasks"] == out["index"] == out["both"]
+    single = df.dropDuplicates(["k"])
+    one = {r["k"]: r["summary"] for r in SM.ranked_summaries(single, ["k"], "t", n=1).collect()}
+    assert one == {r["k"]: r["summary"] for r in SM.ranked_summaries(single, ["k"], "t", n=1, group_bytes=-1).collect()}
+
+
+def test_groups_of_one_row_shuffle_no_text(spark):
+    df = spark.range(300).select("id", F.concat(F.lit("The seat "), "id", F.lit(" was cold. The crew was kind")).alias("t"))
+    plan = SM.ranked_summaries(df, ["id"], "t", n=1)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
