@@ -156,8 +156,9 @@ def process_in_batches(df: DataFrame, id_col: str, size: int, fn: Callable[[Data
                        out: str) -> DataFrame:
     """Run ``fn`` over every row whose id is not yet in ``out``; returns the table.
 
-    All pending batches go through one distributed job. Each is stored under its
-    ``batch_id``; a restart finds the ids that are done and leaves them alone, so
+    All pending batches go through one distributed job. Rows are stored with their
+    ``batch_id``, in files as large as the tasks make them: a folder per batch would be as
+    many small files as there are batches. A restart finds the ids that are done and leaves them alone, so
     a batch that has grown is completed. ``fn`` has to keep ``id_col`` and
     ``batch_id``, and a row without a result as a row with a NULL.
     """
@@ -169,7 +170,7 @@ def process_in_batches(df: DataFrame, id_col: str, size: int, fn: Callable[[Data
     except Exception as error:  # first run: there is no table yet
         if "PATH_NOT_FOUND" not in str(error):
             raise
-    fn(todo).write.mode("append").partitionBy("batch_id").parquet(out)
+    fn(todo).write.mode("append").parquet(out)
     return spark.read.parquet(out)
 
 

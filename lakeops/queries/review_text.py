@@ -164,7 +164,7 @@ def tx9(t):
     docs = t.documents.select("doc_id", "text")
     done = docs.agg(F.floor(F.max("doc_id") / 100).cast("bigint") * 50).scalar()
     X.process_in_batches(docs.filter(F.col("doc_id") < done), "doc_id", 50, work, out)
-    return X.process_in_batches(docs, "doc_id", 50, work, out)
+    return X.process_in_batches(docs, "doc_id", 50, work, out).withColumn("batch_id", F.col("batch_id").cast("int"))
 
 
 @query("tx10_voc_mart", f"SELECT 'shop.example' AS host, 'main' AS catalog, * FROM ({_LONG})")

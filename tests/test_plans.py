@@ -119,6 +119,15 @@ def test_process_in_batches_restarts(spark):
     assert X.process_in_batches(docs, "id", 10, work, out).count() == 25
 
 
+def test_process_in_batches_writes_no_file_per_batch(spark):
+    out = work_dir(spark, "many-batches")
+    docs = spark.range(400).coalesce(2)
+    for part in (docs.filter("id % 3 = 0"), docs):
+        got = X.process_in_batches(part, "id", 2, lambda df: df.select("batch_id", "id"), out)
+    assert sorted((r["id"], r["batch_id"]) for r in got.collect()) == [(i, i // 2) for i in range(400)]
+    assert len(got.inputFiles()) <= 4
+
+
 def test_group_texts_fills_ratings(spark):
     df = spark.createDataFrame([(1, "a", None), (2, "b", 5), (3, "c", 2), (4, "d", None)], "n int, s string, r int")
     got = sorted(tuple(r) for r in X.group_texts(df, ["n"], "s", ["r"]).collect())
