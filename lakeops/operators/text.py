@@ -10,14 +10,19 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from lakeops.functions.columns import missing_to_dash
 from lakeops.operators.numbering import number_rows
 
 Scorer = Callable[[list], list]
+ROWS_AT_ONCE = 1024
+BYTES_AT_ONCE = 4 << 20
 
 
 def prompts(df: DataFrame, text: str, topics: Sequence[str], polarities: Sequence[str],
@@ -70,17 +75,34 @@ def map_text(df: DataFrame, text: str, make_scorer: Callable[[], Scorer], name:
              result_type: T.DataType | str = "string", retries: int = 1) -> DataFrame:
     """Apply a text model to every row.
 
-    ``make_scorer`` is called once per task (load the model there).
+    ``make_scorer`` is called once per task (load the model there). It gets up to ``ROWS_AT_ONCE`` texts
+    and ``BYTES_AT_ONCE`` of them, or one text, so a worker holds few texts as Python strings, however long they are.
     """
-    @F.pandas_udf(result_type)
-    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    kind = to_arrow_type(T.DataType.fromDDL(result_type) if isinstance(result_type, str) else result_type)
+
+    @F.arrow_udf(result_type)
+    def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         scorer = make_scorer()
         for batch in batches:
-            yield pd.Series(_safe_call(scorer, batch.tolist(), retries), dtype=object)
+            for part in text_parts(batch):
+                found = pd.Series(_safe_call(scorer, part.to_pylist(), retries), dtype=object)
+                yield pa.Array.from_pandas(found, type=kind)
 
     return df.withColumn(name, score(F.col(text)))
 
 
+def text_parts(texts: pa.Array, rows: int = ROWS_AT_ONCE, size: int = BYTES_AT_ONCE) -> Iterator[pa.Array]:
+    """The texts in slices of at most so many rows and bytes; a longer text is a slice of its own."""
+    first, held = 0, 0
+    for at, n in enumerate(pc.fill_null(pc.binary_length(texts), 0).to_pylist()):
+        if at > first and (held + n > size or at - first == rows):
+            yield texts.slice(first, at - first)
+            first, held = at, 0
+        held += n
+    if len(texts) > first:
+        yield texts.slice(first)
+
+
 def score_rows(df: DataFrame, cols: Sequence[str], make_scorer: Callable[[], Callable[[pd.DataFrame], Sequence]],
                name: str = "prediction", result_type: T.DataType | str = "double") -> DataFrame:
     """Apply a model to a struct of columns; the result has the declared type.
@@ -100,13 +122,15 @@ def score_rows(df: DataFrame, cols: Sequence[str], make_scorer: Callable[[], Cal
 def sentiment(df: DataFrame, text: str, make_scorer: Callable[[], Scorer]) -> DataFrame:
     """``positive_score`` = stars × probability from a scorer that yields
     ``("n stars", probability)``; a failed row scores as unknown."""
-    @F.pandas_udf("emotion string, probability float")
-    def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    kind = pa.struct([("emotion", pa.string()), ("probability", pa.float32())])
+
+    @F.arrow_udf("emotion string, probability float")
+    def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         scorer = make_scorer()
         for batch in batches:
-            found = _safe_call(scorer, batch.tolist(), 0)
-            yield pd.DataFrame([f if f is not None else ("unknown", 0.0) for f in found],
-                               columns=["emotion", "probability"])
+            for part in text_parts(batch):
+                found = [f if f is not None else ("unknown", 0.0) for f in _safe_call(scorer, part.to_pylist(), 0)]
+                yield pa.array([{"emotion": e, "probability": p} for e, p in found], kind)
 
     scored = df.withColumn("_s", score(F.col(text)))
     return scored.withColumn("positive_score", positive_score(F.col("_s.emotion"), F.col("_s.probability"))).drop("_s")

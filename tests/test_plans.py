@@ -87,6 +87,20 @@ def test_text_model_errors_become_null(spark):
     assert {r["id"]: r["result"] for r in X.map_text(df, "s", scorer).collect()} == {1: "a!", 2: None, 3: "c!"}
 
 
+def test_scorers_get_few_texts_at_once(spark):
+    """However long the texts, a call gets a bounded number of bytes; nulls and the longest text alone pass as well."""
+    def scorer():
+        return lambda batch: [str(sum(len(s or "") for s in batch)) if len(batch) > 1 else "0" for _ in batch]
+    df = spark.range(90).coalesce(1).select("id", F.when(F.col("id") != 7, F.repeat(F.lit("x"), F.when(F.col("id") == 5, 6 << 20).otherwise(1 << 18))).alias("s"))
+    got = [int(r["result"]) for r in X.map_text(df, "s", scorer).select("result").collect()]
+    assert len(got) == 90 and 0 < max(got) <= X.BYTES_AT_ONCE
+
+    def rated():
+        return lambda batch: [("1 star", 1.0 if sum(map(len, batch)) <= X.BYTES_AT_ONCE else 0.0) for _ in batch]
+    rows = X.sentiment(df.filter("id > 7"), "s", rated).select("positive_score").collect()
+    assert len(rows) == 82 and all(r["positive_score"] == 1.0 for r in rows)
+
+
 def test_a_bad_row_costs_few_calls():
     calls = []
 
