@@ -10,6 +10,7 @@ from lakeops.plans.summaries import ranked_summaries
 from lakeops.queries.registry import query
 from lakeops.queries.table_functions import mirror_scorer
 from lakeops.session import work_dir
+from lakeops.sources.writers import write_table
 
 TOPICS = L.REVIEW_TOPICS
 TEMPLATE = "[review]{text}\n[topic]{topic} ({polarity})"
@@ -46,7 +47,8 @@ def _learned(t, label):
     """Labels of all documents, learned from the labelled rows outside the held-out bucket."""
     truth = t.documents.join(t.labels, "doc_id", "left")
     model = LB.learn_labels(truth.filter(~LB.held_out("doc_id")), "text", label)
-    found = LB.label_texts(model, t.documents, "doc_id", "text")
+    # The labels are used twice, for the accuracy and as the result.
+    found = write_table(LB.label_texts(model, t.documents, "doc_id", "text"), work_dir(t.spark, "labelled"))
     rows = truth.withColumn("_held", LB.held_out("doc_id"))
     told = LB.accuracy(found, rows, "doc_id", label, F.col("_held"))
     known = rows.filter(F.col("_held") & F.col(label).isNotNull()).groupBy(label).count().agg(F.max("count") / F.sum("count")).first()[0]

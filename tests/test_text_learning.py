@@ -65,6 +65,21 @@ def test_held_out_languages(spark):
     assert LB.accuracy(found, docs, "doc_id", "lang", LB.held_out("doc_id")) >= 0.98
 
 
+def test_labels_shuffle_a_row_per_text(spark):
+    """The weights of a text are summed where it is read; a key may have several rows."""
+    train = spark.createDataFrame([("good nice", "pos"), ("bad seat", "neg")], "t string, l string")
+    model = LB.learn_labels(train, "t", "l")
+    rows = spark.createDataFrame([(1, "good"), (1, "nice"), (1, "bad"), (None, "bad"), (2, None)], "id int, t string")
+    found = LB.label_texts(model, rows, "id", "t")
+    got = {r["id"]: (r["label"], r["probability"]) for r in found.collect()}
+    # Without pairs, the three rows of key 1 weigh as a text of their words.
+    alone = {r["id"]: r["probability"] for r in LB.label_texts(model, spark.createDataFrame([(1, "good"), (2, "nice"), (3, "bad")], "id int, t string"), "id", "t").collect()}
+    assert got[1][0] == "pos" and got[None][0] == "neg" and got[2] == ("neg", 0.5)
+    assert got[1][1] == pytest.approx(1 / (1 + (1 - alone[1]) / alone[1] * (1 - alone[2]) / alone[2] * alone[3] / (1 - alone[3])), rel=1e-9)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and "Join" not in plan
+
+
 def dense_ranks(sentence_list, rounds=SM.ROUNDS, damping=SM.DAMPING):
     """The same walk with a matrix of all links."""
     terms = [sorted(set(words(s))) for s in sentence_list]
