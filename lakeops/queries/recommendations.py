@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 from lakeops.operators.sets import top_k
 from lakeops.plans import recommend as RC
 from lakeops.queries.registry import query
+from lakeops.session import work_dir
+from lakeops.sources.writers import write_table
 
 _RATINGS = "SELECT user_id, item_id, count(*) AS rating FROM {lines} GROUP BY ALL"
 # A fixed score table in place of a trained model.
@@ -21,8 +23,9 @@ def _scores(t):
 
 
 def _model(t):
-    ratings = _ratings(t).select(F.col("user_id").cast("int").alias("user_id"), F.col("item_id").cast("int").alias("item_id"),
-                                 F.col("rating").cast("float").alias("rating"))
+    # Training and the checks after it read the ratings several times; the lines are joined and counted once.
+    ratings = write_table(_ratings(t).select(F.col("user_id").cast("int").alias("user_id"), F.col("item_id").cast("int").alias("item_id"),
+                                             F.col("rating").cast("float").alias("rating")), work_dir(t.spark, "ratings"))
     return ratings, RC.train_als(ratings, "user_id", "item_id", seed=0)
 
 

@@ -291,3 +291,14 @@ def test_better_items_left_out_are_counted(spark):
     buyers = spark.read.parquet("/root/testdata/sf0.001/orders.parquet").join(
         spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet"), F.col("o_orderkey") == F.col("l_orderkey"))
     assert {r[0] for r in registered.collect()} == {r[0] for r in buyers.select("o_custkey").distinct().collect()}
+
+
+def test_ratings_of_a_model_are_computed_once(spark):
+    """What training and later checks read is a written table, not the join of lines and orders again."""
+    from lakeops.queries.recommendations import _model
+    from lakeops.queries.registry import Tables
+
+    t = Tables(spark, "/root/testdata/sf0.001")
+    ratings, _ = _model(t)
+    assert "Join" not in ratings._jdf.queryExecution().executedPlan().toString()
+    assert ratings.count() == t.lines.select("user_id", "item_id").distinct().count()
