@@ -16,6 +16,8 @@ from lakeops.functions.dates import holiday_flag, quarter_label, weekday_number
 from lakeops.operators.joins import denormalise
 from lakeops.operators.windows import rolling
 from lakeops.plans import trend_changes
+from lakeops.session import work_dir
+from lakeops.sources.writers import write_table
 
 
 def daily_series(sales: DataFrame, keys: Sequence[str], ds: str = "ds", y: str = "y") -> DataFrame:
@@ -233,7 +235,8 @@ def forecast_fit(out: DataFrame, keys: Sequence[str]) -> DataFrame:
     ``spread`` is the sum of squares of log(1 + y) around its mean, ``fits``
     whether the forecast leaves no more than that (a regression with a constant
     cannot leave more) and, over all series, clearly less. ``ordered``: every
-    figure lies in its band and is not negative.
+    figure lies in its band and is not negative. The figures of the series are stored, so that the forecast
+    is computed once.
     """
     known = F.col("y").isNotNull()
     rest = F.log1p("y") - F.log1p("yhat")
@@ -242,6 +245,7 @@ def forecast_fit(out: DataFrame, keys: Sequence[str]) -> DataFrame:
         F.every((F.col("yhat_lower") <= F.col("yhat")) & (F.col("yhat") <= F.col("yhat_upper")) & (F.col("yhat") >= 0)).alias("ordered"),
         F.round(F.var_pop(F.when(known, F.log1p("y"))) * F.count_if(known), 6).alias("spread"),
         F.sum(F.when(known, rest * rest)).alias("_left"))
+    per = write_table(per, work_dir(per.sparkSession, "forecast-fit"))
     total = per.agg((F.sum("_left") < F.sum("spread") * 0.999)).first()[0]
     return per.withColumn("fits", (F.col("_left") <= F.col("spread") + 1e-5) & F.lit(bool(total))).drop("_left")
 

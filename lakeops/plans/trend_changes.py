@@ -51,28 +51,28 @@ def lasso(gram: np.ndarray, products: np.ndarray, penalty: float, start: np.ndar
 
     It ends when no weight moves the fit by more than ``tolerance`` times the penalty.
     """
-    w = start.copy()
-    rest = products - gram @ w  # minus the gradient of the smooth part
-    scale = np.diag(gram)
-    everything = np.flatnonzero(scale > 1e-12)
+    rest = products - gram @ start  # minus the gradient of the smooth part
+    scales = np.diag(gram)
+    everything = np.flatnonzero(scales > 1e-12).tolist()
     order = everything
+    w, scale, own, penalty = start.tolist(), scales.tolist(), np.ascontiguousarray(gram.T), float(penalty)
     for _ in range(_SWEEPS):
         moved = 0.0
         for j in order:
             old = w[j]
-            free = rest[j] + scale[j] * old
-            new = np.sign(free) * max(abs(free) - penalty, 0.0) / scale[j]
+            free = rest.item(j) + scale[j] * old
+            new = (free - penalty if free > penalty else free + penalty if free < -penalty else 0.0) / scale[j]
             if new != old:
-                rest -= gram[:, j] * (new - old)
+                rest -= own[j] * (new - old)
                 w[j] = new
-                moved = max(moved, abs(new - old) * np.sqrt(scale[j]))
+                moved = max(moved, abs(new - old) * scale[j] ** 0.5)
         if moved > tolerance * penalty:
-            order = np.flatnonzero(w) if len(order) == len(everything) else order
+            order = [j for j in everything if w[j]] if len(order) == len(everything) else order
         elif len(order) == len(everything):
             break
         else:
             order = everything  # the active ones have settled; ask all again
-    return w
+    return np.array(w)
 
 
 def noise(rest: np.ndarray) -> float:
@@ -82,34 +82,73 @@ def noise(rest: np.ndarray) -> float:
 
 
 class _Fits:
-    """Sums of squares of refits with given changes."""
+    """Sums of squares of refits with given changes.
+
+    What the candidates have in common with the other terms and the target is computed once for a series.
+    """
 
     def __init__(self, days: np.ndarray, target: np.ndarray, base: np.ndarray, penalty: np.ndarray, span: float,
                  all_changes: np.ndarray):
         self.days, self.target, self.base, self.penalty, self.span = days, target, base, penalty, span
         self.all_changes = all_changes
+        self.all_columns = columns(days, all_changes, span)
+        self.known = self._products(self.all_columns)
+
+    def _products(self, added: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of candidate columns: products with the base and the target, and squares."""
+        return self.base.T @ added, self.target @ added, np.einsum("ij,ij->j", added, added)
+
+    def _model(self, changes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Columns and ridge penalties of a model with the changes."""
+        return (np.hstack([self.base, columns(self.days, changes, self.span)]),
+                np.concatenate([self.penalty, np.full(len(changes), 1e-6)]))
 
     def left(self, changes: np.ndarray) -> float:
-        x = np.hstack([self.base, columns(self.days, changes, self.span)])
-        ridge = np.append(self.penalty, np.full(len(changes), 1e-6))
-        w = np.linalg.solve(x.T @ x + np.diag(ridge), x.T @ self.target)
-        return float(((self.target - x @ w) ** 2).sum())
+        x, ridge = self._model(changes)
+        gram = x.T @ x
+        gram.flat[::len(gram) + 1] += ridge
+        rest = self.target - x @ np.linalg.solve(gram, x.T @ self.target)
+        return float(rest @ rest)
+
+    def left_without_each(self, changes: np.ndarray) -> np.ndarray:
+        """For each change the sum of squares of the model with the others."""
+        x, ridge = self._model(changes)
+        gram, products = x.T @ x, x.T @ self.target
+        gram.flat[::len(gram) + 1] += ridge
+        first, n = self.base.shape[1], len(changes)
+        kept = np.arange(first + n - 1)[None, :] + (np.arange(first + n - 1)[None, :] >= first + np.arange(n)[:, None])
+        w = np.zeros((n, first + n))
+        np.put_along_axis(w, kept, np.linalg.solve(gram[kept[:, :, None], kept[:, None, :]], products[kept][:, :, None])[:, :, 0], axis=1)
+        rest = self.target[:, None] - x @ w.T
+        return np.einsum("ij,ij->j", rest, rest)
 
     def best(self, others: np.ndarray, tried: np.ndarray) -> np.ndarray:
         """The change that, beside the others, leaves the least."""
-        x = np.hstack([self.base, columns(self.days, others, self.span)])
-        ridge = np.append(self.penalty, np.full(len(others), 1e-6))
-        added = columns(self.days, tried, self.span)
-        both = np.linalg.solve(x.T @ x + np.diag(ridge), x.T @ np.column_stack([added, self.target]))
-        apart, rest = added - x @ both[:, :-1], self.target - x @ both[:, -1]
-        size = (added * apart).sum(axis=0)
-        gain = np.where(size > 1e-9, (added.T @ rest) ** 2 / np.maximum(size, 1e-9), -1.0)
+        if tried is self.all_changes:
+            added, (with_base, with_target, squares) = self.all_columns, self.known
+        else:
+            added = columns(self.days, tried, self.span)
+            with_base, with_target, squares = self._products(added)
+        x, ridge = self._model(others)
+        gram = x.T @ x
+        gram.flat[::len(gram) + 1] += ridge
+        common = np.vstack([with_base, x[:, self.base.shape[1]:].T @ added])
+        both = np.linalg.solve(gram, np.column_stack([common, x.T @ self.target]))
+        size = squares - np.einsum("ij,ij->j", common, both[:, :-1])
+        gain = np.where(size > 1e-9, (with_target - both[:, -1] @ common) ** 2 / np.maximum(size, 1e-9), -1.0)
         return tried[int(np.argmax(gain))]
 
     def criterion(self, changes: np.ndarray) -> float:
         """Bayesian information criterion; a change is three numbers: day, kind and size."""
+        return float(self._criterion(self.left(changes), len(changes)))
+
+    def criteria_without_each(self, changes: np.ndarray) -> np.ndarray:
+        """For each change the criterion of the others."""
+        return self._criterion(self.left_without_each(changes), len(changes) - 1)
+
+    def _criterion(self, left, n_changes: int):
         n = len(self.target)
-        return n * np.log(max(self.left(changes), 1e-12) / n) + 3 * len(changes) * np.log(n)
+        return n * np.log(np.maximum(left, 1e-12) / n) + 3 * n_changes * np.log(n)
 
 
 def change_days(days: np.ndarray, target: np.ndarray, base: np.ndarray, penalty: np.ndarray, span: float) -> np.ndarray:
@@ -154,13 +193,16 @@ def _path(fits: _Fits, changes: np.ndarray, gram: np.ndarray, products: np.ndarr
     """The best set of changes, with its criterion, as the penalty falls to the level of the noise."""
     most = np.abs(products).max()
     best, w, seen, vain = (fits.criterion(NONE), NONE), np.zeros(len(changes)), set(), 0
+    thinned, refined = set(), set()  # sets that were before; they lead to what has been seen
     for strength in np.geomspace(most, max(least, most * 1e-3), PENALTIES + 1)[1:]:
         w = lasso(gram, products, strength, w, ROUGH)
         found = _merged(changes, w / size)
         if 2 * len(found) + fits.base.shape[1] >= len(fits.days) // 2:
             break
+        if _repeated(found, thinned):
+            continue
         found = _thinned(fits, found)
-        if not len(found):
+        if not len(found) or _repeated(found, refined):
             continue
         found = _thinned(fits, _refined(fits, found))
         if (key := tuple(map(tuple, found.tolist()))) in seen:
@@ -174,28 +216,37 @@ def _path(fits: _Fits, changes: np.ndarray, gram: np.ndarray, products: np.ndarr
     return best
 
 
+def _repeated(changes: np.ndarray, before: set) -> bool:
+    """Whether the changes are among those before; they are added."""
+    known = (key := changes.tobytes()) in before
+    before.add(key)
+    return known
+
+
 def _merged(changes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """Neighbouring active changes of one kind and sign stand for one between them."""
     active = np.flatnonzero(sizes)
     if not len(active):
         return NONE
     kind, sign = changes[active, 1], np.sign(sizes[active])
-    cuts = np.flatnonzero((np.diff(active) > 3) | (np.diff(sign) != 0) | (np.diff(kind) != 0)) + 1
-    found = [(np.round(np.average(changes[part, 0], weights=np.abs(sizes[part]))), changes[part[0], 1])
-             for part in np.split(active, cuts)]
-    return np.array(sorted(found))
+    cuts = np.flatnonzero((active[1:] - active[:-1] > 3) | (sign[1:] != sign[:-1]) | (kind[1:] != kind[:-1])) + 1
+    starts = np.concatenate([[0], cuts])
+    weights = np.abs(sizes[active])
+    day = np.round(np.add.reduceat(changes[active, 0] * weights, starts) / np.add.reduceat(weights, starts))
+    kind = changes[active[starts], 1]
+    order = np.lexsort((kind, day))
+    return np.stack([day[order], kind[order]], axis=1)
 
 
 def _thinned(fits: _Fits, changes: np.ndarray) -> np.ndarray:
     """Without the changes that the criterion does not miss."""
     value = fits.criterion(changes)
     while len(changes):
-        fewer = [np.delete(changes, i, axis=0) for i in range(len(changes))]
-        values = [fits.criterion(f) for f in fewer]
+        values = fits.criteria_without_each(changes)
         i = int(np.argmin(values))
         if values[i] > value:
             break
-        value, changes = values[i], fewer[i]
+        value, changes = values[i], np.delete(changes, i, axis=0)
     return changes
 
 

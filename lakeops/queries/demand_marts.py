@@ -7,7 +7,7 @@ from lakeops.operators.upsert import upsert
 from lakeops.plans import demand as DM
 from lakeops.queries.registry import query
 from lakeops.session import work_dir
-from lakeops.sources.writers import append_table
+from lakeops.sources.writers import append_table, write_table
 
 # Daily sales per store and item with a stock figure derived from the sales.
 _DAILY = """SELECT ds AS order_date, machine_id, item AS item_id, CAST(y AS DOUBLE) AS actual_quantity,
@@ -92,6 +92,7 @@ def fc3_backtest(t):
     held = ahead.drop("y").join(series, ["item", "ds"])
     per = held.groupBy("item").agg(F.count(F.lit(1)).alias("n_held_out"), F.count_if(
         (F.col("yhat_lower") <= F.col("y")) & (F.col("y") <= F.col("yhat_upper"))).alias("_inside"))
+    per = write_table(per, work_dir(t.spark, "backtest"))
     share = per.agg(F.sum("_inside") / F.sum("n_held_out")).first()[0]
     return per.select("item", "n_held_out", F.lit(share is not None and 0.9 <= share <= 0.98).alias("band_holds"))
 

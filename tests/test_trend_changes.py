@@ -101,3 +101,24 @@ def test_change_points_of_many_series(spark):
     assert found[99] == [] and all(not found[k] for k in (0, 2, 4))
     for k in (1, 3, 5):
         assert [abs((d - date(1970, 1, 1)).days - 15_500) <= 7 for d in found[k]] == [True]
+
+
+def test_sums_of_squares_from_shared_products():
+    """Refits without each change, and the best change to add, as from refits one by one."""
+    days, y = course(300, [(150, 0.01)], 2)
+    base, at = np.stack([np.ones(300), (days - days[0]) / 300], axis=1), TC.candidates(days)
+    tried = np.concatenate([np.stack([at, np.full(len(at), kind)], axis=1) for kind in (TC.SLOPE, TC.LEVEL)])
+    fits = TC._Fits(days, np.log1p(y), base, np.full(2, 1e-3), 300.0, tried)
+    some = tried[[3, 20, 40]]
+    one_by_one = [fits.left(np.delete(some, i, axis=0)) for i in range(3)]
+    assert fits.left_without_each(some) == pytest.approx(one_by_one, rel=1e-9)
+    best = fits.best(some, tried)
+    least = min(fits.left(np.concatenate([some, c[None, :]])) for c in tried)
+    assert fits.left(np.concatenate([some, best[None, :]])) == pytest.approx(least, rel=1e-4)
+
+
+def test_fit_of_a_forecast_is_computed_once(spark):
+    days, y = course(60, [])
+    rows = [(1, date(1970, 1, 1) + timedelta(days=int(d)), float(v)) for d, v in zip(days, y)]
+    out = DM.forecast_fit(DM.forecast(spark.createDataFrame(rows, "k int, ds date, y double"), ["k"]), ["k"])
+    assert "MapInArrow" not in out._jdf.queryExecution().executedPlan().toString() and out.first()["n_rows"] == 150
