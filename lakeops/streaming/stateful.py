@@ -68,47 +68,50 @@ def merge_spans(spans: list[tuple[int, int, int]], gap: int, strict: bool) -> li
 
 
 class OpenSessions(StatefulProcessor):
-    """The open sessions of a user, as spans; each is given out, and forgotten, when no event can extend it."""
+    """The open sessions of a user, as spans; each is given out, and forgotten, when no event can extend it.
+
+    A trigger adds its spans to a list and leaves those of earlier triggers unread, so its work is that of its own rows. One timer
+    per user, at the earliest time at which a session may close, puts the spans together and gives out all that have closed.
+    """
 
     def __init__(self, gap: int, strict: bool):
         self.gap, self.strict = gap, strict  # microseconds
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.spans = handle.getValueState("spans", "lo array<bigint>, hi array<bigint>, n array<bigint>")
-
-    def _held(self) -> list[tuple[int, int, int]]:
-        return list(zip(*self.spans.get())) if self.spans.exists() else []
+        self.spans = handle.getListState("spans", "lo array<bigint>, hi array<bigint>, n array<bigint>")
+        self.timer = handle.getValueState("timer", "at bigint")
 
     def _closes(self, hi: int) -> int:
         """Milliseconds of the first watermark that closes a session with this last event."""
         return (hi + self.gap) // 1000 + 1
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        held = self._held()
-        spans = merge_spans(held + [(r["lo"], r["hi"], r["n"]) for r in rows], self.gap, self.strict)
-        self._keep(spans, {self._closes(hi) for _, hi, _ in held})
+        spans = merge_spans([(r["lo"], r["hi"], r["n"]) for r in rows], self.gap, self.strict)
+        self.spans.appendValue(tuple(map(list, zip(*spans))))
+        earliest, held = self._closes(spans[0][1]), self.timer.get()
+        if held is None or earliest < held[0]:
+            if held is not None:
+                self.handle.deleteTimer(held[0])
+            self._wake(earliest)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         now = timerValues.getCurrentWatermarkInMs()
-        held = self._held()
+        held = merge_spans([span for part in self.spans.get() for span in zip(*part)], self.gap, self.strict)
         stay = [s for s in held if self._closes(s[1]) > now]
-        for lo, hi, n in held:
-            if self._closes(hi) <= now:
-                yield Row(user=key[0], lo=lo, hi=hi, n_events=n)
         if stay:
-            self.spans.update(tuple(map(list, zip(*stay))))
-        elif held:
+            self.spans.put([tuple(map(list, zip(*stay)))])
+            self._wake(self._closes(stay[0][1]))
+        else:
             self.spans.clear()
+            self.timer.clear()
+        for lo, hi, n in held[:len(held) - len(stay)]:
+            yield Row(user=key[0], lo=lo, hi=hi, n_events=n)
 
-    def _keep(self, spans: list[tuple[int, int, int]], timers: set[int]) -> None:
-        self.spans.update(tuple(map(list, zip(*spans))))
-        wanted = {self._closes(hi) for _, hi, _ in spans}
-        for at in timers - wanted:
-            self.handle.deleteTimer(at)
-        for at in wanted - timers:
-            self.handle.registerTimer(at)
+    def _wake(self, at: int) -> None:
+        self.handle.registerTimer(at)
+        self.timer.update((at,))
 
     def close(self) -> None:
         pass

@@ -244,6 +244,16 @@ def test_state_is_freed(spark):
     assert late == 0 and query.lastProgress["stateOperators"][0]["numRowsTotal"] <= 4
 
 
+def test_open_sessions_of_a_user_wait_for_one_timer(spark):
+    from lakeops.streaming import stateful
+
+    src = _bursts(spark, [(h, 1) for h in range(10, 70, 3)])
+    stream = ingest.stream_files(spark, src, "parquet", "u int, ts timestamp", rescued=False, max_files=100)
+    held = stateful.session_state(stream, "u", "ts", 1800, watermark="10 days")
+    query, _ = stateful.run_stateful(held, work_dir(spark, "waiting-out"), work_dir(spark, "waiting-ckpt"))
+    assert query.lastProgress["stateOperators"][0]["numRowsTotal"] <= 4  # not one or more for each of 20 sessions
+
+
 @pytest.mark.parametrize("max_files", [1, 100])
 def test_older_rows_lose_in_any_order(spark, max_files):
     from lakeops.streaming import stateful
