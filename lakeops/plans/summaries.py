@@ -2,20 +2,22 @@
 
 Sentences of a group are linked by the terms they share. A walk goes from a
 sentence to one of its terms, by weight, and from there to a sentence with that term; the
-share of time it spends at a sentence is its rank. Links are never made: each step of the
-power iteration is two sums over the inverted index (sentence, term), so the
+share of time it spends at a sentence is its rank. Links between sentences are never made: each step of the
+power iteration is two sums over the pairs (sentence, term), so the
 work grows with the words. Rare terms weigh more. Every answer takes part, and a group has one summary at any size.
 
 A group of up to ``GROUP_BYTES`` of text is ranked whole in a task; if every such group is
-one row, no text is shuffled. Larger groups go through an inverted index that Spark joins and sums.
+one row, no text is shuffled. Larger groups are cut into blocks; the terms of a block are summed there, and Spark sums them over the blocks.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,6 +26,7 @@ from lakeops.session import work_dir
 DAMPING = 0.85
 ROUNDS = 8
 GROUP_BYTES = 4 << 20
+BLOCK_BYTES = 16 << 20  # of sentences that a task walks at once, in larger groups
 ROWS_AT_ONCE = 128
 _ENDS = r"[.!?。！？\n]+"
 
@@ -59,30 +62,71 @@ def sentences(df: DataFrame, keys: Sequence[str], text: str) -> DataFrame:
     return rows.withColumn("id", F.xxhash64("g", "sentence"))
 
 
-def sentence_ranks(rows: DataFrame, rounds: int = ROUNDS, damping: float = DAMPING) -> DataFrame:
+def sentence_ranks(rows: DataFrame, rounds: int = ROUNDS, damping: float = DAMPING, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``rows`` (stored) with their ``rank``, the shares of a group adding up to one.
 
-    A sentence without a term is reached by chance only.
+    A sentence without a term is reached by chance only. Sentences stay in their blocks, which Spark keeps on disk; a round
+    sends a row for each term of a block, however often it occurs there, and gets back what the term has in all blocks.
     """
-    index = rows.select("g", "id", F.explode(_words_of(F.col("sentence"))).alias("word")).withColumn("term", F.xxhash64("g", "word")).drop("word")
-    sizes = _stored(rows.groupBy("g").agg(F.count(F.lit(1)).alias("size")), "summary-sizes")
-    spread = index.groupBy("g", "term").agg(F.count(F.lit(1)).alias("df")).join(sizes, "g")
-    weights = spread.select("term", "df", F.log1p(F.col("size") / F.col("df")).alias("w"))
-    weighed = index.select("id", "term").join(weights, "term")
-    # From a sentence to its terms by weight; from a term to its sentences evenly.
-    total = weighed.groupBy("id").agg(F.sum("w").alias("all"))
-    steps = _stored(weighed.join(total, "id").select("id", "term", (F.col("w") / F.col("all")).alias("to_term"),
-                                                     (F.lit(1.0) / F.col("df")).alias("to_sentence")), "summary-index")
-    even = _stored(rows.select("id", "g").join(sizes, "g").select("id", (F.lit(1.0) / F.col("size")).alias("even")), "summary-even")
-    ranks = even.select("id", F.col("even").alias("rank"))
-    for _ in range(rounds):
-        at_terms = steps.join(ranks, "id").groupBy("term").agg(F.sum(F.col("rank") * F.col("to_term")).alias("mass"))
-        back = steps.join(at_terms, "term").groupBy("id").agg(F.sum(F.col("mass") * F.col("to_sentence")).alias("got"))
-        ranks = _stored(even.join(back, "id", "left").select(
-            "id", (F.lit(1 - damping) * F.col("even") + F.lit(damping) * F.coalesce("got", F.lit(0.0))).alias("rank")), "summary-ranks")
+    spark = rows.sparkSession
+    sizes = _stored(rows.groupBy("g").agg(F.count(F.lit(1)).alias("size"), F.sum(F.octet_length("sentence")).alias("bytes")), "summary-sizes")
+    block = F.xxhash64("g", F.pmod("id", F.ceil(F.col("bytes") / F.lit(block_bytes))))
+    words = _words_of(F.col("sentence"))
+    index = rows.join(sizes, "g").select(block.alias("b"), "id", F.col("size").cast("double").alias("size"),
+                                         F.transform(words, lambda w: F.xxhash64("g", w)).alias("terms"))
+    # With a number of partitions of its own the blocks stay where they are in all rounds.
+    index = index.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "b").persist(StorageLevel.DISK_ONLY)
+    try:
+        held = index.select("b", F.explode("terms").alias("term")).groupBy("b", "term").agg(F.count(F.lit(1)).cast("double").alias("df"))
+        everywhere = Window.partitionBy("term")
+        known = held.select(F.col("b").alias("b"), "term", F.sum("df").over(everywhere).alias("df"), F.lit(0.0).alias("mass"))
+        for i in range(rounds):
+            sent = _in_blocks(index, known, _masses(i == 0, damping), "b bigint, term bigint, df double, mass double")
+            known = sent.select("b", "term", "df", F.sum("mass").over(everywhere).alias("mass"))
+        ranks = _stored(_in_blocks(index, known, _last_ranks(rounds == 0, damping), "id bigint, rank double"), "summary-ranks")
+    finally:
+        index.unpersist()
     return rows.join(ranks, "id")
 
 
+def _in_blocks(index: DataFrame, known: DataFrame, step: Callable[[pa.Table, pa.Table], pa.Table], schema: str) -> DataFrame:
+    return index.groupBy("b").cogroup(known.withColumn("b", F.col("b").alias("b")).groupBy("b")).applyInArrow(step, schema)
+
+
+def _block_walk(block: pa.Table, known: pa.Table, first: bool, damping: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Ranks of the sentences of a block from what its terms have in all blocks; the sentence and term of each link, and ``df``."""
+    said = block["terms"].combine_chunks()
+    size, n = block["size"].to_numpy(), len(block)
+    owner = np.repeat(np.arange(n), pc.list_value_length(said).to_numpy(zero_copy_only=False))
+    terms, df = known["term"].to_numpy(), known["df"].to_numpy()
+    order = np.argsort(terms)
+    place = order[np.searchsorted(terms, said.flatten().to_numpy(), sorter=order)] if len(terms) else np.empty(0, np.int64)
+    ranks = 1.0 / size
+    if not first:
+        ranks = (1 - damping) * ranks + damping * np.bincount(owner, (known["mass"].to_numpy() / df)[place], n)
+    return ranks, owner, place, df
+
+
+def _masses(first: bool, damping: float) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """A step from the sentences of a block to its terms, by weight."""
+
+    def step(block: pa.Table, known: pa.Table) -> pa.Table:
+        ranks, owner, place, df = _block_walk(block, known, first, damping)
+        weight = np.log1p(block["size"].to_numpy()[owner] / df[place])
+        share = ranks / np.maximum(np.bincount(owner, weight, len(ranks)), 1e-300)
+        mass = np.bincount(place, share[owner] * weight, len(df)).astype(float)
+        return pa.table({"b": known["b"], "term": known["term"], "df": known["df"], "mass": mass})
+
+    return step
+
+
+def _last_ranks(first: bool, damping: float) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    def step(block: pa.Table, known: pa.Table) -> pa.Table:
+        return pa.table({"id": block["id"], "rank": _block_walk(block, known, first, damping)[0]})
+
+    return step
+
+
 def _ranks_of_group(terms: np.ndarray, sizes: np.ndarray, rounds: int, damping: float) -> np.ndarray:
     """Ranks of the sentences of one group; ``terms`` has those of one sentence after the other, ``sizes`` their numbers."""
     n = len(sizes)

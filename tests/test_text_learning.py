@@ -122,6 +122,20 @@ def test_ranks_against_a_dense_walk(spark):
         assert out[kind]["summary"].split("|") == best and out[kind]["n_sentences"] == len(got[key])
 
 
+def test_ranks_of_groups_in_many_blocks(spark):
+    """The same ranks from any number of blocks; between them go rows of a term, not of its occurrences."""
+    df = spark.range(4000).select(F.lit("all").alias("kind"), F.concat(
+        F.lit("Seat "), F.col("id") % 40, F.lit(" was cold on day "), F.col("id")).alias("t"))
+    rows = SM._stored(SM.sentences(df, ["kind"], "t"), "rows")
+    one, many = ({r["id"]: r["rank"] for r in SM.sentence_ranks(rows, block_bytes=size).collect()} for size in (1 << 30, 5_000))
+    assert len(one) == 4000 and sum(one.values()) == pytest.approx(1.0)
+    assert [many[i] for i in one] == pytest.approx(list(one.values()), rel=1e-9)
+    index = rows.select(F.lit(1).cast("bigint").alias("b"), "id", F.lit(4000.0).alias("size"), F.array(F.lit(7).cast("bigint")).alias("terms"))
+    known = spark.createDataFrame([(1, 7, 4000.0, 0.0)], "b bigint, term bigint, df double, mass double")
+    sent = SM._in_blocks(index, known, SM._masses(True, 0.85), "b bigint, term bigint, df double, mass double").collect()
+    assert [(r["b"], r["term"], round(r["mass"], 9)) for r in sent] == [(1, 7, 1.0)]
+
+
 def test_every_answer_counts_and_a_hot_group(spark):
     """One summary however many answers; the theme of the many is chosen, wherever it stands."""
     df = spark.range(6000).select(
