@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from lakeops.operators.sets import top_k
 from lakeops.plans import recommend as RC
+from lakeops.plans.inner_products import items_above
 from lakeops.queries.registry import query
 from lakeops.session import work_dir
 from lakeops.sources.writers import write_table
@@ -102,28 +103,15 @@ def _last_entries(recs):
                        F.array_min("recommendations.rating").alias("least"), F.col("recommendations.item_id").alias("listed"))
 
 
-def _norm_class(norm):
-    """Eighths of a doubling."""
-    return F.floor(F.log2(norm) * 8).cast("int")
-
-
 def _better_left_out(model, recs):
     """Per user: the length of the list, and how many items of the model score above its last entry without being in it.
 
-    Such an item has at least a norm of that score over the user's norm, so a user is joined with the
-    items of these classes of norms only.
+    Such an item has at least a norm of that score over the user's norm; all items of such norms are scored.
     """
     last = _last_entries(recs)
-    norm = F.sqrt(F.aggregate("features", F.lit(0.0), lambda a, x: a + x.cast("double") * x))
-    items = model.itemFactors.select(F.col("id").alias("item_id"), F.col("features").alias("i"), norm.alias("norm")).filter("norm > 0")
-    items = items.withColumn("class", _norm_class(F.col("norm")))
-    low, high = items.agg(F.min("class"), F.max("class")).first()
-    users = last.join(model.userFactors.select(F.col("id").alias("user_id"), F.col("features").alias("u"), norm.alias("norm")), "user_id")
-    floor = F.when(F.col("least") > 0, _norm_class(F.col("least") / F.col("norm")) - 1).otherwise(low)
-    reached = users.withColumn("class", F.explode(F.sequence(F.least(F.greatest(floor, F.lit(low)), F.lit(high)), F.lit(high))))
-    score = sum(F.col("u")[k].cast("double") * F.col("i")[k] for k in range(model.rank))
-    better = reached.join(items.drop("norm"), "class").filter((score > F.col("least") + 1e-4) & ~F.array_contains("listed", F.col("item_id")))
-    n = better.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_better_left_out"))
+    users = last.join(model.userFactors.select(F.col("id").alias("user_id"), "features"), "user_id").select(
+        F.col("user_id").alias("id"), "features", (F.col("least") + 1e-4).alias("limit"), "listed")
+    n = items_above(users, model.itemFactors).select(F.col("id").cast("int").alias("user_id"), F.col("n_above").alias("n_better_left_out"))
     return last.select("user_id", "n_items").join(n, "user_id", "left").fillna(0, ["n_better_left_out"])
 
 

@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from lakeops.plans.inner_products import best_k, top_items
+from lakeops.plans.inner_products import best_k, items_above, top_items
 
 
 def frame(spark, vectors, ids=None):
@@ -61,3 +61,20 @@ def test_best_k():
     scores, ids = np.array([[1.0, 5, 3, 3, 3], [5, 4, 3, 2, 1]]), np.array([[1, 2, 9, 4, 7], [1, 2, 3, 4, 5]])
     got, which = best_k(scores, ids, 3)
     assert [sorted(x) for x in which.tolist()] == [[2, 4, 7], [1, 2, 3]] and got.sum() == 11 + 12
+
+
+@pytest.mark.parametrize("slab_bytes", [1 << 20, 1])
+def test_items_above_a_limit_against_all_pairs(spark, slab_bytes):
+    """Counted by slabs, with items of one norm, listed items left out and negative limits."""
+    rng = np.random.default_rng(3)
+    users, items = rng.normal(size=(60, 4)), rng.normal(size=(500, 4))
+    items /= np.sqrt((items ** 2).sum(axis=1))[:, None]  # a join on classes of norms has a single key here
+    scores = users @ items.T
+    limits = np.quantile(scores, 0.99, axis=1)
+    limits[:5] = -1e9
+    listed = [np.argsort(-s)[:3].tolist() for s in scores]
+    rows = [(u, users[u].tolist(), float(limits[u]), listed[u]) for u in range(60)]
+    asked = spark.createDataFrame(rows, "id bigint, features array<double>, limit double, listed array<bigint>")
+    got = {r["id"]: r["n_above"] for r in items_above(asked, frame(spark, items), slab_bytes=slab_bytes, users_per_task=20).collect()}
+    want = {u: int((scores[u] > limits[u]).sum()) - int((scores[u][listed[u]] > limits[u]).sum()) for u in range(60)}
+    assert got == {u: n for u, n in want.items() if n} and got[0] == 497
