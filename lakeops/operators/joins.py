@@ -75,27 +75,55 @@ def asof_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_date:
 
 def latest_stock_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_date: str,
                       right_date: str, values: Sequence[str], tiebreak: Sequence[str] = ()) -> DataFrame:
-    """Newest right row overall, used only where it is not later than the left date."""
-    newest = latest_per_key(right, keys, [right_date], tiebreak)
-    r = newest.select(*[F.col(k).alias(f"_r_{k}") for k in keys], F.col(right_date).alias("_r_date"),
-                      *[F.col(v).alias(f"_r_{v}") for v in values])
+    """Newest right row overall, used only where it is not later than the left date.
+
+    Null keys match null keys. The newest rows are found by the same columns as the join
+    compares (value and null flag of each key), so the right side is shuffled once.
+    """
+    names, plain = [], []
+    for i, k in enumerate(keys):
+        names += [f"_r_key{i}", f"_r_null{i}"]
+        plain += [_without_null(right, k).alias(f"_r_key{i}"), F.col(k).isNull().alias(f"_r_null{i}")]
+    rows = right.select(*plain, *[F.col(c) for c in dict.fromkeys([right_date, *tiebreak, *values])])
+    r = latest_per_key(rows, names, [right_date], tiebreak).select(
+        *names, F.col(right_date).alias("_r_date"), *[F.col(v).alias(f"_r_{v}") for v in values])
     on = r["_r_date"] <= left[left_date]
-    for k in keys:
-        on = left[k].eqNullSafe(r[f"_r_{k}"]) & on
+    for i, k in enumerate(keys):
+        on = (_without_null(left, k) == r[f"_r_key{i}"]) & (left[k].isNull() == r[f"_r_null{i}"]) & on
     return left.join(r, on, "left").select(*left.columns, *[F.col(f"_r_{v}").alias(v) for v in values])
 
 
+def _without_null(df: DataFrame, key: str) -> Column:
+    """A key with a value of its type in place of NULL; its null flag goes beside it."""
+    kind = df.schema[key].dataType.typeName()
+    value = {"string": "", "date": "1970-01-01", "timestamp": "1970-01-01", "timestamp_ntz": "1970-01-01", "boolean": "false"}.get(kind, "0")
+    return F.coalesce(df[key], F.lit(value).cast(df.schema[key].dataType))
+
+
 def same_day_join(orders: DataFrame, logs: DataFrame, user: str, order_date: str, log_user: str,
                   log_date: str, log_order: Sequence[str], values: Sequence[str],
-                  condition: Column | None = None) -> DataFrame:
+                  condition: Column | None = None, per_user: DataFrame | None = None) -> DataFrame:
     """Attach the last log entry of the order's day, and how many there were.
 
     One log row per user and day is kept before the join, so order rows do not
-    multiply with the log.
+    multiply with the log. ``per_user`` (``user`` and other columns) is attached in the
+    same join: the days of a user are then one map, with an entry per day however long the
+    log, and the orders are shuffled once, by user, instead of once by day and once by user.
     """
     last = F.max_by(F.struct(*[F.col(v) for v in values]), F.struct(*[F.col(c) for c in log_order]))
     per_day = logs.groupBy(F.col(log_user).alias("_user"), F.col(log_date).alias("_date")).agg(
         last.alias("_last"), F.count(F.lit(1)).alias("_n"))
+    if per_user is not None:
+        days = per_day.filter("_user IS NOT NULL AND _date IS NOT NULL").groupBy("_user").agg(
+            F.map_from_entries(F.collect_list(F.struct("_date", F.struct("_last", "_n")))).alias("_days"))
+        more = [c for c in per_user.columns if c != user]
+        known = per_user.select(F.col(user).alias("_user"), *more).join(days, "_user", "full")
+        day = F.try_element_at("_days", order_date)
+        if condition is not None:
+            day = F.when(condition, day)
+        joined = orders.join(known, orders[user] == known["_user"], "left").withColumn("_day", day)
+        return joined.select(*orders.columns, *[F.col(f"_day._last.{v}").alias(v) for v in values],
+                             F.coalesce("_day._n", F.lit(0)).alias("n_logs"), *more)
     on = (orders[user] == per_day["_user"]) & (orders[order_date] == per_day["_date"])
     if condition is not None:
         on = on & condition

@@ -55,21 +55,24 @@ def gold_order_items(pos_items: DataFrame, ec_items: DataFrame, loyalty: DataFra
     lines = union_all([pos_items.withColumn("purchase_channel", F.lit("POS")),
                        ec_items.withColumn("purchase_channel", F.lit("EC"))])
     lines = repeat_purchase(lines, ["user_id", "item_id"], "order_date", ["order_item_id", "subtotal"])
-    points = latest_per_key(loyalty, ["user_id"], ["updated_date"], ["point_id"]).select(
-        "user_id", F.col("point_balance").alias("points_earned"), "member_rank")
-    lines = lines.join(points, "user_id", "left")
     stock_args = (["item_id", "store_id"], "order_date", "inventory_date", ["stock_quantity"],
                   ["stock_quantity"])
     if true_asof:
         lines = asof_join(lines, inventory, *stock_args).drop("inventory_date")
     else:
         lines = latest_stock_join(lines, inventory, *stock_args)
-    lines = same_day_join(lines, logs, "user_id", "order_date", "log_user", "event_date",
-                          ["event_ts", "log_id"], ["event_type", "session_id"],
-                          F.col("purchase_channel") == "EC")
+    points = latest_per_key(loyalty, ["user_id"], ["updated_date"], ["point_id"]).select(
+        "user_id", F.col("point_balance").alias("points_earned"), "member_rank")
     answer = latest_per_key(survey, ["user_id"], ["response_date"], ["response_id"]).select(
         "user_id", F.col("survey_category").alias("last_survey_category"))
-    return lines.join(answer, "user_id", "left").join(users, "user_id", "left")
+    # What belongs to a user is joined by itself first, so the lines, which are many and wide, are shuffled by user once.
+    per_user = points.join(answer, "user_id", "full").join(users, "user_id", "full")
+    out = same_day_join(lines, logs, "user_id", "order_date", "log_user", "event_date",
+                        ["event_ts", "log_id"], ["event_type", "session_id"],
+                        F.col("purchase_channel") == "EC", per_user)
+    base = [c for c in lines.columns if c not in ("user_id", "stock_quantity")]
+    return out.select("user_id", *base, "points_earned", "member_rank", "stock_quantity", "event_type", "session_id", "n_logs",
+                      "last_survey_category", *[c for c in users.columns if c != "user_id"])
 
 
 def gold_orders(items: DataFrame, header_cols: Sequence[str]) -> DataFrame:

@@ -267,10 +267,12 @@ _GOLD_LINES = f"""
 
 
 def _gold_lines(t, true_asof=False):
+    # Both channels read the same columns of the lines, so that Spark shuffles the lines once for the two.
     lines = _category_lines(t).filter("NOT cancel_flg").select(
-        "order_item_id", "order_id", "user_id", "item_id", "category_name", "quantity", "subtotal", "order_date", "store_id", "channel")
+        "order_item_id", "order_id", "user_id", "item_id", "category_name", "quantity", "subtotal", "order_date",
+        F.when(F.col("channel") == "POS", F.col("store_id")).alias("store_id"), "channel")
     pos = lines.filter("channel = 'POS'").drop("channel")
-    ec = lines.filter("channel = 'EC'").drop("channel", "store_id")
+    ec = lines.filter("channel = 'EC'").drop("channel")
     # The event log is moved to the years of the orders, so that days can meet.
     shift = F.date_add(F.lit("1998-01-01").cast("date"), F.datediff(F.to_date("ts"), F.lit("2024-01-01").cast("date")))
     logs = t.events.select(F.col("user_id").alias("log_user"), shift.alias("event_date"), F.col("ts").alias("event_ts"),

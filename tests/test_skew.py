@@ -118,6 +118,21 @@ def test_latest_stock_is_dropped_when_later(spark):
     assert got == {1: None, 2: 6}
 
 
+def test_latest_stock_null_keys_match_and_the_right_side_is_shuffled_once(spark):
+    day = date(2024, 1, 2)
+    left = spark.createDataFrame([(1, 1, None, day), (2, 1, "", day), (3, None, "a", day), (4, 0, "a", day)], "id int, k int, s string, d date")
+    right = spark.createDataFrame([(1, None, day, 4), (1, "", day, 5), (0, "a", day, 6)], "k int, s string, sd date, q int")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = latest_stock_join(left, right, ["k", "s"], "d", "sd", ["q"])
+        assert {r["id"]: r["q"] for r in joined.collect()} == {1: 4, 2: 5, 3: None, 4: 6}
+        fresh = latest_stock_join(left, right, ["k", "s"], "d", "sd", ["q"])
+        assert fresh._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 2  # left and right
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
 @pytest.mark.parametrize("max_bytes", [1 << 30, 2000], ids=["whole", "parts"])
 def test_collect_parts_keeps_every_member(hot, max_bytes):
     parts = collect_parts(hot, ["k"], F.struct("t", "v"), ["id"], max_bytes).collect()
@@ -193,6 +208,23 @@ def test_same_day_join_does_not_multiply(spark):
     assert got == {1: ("e4", 5), 2: (None, 0)}
 
 
+def test_same_day_join_with_attributes_of_the_user(spark):
+    # Users: 9 has logs and attributes (two rows of them), 8 logs only, 7 attributes only, 6 neither; one order has no user, one no day.
+    orders = spark.createDataFrame(
+        [(1, 9, date(2024, 1, 1), "EC"), (2, 9, date(2024, 1, 2), "EC"), (3, 8, date(2024, 1, 1), "EC"), (4, 7, date(2024, 1, 1), "EC"),
+         (5, 6, date(2024, 1, 1), "EC"), (6, None, date(2024, 1, 1), "EC"), (7, 8, None, "EC"), (8, 8, date(2024, 1, 1), "POS"), (9, 8, date(2024, 1, 1), None)],
+        "id int, u int, d date, c string")
+    days = [date(2024, 1, 1), date(2024, 1, 3), None]
+    logs = spark.createDataFrame([(u, d, n, f"e{n}") for u in (9, 8, None) for d in days for n in range(3)], "lu int, ld date, n int, e string")
+    users = spark.createDataFrame([(9, "x"), (9, "y"), (7, "z"), (None, "no one")], "u int, name string")
+    args = ("u", "d", "lu", "ld", ["n"], ["e"], F.col("c") == "EC")
+    want = same_day_join(orders, logs, *args).join(users, "u", "left").select("id", "u", "d", "c", "e", "n_logs", "name")
+    got = same_day_join(orders, logs, *args, users)
+    assert got.columns == want.columns
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    assert got.count() == 11
+
+
 @pytest.mark.parametrize("strict", [False, True])
 def test_sessions_against_loop(spark, strict):
     rnd = random.Random(3)
