@@ -8,6 +8,7 @@ from lakeops.queries.registry import query
 from lakeops.session import work_dir
 from lakeops.sources import quoted_csv as Q
 from lakeops.sources import readers as R
+from lakeops.sources.writers import write_one_csv
 from lakeops.streaming import ingest
 
 EVENT_DDL = "event_id bigint, user_id bigint, event_type string, value double"
@@ -35,9 +36,8 @@ def src2(t):
 
 @query("src2_csv_one_large_file", "SELECT CAST(doc_id AS INTEGER) AS doc_id, lang, text FROM documents")
 def src2_large(t):
-    # One file, names and types from the file itself; any number of tasks may read it.
-    path = work_dir(t.spark, "src2-large")
-    t.documents.select("doc_id", "lang", "text").coalesce(1).write.options(header=True, quote='"', escape='"').csv(path)
+    # One file, names and types from the file itself; any number of tasks may write and read it.
+    path = write_one_csv(t.documents.select("doc_id", "lang", "text"), work_dir(t.spark, "src2-large"))
     return Q.read_quoted_csv(t.spark, path)
 
 

@@ -5,9 +5,11 @@ import io
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from lakeops.sources.quoted_csv import block_states, read_quoted_csv, records, _lines
 from lakeops.sources.readers import read_text_csv
+from lakeops.sources.writers import write_one_csv
 
 PIECES = ["a", "bc ", "é\U0001f600", '"', '""', "\n", "\n\n", "\r\n", ",", "x" * 30, "ends\n", '\n"', '",\n"']
 
@@ -92,3 +94,24 @@ def test_quote_that_is_never_closed(spark, tmp_path, block_bytes):
     block_bytes(8)
     got = {r["id"]: r["t"] for r in read_quoted_csv(spark, str(tmp_path / "a.csv"), "id int, t string").collect()}
     assert got[1] == "ok" and got[2].startswith('open\nto the end') or got[2].startswith('"open\nto the end')
+
+
+@pytest.mark.parametrize("piece", [1, 700, 1 << 20])
+def test_one_file_by_many_writers_has_the_bytes_of_one_writer(spark, tmp_path, piece):
+    rng = random.Random(piece)
+    rows = [(i, None if i % 7 == 0 else field(rng), "") for i in range(20 if piece == 1 else 400)]
+    df = spark.createDataFrame(rows, "`id, \"no\"` int, text string, empty string").repartition(6, F.col("text"))
+    df.coalesce(1).write.options(header=True, quote='"', escape='"').csv(f"file://{tmp_path}/by-one")
+    want = next((tmp_path / "by-one").glob("part-*.csv")).read_bytes()
+    path = write_one_csv(df, f"file://{tmp_path}/by many", piece)
+    assert (tmp_path / "by many" / "all.csv").read_bytes() == want
+    assert not (tmp_path / "by many" / "parts").exists()
+    got = read_quoted_csv(spark, path, "id int, text string, empty string", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    assert sorted(r["id"] for r in got.collect()) == [r[0] for r in rows]
+
+
+def test_one_file_without_rows(spark, tmp_path):
+    path = write_one_csv(spark.createDataFrame([], "a int, b string"), f"file://{tmp_path}/none")
+    assert (tmp_path / "none" / "all.csv").read_bytes() == b"a,b\n"
+    assert read_quoted_csv(spark, path, "a int, b string").count() == 0
+
