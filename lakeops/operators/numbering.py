@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeops.session import checkpointed
+from lakeops.sources.writers import with_known_size
 
 MAX_GROUP_ROWS = 2_000_000  # rows of one group that one task may sort
 _SLICE_BITS = 33  # monotonically_increasing_id(): slice number above, position below
@@ -65,6 +66,8 @@ def number_rows(df: DataFrame, group: Sequence[str], order: Sequence[Column | st
         Window.unboundedPreceding, -1)
     # One row per slice and group: this window sees summaries, not data rows.
     pieces = pieces.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+    if not group:  # a few rows; once stored their size is known, and the data rows are not shuffled to meet them
+        pieces = with_known_size(pieces)
     p = pieces.select(F.col("_slice").alias("_s"), *[F.col(g).alias(f"_g{i}") for i, g in enumerate(group)],
                       "_first", "_before")
     on = rows["_slice"] == p["_s"]

@@ -23,11 +23,27 @@ def _scores(t):
     return t.lines.groupBy("user_id", "item_id").agg(F.sum("quantity").alias("rating"))
 
 
+def _typed_ratings(t):
+    return _ratings(t).select(F.col("user_id").cast("int").alias("user_id"), F.col("item_id").cast("int").alias("item_id"),
+                              F.col("rating").cast("float").alias("rating"))
+
+
+def _trained(ratings):
+    return RC.train_als(ratings, "user_id", "item_id", seed=0)
+
+
+def _model_only(t):
+    # Training plans its ratings twice; nothing reads them after it, so they are kept in memory until then and not written.
+    ratings = _typed_ratings(t).persist()
+    model = _trained(ratings)
+    ratings.unpersist()
+    return model
+
+
 def _model(t):
     # Training and the checks after it read the ratings several times; the lines are joined and counted once.
-    ratings = write_table(_ratings(t).select(F.col("user_id").cast("int").alias("user_id"), F.col("item_id").cast("int").alias("item_id"),
-                                             F.col("rating").cast("float").alias("rating")), work_dir(t.spark, "ratings"))
-    return ratings, RC.train_als(ratings, "user_id", "item_id", seed=0)
+    ratings = write_table(_typed_ratings(t), work_dir(t.spark, "ratings"))
+    return ratings, _trained(ratings)
 
 
 @query("rc1_ratings_from_counts", _RATINGS)
@@ -43,11 +59,14 @@ def rc2(t):
 
 
 def _dot(model, pairs):
-    """Scores of (user_id, item_id) pairs, computed anew from the factors."""
+    """Scores of (user_id, item_id) pairs, computed anew from the factors.
+
+    The pairs end up by user, so what is summed or joined per user after it needs no further shuffle.
+    """
     users = model.userFactors.select(F.col("id").alias("user_id"), F.col("features").alias("u"))
     items = model.itemFactors.select(F.col("id").alias("item_id"), F.col("features").alias("i"))
     product = F.aggregate(F.zip_with("u", "i", lambda a, b: a.cast("double") * b), F.lit(0.0), lambda a, x: a + x)
-    return pairs.join(users, "user_id").join(items, "item_id").withColumn("score", product).drop("u", "i")
+    return pairs.join(items, "item_id").join(users, "user_id").withColumn("score", product).drop("u", "i")
 
 
 def _same(a, b):
@@ -83,7 +102,7 @@ def rc4(t):
     FROM {lines}""")
 def rc4_all(t):
     # Of all items, bought or not, none outside the list may score above its last entry.
-    _, model = _model(t)
+    model = _model_only(t)
     return _better_left_out(model, RC.recommend(model, 5))
 
 
@@ -91,7 +110,7 @@ def rc4_all(t):
     SELECT count(DISTINCT user_id) AS n_users, count(DISTINCT item_id) AS n_items, TRUE AS skips_pairs FROM {lines}""")
 def rc4_share(t):
     # Pairs of users and items that the search has scored, of all pairs there are.
-    _, model = _model(t)
+    model = _model_only(t)
     scored = RC.recommend(model, 5, with_counts=True).agg(F.count(F.lit(1)).alias("n_users"), F.sum("n_scored").alias("n_scored"))
     n_items = model.itemFactors.count()
     return scored.select("n_users", F.lit(n_items).cast("bigint").alias("n_items"),
@@ -118,7 +137,7 @@ def _better_left_out(model, recs):
 @query("rc5_flat_recommendations", """
     SELECT DISTINCT CAST(user_id AS INTEGER) AS user_id, CAST(5 AS BIGINT) AS n_rows, CAST(5 AS BIGINT) AS n_right_ratings FROM {lines}""")
 def rc5(t):
-    _, model = _model(t)
+    model = _model_only(t)
     flat = _dot(model, RC.flatten_recs(RC.recommend(model, 5), "user_id"))
     return flat.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(_same("rating", "score")).alias("n_right_ratings"))
 

@@ -78,3 +78,25 @@ def test_items_above_a_limit_against_all_pairs(spark, slab_bytes):
     got = {r["id"]: r["n_above"] for r in items_above(asked, frame(spark, items), slab_bytes=slab_bytes, users_per_task=20).collect()}
     want = {u: int((scores[u] > limits[u]).sum()) - int((scores[u][listed[u]] > limits[u]).sum()) for u in range(60)}
     assert got == {u: n for u, n in want.items() if n} and got[0] == 497
+
+
+def test_users_that_are_done_are_stored_without_features(spark, monkeypatch):
+    from lakeops.plans import inner_products
+
+    stored, kept = [], inner_products._stored
+    monkeypatch.setattr(inner_products, "_stored", lambda df, name: stored.append((name, kept(df, name))) or stored[-1][1])
+    users = spark.createDataFrame([(n, [1.0, n / 9]) for n in range(9)], "id int, features array<double>")
+    items = spark.createDataFrame([(n, [2.0 ** -n, 0.0]) for n in range(200)], "id int, features array<double>")
+    found = inner_products.top_items(users, items, 2, block_rows=4, slab_bytes=400).collect()
+    assert all([f["item"] for f in r["found"]] == [0, 1] for r in found) and len(found) == 9
+    passed = [df for name, df in stored if name == "top-items"]
+    assert passed and all(df.filter("open = (features IS NULL)").isEmpty() for df in passed)
+
+
+def test_numbering_all_rows_shuffles_them_once(spark):
+    from lakeops.operators.numbering import number_rows
+
+    rows = spark.createDataFrame(spark.sparkContext.parallelize([(i, i * 7 % 1000) for i in range(1000)]), "id bigint, v bigint")  # of unknown size
+    numbered = number_rows(rows, [], ["v"], "n")
+    assert "SortMergeJoin" not in numbered._jdf.queryExecution().executedPlan().toString()
+    assert numbered.filter("n <> v + 1").isEmpty() and numbered.count() == 1000
