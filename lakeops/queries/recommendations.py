@@ -8,7 +8,7 @@ from lakeops.plans import recommend as RC
 from lakeops.plans.inner_products import items_above
 from lakeops.queries.registry import query
 from lakeops.session import work_dir
-from lakeops.sources.writers import write_table
+from lakeops.sources.writers import with_known_size, write_table
 
 _RATINGS = "SELECT user_id, item_id, count(*) AS rating FROM {lines} GROUP BY ALL"
 # A fixed score table in place of a trained model.
@@ -69,6 +69,23 @@ def _dot(model, pairs):
     return pairs.join(items, "item_id").join(users, "user_id").withColumn("score", product).drop("u", "i")
 
 
+def _norm(features):
+    return F.sqrt(F.aggregate(features, F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))
+
+
+def _reaching(model, pairs, last):
+    """The (user_id, item_id) pairs that may score above the last entry of the user's list.
+
+    A score is at most the product of the norms. An item below the least norm that any user needs is out at once;
+    the others meet what their user needs. Only norms are shuffled with the pairs, no factors.
+    """
+    needs = with_known_size(last.join(model.userFactors.select(F.col("id").alias("user_id"), "features"), "user_id").select(
+        "user_id", F.coalesce(F.try_divide(_limit(), _norm("features") * (1 + 1e-9)), F.lit(0.0)).alias("need")))
+    lowest = needs.agg(F.min("need")).first()[0]
+    strong = with_known_size(model.itemFactors.select(F.col("id").alias("item_id"), _norm("features").alias("norm")).filter(F.col("norm") >= F.lit(lowest)))
+    return pairs.join(strong, "item_id").join(needs, "user_id").filter(F.col("norm") >= F.col("need")).select("user_id", "item_id")
+
+
 def _same(a, b):
     return F.abs(F.col(a) - F.col(b)) < 1e-4
 
@@ -92,9 +109,10 @@ def rc4(t):
     # Of the items a user has bought, none outside the list may score above its last entry.
     ratings, model = _model(t)
     last = _last_entries(RC.recommend(model, 5))
-    scored = _dot(model, ratings.select("user_id", "item_id")).join(last, "user_id")
-    left_out = ~F.array_contains("listed", F.col("item_id")) & (F.col("score") > F.col("least") + 1e-4)
-    return scored.groupBy("user_id", "n_items").agg(F.count_if(left_out).alias("n_better_left_out"))
+    scored = _dot(model, _reaching(model, ratings.select("user_id", "item_id"), last)).join(last, "user_id")
+    left_out = ~F.array_contains("listed", F.col("item_id")) & (F.col("score") > _limit())
+    counts = scored.groupBy("user_id").agg(F.count_if(left_out).alias("n_better_left_out"))
+    return last.select("user_id", "n_items").join(counts, "user_id", "left").fillna(0, ["n_better_left_out"])
 
 
 @query("rc4_top_items_of_all_users", """
@@ -122,6 +140,10 @@ def _last_entries(recs):
                        F.array_min("recommendations.rating").alias("least"), F.col("recommendations.item_id").alias("listed"))
 
 
+def _limit():
+    return F.col("least") + 1e-4  # scores of lists are floats
+
+
 def _better_left_out(model, recs):
     """Per user: the length of the list, and how many items of the model score above its last entry without being in it.
 
@@ -129,7 +151,7 @@ def _better_left_out(model, recs):
     """
     last = _last_entries(recs)
     users = last.join(model.userFactors.select(F.col("id").alias("user_id"), "features"), "user_id").select(
-        F.col("user_id").alias("id"), "features", (F.col("least") + 1e-4).alias("limit"), "listed")
+        F.col("user_id").alias("id"), "features", _limit().alias("limit"), "listed")
     n = items_above(users, model.itemFactors).select(F.col("id").cast("int").alias("user_id"), F.col("n_above").alias("n_better_left_out"))
     return last.select("user_id", "n_items").join(n, "user_id", "left").fillna(0, ["n_better_left_out"])
 

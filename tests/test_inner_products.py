@@ -80,6 +80,30 @@ def test_items_above_a_limit_against_all_pairs(spark, slab_bytes):
     assert got == {u: n for u, n in want.items() if n} and got[0] == 497
 
 
+def test_bought_items_that_may_beat_the_list(spark):
+    """No pair that scores above the last entry is lost by the bound on norms; most of the others are."""
+    from types import SimpleNamespace
+
+    from lakeops.queries.recommendations import _dot, _last_entries, _reaching
+
+    rng = np.random.default_rng(5)
+    u, i = rng.normal(size=(40, 4)).astype(np.float32), (rng.normal(size=(60, 4)) * rng.gamma(1.0, size=(60, 1))).astype(np.float32)
+    u[3], u[4] = 0, -np.abs(u[4])
+    model = SimpleNamespace(userFactors=spark.createDataFrame([(n, v.tolist()) for n, v in enumerate(u)], "id int, features array<float>"),
+                            itemFactors=spark.createDataFrame([(n, v.tolist()) for n, v in enumerate(i)], "id int, features array<float>"))
+    scores = u.astype(float) @ i.astype(float).T
+    lists = [(n, [(int(at), float(scores[n, at])) for at in np.argsort(-scores[n])[2 if n % 2 else 0:][:5]]) for n in range(40)]
+    last = _last_entries(spark.createDataFrame(lists, "user_id int, recommendations array<struct<item_id:int,rating:float>>"))
+    pairs = spark.createDataFrame([(a, b) for a in range(40) for b in range(60)], "user_id int, item_id int")
+    got = {(r["user_id"], r["item_id"]): r["score"] for r in _dot(model, _reaching(model, pairs, last)).collect()}
+    for a in range(40):
+        least = np.float32(min(s for _, s in lists[a][1]))
+        above = {(a, b) for b in range(60) if scores[a, b] > float(least) + 1e-4}
+        assert above <= set(got) and len(above) >= (4 if a % 2 and a != 3 else 0)
+    assert all(abs(scores[k] - s) < 1e-9 for k, s in got.items())
+    assert len(got) < 40 * 60 / 2
+
+
 def test_users_that_are_done_are_stored_without_features(spark, monkeypatch):
     from lakeops.plans import inner_products
 
