@@ -10,6 +10,10 @@ distances; pairs at most two apart are then verified letter by letter.
 
 The rows of a block are held in one task, at most ``BLOCK_ROWS`` of them; those of
 its neighbours stream past. A larger block is cut, and its parts meet, too.
+
+Blocks, the pairs that meet and the roots are joined by sorting, at any size: Spark
+takes an exploded table to be as large as the one before, and a table of few distinct
+values to be as large as its compressed files, and would send either through the driver.
 """
 
 from __future__ import annotations
@@ -130,18 +134,18 @@ def near_pairs(words: DataFrame, groups: int = GROUPS, block_rows: int = BLOCK_R
     moves += [[int(k == j) - int(k == i) for k in range(groups)] for i in range(groups) for j in range(i + 1, groups)]
     shift = F.array(*[F.array(*map(F.lit, m)) for m in moves])
     reached = blocks.select("block", F.explode(F.transform(shift, lambda m: F.zip_with("key", m, lambda x, y: x + y))).alias("key"))
-    meet = reached.join(blocks.select("key", F.col("block").alias("to"), F.col("parts").alias("to_parts")), "key").select(
+    meet = reached.hint("merge").join(blocks.select("key", F.col("block").alias("to"), F.col("parts").alias("to_parts")).hint("merge"), "key").select(
         "block", "to", "to_parts")
     meet = stored(meet, "variant-meet")
 
-    placed = keyed.join(blocks, "key").select(
+    placed = keyed.join(blocks.hint("merge"), "key").select(
         "word", "n", "block", "parts", F.pmod(F.xxhash64("word"), F.col("parts")).cast("int").alias("part"))
     placed = stored(placed, "variant-words")
     own = placed.select(F.col("block").alias("to"), "part", F.lit(0).alias("kind"), "word", "n")
     # Parts of one block meet once: a word goes to the parts before its own.
     inside = placed.filter("part > 0").select(
         F.col("block").alias("to"), F.explode(F.sequence(F.lit(0), F.col("part") - 1)).alias("part"), F.lit(1).alias("kind"), "word", "n")
-    across = placed.select("word", "n", "block").join(meet, "block").select(
+    across = placed.select("word", "n", "block").join(meet.hint("merge"), "block").select(
         "to", F.explode(F.sequence(F.lit(0), F.col("to_parts") - 1)).alias("part"), F.lit(1).alias("kind"), "word", "n")
     dealt = own.unionByName(inside).unionByName(across).repartition("to", "part").sortWithinPartitions("to", "part", "kind")
 
@@ -198,7 +202,7 @@ def roots(forms: DataFrame) -> DataFrame:
     steps = forms.filter(F.col("form").isNotNull()).select("word", F.col("form").alias("root"))
     while True:
         after = steps.select(F.col("word").alias("root"), F.col("root").alias("_next"))
-        moved = stored(steps.join(after, "root", "left").select(
+        moved = stored(steps.join(after.hint("merge"), "root", "left").select(
             "word", F.coalesce("_next", "root").alias("root"), F.col("_next").isNotNull().alias("moved")), "variant-roots")
         steps = moved.select("word", "root")
         if moved.filter("moved").isEmpty():
@@ -225,5 +229,5 @@ def spelling_variants(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     forms = stored(words.join(near, "word", "left").select(
         "word", F.when(fits, F.col("_best.other")).alias("form"), "n", F.coalesce("n_near", F.lit(0)).cast("bigint").alias("n_near"),
         F.when(fits, -F.col("_best.less")).alias("form_n")), "variant-forms")
-    return forms.join(roots(forms), "word", "left").select(
+    return forms.join(roots(forms).hint("merge"), "word", "left").select(
         "word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")

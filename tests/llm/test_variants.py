@@ -6,6 +6,8 @@ from zlib import crc32
 import numpy as np
 import pytest
 
+from lakeops.llm import variants
+from lakeops.llm.common import stored
 from lakeops.llm.variants import letter_groups, near_in_block, spelling_variants
 
 RUN = re.compile("[A-Za-zÀ-ÿ]+")
@@ -129,3 +131,18 @@ def test_odd_rows(odd_docs, no_docs):
     assert result(twice, delete_every=31) == expected(rows * 2)
     assert any(len(r[0]) > 1000 for r in expected(rows * 2))
     assert result(no_docs) == []
+
+
+def test_no_table_goes_through_the_driver(spark, small_docs, monkeypatch):
+    """Exploded blocks look small to Spark, however many rows they are."""
+    plans = {}
+
+    def noted(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return stored(df, name)
+
+    monkeypatch.setattr(variants, "stored", noted)
+    plans["result"] = spelling_variants(small_docs, delete_every=31)._jdf.queryExecution().executedPlan().toString()
+    assert {"variant-meet", "variant-words", "variant-forms", "variant-roots", "result"} <= set(plans)
+    assert all("SortMergeJoin" in plans[name] for name in plans if name not in ("variant-vocabulary", "variant-blocks"))
+    assert [name for name, plan in plans.items() if "Broadcast" in plan] == []
