@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml.recommendation import ALS, ALSModel
@@ -15,6 +16,9 @@ from lakeops.operators.windows import latest_per_key, rank_best, top_n
 from lakeops.plans.inner_products import top_items
 from lakeops.session import shared_root
 
+LEAST_BLOCKS = 10  # of users and of items; Spark's own number
+RATINGS_PER_BLOCK = 8_000_000  # held by a task of the training, with the factors they need: up to 90 bytes each
+
 
 def ratings_from_counts(df: DataFrame, user: str, item: str) -> DataFrame:
     """How often each user took each item."""
@@ -39,18 +43,34 @@ def dense_ids(ratings: DataFrame, col: str, name: str) -> DataFrame:
     return ratings.join(ids.withColumn(name, F.col(name).cast("int")), col)
 
 
+def als_blocks(n_ratings: int, per_block: int = RATINGS_PER_BLOCK) -> int:
+    """How many blocks training takes, so that none holds many more ratings than ``per_block``.
+
+    A row of factors is sent once to each block that needs it, so there are no more blocks than that takes.
+    Ids are dealt to blocks by their remainder: the number is prime, so that ids in steps fill all blocks.
+    """
+    n = -(-n_ratings // per_block)
+    if n <= LEAST_BLOCKS:
+        return LEAST_BLOCKS
+    while any(n % d == 0 for d in range(2, math.isqrt(n) + 1)):
+        n += 1
+    return n
+
+
 def train_als(ratings: DataFrame, user: str, item: str, rating: str = "rating", rank: int = 8, reg: float = 0.1,
-              max_iter: int = 10, seed: int = 42, blocks: int | None = None) -> ALSModel:
+              max_iter: int = 10, seed: int = 42, blocks: int | None = None, per_block: int = RATINGS_PER_BLOCK) -> ALSModel:
     """Implicit-feedback ALS; unknown users and items are dropped on scoring.
 
-    The lineage of the iterations is cut by reliable checkpoints.
+    A task holds the ratings of a block and the factors they need. Without ``blocks`` the ratings are counted and
+    the number follows them, see ``als_blocks``, so ratings that are costly to compute should be stored. Between
+    iterations blocks are on disk, so that tasks have the memory; each iteration ends in a reliable
+    checkpoint, which cuts the lineage and lets Spark remove the shuffle files behind it.
     """
     shared_root(ratings.sparkSession)
-    als = ALS(rank=rank, maxIter=max_iter, regParam=reg, userCol=user, itemCol=item, ratingCol=rating,
-              implicitPrefs=True, coldStartStrategy="drop", seed=seed, checkpointInterval=5)
-    if blocks:
-        als = als.setNumUserBlocks(blocks).setNumItemBlocks(blocks)
-    return als.fit(ratings)
+    blocks = blocks or als_blocks(ratings.count(), per_block)
+    als = ALS(rank=rank, maxIter=max_iter, regParam=reg, userCol=user, itemCol=item, ratingCol=rating, implicitPrefs=True,
+              coldStartStrategy="drop", seed=seed, checkpointInterval=1, intermediateStorageLevel="DISK_ONLY")
+    return als.setNumUserBlocks(blocks).setNumItemBlocks(blocks).fit(ratings)
 
 
 def recommend(model: ALSModel, k: int = 30, users: DataFrame | None = None, with_counts: bool = False) -> DataFrame:

@@ -302,3 +302,18 @@ def test_ratings_of_a_model_are_computed_once(spark):
     ratings, _ = _model(t)
     assert "Join" not in ratings._jdf.queryExecution().executedPlan().toString()
     assert ratings.count() == t.lines.select("user_id", "item_id").distinct().count()
+
+
+def test_blocks_of_the_training_follow_the_ratings(spark):
+    """A task of the training holds a block, so there are more blocks, not larger ones, where there are more ratings."""
+    assert RC.als_blocks(0) == RC.als_blocks(10 * RC.RATINGS_PER_BLOCK) == 10  # as many as Spark takes by itself
+    for n in (100_000_000, 216_000_000, 2_160_000_000):
+        blocks = RC.als_blocks(n)
+        assert n / blocks <= RC.RATINGS_PER_BLOCK < 1.3 * n / blocks and all(blocks % d for d in range(2, blocks))
+    ratings = spark.createDataFrame([(3 * u, 2 * i, 1.0) for u in range(40) for i in range(40) if (u + i) % 2], "user_id int, item_id int, rating double")
+    model = RC.train_als(ratings, "user_id", "item_id", rank=2, per_block=50)
+    assert model.userFactors.rdd.getNumPartitions() == model.itemFactors.rdd.getNumPartitions() == 17  # 800 ratings, 16 blocks or more
+    everything = model.userFactors.selectExpr("id AS user_id").crossJoin(model.itemFactors.selectExpr("id AS item_id"))
+    scores = {(r["user_id"], r["item_id"]): r["prediction"] for r in RC.score_pairs(model, everything).collect()}
+    taken = {(r["user_id"], r["item_id"]) for r in ratings.collect()}
+    assert len(scores) == 1600 and min(scores[p] for p in taken) > max(scores[p] for p in scores if p not in taken)
