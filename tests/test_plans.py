@@ -317,3 +317,14 @@ def test_blocks_of_the_training_follow_the_ratings(spark):
     scores = {(r["user_id"], r["item_id"]): r["prediction"] for r in RC.score_pairs(model, everything).collect()}
     taken = {(r["user_id"], r["item_id"]) for r in ratings.collect()}
     assert len(scores) == 1600 and min(scores[p] for p in taken) > max(scores[p] for p in scores if p not in taken)
+
+
+def test_pairs_are_scored_right_with_more_blocks(spark, monkeypatch):
+    """Training of the registered queries takes its blocks from the number of ratings; factors and scores are whole with any."""
+    asked = []
+    monkeypatch.setattr(RC, "als_blocks", lambda n, per_block: asked.append(n) or 17)
+    out = QUERIES["rc12_scored_pairs"](spark, "/root/testdata/sf0.001")
+    pairs = spark.read.parquet("/root/testdata/sf0.001/orders.parquet").join(
+        spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet"), F.col("o_orderkey") == F.col("l_orderkey")).select("o_custkey", "l_partkey").distinct()
+    want = {(u, i, True) for u, i in pairs.collect()}
+    assert {tuple(r) for r in out.collect()} == want and asked == [len(want)]
